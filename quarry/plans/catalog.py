@@ -1,0 +1,443 @@
+"""Queries over the driver tables, each paired with an equivalent DuckDB SQL oracle.
+
+Every query reads whole tables (no id subsets, no row caps beyond operators whose feature *is* a
+limit: top-k tags, a sample of n). Column names and types line up with the oracle; floating results
+are rounded to 6 decimals on both sides.
+
+Stand-ins (from the survey): ``part`` rows are puzzles (id ``p_partkey``, tags ``p_name``, rating
+``p_retailprice``, source order ``p_partkey``); ``documents``/``benchmark``/``labels`` are the distilled
+rows, the test set and the done set; ``events`` are model responses / attempts: prompt = ``user_id``,
+sample = ``event_id``, stage = ``event_type``, checkpoint step = day of ``ts``, and a response text and
+a ground truth synthesised from the ids by the same column rule on both sides.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.functions import text as T
+from quarry.operators import joins, order, quota, scoring, tags
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+# Parameters of the catalog queries (the reference's defaults are n=800, k=50 on a 4 M-row table; the
+# 2,000-row part table uses smaller ones so that quotas bind).
+QUOTA_N, QUOTA_K, SHORT_N = 40, 6, 250
+SEED = 42
+BATCH = 256
+SAMPLE = 10
+MAX_TOKENS = 5
+MAX_ATTEMPTS = 11
+OVERLONG = 200
+TRUNCATE = 50
+MIN_SEGMENT = 20
+
+
+def register(name: str, sql: str | None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql
+        return fn
+
+    return deco
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# Whitespace class shared by the Spark code and the oracles (Python ``str.split`` semantics).
+SQL_SPACE = T.PY_SPACE
+SQL_SPLIT = SQL_SPACE + "+"
+
+
+def sql_tokens(expr: str) -> str:
+    return f"list_filter(regexp_split_to_array({expr}, '{SQL_SPLIT}'), lambda x: x <> '')"
+
+
+# ---- synthetic responses over events (same rule in Spark and SQL) ---------------------------------------
+def _square_move(x: Column) -> Column:
+    files, ranks = F.lit("abcdefgh"), F.lit("12345678")
+
+    def pick(s, v, d):
+        return F.substring(s, (F.pmod(F.floor(v / F.lit(d)), F.lit(8)) + 1).cast("int"), 1)
+
+    return F.concat(pick(files, x, 1), pick(ranks, x, 8), pick(files, x, 64), pick(ranks, x, 512))
+
+
+def _sql_move(x: str) -> str:
+    def pick(s, d):
+        return f"substr('{s}', CAST((({x}) // {d}) % 8 + 1 AS INTEGER), 1)"
+
+    return f"({pick('abcdefgh', 1)} || {pick('12345678', 8)} || {pick('abcdefgh', 64)} || {pick('12345678', 512)})"
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> (event_id, user_id, stage, step, cost, text, truth)."""
+    ev = table(spark, sf_dir, "events")
+    truth = F.when(F.pmod(F.col("user_id"), F.lit(5)) == 0, F.lit("z9z9")).otherwise(_square_move(F.col("user_id")))
+    kind = F.pmod(F.col("event_id"), F.lit(6))
+    text = (
+        F.when(kind == 0, F.concat(F.lit("FINAL_ANSWER: "), truth))
+        .when(kind == 1, F.concat(F.lit("thinking about it\nfinal_answer:"), F.upper(truth), F.lit(" done")))
+        .when(kind == 2, F.concat(F.lit("FINAL_ANSWER: "), _square_move(F.col("event_id"))))
+        .when(kind == 3, F.concat(F.lit("The best move is "), truth))
+        .when(kind == 4, F.concat(F.lit("Final_Answer:  "), truth, F.lit("q and more")))
+        .otherwise(F.concat(F.lit("FINAL_ANSWER "), truth))
+    )
+    return ev.select(
+        "event_id",
+        "user_id",
+        F.col("event_type").alias("stage"),
+        F.dayofmonth("ts").cast("bigint").alias("step"),
+        F.col("value").alias("cost"),
+        text.alias("text"),
+        truth.alias("truth"),
+    )
+
+
+SQL_RESPONSES = f"""
+responses AS (
+  SELECT event_id, user_id, event_type AS stage, CAST(day(ts) AS BIGINT) AS step, value AS cost,
+         CASE event_id % 6
+           WHEN 0 THEN 'FINAL_ANSWER: ' || truth
+           WHEN 1 THEN 'thinking about it' || chr(10) || 'final_answer:' || upper(truth) || ' done'
+           WHEN 2 THEN 'FINAL_ANSWER: ' || {_sql_move('event_id')}
+           WHEN 3 THEN 'The best move is ' || truth
+           WHEN 4 THEN 'Final_Answer:  ' || truth || 'q and more'
+           ELSE 'FINAL_ANSWER ' || truth END AS text,
+         truth
+  FROM (SELECT *, CASE WHEN user_id % 5 = 0 THEN 'z9z9' ELSE {_sql_move('user_id')} END AS truth FROM events)
+),
+scored AS (
+  SELECT *, nullif(lower(regexp_extract(text, '(?i)FINAL_ANSWER:\\s*([a-h][1-8][a-h][1-8][qrbn]?)', 1)), '') AS answer
+  FROM responses
+),
+scored2 AS (
+  SELECT *, CAST(coalesce(CAST(answer = lower(truth) AS INTEGER), 0) AS DOUBLE) AS score FROM scored
+)"""
+
+
+def scored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = responses(spark, sf_dir)
+    return scoring.score_responses(r.withColumn("answer", T.extract_answer("text")), "text", "truth")
+
+
+# ---- B1 / D1 / F1 / F3 / D2 ----------------------------------------------------------------------------
+SQL_TAGS = f"SELECT unnest({sql_tokens('p_name')}) AS tag FROM part"
+
+
+@register("tag_frequency", f"SELECT tag, count(*) AS freq FROM ({SQL_TAGS}) GROUP BY tag")
+def q_tag_frequency(spark, sf):
+    return tags.tag_frequency(table(spark, sf, "part"), "p_name")
+
+
+@register(
+    "rarest_tags",
+    f"""SELECT tag, freq, CAST(row_number() OVER (ORDER BY freq, tag) - 1 AS INTEGER) AS tag_rank
+        FROM (SELECT tag, count(*) AS freq FROM ({SQL_TAGS}) GROUP BY tag ORDER BY freq, tag LIMIT {QUOTA_K})""",
+)
+def q_rarest_tags(spark, sf):
+    return tags.rarest_tags(table(spark, sf, "part"), "p_name", QUOTA_K)
+
+
+@register(
+    "tag_listing_desc",
+    f"""SELECT tag, freq, row_number() OVER (ORDER BY freq DESC, tag) AS position
+        FROM (SELECT tag, count(*) AS freq FROM ({SQL_TAGS}) GROUP BY tag)""",
+)
+def q_tag_listing_desc(spark, sf):
+    return tags.tag_listing_desc(table(spark, sf, "part"), "p_name")
+
+
+@register(
+    "dataset_profile",
+    f"""SELECT (SELECT count(*) FROM part) AS rows, min(p_retailprice) AS min_value, max(p_retailprice) AS max_value,
+               round(avg(p_retailprice), 6) AS mean_value,
+               (SELECT count(DISTINCT tag) FROM ({SQL_TAGS})) AS distinct_tags
+        FROM part""",
+)
+def q_dataset_profile(spark, sf):
+    return tags.profile(table(spark, sf, "part"), "p_name", "p_retailprice")
+
+
+# ---- E3 / D6 --------------------------------------------------------------------------------------------
+def _sql_quota(n: int, k: int) -> str:
+    """Sequential definition unrolled: theme r takes its first n ids not taken by themes < r."""
+    ctes = [
+        f"freq AS (SELECT tag, count(*) AS freq FROM ({SQL_TAGS}) GROUP BY tag)",
+        f"themes AS (SELECT tag, CAST(row_number() OVER (ORDER BY freq, tag) - 1 AS INTEGER) AS r "
+        f"FROM freq ORDER BY freq, tag LIMIT {k})",
+        f"pairs AS (SELECT DISTINCT p.p_partkey AS id, p.p_partkey AS pos, t.tag, t.r FROM "
+        f"(SELECT p_partkey, unnest({sql_tokens('p_name')}) AS tag FROM part) p JOIN themes t ON p.tag = t.tag)",
+    ]
+    for r in range(k):
+        prev = " UNION ALL ".join(f"SELECT id FROM s{j}" for j in range(r)) or "SELECT NULL::BIGINT AS id WHERE false"
+        ctes.append(
+            f"s{r} AS (SELECT id, min(pos) AS pos, {r} AS r FROM pairs WHERE r = {r} "
+            f"AND id NOT IN ({prev}) GROUP BY id ORDER BY pos LIMIT {n})"
+        )
+    union = " UNION ALL ".join(f"SELECT * FROM s{r}" for r in range(k))
+    return "WITH " + ",\n".join(ctes) + f",\nsel AS ({union})\n"
+
+
+ORACLES_QUOTA_SELECT = (
+    _sql_quota(QUOTA_N, QUOTA_K)
+    + "SELECT sel.id AS p_partkey, themes.tag AS theme, themes.r AS theme_rank FROM sel JOIN themes ON sel.r = themes.r"
+)
+
+
+@register("quota_select", ORACLES_QUOTA_SELECT)
+def q_quota_select(spark, sf):
+    sel = quota.quota_select(table(spark, sf, "part"), "p_partkey", "p_name", "p_partkey", QUOTA_N, QUOTA_K)
+    return sel.select("p_partkey", "theme", "theme_rank")
+
+
+@register(
+    "quota_shortfall",
+    _sql_quota(SHORT_N, QUOTA_K)
+    + """SELECT themes.tag AS theme, themes.r AS theme_rank, CAST(coalesce(c, 0) AS BIGINT) AS found,
+               CAST(""" + str(SHORT_N) + """ - coalesce(c, 0) AS BIGINT) AS shortfall
+         FROM themes LEFT JOIN (SELECT r, count(*) AS c FROM sel GROUP BY r) s ON s.r = themes.r
+         WHERE """ + str(SHORT_N) + " - coalesce(c, 0) > 0",
+)
+def q_quota_shortfall(spark, sf):
+    return quota.quota_shortfall(table(spark, sf, "part"), "p_partkey", "p_name", "p_partkey", SHORT_N, QUOTA_K)
+
+
+# ---- E1 / E2 / E6 / E7 --------------------------------------------------------------------------------------
+SQL_ORDER_RANK = f"row_number() OVER (ORDER BY md5(concat(o_orderkey, ':{SEED}')), o_orderkey)"
+
+
+@register("shuffle_rank", f"SELECT o_orderkey, {SQL_ORDER_RANK} AS shuffle_rank FROM orders")
+def q_shuffle_rank(spark, sf):
+    return order.shuffle_rank(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", SEED)
+
+
+@register(
+    "split_halves",
+    f"""SELECT o_orderkey, CASE WHEN rk <= (SELECT count(*) FROM orders) // 2 THEN 'A' ELSE 'B' END AS half
+        FROM (SELECT o_orderkey, {SQL_ORDER_RANK} AS rk FROM orders)""",
+)
+def q_split_halves(spark, sf):
+    return order.split_halves(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", SEED).select(
+        "o_orderkey", "half"
+    )
+
+
+@register(
+    "assign_batches",
+    f"""SELECT lid, CAST((rk - 1) // {BATCH} AS BIGINT) AS batch FROM (
+          SELECT lid, row_number() OVER (ORDER BY md5(concat(lid, ':{SEED}')), lid) AS rk
+          FROM (SELECT concat(l_orderkey, '-', l_linenumber) AS lid FROM lineitem))
+        WHERE (rk - 1) // {BATCH} < (SELECT count(*) FROM lineitem) // {BATCH}""",
+)
+def q_assign_batches(spark, sf):
+    li = table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("lid"))
+    return order.assign_batches(li, "lid", BATCH, SEED, drop_last=True).select("lid", "batch")
+
+
+@register(
+    "sample_n",
+    f"""SELECT o_orderkey, {SQL_ORDER_RANK} AS sample_rank FROM orders
+        ORDER BY sample_rank LIMIT {SAMPLE}""",
+)
+def q_sample_n(spark, sf):
+    return order.sample_n(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", SAMPLE, SEED)
+
+
+# ---- J1 / J3 / J4 / D7 ------------------------------------------------------------------------------------------
+@register(
+    "pending_rows",
+    "SELECT doc_id, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
+)
+def q_pending_rows(spark, sf):
+    return joins.pending(table(spark, sf, "documents").select("doc_id", "lang"), table(spark, sf, "labels"), "doc_id")
+
+
+SQL_OVERLAP_IDS = f"""
+  SELECT DISTINCT d.doc_id FROM
+    (SELECT doc_id, unnest(string_split(text, chr(10))) AS seg FROM documents) d
+  JOIN (SELECT DISTINCT unnest(string_split(text, chr(10))) AS seg FROM benchmark) b ON d.seg = b.seg
+  WHERE length(d.seg) > {MIN_SEGMENT}"""
+
+
+@register("exclude_passages", f"SELECT doc_id FROM documents WHERE doc_id NOT IN ({SQL_OVERLAP_IDS})")
+def q_exclude_passages(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return joins.exclude_passages(docs, "doc_id", "text", table(spark, sf, "benchmark"), "text", MIN_SEGMENT).select(
+        "doc_id"
+    )
+
+
+@register(
+    "flag_overlap",
+    f"SELECT doc_id, doc_id IN ({SQL_OVERLAP_IDS}) AS overlaps FROM documents",
+)
+def q_flag_overlap(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return joins.flag_passages(docs, "doc_id", "text", table(spark, sf, "benchmark"), "text", MIN_SEGMENT).select(
+        "doc_id", "overlaps"
+    )
+
+
+@register(
+    "status_counts",
+    f"""SELECT status, count(*) AS rows FROM (
+          SELECT CASE WHEN d.text IS NULL OR NOT regexp_matches(d.text, '[^{SQL_SPACE[1:]}')
+                        OR l.doc_id IS NULL THEN 'invalid'
+                      WHEN d.doc_id IN ({SQL_OVERLAP_IDS}) THEN 'excluded'
+                      ELSE 'kept' END AS status
+          FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id)
+        GROUP BY status""",
+)
+def q_status_counts(spark, sf):
+    from quarry.plans.flows import classify
+
+    docs = table(spark, sf, "documents")
+    st = classify(docs, "doc_id", "text", table(spark, sf, "labels"), table(spark, sf, "benchmark"), MIN_SEGMENT)
+    return scoring.status_counts(st)
+
+
+# ---- B14 - B16 ------------------------------------------------------------------------------------------------
+@register("extract_answer", f"WITH {SQL_RESPONSES} SELECT event_id, answer FROM scored")
+def q_extract_answer(spark, sf):
+    return responses(spark, sf).select("event_id", T.extract_answer("text").alias("answer"))
+
+
+@register("answer_score", f"WITH {SQL_RESPONSES} SELECT event_id, answer, score, score AS binary_score FROM scored2")
+def q_answer_score(spark, sf):
+    return scored_responses(spark, sf).select("event_id", "answer", "score", "binary_score")
+
+
+# ---- D4 / D5 / D8 / D10 ------------------------------------------------------------------------------------------------
+SQL_PASS = f"""
+pass AS (
+  SELECT user_id, count(*) AS n_samples, round(avg(score), 6) AS pass_at_1, arg_min(text, event_id) AS first_text
+  FROM scored2 GROUP BY user_id
+)"""
+
+
+def _sql_len(expr: str) -> str:
+    return f"CAST(len({sql_tokens(expr)}) AS INTEGER)"
+
+
+@register(
+    "pass_at_1",
+    f"""WITH {SQL_RESPONSES}, {SQL_PASS}
+        SELECT *, {_sql_len('first_text')} AS num_tokens, {_sql_len('first_text')} >= {MAX_TOKENS} AS clipped FROM pass""",
+)
+def q_pass_at_1(spark, sf):
+    return scoring.pass_at_1(scored_responses(spark, sf), "user_id", "event_id", "score", "text", MAX_TOKENS)
+
+
+@register(
+    "eval_summary",
+    f"""WITH {SQL_RESPONSES},
+        p AS (SELECT stage, user_id, round(avg(score), 6) AS pass_at_1,
+                     {_sql_len('arg_min(text, event_id)')} AS num_tokens FROM scored2 GROUP BY stage, user_id)
+        SELECT stage, count(*) AS prompts, round(avg(pass_at_1), 6) AS accuracy, round(sum(pass_at_1), 6) AS score_sum,
+               round(avg(num_tokens), 6) AS mean_length,
+               CAST(sum(CAST(num_tokens >= {MAX_TOKENS} AS INTEGER)) AS BIGINT) AS clipped,
+               round(sum(CAST(num_tokens >= {MAX_TOKENS} AS INTEGER)) / count(*), 6) AS clipped_share
+        FROM p GROUP BY stage""",
+)
+def q_eval_summary(spark, sf):
+    p = scoring.pass_at_1(scored_responses(spark, sf), ["stage", "user_id"], "event_id", "score", "text", MAX_TOKENS)
+    return scoring.eval_summary(p, ["stage"])
+
+
+SQL_CKPT = """
+ckpt AS (SELECT stage, step, count(*) AS rows, round(avg(score), 6) AS accuracy FROM scored2 GROUP BY stage, step)"""
+
+
+@register(
+    "best_checkpoint",
+    f"""WITH {SQL_RESPONSES}, {SQL_CKPT}
+        SELECT stage, arg_max(step, (accuracy, -step)) AS best_step, max(accuracy) AS best_accuracy
+        FROM ckpt GROUP BY stage""",
+)
+def q_best_checkpoint(spark, sf):
+    return scoring.best_checkpoint(scoring.checkpoint_accuracy(scored_responses(spark, sf), "stage", "step"))
+
+
+@register(
+    "eval_curve",
+    f"""WITH {SQL_RESPONSES}, {SQL_CKPT}
+        SELECT *, max(accuracy) OVER (PARTITION BY stage ORDER BY step ROWS UNBOUNDED PRECEDING) AS running_best
+        FROM ckpt""",
+)
+def q_eval_curve(spark, sf):
+    return scoring.eval_curve(scoring.checkpoint_accuracy(scored_responses(spark, sf), "stage", "step"))
+
+
+# ---- E4 / D3 -------------------------------------------------------------------------------------------------------------
+SQL_ATTEMPTS = f"""
+attempts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS attempt FROM scored2)
+  WHERE attempt <= {MAX_ATTEMPTS}
+)"""
+
+
+def attempts(spark: SparkSession, sf: str) -> DataFrame:
+    """First ``MAX_ATTEMPTS`` responses of every user, numbered by event id (WindowGroupLimit)."""
+    a = order.first_n_per_group(scored_responses(spark, sf), ["user_id"], ["event_id"], MAX_ATTEMPTS, "attempt")
+    return a.withColumn("attempt", F.col("attempt").cast("bigint"))
+
+
+@register(
+    "first_accepted",
+    f"""WITH {SQL_RESPONSES}, {SQL_ATTEMPTS}
+        SELECT user_id, min(attempt) AS attempt, arg_min(event_id, attempt) AS event_id
+        FROM attempts WHERE score = 1.0 GROUP BY user_id""",
+)
+def q_first_accepted(spark, sf):
+    a = attempts(spark, sf).select("user_id", "attempt", "event_id", "score")
+    return scoring.first_accepted(a, "user_id", "attempt", "score", MAX_ATTEMPTS).select("user_id", "attempt", "event_id")
+
+
+@register(
+    "ledger",
+    f"""WITH {SQL_RESPONSES}, {SQL_ATTEMPTS},
+        acc AS (SELECT user_id, min(attempt) AS acc FROM attempts WHERE score = 1.0 GROUP BY user_id),
+        per_id AS (
+          SELECT a.user_id, max(CAST(acc.acc IS NOT NULL AS INTEGER)) AS ok,
+                 sum(CASE WHEN a.attempt = acc.acc THEN a.cost END) AS acc_cost, sum(a.cost) AS all_cost, count(*) AS n
+          FROM attempts a LEFT JOIN acc ON a.user_id = acc.user_id
+          WHERE acc.acc IS NULL OR a.attempt <= acc.acc GROUP BY a.user_id)
+        SELECT count(*) AS ids, CAST(sum(ok) AS BIGINT) AS accepted, CAST(count(*) - sum(ok) AS BIGINT) AS rejected,
+               round(sum(ok) / count(*), 6) AS accepted_share, round((count(*) - sum(ok)) / count(*), 6) AS rejected_share,
+               round(sum(acc_cost), 6) AS accepted_cost, round(sum(all_cost), 6) AS total_cost,
+               CAST(sum(n) AS BIGINT) AS attempts_made
+        FROM per_id""",
+)
+def q_ledger(spark, sf):
+    return scoring.attempt_ledger(attempts(spark, sf), "user_id", "attempt", "score", "cost", MAX_ATTEMPTS)
+
+
+# ---- D9 / E5 ---------------------------------------------------------------------------------------------------------------
+@register(
+    "filter_groups",
+    f"""WITH {SQL_RESPONSES}
+        SELECT event_id, user_id, score FROM scored2
+        WHERE user_id IN (SELECT user_id FROM scored2 GROUP BY user_id HAVING min(score) < max(score))""",
+)
+def q_filter_groups(spark, sf):
+    return scoring.filter_groups(scored_responses(spark, sf).select("event_id", "user_id", "score"), "user_id")
+
+
+@register(
+    "group_advantage",
+    f"""WITH {SQL_RESPONSES}
+        SELECT event_id, user_id, score,
+               round((score - avg(score) OVER w) / (coalesce(stddev_samp(score) OVER w, 0) + 1e-6), 6) AS advantage
+        FROM scored2 WINDOW w AS (PARTITION BY user_id)""",
+)
+def q_group_advantage(spark, sf):
+    g = scoring.group_advantage(scored_responses(spark, sf).select("event_id", "user_id", "score"), "user_id")
+    return g.withColumn("advantage", F.round("advantage", 6))
