@@ -441,3 +441,243 @@ def q_filter_groups(spark, sf):
 def q_group_advantage(spark, sf):
     g = scoring.group_advantage(scored_responses(spark, sf).select("event_id", "user_id", "score"), "user_id")
     return g.withColumn("advantage", F.round("advantage", 6))
+
+
+# ---- B21 / B2 -------------------------------------------------------------------------------------------------------
+@register(
+    "render_chat",
+    """SELECT conv_id, count(*) AS turns,
+              string_agg('<|' || role || '|>' || chr(10) || text || chr(10), '' ORDER BY turn) || '<|assistant|>' || chr(10)
+                AS rendered
+       FROM conversations GROUP BY conv_id""",
+)
+def q_render_chat(spark, sf):
+    from quarry.operators.chat import render_chat
+
+    return render_chat(table(spark, sf, "conversations"))
+
+
+# ---- B26 / B27 / B5 / B3 / B4 ------------------------------------------------------------------------------------------
+@register(
+    "drop_overlong",
+    f"""SELECT doc_id, CAST(len({sql_tokens('text')}) AS INTEGER) AS n_tokens FROM documents
+        WHERE len({sql_tokens('text')}) <= {OVERLONG}""",
+)
+def q_drop_overlong(spark, sf):
+    from quarry.functions.records import drop_overlong
+
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return drop_overlong(d, "text", OVERLONG).select("doc_id", T.token_count("text").alias("n_tokens"))
+
+
+@register(
+    "truncate_tokens",
+    f"SELECT doc_id, array_to_string(list_slice({sql_tokens('text')}, 1, {TRUNCATE}), ' ') AS truncated FROM documents",
+)
+def q_truncate_tokens(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", T.truncate_tokens("text", TRUNCATE).alias("truncated"))
+
+
+@register(
+    "prefix_key",
+    f"SELECT doc_id, array_to_string(list_slice({sql_tokens('text')}, 1, 4), ' ') AS key FROM documents",
+)
+def q_prefix_key(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.prefix_key("text", 4).alias("key"))
+
+
+@register(
+    "last_segment",
+    "SELECT o_orderkey, string_split(o_orderpriority, '-')[-1] AS seg FROM orders",
+)
+def q_last_segment(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", T.last_segment("o_orderpriority", "-").alias("seg"))
+
+
+@register(
+    "merge_metadata",
+    """SELECT event_id, coalesce(json_extract_string(props, '$.type'), event_type) AS type,
+              coalesce(json_extract_string(props, '$.k'), 'base') AS k,
+              coalesce(json_extract_string(props, '$.src'), 'events') AS src
+       FROM events""",
+)
+def q_merge_metadata(spark, sf):
+    ev = table(spark, sf, "events")
+    base = F.create_map(F.lit("type"), F.col("event_type"), F.lit("k"), F.lit("base"), F.lit("src"), F.lit("events"))
+    m = T.merge_metadata(base, "props")
+    return ev.select("event_id", m["type"].alias("type"), m["k"].alias("k"), m["src"].alias("src"))
+
+
+# ---- B17 / B18 / B23 ------------------------------------------------------------------------------------------------------
+@register(
+    "to_sft",
+    """SELECT 'Summarize the following ' || d.lang || ' text from ' || d.source || '.' AS instruction,
+              '' AS input, d.text AS output
+       FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality = 1""",
+)
+def q_to_sft(spark, sf):
+    from quarry.functions.records import to_sft
+
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels").filter("quality = 1"), "doc_id")
+    instr = F.concat(F.lit("Summarize the following "), "lang", F.lit(" text from "), "source", F.lit("."))
+    return to_sft(d, instr, "text")
+
+
+@register(
+    "to_rl",
+    """SELECT 'documents' AS data_source, 'user' AS role, d.text AS content, 'curation' AS ability,
+              d.source AS ground_truth, 'rule' AS style, d.doc_id, d.lang, l.quality, l.toxic
+       FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
+)
+def q_to_rl(spark, sf):
+    from quarry.functions.records import flatten_info, to_rl
+
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    rl = to_rl(d, "text", "source", {"doc_id": "doc_id", "lang": "lang", "quality": "quality", "toxic": "toxic"},
+               data_source="documents", ability="curation")
+    flat = flatten_info(rl)
+    return flat.select(
+        "data_source", F.col("prompt")[0]["role"].alias("role"), F.col("prompt")[0]["content"].alias("content"),
+        "ability", F.col("reward_model.ground_truth").alias("ground_truth"), F.col("reward_model.style").alias("style"),
+        "doc_id", "lang", "quality", "toxic",
+    )
+
+
+# ---- B6 - B12: positions assigned to events ----------------------------------------------------------------------------
+# Published depth-1 move counts of eight positions (six standard perft positions, an en-passant case and a mate).
+POSITIONS = [
+    ("rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1", 20),
+    ("r3k2r/p1ppqpb1/bn2pnp1/3PN3/1p2P3/2N2Q1p/PPPBBPPP/R3K2R w KQkq - 0 1", 48),
+    ("8/2p5/3p4/KP5r/1R3p1k/8/4P1P1/8 w - - 0 1", 14),
+    ("r3k2r/Pppp1ppp/1b3nbN/nP6/BBP1P3/q4N2/Pp1P2PP/R2Q1RK1 w kq - 0 1", 6),
+    ("rnbq1k1r/pp1Pbppp/2p5/8/2B5/8/PPP1NnPP/RNBQK2R w KQ - 1 8", 44),
+    ("r4rk1/1pp1qppp/p1np1n2/2b1p1B1/2B1P1b1/P1NP1N2/1PP1QPPP/R4RK1 w - - 0 10", 46),
+    ("4k3/8/8/3pP3/8/8/8/4K3 w - d6 0 2", 7),
+    ("7k/6Q1/6K1/8/8/8/8/8 b - - 0 1", 0),
+]
+# One move applied to a position, with the hand-derived result.
+MOVE_CASES = [
+    ("rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1", "e2e4 e7e5 g1f3",
+     "rnbqkbnr/pppppppp/8/8/4P3/8/PPPP1PPP/RNBQKBNR b KQkq - 0 1"),
+    ("r3k2r/8/8/8/8/8/8/R3K2R w KQkq - 0 1", "e1g1 e8c8", "r3k2r/8/8/8/8/8/8/R4RK1 b kq - 1 1"),
+    ("r3k2r/8/8/8/8/8/8/R3K2R w KQkq - 0 1", "a1a8 e8d7 a8h8 d7e6", "R3k2r/8/8/8/8/8/8/4K2R b Kk - 0 1"),
+    ("4k3/3p4/8/4P3/8/8/8/4K3 b - - 0 1", "d7d5 e5d6", "4k3/8/8/3pP3/8/8/8/4K3 w - d6 0 2"),
+    ("4k3/8/8/3pP3/8/8/8/4K3 w - d6 0 2", "e5d6", "4k3/8/3P4/8/8/8/8/4K3 b - - 0 2"),
+    ("4k3/P7/8/8/8/8/8/4K3 w - - 0 1", "a7a8q e8d7", "Q3k3/8/8/8/8/8/8/4K3 b - - 0 1"),
+]
+
+
+def _sql_values(rows, cols) -> str:
+    def lit(v):
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+
+    body = ", ".join("(" + ", ".join(lit(v) for v in (i, *r)) + ")" for i, r in enumerate(rows))
+    return f"(VALUES {body}) AS v(pos_idx, {', '.join(cols)})"
+
+
+def positions(spark: SparkSession, sf: str) -> DataFrame:
+    """events -> (event_id, fen, expected_moves): position ``event_id % 8`` of the list above."""
+    fens = F.array(*[F.lit(f) for f, _ in POSITIONS])
+    counts = F.array(*[F.lit(n) for _, n in POSITIONS])
+    i = F.pmod(F.col("event_id"), F.lit(len(POSITIONS))).cast("int")
+    return table(spark, sf, "events").select("event_id", F.get(fens, i).alias("fen"), F.get(counts, i).alias("expected"))
+
+
+def move_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """events -> (event_id, fen, moves): case ``event_id % 6`` of the list above."""
+    i = F.pmod(F.col("event_id"), F.lit(len(MOVE_CASES))).cast("int")
+    fens = F.array(*[F.lit(c[0]) for c in MOVE_CASES])
+    moves = F.array(*[F.lit(c[1]) for c in MOVE_CASES])
+    return table(spark, sf, "events").select("event_id", F.get(fens, i).alias("fen"), F.get(moves, i).alias("moves"))
+
+
+SQL_POS = f"""pos AS (SELECT e.event_id, v.fen, v.expected FROM events e
+                  JOIN {_sql_values(POSITIONS, ['fen', 'expected'])} ON e.event_id % {len(POSITIONS)} = v.pos_idx)"""
+SQL_MOVES = f"""mv AS (SELECT e.event_id, v.fen, v.moves, v.after FROM events e
+                  JOIN {_sql_values(MOVE_CASES, ['fen', 'moves', 'after'])} ON e.event_id % {len(MOVE_CASES)} = v.pos_idx)"""
+
+
+def _sql_expand(fen: str) -> str:
+    s = f"split_part({fen}, ' ', 1)"
+    for d in range(8, 0, -1):
+        s = f"replace({s}, '{d}', '{'.' * d}')"
+    return s
+
+
+SQL_CELLS = f"""cells AS (
+  SELECT event_id, i, substr(b, i + 1, 1) AS piece, chr(CAST(97 + i % 8 AS INTEGER)) || CAST(8 - i // 8 AS VARCHAR) AS square
+  FROM (SELECT event_id, replace({_sql_expand('fen')}, '/', '') AS b, unnest(range(0, 64)) AS i FROM pos)
+  WHERE substr(b, i + 1, 1) <> '.')"""
+
+
+@register("board_rows", f"WITH {SQL_POS}, {SQL_CELLS} SELECT event_id, square, piece FROM cells")
+def q_board_rows(spark, sf):
+    from quarry.operators.board import board_rows
+
+    return board_rows(positions(spark, sf), "event_id", "fen").select("event_id", "square", "piece")
+
+
+_KIND_ORDER = "CASE upper(piece) WHEN 'K' THEN 0 WHEN 'Q' THEN 1 WHEN 'R' THEN 2 WHEN 'B' THEN 3 WHEN 'N' THEN 4 ELSE 5 END"
+_KIND_NAME = ("CASE upper(piece) WHEN 'K' THEN 'King' WHEN 'Q' THEN 'Queen' WHEN 'R' THEN 'Rook' WHEN 'B' THEN 'Bishop' "
+              "WHEN 'N' THEN 'Knight' ELSE 'Pawn' END")
+
+
+@register(
+    "piece_inventory",
+    f"""WITH {SQL_POS}, {SQL_CELLS},
+        groups AS (
+          SELECT event_id, piece = upper(piece) AS white, {_KIND_ORDER} AS ko,
+                 (CASE WHEN piece = upper(piece) THEN 'White ' ELSE 'Black ' END) || {_KIND_NAME} || ': [' ||
+                 array_to_string(list_transform(list_sort(list(square)), lambda x: '''' || x || ''''), ', ') || ']' AS part
+          FROM cells GROUP BY event_id, piece)
+        SELECT event_id, string_agg(part, ', ' ORDER BY white DESC, ko) AS inventory FROM groups GROUP BY event_id""",
+)
+def q_piece_inventory(spark, sf):
+    from quarry.operators.board import piece_inventory
+
+    return piece_inventory(positions(spark, sf), "event_id", "fen")
+
+
+@register(
+    "board_text",
+    f"""WITH {SQL_POS}
+        SELECT event_id, array_to_string(list_transform(string_split({_sql_expand('fen')}, '/'),
+                                                        lambda x: array_to_string(string_split(x, ''), ' ')), chr(10)) AS board,
+               CASE WHEN split_part(fen, ' ', 2) = 'w' THEN 'White' ELSE 'Black' END AS side
+        FROM pos""",
+)
+def q_board_text(spark, sf):
+    from quarry.functions import chess as C
+
+    p = positions(spark, sf)
+    return p.select("event_id", C.board_text("fen").alias("board"), C.side_to_move("fen").alias("side"))
+
+
+@register(
+    "parse_moves",
+    f"""WITH {SQL_MOVES}
+        SELECT event_id, string_split(moves, ' ')[1] AS opponent, string_split(moves, ' ')[2] AS answer,
+               array_to_string(list_slice(string_split(moves, ' '), 2, 1000), ' ') AS continuation
+        FROM mv""",
+)
+def q_parse_moves(spark, sf):
+    from quarry.functions import chess as C
+
+    p = move_cases(spark, sf).select("event_id", C.parse_moves("moves").alias("m"))
+    return p.select("event_id", "m.opponent", "m.answer", F.array_join("m.continuation", " ").alias("continuation"))
+
+
+@register("apply_move", f"WITH {SQL_MOVES} SELECT event_id, after AS fen_after FROM mv")
+def q_apply_move(spark, sf):
+    from quarry.functions import chess as C
+
+    m = move_cases(spark, sf)
+    return m.select("event_id", C.apply_move("fen", C.parse_moves("moves")["opponent"]).alias("fen_after"))
+
+
+@register("legal_moves", f"WITH {SQL_POS} SELECT event_id, CAST(expected AS INTEGER) AS n_moves FROM pos")
+def q_legal_moves(spark, sf):
+    from quarry.operators.board import legal_moves
+
+    return legal_moves(positions(spark, sf), "fen").select("event_id", F.size("moves").cast("int").alias("n_moves"))
