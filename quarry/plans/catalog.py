@@ -681,3 +681,53 @@ def q_legal_moves(spark, sf):
     from quarry.operators.board import legal_moves
 
     return legal_moves(positions(spark, sf), "fen").select("event_id", F.size("moves").cast("int").alias("n_moves"))
+
+
+# ---- I1 / I2: scorer registry ---------------------------------------------------------------------------------------
+SQL_SOURCE = "CASE WHEN stage IN ('view', 'click', 'purchase') THEN 'chess_puzzles' WHEN stage = 'signup' THEN 'exact_text' ELSE 'unknown' END"
+
+
+@register(
+    "score_by_source",
+    f"""WITH {SQL_RESPONSES}
+        SELECT event_id, {SQL_SOURCE} AS data_source,
+               CASE WHEN {SQL_SOURCE} = 'chess_puzzles' THEN score
+                    WHEN {SQL_SOURCE} = 'exact_text' THEN coalesce(CAST(trim(text) = trim(truth) AS DOUBLE), 0)
+                    ELSE 0.0 END AS score
+        FROM scored2""",
+)
+def q_score_by_source(spark, sf):
+    from quarry.functions.registry import dispatch
+
+    r = responses(spark, sf).withColumn("data_source", F.expr(SQL_SOURCE))
+    return r.select("event_id", "data_source", dispatch("data_source", "text", "truth")["score"].alias("score"))
+
+
+@register("score_sql_function", f"WITH {SQL_RESPONSES} SELECT event_id, score FROM scored2")
+def q_score_sql_function(spark, sf):
+    from quarry.functions.registry import register_sql_functions
+
+    register_sql_functions(spark)
+    responses(spark, sf).createOrReplaceTempView("quarry_responses")
+    return spark.sql("SELECT event_id, score_chess_puzzles(text, truth).score AS score FROM quarry_responses")
+
+
+# ---- H1: streaming scored append ------------------------------------------------------------------------------------
+@register(
+    "scored_stream",
+    f"""WITH {SQL_RESPONSES}, {SQL_ATTEMPTS}
+        SELECT user_id, min(attempt) AS attempt, arg_min(event_id, attempt) AS event_id
+        FROM attempts WHERE score = 1.0 GROUP BY user_id""",
+)
+def q_scored_stream(spark, sf):
+    """Attempts (derived from events) land as files; one availableNow run of the stream accepts them."""
+    from quarry.session import scratch_path
+    from quarry.streaming.scored_append import run_available
+
+    land = scratch_path(spark, "landing")
+    a = attempts(spark, sf).select("user_id", "attempt", "event_id", "text", "truth")
+    a.write.parquet(land)
+    schema = a.schema
+    out = run_available(spark, land, schema, scratch_path(spark, "sink"), scratch_path(spark, "stream-ckpt"),
+                        "user_id", "attempt", "text", "truth", MAX_ATTEMPTS)
+    return out.select("user_id", "attempt", "event_id")
