@@ -1,0 +1,49 @@
+"""Positions: expansion, inventory, board text, move parsing, applying a move, legal moves."""
+
+from pyspark.sql import functions as F
+
+from quarry.functions import chess as C
+from quarry.operators import board
+from quarry.plans.catalog import MOVE_CASES, POSITIONS
+
+
+def test_published_move_counts(spark):
+    df = spark.createDataFrame(POSITIONS, "fen string, expected int")
+    for r in board.legal_moves(df, "fen").select("expected", F.size("moves").alias("n"), "moves").collect():
+        assert r.n == r.expected
+        assert r.moves == sorted(r.moves)
+
+
+def test_en_passant_and_mate_lists(spark):
+    df = spark.createDataFrame([(POSITIONS[6][0],), (POSITIONS[7][0],)], "fen string")
+    got = [r.moves for r in board.legal_moves(df, "fen").collect()]
+    assert "e5d6" in got[0] and got[1] == []
+
+
+def test_apply_move_cases(spark):
+    df = spark.createDataFrame(MOVE_CASES, "fen string, moves string, after string")
+    out = df.select("after", C.apply_move("fen", C.parse_moves("moves")["opponent"]).alias("got")).collect()
+    for r in out:
+        assert r.got == r.after
+
+
+def test_inventory_text_and_rows(spark):
+    fen = "4k3/P7/8/8/8/8/8/R3K2R w - - 0 1"
+    df = spark.createDataFrame([(1, fen)], "id int, fen string")
+    inv = board.piece_inventory(df, "id", "fen").first().inventory
+    assert inv == "White King: ['e1'], White Rook: ['a1', 'h1'], White Pawn: ['a7'], Black King: ['e8']"
+    assert df.select(C.piece_inventory("fen").alias("x")).first().x == inv
+    rows = board.board_rows(df, "id", "fen").collect()
+    assert len(rows) == 5 and {(r.square, r.piece, r.color) for r in rows} >= {("a7", "P", "White"), ("e8", "k", "Black")}
+    start = spark.createDataFrame([(POSITIONS[0][0],)], "fen string")
+    assert board.board_rows(start.withColumn("id", F.lit(0)), "id", "fen").count() == 32
+
+
+def test_board_text_side_and_moves(spark):
+    df = spark.createDataFrame([(POSITIONS[0][0], "e2e4 e7e5 g1f3")], "fen string, moves string")
+    r = df.select(C.board_text("fen").alias("b"), C.side_to_move("fen").alias("s"), C.parse_moves("moves").alias("m")).first()
+    lines = r.b.split("\n")
+    assert lines[0] == "r n b q k b n r" and lines[4] == ". . . . . . . ." and len(lines) == 8
+    assert r.s == "White" and r.m.opponent == "e2e4" and r.m.answer == "e7e5" and r.m.continuation == ["e7e5", "g1f3"]
+    one = spark.createDataFrame([("e2e4",)], "moves string").select(C.parse_moves("moves").alias("m")).first().m
+    assert one.answer is None and one.continuation == []

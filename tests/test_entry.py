@@ -1,0 +1,21 @@
+"""The driver contract: entry runs, every oracle belongs to a query, flagship matches its oracle."""
+
+import duckdb
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+
+def test_entry_and_contract(spark):
+    df = entry(spark)
+    rows = df.collect()
+    assert len(rows) > 0 and df.columns == ["p_partkey", "theme", "theme_rank"]
+    assert set(oracle_sql()) <= set(queries())
+
+
+def test_flagship_matches_oracle_at_smoke_scale(spark):
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM read_parquet('{sf}/part.parquet')")
+    want = sorted(con.execute(oracle_sql()["quota_select"]).fetchall())
+    got = sorted(tuple(r) for r in queries()["quota_select"](spark, sf).collect())
+    assert got == want

@@ -1,0 +1,78 @@
+"""Record shapes, prompts, chat rendering and the scorer registry."""
+
+from pyspark.sql import functions as F
+
+from quarry.functions import records as R
+from quarry.functions.registry import dispatch, register_sql_functions, scorers
+from quarry.operators.chat import ChatTemplate, render_chat, render_messages
+
+
+def test_rl_record_shape_and_flatten(spark):
+    df = spark.createDataFrame([("p1", "fen1", 1500, "prompt text", "e2e4", ["a", "b"])],
+                               "PuzzleId string, fen string, Rating int, p string, gt string, themes array<string>")
+    rl = R.to_rl(df, "p", "gt", {"fen": "fen", "puzzle_id": "PuzzleId", "rating": "Rating", "themes": "themes"})
+    r = rl.first()
+    assert r.data_source == "chess_puzzles" and r.ability == "chess"
+    assert r.prompt[0].role == "user" and r.prompt[0].content == "prompt text"
+    assert r.reward_model.ground_truth == "e2e4" and r.reward_model.style == "rule"
+    assert r.extra_info.themes == ["a", "b"] and r.extra_info.rating == 1500
+    flat = R.flatten_info(rl.withColumn("fen", F.lit("outer")))
+    assert flat.first().fen == "fen1"  # the info field wins over a same-named column
+
+
+def test_test_record_metadata_wins(spark):
+    df = spark.createDataFrame([("short_mate", "fenX", "e2e4", '{"type": "override", "depth": 3}')],
+                               "task string, fen string, answer string, metadata string")
+    from quarry.functions.text import last_segment
+
+    t = R.to_test_record(df, F.lit("p"), "answer", "fen", last_segment("task"), "metadata").first()
+    assert t.extra_info == {"fen": "fenX", "type": "override", "depth": "3"}
+
+
+def test_sft_record(spark):
+    df = spark.createDataFrame([("instr", "cot")], "i string, o string")
+    r = R.to_sft(df, "i", "o").first()
+    assert (r.instruction, r.input, r.output) == ("instr", "", "cot")
+
+
+def test_student_prompt_text(spark):
+    df = spark.createDataFrame([("FEN1", "White King: ['e1']", ["e1e2", "e1d1"])], "fen string, inv string, mv array<string>")
+    text = df.select(R.student_prompt("fen", "inv", "mv").alias("t")).first().t
+    lines = text.split("\n")
+    assert lines[0] == "You are given a chess position in FEN: FEN1."
+    assert lines[1] == "Piece positions: White King: ['e1']" and lines[2] == "Legal moves: e1e2, e1d1"
+    assert lines[-1] == "Use UCI notation (e.g., e2e4, c2b1q) for the final answer." and len(lines) == 8
+
+
+def test_teacher_prompt_continuation_rule(spark):
+    df = spark.createDataFrame(
+        [("F", "B", "P", "White", "e7e5", "g1f3", 1500, "fork short", ["a"], "e7e5 g1f3 b8c6"),
+         ("F", "B", "P", "White", "e7e5", "g1f3", 1500, "mateIn1 short", ["a"], "e7e5 g1f3")],
+        "fen string, b string, p string, s string, o string, m string, r int, t string, l array<string>, mv string",
+    )
+    out = df.select(R.teacher_prompt("fen", "b", "p", "s", "o", "m", "r", "t", "l", "mv").alias("x")).collect()
+    assert "\nPV: g1f3 b8c6\n" in out[0].x and "PV:" not in out[1].x
+    assert "Themes: fork, short" in out[0].x and out[0].x.endswith("End with exactly: FINAL_ANSWER: g1f3")
+
+
+def test_render_chat(spark):
+    df = spark.createDataFrame([(1, 1, "assistant", "hi"), (1, 0, "user", "hello"), (2, 0, "system", "s")],
+                               "conv_id int, turn int, role string, text string")
+    got = {r.conv_id: r.rendered for r in render_chat(df).collect()}
+    assert got[1] == "<|user|>\nhello\n<|assistant|>\nhi\n<|assistant|>\n"
+    t = ChatTemplate(begin="[{role}] ", end="|", generation="")
+    m = spark.createDataFrame([("q",)], "c string").select(R.as_messages("c").alias("m"))
+    assert m.select(render_messages("m", t).alias("x")).first().x == "[user] q|"
+
+
+def test_registry_dispatch_and_sql(spark):
+    assert {"chess_puzzles", "exact_text"} <= set(scorers())
+    df = spark.createDataFrame(
+        [("chess_puzzles", "FINAL_ANSWER: e2e4", "e2e4"), ("exact_text", " yes ", "yes"), ("other", "x", "x")],
+        "ds string, r string, t string",
+    )
+    assert [x.s for x in df.select(dispatch("ds", "r", "t")["score"].alias("s")).collect()] == [1.0, 1.0, 0.0]
+    register_sql_functions(spark)
+    df.createOrReplaceTempView("reg_t")
+    got = spark.sql("SELECT score_chess_puzzles(r, t).score AS s FROM reg_t").collect()
+    assert [x.s for x in got] == [1.0, 0.0, 0.0]

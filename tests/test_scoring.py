@@ -1,0 +1,73 @@
+"""Attempts, evaluation summaries and group statistics."""
+
+import math
+
+from pyspark.sql import functions as F
+
+from quarry.operators import scoring
+
+# FIXTURES section 6: attempt scores per id
+ATTEMPTS = {"q1": [0, 0, 1, 1], "q2": [0, 0, 0], "q3": [1, 1], "q4": [0] * 11 + [1]}
+
+
+def _attempts(spark):
+    rows = [(i, a + 1, float(s), 0.5) for i, ss in ATTEMPTS.items() for a, s in enumerate(ss)]
+    return spark.createDataFrame(rows, "id string, attempt int, score double, cost double")
+
+
+def test_first_accepted(spark):
+    got = {r.id: r.attempt for r in scoring.first_accepted(_attempts(spark), "id").collect()}
+    assert got == {"q1": 3, "q3": 1}
+
+
+def test_attempt_ledger_counts_rejected_costs(spark):
+    r = scoring.attempt_ledger(_attempts(spark), "id").first()
+    assert (r.ids, r.accepted, r.rejected) == (4, 2, 2)
+    # attempts made: q1 3, q2 3, q3 1, q4 11 (limit) -> 18 attempts at 0.5
+    assert r.attempts_made == 18 and r.total_cost == 9.0 and r.accepted_cost == 1.0
+
+
+def test_ledger(spark):
+    df = spark.createDataFrame([(1, 0.5, 10), (1, 0.25, 5), (0, 1.0, 1)], "correct int, cost double, total_tokens long")
+    r = scoring.ledger(df).first()
+    assert (r.rows, r.correct, r.wrong, r.total_cost, r.total_tokens) == (3, 2, 1, 1.75, 16)
+    empty = scoring.ledger(df.filter("false")).first()
+    assert empty.rows == 0 and empty.correct_share is None
+
+
+def test_filter_groups(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 0.0), ("b", 1.0), ("b", 1.0), ("c", 0.0)], "p string, score double")
+    assert sorted(r.p for r in scoring.filter_groups(df, "p").collect()) == ["a", "a"]
+
+
+def test_group_advantage(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 0.0), ("c", 0.0)], "p string, score double")
+    got = {(r.p, r.score): r.advantage for r in scoring.group_advantage(df, "p").collect()}
+    std = math.sqrt(0.5)
+    assert abs(got[("a", 1.0)] - 0.5 / (std + 1e-6)) < 1e-9
+    assert got[("c", 0.0)] == 0.0
+
+
+def test_pass_at_1_and_summary(spark):
+    df = spark.createDataFrame(
+        [("p1", 0, "a b c", 1.0), ("p1", 1, "x", 0.0), ("p2", 0, "one two three four five six", 0.0)],
+        "prompt string, sample int, text string, score double",
+    )
+    p = scoring.pass_at_1(df, "prompt", max_tokens=5)
+    rows = {r.prompt: r for r in p.collect()}
+    assert rows["p1"].pass_at_1 == 0.5 and rows["p1"].first_text == "a b c" and rows["p1"].num_tokens == 3
+    assert rows["p2"].clipped and not rows["p1"].clipped
+    s = scoring.eval_summary(p).first()
+    assert (s.prompts, s.accuracy, s.score_sum, s.mean_length, s.clipped, s.clipped_share) == (2, 0.25, 0.5, 4.5, 1, 0.5)
+    empty = scoring.eval_summary(p.filter("false")).first()
+    assert empty.prompts == 0 and empty.accuracy is None and empty.clipped_share is None
+
+
+def test_best_checkpoint_and_curve(spark):
+    ev = spark.createDataFrame(
+        [("rl", 10, 0.40), ("rl", 20, 0.48), ("rl", 30, 0.48), ("sft", 5, 0.42)], "stage string, step int, accuracy double"
+    )
+    best = {r.stage: (r.best_step, r.best_accuracy) for r in scoring.best_checkpoint(ev).collect()}
+    assert best == {"rl": (20, 0.48), "sft": (5, 0.42)}
+    curve = scoring.eval_curve(ev).filter(F.col("stage") == "rl").orderBy("step").collect()
+    assert [r.running_best for r in curve] == [0.40, 0.48, 0.48]
