@@ -206,22 +206,43 @@ def _after(m: str) -> str:
     )
 
 
+def _pinned() -> str:
+    """Squares of own pieces pinned to the own king: on each of the eight king rays, the first piece is
+    own and the second is an enemy slider moving along that ray (rook/queen straight, bishop/queen
+    diagonal). Computed once per position."""
+    lines = _arr3([(x, y, 0) for x, y in ORTHOGONAL] + [(x, y, 1) for x, y in DIAGONAL])
+    f, r = _fr("_k")
+    xf, xr = f"{f} + k * d.x", f"{r} + k * d.y"
+    ray = f"transform(filter(sequence(1, 7), k -> {_onb(xf, xr)}), k -> {_idx(xf, xr)})"
+    occ = f"filter(ray, j -> {_ch('_b', 'j')} <> '.')"
+    sliders = (f"(CASE WHEN d.t = 0 THEN array({_enemy_piece('R')}, {_enemy_piece('Q')}) "
+               f"ELSE array({_enemy_piece('B')}, {_enemy_piece('Q')}) END)")
+    pin = (f"CASE WHEN size(occ) >= 2 AND {_own(_ch('_b', 'occ[0]'))} "
+           f"AND array_contains({sliders}, {_ch('_b', 'occ[1]')}) THEN occ[0] ELSE -1 END")
+    per_line = f"transform({lines}, d -> {_let(ray, 'ray', _let(occ, 'occ', pin))})"
+    return f"filter({per_line}, q -> q >= 0)"
+
+
+def _arr3(triples) -> str:
+    return "array(" + ", ".join(f"named_struct('x', {x}, 'y', {y}, 't', {t})" for x, y, t in triples) + ")"
+
+
 def _legal_sql() -> str:
     own_squares = f"filter(sequence(0, 63), s -> {_own(_ch('_b', 's'))})"
     cands = f"concat(flatten(transform({own_squares}, s -> {_generate('s')})), {_castles()})"
     ksq = f"(CASE WHEN upper({_ch('_b', 'm.fr')}) = 'K' THEN m.to ELSE _k END)"
     safe = f"NOT {_let(_after('m'), 'bb', _attacked('bb', ksq))}"
-    # Only a king move, a move out of check, an en-passant capture or a move of a piece on a line with its
-    # own king can expose the king; every other pseudo-legal move is legal without the attack test.
-    df_, dr_ = "abs(m.fr % 8 - _k % 8)", "abs(floor(m.fr / 8) - floor(_k / 8))"
-    aligned = f"({df_} = 0 OR {dr_} = 0 OR {df_} = {dr_})"
-    risky = f"(upper({_ch('_b', 'm.fr')}) = 'K' OR chk OR m.to = _ep OR {aligned})"
+    # Only a king move, a move out of check, a move onto the en-passant square (the capture can uncover a
+    # rank) or a move of a pinned piece can expose the king; every other pseudo-legal move is legal
+    # without the attack test.
+    risky = f"(upper({_ch('_b', 'm.fr')}) = 'K' OR chk OR m.to = _ep OR array_contains(pins, m.fr))"
     legal = f"filter({cands}, m -> NOT {risky} OR {safe})"
     name = "concat(substring('abcdefgh', {i} % 8 + 1, 1), CAST(8 - floor({i} / 8) AS STRING))"
     uci = f"concat({name.format(i='u.fr')}, {name.format(i='u.to')}, u.pr)"
     # ``chk`` (side to move in check) is bound once per position by a let, not as a column: a column used
     # once inside a lambda would be inlined by the optimizer and re-evaluated per candidate.
-    return _let(_attacked("_b", "_k"), "chk", f"array_sort(transform({legal}, u -> {uci}))")
+    body = f"array_sort(transform({legal}, u -> {uci}))"
+    return _let(_attacked("_b", "_k"), "chk", _let(_pinned(), "pins", body))
 
 
 LEGAL_MOVES_SQL = _legal_sql()
@@ -241,3 +262,4 @@ def legal_moves(df: DataFrame, fen: str, out: str = "moves") -> DataFrame:
     king = F.when(F.col("_w"), F.lit("K")).otherwise(F.lit("k"))
     bound = bound.withColumn("_k", (F.instr(F.col("_b"), king) - 1).cast("int"))
     return bound.withColumn(out, F.expr(LEGAL_MOVES_SQL)).drop("_b", "_w", "_ep", "_cr", "_k")
+
