@@ -32,3 +32,135 @@ def classify(
         .otherwise(F.lit("kept"))
     )
     return flagged.withColumn(out, status).drop("_labelled", "_overlap")
+
+
+# ---- 3.1 selection -------------------------------------------------------------------------------------------------
+def select_flow(puzzles: DataFrame, id_col: str = "PuzzleId", tags_col: str = "Themes", seed: int = 42,
+                n_sft: int = 800, k_sft: int = 50, n_rl: int = 800, k_rl: int = 50) -> dict[str, DataFrame]:
+    """Shuffle and halve the puzzles, then pick a rare-tag-balanced subset of each half and shuffle it.
+
+    Returns ``sft`` and ``rl`` (selected rows with ``theme``, ``theme_rank``, ``shuffle_rank``) and their
+    D2 profiles. The source order inside a half is its E1 rank, as in the reference.
+    """
+    from quarry.operators import order, quota, tags
+
+    ranked = order.split_halves(puzzles, id_col, seed)
+    ranked = ranked.withColumnRenamed("_rank", "src_pos")
+    out = {}
+    for name, half, n, k in (("sft", "A", n_sft, k_sft), ("rl", "B", n_rl, k_rl)):
+        part = ranked.filter(F.col("half") == half).drop("half")
+        sel = quota.quota_select(part, id_col, tags_col, "src_pos", n, k)
+        out[name] = order.shuffle_rank(sel, id_col, seed)
+        out[name + "_profile"] = tags.profile(out[name], tags_col, "Rating") if "Rating" in puzzles.columns else None
+    return out
+
+
+# ---- 3.2 distillation --------------------------------------------------------------------------------------------
+def teacher_rows(selected: DataFrame, done: DataFrame | None = None, id_col: str = "PuzzleId",
+                 max_rows: int | None = None) -> DataFrame:
+    """Pending puzzles with the position after the opponent's move, the answer and the teacher prompt."""
+    from quarry.functions import chess as C
+    from quarry.functions.records import teacher_prompt
+    from quarry.operators import board, joins
+
+    rows = joins.pending(selected, done, id_col, ["src_pos"] if "src_pos" in selected.columns else [id_col],
+                         max_rows) if done is not None else selected
+    mv = C.parse_moves("Moves")
+    rows = rows.withColumn("fen_after", C.apply_move("FEN", mv["opponent"])).withColumn("best_move", mv["answer"])
+    rows = board.legal_moves(rows, "fen_after", out="legal_moves")
+    prompt = teacher_prompt("fen_after", C.board_text("fen_after"), C.piece_inventory("fen_after"),
+                            C.side_to_move("fen_after"), mv["opponent"], "best_move", "Rating", "Themes",
+                            "legal_moves", "Moves")
+    return rows.withColumn("teacher_prompt", prompt)
+
+
+def accept_flow(rows: DataFrame, attempts: DataFrame, id_col: str = "PuzzleId", max_attempts: int = 11):
+    """Score landed teacher attempts, keep each puzzle's first correct one, join it to its row.
+
+    ``attempts``: ``id, attempt, content, reasoning, total_tokens, prompt_tokens, completion_tokens, cost``.
+    Returns ``(distilled, ledger)``.
+    """
+    from quarry.functions.text import answer_score
+    from quarry.operators import scoring
+
+    truth = rows.select(id_col, "best_move")
+    scored = attempts.join(truth, id_col).withColumn("score", answer_score("content", "best_move")["score"])
+    first = scoring.first_accepted(scored.drop("best_move"), id_col, "attempt", "score", max_attempts)
+    distilled = rows.join(first.withColumnRenamed("content", "cot"), id_col).withColumn("correct", F.lit(1))
+    return distilled, scoring.attempt_ledger(scored, id_col, "attempt", "score", "cost", max_attempts)
+
+
+# ---- 3.3 formatting ----------------------------------------------------------------------------------------------
+def format_flow(distilled: DataFrame, test_keys: DataFrame, require_correct: bool = False):
+    """Status per row (invalid / excluded / kept), then SFT and RL records from the kept rows.
+
+    ``test_keys``: one column ``key`` of position keys (first four fields) of the test set.
+    Returns ``(sft, rl, status_counts)``.
+    """
+    from quarry.functions import chess as C
+    from quarry.functions.records import student_prompt, to_rl, to_sft
+    from quarry.functions.text import prefix_key, tags
+    from quarry.operators import board, joins, scoring
+
+    keyed = distilled.withColumn("key", prefix_key("fen_after"))
+    flagged = joins.flag_overlap(keyed, test_keys, "key", out="_overlap")
+    status = (
+        F.when(F.col("fen_after").isNull() | is_blank("cot"), F.lit("invalid"))
+        .when(F.col("_overlap"), F.lit("excluded"))
+        .otherwise(F.lit("kept"))
+    )
+    classified = flagged.withColumn("status", status).drop("_overlap")
+    kept = classified.filter(F.col("status") == "kept")
+    if require_correct:
+        kept = kept.filter(F.col("correct") == 1)
+    kept = board.legal_moves(kept, "fen_after", out="legal_moves")
+    prompt = student_prompt("fen_after", C.piece_inventory("fen_after"), "legal_moves")
+    sft = to_sft(kept, prompt, "cot")
+    rl = to_rl(kept, prompt, "best_move", {"fen": "fen_after", "puzzle_id": "PuzzleId", "rating": "Rating",
+                                            "themes": tags("Themes")})
+    return sft, rl, scoring.status_counts(classified)
+
+
+def build_test_set(bench: DataFrame) -> DataFrame:
+    """Benchmark rows ``task, fen, answer, metadata`` -> test records (type = last ``_`` segment of task;
+    metadata keys merged over fen/type, metadata wins)."""
+    from quarry.functions import chess as C
+    from quarry.functions.records import student_prompt, to_test_record
+    from quarry.functions.text import last_segment
+    from quarry.operators import board
+
+    withmoves = board.legal_moves(bench, "fen", out="legal_moves")
+    prompt = student_prompt("fen", C.piece_inventory("fen"), "legal_moves")
+    return to_test_record(withmoves, prompt, "answer", "fen", last_segment("task"), "metadata")
+
+
+def test_keys_of(test_records: DataFrame) -> DataFrame:
+    """Position keys of test records (``extra_info['fen']``, first four fields), distinct."""
+    from quarry.functions.text import prefix_key
+
+    return test_records.select(prefix_key(F.col("extra_info")["fen"]).alias("key")).distinct()
+
+
+# ---- 3.4 evaluation ------------------------------------------------------------------------------------------------
+def evaluate_flow(responses: DataFrame, test_records: DataFrame, max_tokens: int = 1024,
+                  by: list[str] | None = None):
+    """Score sampled responses against their test records, average per prompt, and summarise.
+
+    ``responses``: ``prompt_id, sample, text`` (+ ``stage, step`` for checkpoints); ``test_records`` carry
+    ``prompt_id``. Returns ``(rows, summary)``; rows are the evaluation records ``input, output, gts, score,
+    num_tokens`` + the info keys.
+    """
+    from quarry.functions.text import answer_score
+    from quarry.operators import scoring
+
+    gts = test_records.select("prompt_id", F.col("reward_model.ground_truth").alias("gts"),
+                              F.col("prompt")[0]["content"].alias("input"), "extra_info")
+    keys = (by or []) + ["prompt_id"]
+    scored = responses.join(gts, "prompt_id").withColumn("score", answer_score("text", "gts")["score"])
+    per = scoring.pass_at_1(scored, keys, "sample", "score", "text", max_tokens)
+    rows = per.join(gts, "prompt_id").select(
+        *(by or []), "prompt_id", "input", F.col("first_text").alias("output"), "gts",
+        F.col("pass_at_1").alias("score"), "num_tokens", "clipped", "extra_info",
+    )
+    summary = scoring.eval_summary(rows, by, "score", "num_tokens", "clipped")
+    return rows, summary
