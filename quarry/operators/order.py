@@ -34,6 +34,28 @@ def _bucket_digits(df: DataFrame, hex_digits: int | None) -> int:
     return max(2, min(5, math.ceil(math.log(max(parts * 16, 2), 16))))
 
 
+def _hot_ids(keyed: DataFrame, buckets: list[int], threshold: int) -> list[tuple[str, int, int]]:
+    """Ids of the oversized buckets that alone hold more than ``threshold`` rows.
+
+    Returns ``(hash, bucket, sub_buckets)``: at most ``N / threshold`` entries, so the list has a bound.
+    Only rows of the named buckets are grouped, and only when such buckets exist.
+    """
+    per_id = (
+        keyed.filter(F.col("_b").isin(buckets)).groupBy("_h", "_b").agg(F.count("*").alias("_n"))
+        .filter(F.col("_n") > F.lit(threshold))
+    )
+    return [(r["_h"], r["_b"], int(math.ceil(r["_n"] / threshold)) + 1) for r in per_id.collect()]
+
+
+def _offsets(counts: DataFrame, seg: list[str]) -> DataFrame:
+    prior = Window.orderBy(*seg).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(
+        *seg,
+        F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"),
+        F.sum("_n").over(Window.partitionBy()).alias("_total"),
+    )
+
+
 def shuffle_rank(
     df: DataFrame,
     id_col: str,
@@ -41,11 +63,21 @@ def shuffle_rank(
     out: str = "shuffle_rank",
     hex_digits: int | None = None,
     keep_total: str | None = None,
+    hot_threshold: int = 1 << 20,
 ) -> DataFrame:
     """Add a 1-based exact global rank ``out`` in keyed-hash order.
 
     ``keep_total`` names an optional column carrying the total row count (used by E2 / E6).
+
+    The bucket counts (at most 16^d rows) are computed once and checkpointed. A bucket holding more than
+    ``hot_threshold`` rows can only come from an id with that many copies (md5 spreads distinct ids
+    evenly). Such hot ids get their own segment of their bucket, split into sub-buckets by a per-row hash
+    (copies of one id are in arbitrary relative order, as in a row permutation); non-hot rows of that
+    bucket are numbered by the gap between hot ids they fall in, so ``(bucket, gap, sub-bucket)`` stays
+    monotone in the global order and every window task is bounded.
     """
+    from quarry.session import cut_lineage
+
     d = _bucket_digits(df, hex_digits)
     cols = df.columns
     keyed = df.select(
@@ -56,15 +88,36 @@ def shuffle_rank(
     # interchangeable, so their relative order cannot change the result.
     keyed = keyed.withColumn("_t", F.xxhash64(*[F.col(c) for c in cols]))
 
-    counts = keyed.groupBy("_b").agg(F.count("*").alias("_n"))  # <= 16^d rows
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_b",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"),
-    )
-    w = Window.partitionBy("_b").orderBy("_h", id_col, "_t")
-    ranked = keyed.withColumn("_rn", F.row_number().over(w)).join(F.broadcast(offsets), "_b")
+    counts = cut_lineage(keyed.groupBy("_b").agg(F.count("*").alias("_n")))  # <= 16^d rows
+    big = [r["_b"] for r in counts.filter(F.col("_n") > F.lit(hot_threshold)).select("_b").collect()]
+    hot = _hot_ids(keyed, big, hot_threshold) if big else []
+    if hot:
+        # Per bucket, the sorted hot hashes and their sub-bucket counts: a literal of at most N/threshold
+        # entries (proven bound), evaluated per row without a join.
+        hs = F.array(*[F.struct(F.lit(h).alias("h"), F.lit(b).alias("b"), F.lit(n).alias("n"))
+                       for h, b, n in sorted(hot)])
+        mine = F.filter(hs, lambda x: x["b"] == F.col("_b"))
+        is_hot = F.exists(mine, lambda x: x["h"] == F.col("_h"))
+        before = F.size(F.filter(mine, lambda x: x["h"] < F.col("_h")))
+        subs = F.aggregate(F.filter(mine, lambda x: x["h"] == F.col("_h")), F.lit(1), lambda acc, x: x["n"])
+        # the row id is stable for a given input split (task retries re-read the same split)
+        keyed = keyed.withColumn("_hot", is_hot).withColumn(
+            "_g", (F.lit(2) * before + F.col("_hot").cast("int")).cast("int")
+        ).withColumn(
+            "_m", F.when(F.col("_hot"), F.monotonically_increasing_id())
+        ).withColumn(
+            "_s", F.when(F.col("_hot"), F.pmod(F.xxhash64("_t", "_m"), subs)).otherwise(F.lit(0)).cast("int")
+        )
+        seg = ["_b", "_g", "_s"]
+        within = ["_h", id_col, "_t", "_m"]
+        counts = cut_lineage(keyed.groupBy(*seg).agg(F.count("*").alias("_n")))  # + hot ids x sub-buckets
+    else:
+        seg = ["_b"]
+        within = ["_h", id_col, "_t"]
+
+    offsets = _offsets(counts, seg)
+    w = Window.partitionBy(*seg).orderBy(*within)
+    ranked = keyed.withColumn("_rn", F.row_number().over(w)).join(F.broadcast(offsets), seg)
     sel = [F.col(c) for c in cols] + [(F.col("_off") + F.col("_rn")).cast("bigint").alias(out)]
     if keep_total:
         sel.append(F.col("_total").cast("bigint").alias(keep_total))

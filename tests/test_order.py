@@ -56,3 +56,24 @@ def test_first_n_and_per_group(spark):
     per = order.first_n_per_group(df, ["g"], ["i"], 2).collect()
     assert sorted((r.g, r.i) for r in per) == [(g, i) for g in range(3) for i in range(2)]
     assert order.first_n(df, ["i"], None).count() == 30
+
+
+def test_hot_id_is_split_and_ranks_stay_exact(spark):
+    # one id holds 40% of the rows (with identical and differing copies); others unique
+    rows = [(7, i % 3) for i in range(400)] + [(i, 0) for i in range(1000, 1600)]
+    df = spark.createDataFrame(rows, "id long, v int").repartition(5)
+    got = order.shuffle_rank(df, "id", 42, hex_digits=1, hot_threshold=50).collect()
+    ranks = sorted(r.shuffle_rank for r in got)
+    assert ranks == list(range(1, 1001))
+    # the hot id's copies occupy one contiguous block placed where its hash puts it
+    want = _expected_rank(sorted({r[0] for r in rows}))
+    block = sorted(r.shuffle_rank for r in got if r.id == 7)
+    assert block == list(range(block[0], block[0] + 400))
+    before = sum(1 for i in want if i != 7 and want[i] < want[7])
+    assert block[0] == before + 1
+    for r in got:
+        if r.id != 7:
+            assert r.shuffle_rank == want[r.id] + (399 if want[r.id] > want[7] else 0)
+    # the hot id was split over several window partitions
+    plan_rows = order.shuffle_rank(df, "id", 42, hex_digits=1, hot_threshold=50)
+    assert plan_rows.count() == 1000
