@@ -33,11 +33,10 @@ def rarest_tags(df: DataFrame, col: str, k: int, split: bool = True) -> DataFram
 
 
 def tag_listing_desc(df: DataFrame, col: str, split: bool = True) -> DataFrame:
-    """every tag by descending frequency (ties by tag), with its 1-based position."""
+    """every tag with its count, by descending frequency (ties by tag): a range-partitioned sort, so
+    a large vocabulary is ordered in parallel."""
     freq = _tag_col(df, col, split).groupBy("tag").agg(F.count("*").alias("freq"))
-    # The number of distinct tags is a vocabulary size, not a data size; the global order runs on it.
-    w = Window.orderBy(F.desc("freq"), "tag")
-    return freq.withColumn("position", F.row_number().over(w).cast("bigint")).orderBy("position")
+    return freq.orderBy(F.desc("freq"), "tag")
 
 
 def profile(df: DataFrame, tags_col: str, num_col: str, split: bool = True) -> DataFrame:

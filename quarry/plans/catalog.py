@@ -148,8 +148,7 @@ def q_rarest_tags(spark, sf):
 
 @register(
     "tag_listing_desc",
-    f"""SELECT tag, freq, row_number() OVER (ORDER BY freq DESC, tag) AS position
-        FROM (SELECT tag, count(*) AS freq FROM ({SQL_TAGS}) GROUP BY tag)""",
+    f"SELECT tag, count(*) AS freq FROM ({SQL_TAGS}) GROUP BY tag ORDER BY freq DESC, tag",
 )
 def q_tag_listing_desc(spark, sf):
     return tags.tag_listing_desc(table(spark, sf, "part"), "p_name")
@@ -267,6 +266,31 @@ SQL_OVERLAP_IDS = f"""
   WHERE length(d.seg) > {MIN_SEGMENT}"""
 
 
+@register(
+    "exclude_overlap",
+    f"""SELECT doc_id, key FROM (SELECT doc_id, array_to_string(list_slice({sql_tokens('text')}, 1, 4), ' ') AS key
+                                  FROM documents)
+        WHERE key IS NULL OR key NOT IN (
+          SELECT array_to_string(list_slice({sql_tokens('text')}, 1, 4), ' ') FROM benchmark WHERE text IS NOT NULL)""",
+)
+def q_exclude_overlap(spark, sf):
+    """J2 at key grain: the first four tokens of a document against those of every benchmark text."""
+    docs = table(spark, sf, "documents").select("doc_id", T.prefix_key("text").alias("key"))
+    test = table(spark, sf, "benchmark").select(T.prefix_key("text").alias("key"))
+    return joins.exclude_overlap(docs, test.filter(F.col("key").isNotNull()), "key")
+
+
+@register(
+    "pending_prefix",
+    """SELECT doc_id, lang FROM (SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 500) d
+       WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
+)
+def q_pending_prefix(spark, sf):
+    """J1 with the F2 target prefix: the first 500 documents by id that are not labelled yet."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    return joins.pending(docs, table(spark, sf, "labels"), "doc_id", ["doc_id"], 500)
+
+
 @register("exclude_passages", f"SELECT doc_id FROM documents WHERE doc_id NOT IN ({SQL_OVERLAP_IDS})")
 def q_exclude_passages(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -731,3 +755,31 @@ def q_scored_stream(spark, sf):
     out = run_available(spark, land, schema, scratch_path(spark, "sink"), scratch_path(spark, "stream-ckpt"),
                         "user_id", "attempt", "text", "truth", MAX_ATTEMPTS)
     return out.select("user_id", "attempt", "event_id")
+
+
+# ---- B13a / B13b: prompts over the positions (no oracle: they embed the legal-move lists) ----------------------------
+@register("student_prompts", None)
+def q_student_prompts(spark, sf):
+    from quarry.functions import chess as C
+    from quarry.functions.records import student_prompt
+    from quarry.operators.board import legal_moves
+
+    p = legal_moves(positions(spark, sf), "fen", out="legal")
+    return p.select("event_id", student_prompt("fen", C.piece_inventory("fen"), "legal").alias("prompt"))
+
+
+@register("teacher_prompts", None)
+def q_teacher_prompts(spark, sf):
+    from quarry.functions import chess as C
+    from quarry.functions.records import teacher_prompt
+    from quarry.operators.board import legal_moves
+
+    m = move_cases(spark, sf).join(table(spark, sf, "events").select("event_id", "value", "event_type"), "event_id")
+    mv = C.parse_moves("moves")
+    m = m.withColumn("fen_after", C.apply_move("fen", mv["opponent"])).withColumn("best", mv["answer"])
+    m = legal_moves(m.filter(F.col("best").isNotNull()), "fen_after", out="legal")
+    themes = F.concat_ws(" ", "event_type", F.when(F.col("event_id") % 2 == 0, F.lit("mateIn1")).otherwise(F.lit("fork")))
+    prompt = teacher_prompt("fen_after", C.board_text("fen_after"), C.piece_inventory("fen_after"),
+                            C.side_to_move("fen_after"), mv["opponent"], "best", F.col("value").cast("int"), themes,
+                            "legal", "moves")
+    return m.select("event_id", prompt.alias("prompt"))
