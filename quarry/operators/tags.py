@@ -40,19 +40,18 @@ def tag_listing_desc(df: DataFrame, col: str, split: bool = True) -> DataFrame:
 
 
 def profile(df: DataFrame, tags_col: str, num_col: str, split: bool = True) -> DataFrame:
-    """One row ``rows, distinct_tags, min_value, max_value, mean_value``.
+    """One row ``rows, distinct_tags, min_value, max_value, mean_value`` from a single aggregate.
 
-    Two aggregates over one scan: row/number statistics, and the distinct tag count (which Spark plans as
-    a partial distinct followed by a count, never as one task holding all tags).
+    Rows are exploded to one row per tag (``posexplode_outer`` keeps tag-less rows once); row statistics
+    read only each row's first position, and the distinct tag count is a partial distinct aggregate.
     """
     arr = tag_array(tags_col) if split else F.col(tags_col)
-    base = df.select(arr.alias("_t"), F.col(num_col).alias("_v"))
-    nums = base.agg(
-        F.count("*").alias("rows"),
-        F.min("_v").alias("min_value"),
-        F.max("_v").alias("max_value"),
-        F.round(F.avg("_v"), 6).alias("mean_value"),
+    x = df.select(F.posexplode_outer(arr).alias("_p", "tag"), F.col(num_col).alias("_v"))
+    first = F.coalesce(F.col("_p"), F.lit(0)) == F.lit(0)
+    return x.agg(
+        F.count_if(first).alias("rows"),
+        F.min(F.when(first, F.col("_v"))).alias("min_value"),
+        F.max(F.when(first, F.col("_v"))).alias("max_value"),
+        F.round(F.avg(F.when(first, F.col("_v"))), 6).alias("mean_value"),
+        F.count_distinct("tag").alias("distinct_tags"),
     )
-    distinct = base.select(F.explode("_t").alias("tag")).agg(F.count_distinct("tag").alias("distinct_tags"))
-    # Both sides are single-row aggregates; an equi-join on a constant key keeps this a 1x1 join.
-    return nums.withColumn("_k", F.lit(1)).join(distinct.withColumn("_k", F.lit(1)), "_k").drop("_k")

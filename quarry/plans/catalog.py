@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators import joins, order, quota, scoring, tags
+from quarry.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -605,7 +606,8 @@ def positions(spark: SparkSession, sf: str) -> DataFrame:
     fens = F.array(*[F.lit(f) for f, _ in POSITIONS])
     counts = F.array(*[F.lit(n) for _, n in POSITIONS])
     i = F.pmod(F.col("event_id"), F.lit(len(POSITIONS))).cast("int")
-    return table(spark, sf, "events").select("event_id", F.get(fens, i).alias("fen"), F.get(counts, i).alias("expected"))
+    ev = spread(table(spark, sf, "events").select("event_id"))  # CPU-heavy consumers; no-op on large inputs
+    return ev.select("event_id", F.get(fens, i).alias("fen"), F.get(counts, i).alias("expected"))
 
 
 def move_cases(spark: SparkSession, sf: str) -> DataFrame:
@@ -613,7 +615,8 @@ def move_cases(spark: SparkSession, sf: str) -> DataFrame:
     i = F.pmod(F.col("event_id"), F.lit(len(MOVE_CASES))).cast("int")
     fens = F.array(*[F.lit(c[0]) for c in MOVE_CASES])
     moves = F.array(*[F.lit(c[1]) for c in MOVE_CASES])
-    return table(spark, sf, "events").select("event_id", F.get(fens, i).alias("fen"), F.get(moves, i).alias("moves"))
+    ev = spread(table(spark, sf, "events").select("event_id"))
+    return ev.select("event_id", F.get(fens, i).alias("fen"), F.get(moves, i).alias("moves"))
 
 
 SQL_POS = f"""pos AS (SELECT e.event_id, v.fen, v.expected FROM events e

@@ -77,3 +77,16 @@ def test_hot_id_is_split_and_ranks_stay_exact(spark):
     # the hot id was split over several window partitions
     plan_rows = order.shuffle_rank(df, "id", 42, hex_digits=1, hot_threshold=50)
     assert plan_rows.count() == 1000
+
+
+def test_rank_invariant_to_shuffle_partitions(spark):
+    df = spark.createDataFrame([(i,) for i in range(777)], "id long")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        results = []
+        for parts in ("3", "8", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            results.append({r.id: r.shuffle_rank for r in order.shuffle_rank(df, "id", 5).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1] == results[2] == _expected_rank(range(777), 5)
