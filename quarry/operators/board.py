@@ -46,31 +46,58 @@ def piece_inventory(df: DataFrame, id_col: str, fen: str, out: str = "inventory"
     return cells.select(id_col, C.inventory_from_cells(F.col("_cells")).alias(out))
 
 
-# ---- SQL text builders ------------------------------------------------------------------------------------------
-def _arr(pairs) -> str:
-    return "array(" + ", ".join(f"named_struct('x', {x}, 'y', {y})" for x, y in pairs) + ")"
+# ---- per-square geometry, generated from the step rules above (index 0 = a8 ... 63 = h1) -----------------------
+def _index(f: int, r: int) -> int:
+    return (7 - r) * 8 + f
 
 
-_KN, _KG, _OR, _DG = _arr(KNIGHT_STEPS), _arr(KING_STEPS), _arr(ORTHOGONAL), _arr(DIAGONAL)
-_ALL = _arr(ORTHOGONAL + DIAGONAL)
-_EMPTY_MOVES = "CAST(array() AS array<struct<fr:int,to:int,pr:string>>)"
-_EMPTY_INTS = "CAST(array() AS array<int>)"
+def _on(f: int, r: int) -> bool:
+    return 0 <= f < 8 and 0 <= r < 8
 
 
-def _idx(f: str, r: str) -> str:
-    return f"CAST((7 - ({r})) * 8 + ({f}) AS INT)"
+def _targets(steps) -> list[list[int]]:
+    out = []
+    for sq in range(64):
+        f, r = sq % 8, 7 - sq // 8
+        out.append([_index(f + x, r + y) for x, y in steps if _on(f + x, r + y)])
+    return out
 
 
-def _fr(i: str) -> tuple[str, str]:
-    return f"(({i}) % 8)", f"(7 - floor(({i}) / 8))"
+def _rays() -> list[list[list[int]]]:
+    """Per square the eight rays (straight lines first, then diagonals), nearest square first."""
+    out = []
+    for sq in range(64):
+        f, r = sq % 8, 7 - sq // 8
+        rays = []
+        for x, y in ORTHOGONAL + DIAGONAL:
+            rays.append([_index(f + k * x, r + k * y) for k in range(1, 8) if _on(f + k * x, r + k * y)])
+        out.append(rays)
+    return out
 
 
-def _ch(b: str, i: str) -> str:
-    return f"substring({b}, ({i}) + 1, 1)"
+def _lit(v) -> str:
+    if isinstance(v, list):
+        return "CAST(array() AS array<int>)" if not v else "array(" + ", ".join(_lit(x) for x in v) + ")"
+    return str(v)
+
+
+def _lit_nested(v) -> str:
+    """array<array<int>> / array<array<array<int>>> literal; empty leaves typed as array<int>."""
+    return _lit(v)
+
+
+_KN_AT = _lit_nested(_targets(KNIGHT_STEPS))
+_KG_AT = _lit_nested(_targets(KING_STEPS))
+_UP_AT = _lit_nested(_targets([(-1, 1), (1, 1)]))      # squares diagonally toward rank 8
+_DOWN_AT = _lit_nested(_targets([(-1, -1), (1, -1)]))  # squares diagonally toward rank 1
+_RAYS_AT = _lit_nested(_rays())
+_EMPTY_MOVES = "CAST(array() AS array<struct<fr:int,to:int,pr:string>>)"
+_EMPTY_INTS = "CAST(array() AS array<int>)"
 
 
-def _onb(f: str, r: str) -> str:
-    return f"(({f}) BETWEEN 0 AND 7 AND ({r}) BETWEEN 0 AND 7)"
+# ---- SQL text builders ------------------------------------------------------------------------------------------
+def _ch(b: str, i: str) -> str:
+    return f"substring({b}, ({i}) + 1, 1)"
 
 
 def _own(c: str) -> str:
@@ -94,64 +121,57 @@ def _move(fr: str, to: str, pr: str = "''") -> str:
     return f"named_struct('fr', CAST({fr} AS INT), 'to', CAST({to} AS INT), 'pr', {pr})"
 
 
-def _first_piece(b: str, f: str, r: str, d: str) -> str:
-    """First non-empty square's character along direction ``d`` from (f, r); null if none."""
-    xf, xr = f"{f} + k * {d}.x", f"{r} + k * {d}.y"
-    ray = f"transform(filter(sequence(1, 7), k -> {_onb(xf, xr)}), k -> {_ch(b, _idx(xf, xr))})"
-    return f"get(filter({ray}, c -> c <> '.'), 0)"
+def _first_piece(b: str, ray: str) -> str:
+    """First non-empty square's character along a ray (array of squares); null if none."""
+    return f"get(filter(transform({ray}, q -> {_ch(b, 'q')}), c -> c <> '.'), 0)"
 
 
 def _attacked(b: str, t: str) -> str:
     """Whether square ``t`` is attacked on board ``b`` by the side not to move."""
-    f, r = _fr("tt")
-    fwd = "(CASE WHEN _w THEN 1 ELSE -1 END)"
-    knight = f"exists({_KN}, o -> {_onb(f + ' + o.x', r + ' + o.y')} AND {_ch(b, _idx(f + ' + o.x', r + ' + o.y'))} = {_enemy_piece('N')})"
-    king = f"exists({_KG}, o -> {_onb(f + ' + o.x', r + ' + o.y')} AND {_ch(b, _idx(f + ' + o.x', r + ' + o.y'))} = {_enemy_piece('K')})"
-    pawn = (
-        f"exists(array(-1, 1), dx -> {_onb(f + ' + dx', r + ' + ' + fwd)} AND "
-        f"{_ch(b, _idx(f + ' + dx', r + ' + ' + fwd))} = {_enemy_piece('P')})"
-    )
+    # enemy pawns attack t from the squares diagonally ahead of it (seen from the side to move)
+    pawn_from = f"(CASE WHEN _w THEN get({_UP_AT}, tt) ELSE get({_DOWN_AT}, tt) END)"
+    knight = f"exists(get({_KN_AT}, tt), q -> {_ch(b, 'q')} = {_enemy_piece('N')})"
+    king = f"exists(get({_KG_AT}, tt), q -> {_ch(b, 'q')} = {_enemy_piece('K')})"
+    pawn = f"exists({pawn_from}, q -> {_ch(b, 'q')} = {_enemy_piece('P')})"
     # a ray with no piece on it yields NULL; coalesce keeps the test two-valued
-    rook = f"exists({_OR}, d -> coalesce({_first_piece(b, f, r, 'd')} IN ({_enemy_piece('R')}, {_enemy_piece('Q')}), false))"
-    bishop = f"exists({_DG}, d -> coalesce({_first_piece(b, f, r, 'd')} IN ({_enemy_piece('B')}, {_enemy_piece('Q')}), false))"
-    return _let(t, "tt", f"({knight} OR {king} OR {pawn} OR {rook} OR {bishop})")
+    rays = f"get({_RAYS_AT}, tt)"
+    rook = (f"exists(slice({rays}, 1, 4), ry -> coalesce({_first_piece(b, 'ry')} "
+            f"IN ({_enemy_piece('R')}, {_enemy_piece('Q')}), false))")
+    bishop = (f"exists(slice({rays}, 5, 4), ry -> coalesce({_first_piece(b, 'ry')} "
+              f"IN ({_enemy_piece('B')}, {_enemy_piece('Q')}), false))")
+    return _let(t, "tt", f"({pawn} OR {knight} OR {rook} OR {bishop} OR {king})")
 
 
-def _steps(offs: str, s: str) -> str:
-    f, r = _fr(s)
-    tf, tr = f"{f} + o.x", f"{r} + o.y"
-    keep = f"{_onb(tf, tr)} AND NOT {_own(_ch('_b', _idx(tf, tr)))}"
-    return f"transform(filter({offs}, o -> {keep}), o -> {_idx(tf, tr)})"
+def _steps(table: str, s: str) -> str:
+    return f"filter(get({table}, {s}), t -> NOT {_own(_ch('_b', 't'))})"
 
 
 def _slides(s: str) -> str:
-    f, r = _fr(s)
-    xf, xr = f"{f} + k * d.x", f"{r} + k * d.y"
-    ray = f"transform(filter(sequence(1, 7), k -> {_onb(xf, xr)}), k -> {_idx(xf, xr)})"
+    kind = f"upper({_ch('_b', s)})"
+    lo = f"(CASE {kind} WHEN 'B' THEN 5 ELSE 1 END)"
+    n = f"(CASE {kind} WHEN 'Q' THEN 8 ELSE 4 END)"
     block = f"array_position(transform(ry, j -> {_ch('_b', 'j')} <> '.'), true)"
     body = f"filter(ry, (i, n) -> bk = 0 OR n < bk - 1 OR (n = bk - 1 AND {_enemy(_ch('_b', 'i'))}))"
-    dirs = f"(CASE upper({_ch('_b', s)}) WHEN 'R' THEN {_OR} WHEN 'B' THEN {_DG} ELSE {_ALL} END)"
-    return f"flatten(transform({dirs}, d -> {_let(ray, 'ry', _let(block, 'bk', body))}))"
+    return f"flatten(transform(slice(get({_RAYS_AT}, {s}), {lo}, {n}), ry -> {_let(block, 'bk', body)}))"
 
 
 def _pawn(s: str) -> str:
-    f, r = _fr(s)
-    fwd = "(CASE WHEN _w THEN 1 ELSE -1 END)"
+    step = "(CASE WHEN _w THEN -8 ELSE 8 END)"
+    rank = f"(7 - floor({s} / 8))"
     start = "(CASE WHEN _w THEN 1 ELSE 6 END)"
-    last = "(CASE WHEN _w THEN 7 ELSE 0 END)"
-    one, two = _idx(f, f"{r} + {fwd}"), _idx(f, f"{r} + 2 * {fwd}")
-    cf, cr = f"{f} + dx", f"{r} + {fwd}"
+    last = "(CASE WHEN _w THEN 6 ELSE 1 END)"
+    one, two = f"({s} + {step})", f"({s} + 2 * {step})"
+    caps = f"(CASE WHEN _w THEN get({_UP_AT}, {s}) ELSE get({_DOWN_AT}, {s}) END)"
     targets = (
         f"concat("
-        f"CASE WHEN {_onb(f, f'{r} + {fwd}')} AND {_ch('_b', one)} = '.' THEN array({one}) ELSE {_EMPTY_INTS} END, "
-        f"CASE WHEN {r} = {start} AND {_ch('_b', one)} = '.' AND {_ch('_b', two)} = '.' THEN array({two}) "
+        f"CASE WHEN {one} BETWEEN 0 AND 63 AND {_ch('_b', one)} = '.' THEN array({one}) ELSE {_EMPTY_INTS} END, "
+        f"CASE WHEN {rank} = {start} AND {_ch('_b', one)} = '.' AND {_ch('_b', two)} = '.' THEN array({two}) "
         f"ELSE {_EMPTY_INTS} END, "
-        f"transform(filter(array(-1, 1), dx -> {_onb(cf, cr)} AND ({_enemy(_ch('_b', _idx(cf, cr)))} "
-        f"OR {_idx(cf, cr)} = _ep)), dx -> {_idx(cf, cr)}))"
+        f"filter({caps}, q -> {_enemy(_ch('_b', 'q'))} OR q = _ep))"
     )
     promo = "array(" + ", ".join(f"'{p}'" for p in PROMOTIONS) + ")"
     return (
-        f"CASE WHEN {r} + {fwd} = {last} "
+        f"CASE WHEN {rank} = {last} "
         f"THEN flatten(transform({targets}, t -> transform({promo}, pp -> {_move(s, 't', 'pp')}))) "
         f"ELSE transform({targets}, t -> {_move(s, 't')}) END"
     )
@@ -161,8 +181,8 @@ def _generate(s: str) -> str:
     kind = f"upper({_ch('_b', s)})"
     return (
         f"CASE {kind} WHEN 'P' THEN {_pawn(s)} "
-        f"WHEN 'N' THEN transform({_steps(_KN, s)}, t -> {_move(s, 't')}) "
-        f"WHEN 'K' THEN transform({_steps(_KG, s)}, t -> {_move(s, 't')}) "
+        f"WHEN 'N' THEN transform({_steps(_KN_AT, s)}, t -> {_move(s, 't')}) "
+        f"WHEN 'K' THEN transform({_steps(_KG_AT, s)}, t -> {_move(s, 't')}) "
         f"ELSE transform({_slides(s)}, t -> {_move(s, 't')}) END"
     )
 
@@ -183,7 +203,7 @@ def _castles() -> str:
         cond += [f"{_ch('_b', str(e))} = '.'" for e in empty]
         cond += [f"NOT {_attacked('_b', str(q))}" for q in safe]
         parts.append(f"CASE WHEN {' AND '.join(cond)} THEN array({_move(str(kf), str(kt))}) ELSE {_EMPTY_MOVES} END")
-    return "concat(" + ", ".join(parts) + ")"
+    return "(CASE WHEN _cr = '-' THEN " + _EMPTY_MOVES + " ELSE concat(" + ", ".join(parts) + ") END)"
 
 
 def _after(m: str) -> str:
@@ -210,23 +230,16 @@ def _pinned() -> str:
     """Squares of own pieces pinned to the own king: on each of the eight king rays, the first piece is
     own and the second is an enemy slider moving along that ray (rook/queen straight, bishop/queen
     diagonal). Computed once per position."""
-    lines = _arr3([(x, y, 0) for x, y in ORTHOGONAL] + [(x, y, 1) for x, y in DIAGONAL])
-    f, r = _fr("_k")
-    xf, xr = f"{f} + k * d.x", f"{r} + k * d.y"
-    ray = f"transform(filter(sequence(1, 7), k -> {_onb(xf, xr)}), k -> {_idx(xf, xr)})"
-    occ = f"filter(ray, j -> {_ch('_b', 'j')} <> '.')"
-    sliders = (f"(CASE WHEN d.t = 0 THEN array({_enemy_piece('R')}, {_enemy_piece('Q')}) "
-               f"ELSE array({_enemy_piece('B')}, {_enemy_piece('Q')}) END)")
+    occ = "filter(ry, j -> " + _ch("_b", "j") + " <> '.')"
+    straight = f"array({_enemy_piece('R')}, {_enemy_piece('Q')})"
+    diagonal = f"array({_enemy_piece('B')}, {_enemy_piece('Q')})"
+    sliders = f"(CASE WHEN n < 4 THEN {straight} ELSE {diagonal} END)"
     pin = (f"CASE WHEN size(occ) >= 2 AND {_own(_ch('_b', 'occ[0]'))} "
            f"AND array_contains({sliders}, {_ch('_b', 'occ[1]')}) THEN occ[0] ELSE -1 END")
-    per_line = f"transform({lines}, d -> {_let(ray, 'ray', _let(occ, 'occ', pin))})"
+    per_line = f"transform(get({_RAYS_AT}, _k), (ry, n) -> {_let(occ, 'occ', pin)})"
     return f"filter({per_line}, q -> q >= 0)"
 
 
-def _arr3(triples) -> str:
-    return "array(" + ", ".join(f"named_struct('x', {x}, 'y', {y}, 't', {t})" for x, y, t in triples) + ")"
-
-
 def _legal_sql() -> str:
     own_squares = f"filter(sequence(0, 63), s -> {_own(_ch('_b', 's'))})"
     cands = f"concat(flatten(transform({own_squares}, s -> {_generate('s')})), {_castles()})"
@@ -239,8 +252,8 @@ def _legal_sql() -> str:
     legal = f"filter({cands}, m -> NOT {risky} OR {safe})"
     name = "concat(substring('abcdefgh', {i} % 8 + 1, 1), CAST(8 - floor({i} / 8) AS STRING))"
     uci = f"concat({name.format(i='u.fr')}, {name.format(i='u.to')}, u.pr)"
-    # ``chk`` (side to move in check) is bound once per position by a let, not as a column: a column used
-    # once inside a lambda would be inlined by the optimizer and re-evaluated per candidate.
+    # ``chk`` (side to move in check) and ``pins`` are bound once per position by a let, not as columns:
+    # a column used once inside a lambda would be inlined by the optimizer and re-evaluated per candidate.
     body = f"array_sort(transform({legal}, u -> {uci}))"
     return _let(_attacked("_b", "_k"), "chk", _let(_pinned(), "pins", body))
 
