@@ -86,11 +86,16 @@ def _lit_nested(v) -> str:
     return _lit(v)
 
 
-_KN_AT = _lit_nested(_targets(KNIGHT_STEPS))
-_KG_AT = _lit_nested(_targets(KING_STEPS))
-_UP_AT = _lit_nested(_targets([(-1, 1), (1, 1)]))      # squares diagonally toward rank 8
-_DOWN_AT = _lit_nested(_targets([(-1, -1), (1, -1)]))  # squares diagonally toward rank 1
-_RAYS_AT = _lit_nested(_rays())
+# The tables are bound once per expression as lambda variables (see ``_legal_sql``); the builders below
+# refer to them by these names, which keeps the expression small to parse and analyse.
+_TABLES = {
+    "kn_t": _lit_nested(_targets(KNIGHT_STEPS)),
+    "kg_t": _lit_nested(_targets(KING_STEPS)),
+    "up_t": _lit_nested(_targets([(-1, 1), (1, 1)])),      # squares diagonally toward rank 8
+    "dn_t": _lit_nested(_targets([(-1, -1), (1, -1)])),    # squares diagonally toward rank 1
+    "ray_t": _lit_nested(_rays()),
+}
+_KN_AT, _KG_AT, _UP_AT, _DOWN_AT, _RAYS_AT = "kn_t", "kg_t", "up_t", "dn_t", "ray_t"
 _EMPTY_MOVES = "CAST(array() AS array<struct<fr:int,to:int,pr:string>>)"
 _EMPTY_INTS = "CAST(array() AS array<int>)"
 
@@ -187,23 +192,30 @@ def _generate(s: str) -> str:
     )
 
 
+# fixed values: castling rules as (white?, right letter, king from, king to, rook square, squares that must
+# be empty, squares the king passes that must not be attacked)
+CASTLING = [
+    (True, "K", 60, 62, 63, [61, 62], [60, 61]),
+    (True, "Q", 60, 58, 56, [57, 58, 59], [60, 59]),
+    (False, "k", 4, 6, 7, [5, 6], [4, 5]),
+    (False, "q", 4, 2, 0, [1, 2, 3], [4, 3]),
+]
+
+
 def _castles() -> str:
-    # (side, right, king from, king to, rook square, squares that must be empty, squares not attacked)
-    specs = [
-        ("w", "K", 60, 62, 63, [61, 62], [60, 61]),
-        ("w", "Q", 60, 58, 56, [57, 58, 59], [60, 59]),
-        ("b", "k", 4, 6, 7, [5, 6], [4, 5]),
-        ("b", "q", 4, 2, 0, [1, 2, 3], [4, 3]),
-    ]
-    parts = []
-    for side, right, kf, kt, rk, empty, safe in specs:
-        king, rook = ("K", "R") if side == "w" else ("k", "r")
-        cond = [("_w" if side == "w" else "NOT _w"), f"instr(_cr, '{right}') > 0",
-                f"{_ch('_b', str(kf))} = '{king}'", f"{_ch('_b', str(rk))} = '{rook}'"]
-        cond += [f"{_ch('_b', str(e))} = '.'" for e in empty]
-        cond += [f"NOT {_attacked('_b', str(q))}" for q in safe]
-        parts.append(f"CASE WHEN {' AND '.join(cond)} THEN array({_move(str(kf), str(kt))}) ELSE {_EMPTY_MOVES} END")
-    return "(CASE WHEN _cr = '-' THEN " + _EMPTY_MOVES + " ELSE concat(" + ", ".join(parts) + ") END)"
+    specs = "array(" + ", ".join(
+        f"named_struct('w', {str(w).lower()}, 'r', '{r}', 'kf', {kf}, 'kt', {kt}, 'rk', {rk}, "
+        f"'e', {_lit(e)}, 's', {_lit(sf)})"
+        for w, r, kf, kt, rk, e, sf in CASTLING
+    ) + ")"
+    king = "(CASE WHEN _w THEN 'K' ELSE 'k' END)"
+    rook = "(CASE WHEN _w THEN 'R' ELSE 'r' END)"
+    ok = (
+        f"cs.w = _w AND instr(_cr, cs.r) > 0 AND {_ch('_b', 'cs.kf')} = {king} AND {_ch('_b', 'cs.rk')} = {rook} "
+        f"AND forall(cs.e, q -> {_ch('_b', 'q')} = '.') AND NOT exists(cs.s, sq -> {_attacked('_b', 'sq')})"
+    )
+    return (f"(CASE WHEN _cr = '-' THEN {_EMPTY_MOVES} "
+            f"ELSE transform(filter({specs}, cs -> {ok}), cs -> {_move('cs.kf', 'cs.kt')}) END)")
 
 
 def _after(m: str) -> str:
@@ -255,7 +267,10 @@ def _legal_sql() -> str:
     # ``chk`` (side to move in check) and ``pins`` are bound once per position by a let, not as columns:
     # a column used once inside a lambda would be inlined by the optimizer and re-evaluated per candidate.
     body = f"array_sort(transform({legal}, u -> {uci}))"
-    return _let(_attacked("_b", "_k"), "chk", _let(_pinned(), "pins", body))
+    expr = _let(_attacked("_b", "_k"), "chk", _let(_pinned(), "pins", body))
+    for name, table in _TABLES.items():
+        expr = _let(table, name, expr)
+    return expr
 
 
 LEGAL_MOVES_SQL = _legal_sql()
