@@ -786,3 +786,77 @@ def q_teacher_prompts(spark, sf):
                             C.side_to_move("fen_after"), mv["opponent"], "best", F.col("value").cast("int"), themes,
                             "legal", "moves")
     return m.select("event_id", prompt.alias("prompt"))
+
+
+# ---- A1 - A10: sources and sinks, round-tripped through the shared scratch folder ------------------------------------
+@register(
+    "csv_roundtrip",
+    f"SELECT doc_id, text, lang, CAST(len({sql_tokens('source')}) AS INTEGER) AS n_tags FROM documents",
+)
+def q_csv_roundtrip(spark, sf):
+    """A10 + A4 + A1: documents (multi-line texts, an array column) converted to headered CSV and read
+    back with an explicit schema."""
+    from quarry.session import scratch_path
+    from quarry.sources import io
+
+    src = scratch_path(spark, "csv-src")
+    table(spark, sf, "documents").select("doc_id", "text", "lang", T.tags("source").alias("tags")).write.parquet(src)
+    schema = "doc_id bigint, text string, lang string, tags string"
+    back = io.convert(spark, src, scratch_path(spark, "csv"), "parquet", "csv", dst_schema=schema)
+    return back.select("doc_id", "text", "lang", F.size(T.parse_list("tags")).cast("int").alias("n_tags"))
+
+
+@register("json_roundtrip", "SELECT conv_id, turn, role, text FROM conversations")
+def q_json_roundtrip(spark, sf):
+    """JSON Lines (UTF-8 kept verbatim, null fields kept) and read back with a schema."""
+    from quarry.session import scratch_path
+    from quarry.sources import io
+
+    path = scratch_path(spark, "json")
+    io.write_records(table(spark, sf, "conversations"), path, "json")
+    return io.read_records(spark, path, "conv_id bigint, turn bigint, role string, text string", "json")
+
+
+@register(
+    "parquet_nested_roundtrip",
+    """SELECT d.doc_id, 'user' AS role, d.text AS content, d.source AS ground_truth, l.quality
+       FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
+)
+def q_parquet_nested_roundtrip(spark, sf):
+    """Nested RL records written as Parquet and read back; nested fields pruned on read."""
+    from quarry.functions.records import to_rl
+    from quarry.session import scratch_path
+    from quarry.sources import io
+
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    path = scratch_path(spark, "rl")
+    io.write_records(to_rl(d, "text", "source", {"doc_id": "doc_id", "quality": "quality"}), path, "parquet")
+    back = io.read_records(spark, path, fmt="parquet")
+    return back.select(F.col("extra_info.doc_id").alias("doc_id"), F.col("prompt")[0]["role"].alias("role"),
+                       F.col("prompt")[0]["content"].alias("content"),
+                       F.col("reward_model.ground_truth").alias("ground_truth"),
+                       F.col("extra_info.quality").alias("quality"))
+
+
+@register(
+    "materialized_halves",
+    f"""SELECT o_orderkey, CASE WHEN rk <= (SELECT count(*) FROM orders) // 2 THEN 'A' ELSE 'B' END AS half
+        FROM (SELECT o_orderkey, {SQL_ORDER_RANK} AS rk FROM orders)""",
+)
+def q_materialized_halves(spark, sf):
+    """The two halves are computed and written once (both complete, or neither is reused), then
+    read back; a second call with the same seed reuses them."""
+    from quarry.session import scratch_path
+    from quarry.sources import io
+
+    base = scratch_path(spark, "halves")
+    orders = table(spark, sf, "orders").select("o_orderkey")
+
+    def build():
+        a, b = order.halves(orders, "o_orderkey", SEED)
+        return {"A": a.select("o_orderkey"), "B": b.select("o_orderkey")}
+
+    paths = {k: io.cache_path(base, f"reserve_{k}", SEED) for k in ("A", "B")}
+    io.materialize_all(spark, build, paths)
+    got = io.materialize_all(spark, build, paths)  # reused: complete outputs are read back
+    return got["A"].withColumn("half", F.lit("A")).unionByName(got["B"].withColumn("half", F.lit("B")))

@@ -129,8 +129,10 @@ def materialize_all(spark: SparkSession, build: Callable[[], dict[str, DataFrame
 
 
 def convert(spark: SparkSession, src: str, dst: str, src_fmt: str, dst_fmt: str,
-            schema: T.StructType | None = None) -> DataFrame:
-    """A10: format conversion of a released split; returns the written data read back."""
-    df = read_records(spark, src, schema, src_fmt)
+            src_schema: T.StructType | str | None = None,
+            dst_schema: T.StructType | str | None = None) -> DataFrame:
+    """A10: format conversion of a released split; returns the written data read back (CSV needs
+    ``dst_schema`` to read back; nested columns were written as JSON text)."""
+    df = read_records(spark, src, src_schema, src_fmt)
     write_records(df, dst, dst_fmt)
-    return read_records(spark, dst, None if dst_fmt != "csv" else schema, dst_fmt)
+    return read_records(spark, dst, dst_schema, dst_fmt)
