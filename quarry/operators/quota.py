@@ -9,9 +9,9 @@ Set-based plan (no per-tag pass over the data):
 1. explode to ``(id, tag_rank, src_pos)`` for the k tags only (broadcast of k rows), keeping the first
    row of each ``(id, tag)``; a partial aggregate, so hot ids collapse map-side;
 2. prune: when tag ``r`` (0-based) is visited at most ``n*r`` ids are gone, so only its first
-   ``n*(r+1)`` candidates can matter. Done as a two-phase top-N (per ``(tag, salt)`` then per tag), so a
-   popular tag is cut down in parallel and never lands whole in one task. What survives is at most
-   ``n*k*(k+1)/2`` pairs, whatever the input size;
+   ``n*(r+1)`` candidates can matter. Done as a tree of top-N windows over salt groups (fan-in 16), so a
+   popular tag is cut down in parallel and no window task holds more than ``16*n*(r+1)`` rows. What
+   survives is at most ``n*k*(k+1)/2`` pairs, whatever the input size;
 3. rounds on the pruned pairs: every id proposes to its rarest remaining tag, each tag keeps its first
    ``n`` proposals by ``src_pos``, rejected ids move on. All ids rank tags the same way, so tag ``r`` is
    final after round ``r+1`` and the loop ends within ``k`` rounds. Each round is checkpointed to the
@@ -43,15 +43,33 @@ def _candidates(df: DataFrame, id_col: str, tags_col: str, order_col: str, theme
     return pairs.groupBy("_id", "tag_rank").agg(F.min("src_pos").alias("src_pos"))
 
 
-def _prune(cand: DataFrame, n: int, salts: int) -> DataFrame:
+# Fan-in of the pruning tree: each level merges this many salt groups of the level below.
+FAN_IN = 16
+
+
+def _levels(max_freq: int, cap: int) -> int:
+    """Salt levels so that the first level's groups hold about FAN_IN * cap rows of the largest tag."""
+    levels, groups = 0, max(1, max_freq // max(1, FAN_IN * cap))
+    while groups > 1:
+        groups = -(-groups // FAN_IN)
+        levels += 1
+    return levels
+
+
+def _prune(cand: DataFrame, n: int, levels: int) -> DataFrame:
+    """Keep the first ``n*(r+1)`` candidates of each tag ``r`` by ``src_pos``.
+
+    A tree of top-N windows: level ``l`` groups rows by ``(tag, hash(id) mod FAN_IN^l)``, from the most
+    salt groups down to one group per tag. Groups of level ``l-1`` are unions of FAN_IN groups of level
+    ``l``, so every window task holds at most ``FAN_IN * n*(r+1)`` rows whatever the tag's size.
+    """
     cap = F.lit(n) * (F.col("tag_rank") + F.lit(1))
-    salted = cand.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)))
-    w1 = Window.partitionBy("tag_rank", "_salt").orderBy("src_pos", "_id")
-    part = salted.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= cap)
-    w2 = Window.partitionBy("tag_rank").orderBy("src_pos", "_id")  # <= salts * n*(r+1) rows per tag
-    return part.withColumn("_r2", F.row_number().over(w2)).filter(F.col("_r2") <= cap).select(
-        "_id", "tag_rank", "src_pos"
-    )
+    cur = cand.withColumn("_hid", F.xxhash64("_id"))
+    for level in range(levels, -1, -1):
+        keys = ["tag_rank"] if level == 0 else ["tag_rank", F.pmod(F.col("_hid"), F.lit(FAN_IN ** level))]
+        w = Window.partitionBy(*keys).orderBy("src_pos", "_id")
+        cur = cur.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= cap).drop("_r")
+    return cur.select("_id", "tag_rank", "src_pos")
 
 
 def _assign(pruned: DataFrame, n: int, k: int) -> tuple[DataFrame, int]:
@@ -82,10 +100,14 @@ def quota_assignments(
     df: DataFrame, id_col: str, tags_col: str, order_col: str, n: int, k: int, split: bool = True
 ) -> DataFrame:
     """E3 core: ``(id, tag, tag_rank, src_pos)`` of the taken rows."""
-    spark = df.sparkSession
-    themes = rarest_tags(df, tags_col, k, split)
-    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    pruned = cut_lineage(_prune(_candidates(df, id_col, tags_col, order_col, themes, split), n, salts))
+    # The k rarest tags (k rows at most, a proven bound) are fetched once: their largest frequency sizes
+    # the pruning tree, and the same rows feed the broadcast joins without recomputing the tag count.
+    found = rarest_tags(df, tags_col, k, split).collect()
+    themes = df.sparkSession.createDataFrame(
+        [(r["tag"], int(r["freq"]), int(r["tag_rank"])) for r in found], "tag string, freq bigint, tag_rank int"
+    )
+    levels = _levels(max([int(r["freq"]) for r in found] or [0]), n * k)
+    pruned = cut_lineage(_prune(_candidates(df, id_col, tags_col, order_col, themes, split), n, levels))
     taken, _ = _assign(pruned, n, k)
     return taken.join(F.broadcast(themes.select("tag", "tag_rank")), "tag_rank").select(
         F.col("_id").alias(id_col), "tag", "tag_rank", "src_pos"

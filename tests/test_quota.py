@@ -71,3 +71,20 @@ def test_selected_rows_carry_columns(spark):
     df = _df(spark, FIXTURE).withColumn("rating", F.col("src_pos") * 100)
     sel = quota_select(df, "id", "tags", "src_pos", 1, 3)
     assert set(sel.columns) >= {"src_pos", "id", "tags", "rating", "theme", "theme_rank"}
+
+
+def test_pruning_tree_levels_match_sequential(spark):
+    from quarry.operators import quota as Q
+
+    assert Q._levels(100, 10) == 0 and Q._levels(160 * 16, 10) == 1 and Q._levels(160 * 16 * 16 + 1, 10) >= 2
+    rng = random.Random(3)
+    rows = [(pos, f"id{rng.randint(0, 300)}", " ".join(rng.choice("abcde") for _ in range(2))) for pos in range(600)]
+    cand_df = _df(spark, rows)
+    themes = rarest_tags(cand_df, "tags", 3)
+    cand = Q._candidates(cand_df, "id", "tags", "src_pos", themes, True)
+    deep = sorted(tuple(r) for r in Q._prune(cand, 4, 3).collect())
+    flat = sorted(tuple(r) for r in Q._prune(cand, 4, 0).collect())
+    assert deep == flat
+    want, _ = sequential(rows, 4, 3)
+    got = sorted((r.src_pos, r.id, r.tag) for r in quota_assignments(cand_df, "id", "tags", "src_pos", 4, 3).collect())
+    assert got == want
