@@ -123,14 +123,14 @@ def _put(b: Column, i: Column, ch: Column) -> Column:
     return F.overlay(b, ch, (i + 1).cast("int"), F.lit(1))
 
 
-def apply_move(fen, move) -> Column:
+def apply_move(fen, move, board: Column | None = None) -> Column:
     """Position string after one UCI move (castling rook, en passant, promotion, rights, clocks).
 
     The en-passant field is printed only when a pawn of the side to move next stands beside the pushed
     pawn (a capture is possible). The capture is not checked against pins.
     """
     fen, move = _col(fen), _col(move)
-    b = board64(fen)
+    b = board64(fen) if board is None else board
     side = fen_field(fen, 1)
     rights = fen_field(fen, 2)
     ep = fen_field(fen, 3)

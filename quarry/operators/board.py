@@ -291,3 +291,12 @@ def legal_moves(df: DataFrame, fen: str, out: str = "moves") -> DataFrame:
     bound = bound.withColumn("_k", (F.instr(F.col("_b"), king) - 1).cast("int"))
     return bound.withColumn(out, F.expr(LEGAL_MOVES_SQL)).drop("_b", "_w", "_ep", "_cr", "_k")
 
+
+
+def apply_moves(df: DataFrame, fen: str, move, out: str = "fen_after") -> DataFrame:
+    """B11 as a table operator. The move and the expanded board are materialised by a projection first:
+    the move expression is read at a dozen places of the position arithmetic, and a column reference is
+    cheaper than re-deriving it each time."""
+    mv = F.col(move) if isinstance(move, str) else move
+    staged = df.select("*", mv.alias("_mv"), C.board64(fen).alias("_b64"))
+    return staged.withColumn(out, C.apply_move(fen, "_mv", board=F.col("_b64"))).drop("_mv", "_b64")

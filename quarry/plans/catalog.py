@@ -699,8 +699,10 @@ def q_parse_moves(spark, sf):
 def q_apply_move(spark, sf):
     from quarry.functions import chess as C
 
+    from quarry.operators.board import apply_moves
+
     m = move_cases(spark, sf)
-    return m.select("event_id", C.apply_move("fen", C.parse_moves("moves")["opponent"]).alias("fen_after"))
+    return apply_moves(m, "fen", C.parse_moves("moves")["opponent"]).select("event_id", "fen_after")
 
 
 @register("legal_moves", f"WITH {SQL_POS} SELECT event_id, CAST(expected AS INTEGER) AS n_moves FROM pos")
@@ -779,7 +781,9 @@ def q_teacher_prompts(spark, sf):
 
     m = move_cases(spark, sf).join(table(spark, sf, "events").select("event_id", "value", "event_type"), "event_id")
     mv = C.parse_moves("moves")
-    m = m.withColumn("fen_after", C.apply_move("fen", mv["opponent"])).withColumn("best", mv["answer"])
+    from quarry.operators.board import apply_moves
+
+    m = apply_moves(m, "fen", mv["opponent"]).withColumn("best", mv["answer"])
     m = legal_moves(m.filter(F.col("best").isNotNull()), "fen_after", out="legal")
     themes = F.concat_ws(" ", "event_type", F.when(F.col("event_id") % 2 == 0, F.lit("mateIn1")).otherwise(F.lit("fork")))
     prompt = teacher_prompt("fen_after", C.board_text("fen_after"), C.piece_inventory("fen_after"),

@@ -66,7 +66,7 @@ def teacher_rows(selected: DataFrame, done: DataFrame | None = None, id_col: str
     rows = joins.pending(selected, done, id_col, ["src_pos"] if "src_pos" in selected.columns else [id_col],
                          max_rows) if done is not None else selected
     mv = C.parse_moves("Moves")
-    rows = rows.withColumn("fen_after", C.apply_move("FEN", mv["opponent"])).withColumn("best_move", mv["answer"])
+    rows = board.apply_moves(rows, "FEN", mv["opponent"]).withColumn("best_move", mv["answer"])
     rows = board.legal_moves(rows, "fen_after", out="legal_moves")
     prompt = teacher_prompt("fen_after", C.board_text("fen_after"), C.piece_inventory("fen_after"),
                             C.side_to_move("fen_after"), mv["opponent"], "best_move", "Rating", "Themes",

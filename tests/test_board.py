@@ -47,3 +47,9 @@ def test_board_text_side_and_moves(spark):
     assert r.s == "White" and r.m.opponent == "e2e4" and r.m.answer == "e7e5" and r.m.continuation == ["e7e5", "g1f3"]
     one = spark.createDataFrame([("e2e4",)], "moves string").select(C.parse_moves("moves").alias("m")).first().m
     assert one.answer is None and one.continuation == []
+
+
+def test_apply_moves_table_op(spark):
+    df = spark.createDataFrame(MOVE_CASES, "fen string, moves string, after string")
+    out = board.apply_moves(df, "fen", C.parse_moves("moves")["opponent"]).collect()
+    assert all(r.fen_after == r.after for r in out) and len(out) == len(MOVE_CASES)
