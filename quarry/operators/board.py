@@ -127,8 +127,9 @@ def _move(fr: str, to: str, pr: str = "''") -> str:
 
 
 def _first_piece(b: str, ray: str) -> str:
-    """First non-empty square's character along a ray (array of squares); null if none."""
-    return f"get(filter(transform({ray}, q -> {_ch(b, 'q')}), c -> c <> '.'), 0)"
+    """First non-empty square's character along a ray (array of squares); null if none. The ray's squares
+    are filtered as integers and only the blocker's character is fetched."""
+    return _ch(b, f"get(filter({ray}, q -> {_ch(b, 'q')} <> '.'), 0)")
 
 
 def _attacked(b: str, t: str) -> str:
