@@ -105,7 +105,8 @@ def format_flow(distilled: DataFrame, test_keys: DataFrame, require_correct: boo
     keyed = distilled.withColumn("key", prefix_key("fen_after"))
     flagged = joins.flag_overlap(keyed, test_keys, "key", out="_overlap")
     status = (
-        F.when(F.col("fen_after").isNull() | is_blank("cot"), F.lit("invalid"))
+        # A row without a position, reasoning text or answer move is invalid (checked before overlap)
+        F.when(F.col("fen_after").isNull() | is_blank("cot") | F.col("best_move").isNull(), F.lit("invalid"))
         .when(F.col("_overlap"), F.lit("excluded"))
         .otherwise(F.lit("kept"))
     )

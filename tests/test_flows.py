@@ -49,6 +49,8 @@ def test_flows(spark):
     assert t.extra_info["type"] == "mate" and t.extra_info["k"] == "v"
     sft, rl, counts = flows.format_flow(distilled, flows.test_keys_of(test))
     assert sft.count() == 0 and {x.status: x.rows for x in counts.collect()} == {"excluded": 1}
+    broken = distilled.withColumn("best_move", F.lit(None).cast("string"))
+    assert {x.status: x.rows for x in flows.format_flow(broken, flows.test_keys_of(test))[2].collect()} == {"invalid": 1}
     sft2, rl2, counts2 = flows.format_flow(distilled, flows.test_keys_of(test).filter("false"))
     s = sft2.first()
     assert s.instruction.startswith("You are given a chess position in FEN: ") and s.input == "" and "e7e5" in s.output
