@@ -90,3 +90,12 @@ def test_rank_invariant_to_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1] == results[2] == _expected_rank(range(777), 5)
+
+
+def test_published_batch_counts(spark):
+    # 39,601 SFT rows in batches of 256 -> 155 steps; 39,572 RL prompts in batches of 96, last dropped -> 412
+    sft = spark.range(39601).withColumnRenamed("id", "pid")
+    rl = spark.range(39572).withColumnRenamed("id", "pid")
+    assert order.assign_batches(sft, "pid", 256).select("batch").distinct().count() == 155
+    kept = order.assign_batches(rl, "pid", 96, drop_last=True)
+    assert kept.select("batch").distinct().count() == 412 and kept.count() == 412 * 96
