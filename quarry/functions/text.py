@@ -89,6 +89,21 @@ def ws_tokens(c) -> Column:
     return F.filter(F.split(_col(c), TOKEN_SPLIT), lambda x: x != F.lit(""))
 
 
+def arrow_tokens(encode):
+    """A token counter backed by any Python tokenizer ``encode(text) -> list[int]``.
+
+    Runs as an Arrow-batched pandas UDF (a batch of texts per call, never row at a time) and returns the
+    token ids as ``array<int>``, so it plugs into ``token_count`` / ``length_flags`` like ``ws_tokens``.
+    """
+    import pandas as pd
+
+    @F.pandas_udf("array<int>")
+    def _encode(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else [int(x) for x in encode(t)])
+
+    return lambda c: _encode(_col(c))
+
+
 def token_count(c, counter=ws_tokens) -> Column:
     return F.size(counter(c))
 

@@ -96,3 +96,10 @@ def test_lengths(spark):
     with pytest.raises(Exception):
         df.select(T.assert_length("t", 2)).collect()
     assert df.select(T.assert_length("t", 5).alias("x")).count() == 2
+
+
+def test_arrow_token_counter(spark):
+    counter = T.arrow_tokens(lambda t: [len(w) for w in t.split()])
+    df = spark.createDataFrame([("a bb ccc",), (None,)], "t string")
+    out = df.select(T.length_flags("t", 3, counter=counter).alias("f")).collect()
+    assert out[0].f.num_tokens == 3 and out[0].f.clipped and out[1].f.num_tokens is None
