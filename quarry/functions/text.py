@@ -6,6 +6,7 @@ codegen and can be used in ``select``, ``filter`` or ``groupBy`` alike.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -95,8 +96,6 @@ def arrow_tokens(encode):
     Runs as an Arrow-batched pandas UDF (a batch of texts per call, never row at a time) and returns the
     token ids as ``array<int>``, so it plugs into ``token_count`` / ``length_flags`` like ``ws_tokens``.
     """
-    import pandas as pd
-
     @F.pandas_udf("array<int>")
     def _encode(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else [int(x) for x in encode(t)])
