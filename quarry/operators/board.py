@@ -294,10 +294,44 @@ def legal_moves(df: DataFrame, fen: str, out: str = "moves") -> DataFrame:
 
 
 
+def _ep_legal_sql() -> str:
+    """Whether the side to move has a legal en-passant capture onto ``_ep`` (the pawn that just advanced
+    two squares stands beside the capturer); each of the at most two captures is tested for king safety
+    on the board after it."""
+    pushed = "(_ep + CASE WHEN _w THEN 8 ELSE -8 END)"
+    own_pawn = "(CASE WHEN _w THEN 'P' ELSE 'p' END)"
+    capturers = (f"filter(array({pushed} - 1, {pushed} + 1), q -> q BETWEEN 0 AND 63 "
+                 f"AND floor(q / 8) = floor({pushed} / 8) AND {_ch('_b', 'q')} = {own_pawn})")
+    cand = "named_struct('fr', CAST(q AS INT), 'to', CAST(_ep AS INT), 'pr', '')"
+    safe = _let(cand, "m", f"NOT {_let(_after('m'), 'bb', _attacked('bb', '_k'))}")
+    expr = f"exists({capturers}, q -> {safe})"
+    for name, table in _TABLES.items():
+        expr = _let(table, name, expr)
+    return expr
+
+
+EP_LEGAL_SQL = _ep_legal_sql()
+
+
 def apply_moves(df: DataFrame, fen: str, move, out: str = "fen_after") -> DataFrame:
-    """B11 as a table operator. The move and the expanded board are materialised by a projection first:
-    the move expression is read at a dozen places of the position arithmetic, and a column reference is
-    cheaper than re-deriving it each time."""
+    """B11 as a table operator. The move and the expanded board are materialised by a projection first
+    (the move is read at a dozen places of the position arithmetic). The en-passant field of the result
+    is kept only when the side to move has a *legal* en-passant capture (a capture that would expose its
+    own king, e.g. along the rank, does not count), so position keys compare like the rules library's."""
     mv = F.col(move) if isinstance(move, str) else move
     staged = df.select("*", mv.alias("_mv"), C.board64(fen).alias("_b64"))
-    return staged.withColumn(out, C.apply_move(fen, "_mv", board=F.col("_b64"))).drop("_mv", "_b64")
+    moved = staged.withColumn("_nf", C.apply_move(fen, "_mv", board=F.col("_b64"))).drop("_mv", "_b64")
+    ep = C.fen_field("_nf", 3)
+    check = moved.select(
+        "*",
+        C.board64("_nf").alias("_b"),
+        (C.fen_field("_nf", 1) == F.lit("w")).alias("_w"),
+        F.when(ep.isNull() | (ep == F.lit("-")), F.lit(-1)).otherwise(C.square_index(ep)).cast("int").alias("_ep"),
+    )
+    king = F.when(F.col("_w"), F.lit("K")).otherwise(F.lit("k"))
+    check = check.withColumn("_k", (F.instr(F.col("_b"), king) - 1).cast("int"))
+    keep = (F.col("_ep") < 0) | F.expr(EP_LEGAL_SQL)
+    fields = [C.fen_field("_nf", i) for i in range(6)]
+    cleared = F.concat_ws(" ", fields[0], fields[1], fields[2], F.lit("-"), fields[4], fields[5])
+    result = F.when(F.col("_nf").isNull() | keep, F.col("_nf")).otherwise(cleared)
+    return check.withColumn(out, result).drop("_nf", "_b", "_w", "_ep", "_k")

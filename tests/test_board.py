@@ -53,3 +53,17 @@ def test_apply_moves_table_op(spark):
     df = spark.createDataFrame(MOVE_CASES, "fen string, moves string, after string")
     out = board.apply_moves(df, "fen", C.parse_moves("moves")["opponent"]).collect()
     assert all(r.fen_after == r.after for r in out) and len(out) == len(MOVE_CASES)
+
+
+def test_en_passant_field_only_when_capture_is_legal(spark):
+    cases = [
+        # the capture b5xc6 would expose the king on a5 to the rook on h5: no en-passant field
+        ("7k/2p5/8/KP5r/8/8/8/8 b - - 0 1", "c7c5", "7k/8/8/KPp4r/8/8/8/8 w - - 0 2"),
+        # same push without the pin: the capture is legal and the field is printed
+        ("7k/2p5/8/1P6/8/8/8/K7 b - - 0 1", "c7c5", "7k/8/8/1Pp5/8/8/8/K7 w - c6 0 2"),
+        # white double push next to a black pawn
+        ("4k3/8/8/8/3p4/8/4P3/4K3 w - - 0 1", "e2e4", "4k3/8/8/8/3pP3/8/8/4K3 b - e3 0 1"),
+    ]
+    df = spark.createDataFrame(cases, "fen string, mv string, after string")
+    got = board.apply_moves(df, "fen", "mv").collect()
+    assert [r.fen_after for r in got] == [r.after for r in got]
