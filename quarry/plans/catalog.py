@@ -864,3 +864,71 @@ def q_materialized_halves(spark, sf):
     io.materialize_all(spark, build, paths)
     got = io.materialize_all(spark, build, paths)  # reused: complete outputs are read back
     return got["A"].withColumn("half", F.lit("A")).unionByName(got["B"].withColumn("half", F.lit("B")))
+
+
+# ---- single-operator entries: B9, B19, B20, B24, G1, G3, F6 ------------------------------------------------------------
+@register(
+    "side_to_move",
+    f"WITH {SQL_POS} SELECT event_id, CASE WHEN split_part(fen, ' ', 2) = 'w' THEN 'White' ELSE 'Black' END AS side FROM pos",
+)
+def q_side_to_move(spark, sf):
+    from quarry.functions import chess as C
+
+    return positions(spark, sf).select("event_id", C.side_to_move("fen").alias("side"))
+
+
+@register(
+    "parse_list",
+    f"""SELECT p_partkey, {sql_tokens('p_name')}[1] AS first_tag, CAST(len({sql_tokens('p_name')}) AS INTEGER) AS n_tags
+        FROM part""",
+)
+def q_parse_list(spark, sf):
+    """A Python-style list literal (``['small', 'ring']``) held as text, parsed back to an array."""
+    p = table(spark, sf, "part")
+    literal = F.concat(F.lit("['"), F.array_join(T.tags("p_name"), "', '"), F.lit("']"))
+    parsed = T.parse_list(literal)
+    return p.select("p_partkey", F.get(parsed, 0).alias("first_tag"), F.size(parsed).cast("int").alias("n_tags"))
+
+
+@register(
+    "plain_json",
+    "SELECT doc_id, to_json({'doc_id': doc_id, 'quality': quality, 'toxic': toxic}) AS record FROM labels",
+)
+def q_plain_json(spark, sf):
+    """Nested values rendered as plain JSON text."""
+    lab = table(spark, sf, "labels")
+    return lab.select("doc_id", T.to_plain_json(F.struct("doc_id", "quality", "toxic")).alias("record"))
+
+
+@register(
+    "is_blank",
+    f"SELECT doc_id, text IS NULL OR NOT regexp_matches(text, '[^{SQL_SPACE[1:]}') AS blank FROM documents",
+)
+def q_is_blank(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.is_blank("text").alias("blank"))
+
+
+@register("distinct_keys", "SELECT DISTINCT user_id FROM events")
+def q_distinct_keys(spark, sf):
+    return joins.distinct_keys(table(spark, sf, "events"), "user_id")
+
+
+@register("append_batches", "SELECT event_id, event_type, value FROM events")
+def q_append_batches(spark, sf):
+    """Two result batches (the events before and after the first of the month's 15th day) appended by
+    column name; the second batch lists its columns in another order."""
+    ev = table(spark, sf, "events")
+    first = ev.filter(F.dayofmonth("ts") < 15).select("event_id", "event_type", "value")
+    second = ev.filter(F.dayofmonth("ts") >= 15).select("value", "event_id", "event_type")
+    return joins.append(first, second)
+
+
+@register(
+    "tag_preview",
+    f"SELECT tag, count(*) AS freq FROM ({SQL_TAGS}) GROUP BY tag ORDER BY freq DESC, tag LIMIT 10",
+)
+def q_tag_preview(spark, sf):
+    """bounded preview (first ten) of the descending tag listing."""
+    from quarry.operators.order import preview
+
+    return preview(tags.tag_listing_desc(table(spark, sf, "part"), "p_name"), [F.desc("freq"), "tag"], 10)
