@@ -21,3 +21,21 @@ def test_ranks_are_a_permutation_and_halves_exact(spark, ids, seed):
     a, b = order.halves(df, "id", seed)
     pa, pb = {r.pos for r in a.collect()}, {r.pos for r in b.collect()}
     assert len(pa) == len(ids) // 2 and not (pa & pb) and len(pa | pb) == len(ids)
+
+
+tag_lists = st.lists(st.sampled_from("abcdef"), min_size=0, max_size=4).map(" ".join)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 25), tag_lists), min_size=1, max_size=60),
+       st.integers(1, 5), st.integers(1, 6))
+def test_quota_selection_matches_sequential_model(spark, rows, n, k):
+    from tests.test_quota import sequential
+
+    from quarry.operators.quota import quota_assignments
+
+    data = [(pos, f"id{i}", tags) for pos, (i, tags) in enumerate(rows)]
+    want, _ = sequential(data, n, k)
+    df = spark.createDataFrame(data, "src_pos int, id string, tags string")
+    got = sorted((r.src_pos, r.id, r.tag) for r in quota_assignments(df, "id", "tags", "src_pos", n, k).collect())
+    assert got == want
