@@ -892,7 +892,7 @@ def q_parse_list(spark, sf):
 
 @register(
     "plain_json",
-    "SELECT doc_id, to_json({'doc_id': doc_id, 'quality': quality, 'toxic': toxic}) AS record FROM labels",
+    "SELECT doc_id, CAST(to_json({'doc_id': doc_id, 'quality': quality, 'toxic': toxic}) AS VARCHAR) AS record FROM labels",
 )
 def q_plain_json(spark, sf):
     """Nested values rendered as plain JSON text."""
