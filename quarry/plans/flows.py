@@ -165,3 +165,16 @@ def evaluate_flow(responses: DataFrame, test_records: DataFrame, max_tokens: int
     )
     summary = scoring.eval_summary(rows, by, "score", "num_tokens", "clipped")
     return rows, summary
+
+
+def checkpoint_report(responses: DataFrame, test_records: DataFrame, max_tokens: int = 1024):
+    """Evaluation of several checkpoints at once: ``responses`` carry ``stage`` and ``step``.
+
+    Returns ``(summary, curve, best)``: per-checkpoint summaries (D5), the accuracy curve with the running
+    best per stage (D10), and the best step per stage, ties to the lowest step (D8).
+    """
+    from quarry.operators import scoring
+
+    _, summary = evaluate_flow(responses, test_records, max_tokens, by=["stage", "step"])
+    acc = summary.select("stage", "step", "accuracy")
+    return summary, scoring.eval_curve(acc), scoring.best_checkpoint(acc)

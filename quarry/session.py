@@ -24,10 +24,11 @@ ENGINE_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quarry") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quarry",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and benches (never used by library code)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in ENGINE_CONF.items():
+    for k, v in {**ENGINE_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

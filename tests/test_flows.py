@@ -64,3 +64,21 @@ def test_flows(spark):
     assert e.score == 0.5 and e.num_tokens == 12 and e.clipped
     sm = summary.first()
     assert (sm.prompts, sm.accuracy, sm.clipped) == (1, 0.5, 1)
+
+
+def test_checkpoint_report(spark):
+    test = spark.createDataFrame(
+        [("t0", "e2e4"), ("t1", "d2d4")], "prompt_id string, gt string"
+    ).select("prompt_id", F.struct(F.col("gt").alias("ground_truth"), F.lit("rule").alias("style")).alias("reward_model"),
+             F.array(F.struct(F.lit("user").alias("role"), F.lit("q").alias("content"))).alias("prompt"),
+             F.create_map(F.lit("fen"), F.lit("x")).alias("extra_info"))
+    resp = spark.createDataFrame(
+        [("rl", 10, "t0", 0, "FINAL_ANSWER: e2e4"), ("rl", 10, "t1", 0, "no"),
+         ("rl", 20, "t0", 0, "FINAL_ANSWER: e2e4"), ("rl", 20, "t1", 0, "FINAL_ANSWER: d2d4"),
+         ("rl", 30, "t0", 0, "FINAL_ANSWER: e2e4"), ("rl", 30, "t1", 0, "FINAL_ANSWER: d2d4")],
+        "stage string, step int, prompt_id string, sample int, text string",
+    )
+    summary, curve, best = flows.checkpoint_report(resp, test, max_tokens=64)
+    assert {(r.step, r.accuracy) for r in summary.collect()} == {(10, 0.5), (20, 1.0), (30, 1.0)}
+    assert [r.running_best for r in curve.orderBy("step").collect()] == [0.5, 1.0, 1.0]
+    assert [(r.stage, r.best_step) for r in best.collect()] == [("rl", 20)]
