@@ -88,3 +88,13 @@ def test_pruning_tree_levels_match_sequential(spark):
     want, _ = sequential(rows, 4, 3)
     got = sorted((r.src_pos, r.id, r.tag) for r in quota_assignments(cand_df, "id", "tags", "src_pos", 4, 3).collect())
     assert got == want
+
+
+def test_array_tags_give_same_selection(spark):
+    from quarry.functions.text import tags as tag_array
+
+    df = _df(spark, FIXTURE)
+    arr = df.withColumn("tag_list", tag_array("tags")).drop("tags")
+    a = sorted(tuple(r) for r in quota_assignments(df, "id", "tags", "src_pos", 1, 3).collect())
+    b = sorted(tuple(r) for r in quota_assignments(arr, "id", "tag_list", "src_pos", 1, 3, split=False).collect())
+    assert a == b
