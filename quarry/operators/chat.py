@@ -1,7 +1,8 @@
 """Render message lists into one training / inference string with a generation marker.
 
 The template is a parameter (the reference takes it from the model's tokenizer). Messages held as rows
-``(conversation, turn, role, text)`` are gathered per conversation; messages already held as an
+``(conversation, turn, role, text)`` are rendered in place and gathered per conversation in two levels
+(turn chunks, then conversations); messages already held as an
 ``array<struct<role, content>>`` column are rendered in place without any shuffle.
 """
 
@@ -37,6 +38,16 @@ def render_messages(messages, template: ChatTemplate = DEFAULT_TEMPLATE, add_gen
     return F.concat(body, F.lit(template.generation)) if add_generation else body
 
 
+# Turns rendered together in the first gather; a conversation of any length is cut into groups of at
+# most this many turns, so a hot conversation is spread over many aggregation groups and tasks.
+CHUNK_TURNS = 256
+
+
+def _joined(parts: Column) -> Column:
+    """Concatenate the ``_s`` strings of an ``array<struct<order key, _s>>`` in key order."""
+    return F.array_join(F.transform(F.array_sort(parts), lambda x: x["_s"]), "")
+
+
 def render_chat(
     df: DataFrame,
     conv: str = "conv_id",
@@ -46,15 +57,27 @@ def render_chat(
     template: ChatTemplate = DEFAULT_TEMPLATE,
     add_generation: bool = True,
     out: str = "rendered",
+    chunk_turns: int = CHUNK_TURNS,
 ) -> DataFrame:
     """One row per conversation: its messages ordered by turn and rendered with ``template``.
 
-    The gather is one partial ``collect_list`` per conversation; a conversation is bounded by the model's
-    context length, so its messages fit in one task.
+    Each message is rendered row-locally in the scan stage. The first gather joins the messages of one
+    ``(conversation, turn // chunk_turns)`` group, so no group holds more than ``chunk_turns`` turns
+    (for distinct turn numbers) however long the conversation is. The second gather joins one string
+    per chunk; what it holds is the rendered conversation itself, i.e. the output row.
     """
-    msgs = df.groupBy(conv).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(turn).alias("t"), F.col(role).alias("role"),
-                                             F.col(text).alias("content")))).alias("_m"),
-        F.count("*").alias("turns"),
+    msgs = df.select(
+        conv,
+        F.col(turn).alias("_t"),
+        template.message(F.col(role), F.col(text)).alias("_s"),
+    )
+    chunks = msgs.groupBy(conv, F.floor(F.col("_t") / F.lit(chunk_turns)).alias("_c")).agg(
+        _joined(F.collect_list(F.struct("_t", "_s"))).alias("_s"),
+        F.count("*").alias("_n"),
+    )
+    convs = chunks.groupBy(conv).agg(
+        _joined(F.collect_list(F.struct("_c", "_s"))).alias("_body"),
+        F.sum("_n").alias("turns"),
     )
-    return msgs.select(conv, "turns", render_messages("_m", template, add_generation).alias(out))
+    body = F.concat(F.col("_body"), F.lit(template.generation)) if add_generation else F.col("_body")
+    return convs.select(conv, "turns", body.alias(out))

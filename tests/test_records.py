@@ -76,3 +76,12 @@ def test_registry_dispatch_and_sql(spark):
     df.createOrReplaceTempView("reg_t")
     got = spark.sql("SELECT score_chess_puzzles(r, t).score AS s FROM reg_t").collect()
     assert [x.s for x in got] == [1.0, 0.0, 0.0]
+
+
+def test_render_chat_long_conversation_in_chunks(spark):
+    # one conversation holding most rows: turn chunks of 3 are joined first, then the chunks in order
+    rows = [(7, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(50)] + [(8, 0, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string").repartition(4)
+    got = {r.conv_id: (r.turns, r.rendered) for r in render_chat(df, chunk_turns=3).collect()}
+    want = "".join(f"<|{'user' if t % 2 == 0 else 'assistant'}|>\nm{t}\n" for t in range(50)) + "<|assistant|>\n"
+    assert got[7] == (50, want) and got[8] == (1, "<|user|>\nx\n<|assistant|>\n")
