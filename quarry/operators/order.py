@@ -100,14 +100,24 @@ def shuffle_rank(
         is_hot = F.exists(mine, lambda x: x["h"] == F.col("_h"))
         before = F.size(F.filter(mine, lambda x: x["h"] < F.col("_h")))
         subs = F.aggregate(F.filter(mine, lambda x: x["h"] == F.col("_h")), F.lit(1), lambda acc, x: x["n"])
-        # the row id is stable for a given input split (task retries re-read the same split)
-        keyed = keyed.withColumn("_hot", is_hot).withColumn(
+        # Rows of the buckets holding hot ids get their gap / sub-bucket and are written once to the
+        # shared checkpoint folder. Exact copies of a row are told apart only by a row id, which is not
+        # reproducible when the input comes out of a shuffle; reading the written rows makes the counts
+        # and the ranks see the same assignment, and survives executor loss. Only the hot buckets are
+        # written (each holds more than ``hot_threshold`` rows of one id); the rest is not touched.
+        hot_buckets = sorted({b for _, b, _ in hot})
+        in_hot = F.col("_b").isin(hot_buckets)
+        marked = keyed.filter(in_hot).withColumn("_hot", is_hot).withColumn(
             "_g", (F.lit(2) * before + F.col("_hot").cast("int")).cast("int")
         ).withColumn(
             "_m", F.when(F.col("_hot"), F.monotonically_increasing_id())
         ).withColumn(
             "_s", F.when(F.col("_hot"), F.pmod(F.xxhash64("_t", "_m"), subs)).otherwise(F.lit(0)).cast("int")
+        ).drop("_hot")
+        cold = keyed.filter(~in_hot).select(
+            "*", F.lit(0).alias("_g"), F.lit(None).cast("bigint").alias("_m"), F.lit(0).alias("_s")
         )
+        keyed = cold.unionByName(cut_lineage(marked))
         seg = ["_b", "_g", "_s"]
         within = ["_h", id_col, "_t", "_m"]
         counts = cut_lineage(keyed.groupBy(*seg).agg(F.count("*").alias("_n")))  # + hot ids x sub-buckets

@@ -99,3 +99,15 @@ def test_published_batch_counts(spark):
     assert order.assign_batches(sft, "pid", 256).select("batch").distinct().count() == 155
     kept = order.assign_batches(rl, "pid", 96, drop_last=True)
     assert kept.select("batch").distinct().count() == 412 and kept.count() == 412 * 96
+
+
+def test_hot_exact_copies_out_of_a_shuffle(spark):
+    # the input is an aggregate's output re-expanded: 300 exact copies of one row (a hot group of copies)
+    # plus 500 unique ids, arriving in shuffle order; ranks must still be a permutation of 1..N
+    base = spark.createDataFrame([(7, 300)] + [(i, 1) for i in range(2000, 2500)], "id long, c int")
+    df = (base.groupBy("id").agg(F.sum("c").alias("c"))
+          .select("id", F.explode(F.sequence(F.lit(1), F.col("c"))).alias("_x")).drop("_x"))
+    got = order.shuffle_rank(df, "id", 42, hex_digits=1, hot_threshold=40).collect()
+    assert sorted(r.shuffle_rank for r in got) == list(range(1, 801))
+    block = sorted(r.shuffle_rank for r in got if r.id == 7)
+    assert block == list(range(block[0], block[0] + 300))
