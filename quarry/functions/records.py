@@ -98,7 +98,8 @@ def teacher_prompt(fen, board, pieces, side, opponent_move, move, rating, themes
         "FEN: {fen}\nBoard:\n{board}\nPieces: {pieces}\nSide to Move: {side}\nOpponent's Last Move: {opp}\n"
         "Solution: {move}\nRating: {rating}\nThemes: {themes}\nLegal Moves: {legal}"
     )
-    cont_moves = F.array_join(F.slice(F.split(_col(moves), " "), 2, 1 << 16), " ")
+    all_moves = F.split(_col(moves), " ")
+    cont_moves = F.array_join(F.slice(all_moves, 2, F.greatest(F.size(all_moves) - 1, F.lit(0))), " ")
     values = {
         "fen": _col(fen),
         "board": _col(board),

@@ -685,7 +685,7 @@ def q_board_text(spark, sf):
     "parse_moves",
     f"""WITH {SQL_MOVES}
         SELECT event_id, string_split(moves, ' ')[1] AS opponent, string_split(moves, ' ')[2] AS answer,
-               array_to_string(list_slice(string_split(moves, ' '), 2, 1000), ' ') AS continuation
+               array_to_string(list_slice(string_split(moves, ' '), 2, len(string_split(moves, ' '))), ' ') AS continuation
         FROM mv""",
 )
 def q_parse_moves(spark, sf):

@@ -1,0 +1,79 @@
+"""The registered prompt queries against prompts built in plain Python.
+
+The prompt queries have no SQL oracle (they embed legal-move lists), so they are checked here over the
+whole sf0.001 events table: legal moves come from the brute-force generator of
+``test_board_bruteforce``, the inventory, board text and side from direct string handling.
+"""
+
+import pandas as pd
+
+from quarry.functions.records import STUDENT_LINES, TEACHER_HEAD, TEACHER_TASK
+from quarry.plans import catalog
+from tests.test_board_bruteforce import legal, make, parse, uci
+from tests.test_board_bruteforce import fen as to_fen
+
+SF = "/root/testdata/sf0.001"
+KINDS = [("K", "King"), ("Q", "Queen"), ("R", "Rook"), ("B", "Bishop"), ("N", "Knight"), ("P", "Pawn")]
+
+
+def rows_of(fen):
+    out = []
+    for row in fen.split()[0].split("/"):
+        out.append("".join("." * int(c) if c.isdigit() else c for c in row))
+    return out
+
+
+def inventory(fen):
+    squares = {}
+    for i, row in enumerate(rows_of(fen)):
+        for f, c in enumerate(row):
+            if c != ".":
+                squares.setdefault(c, []).append("abcdefgh"[f] + str(8 - i))
+    parts = []
+    for white in (True, False):
+        for letter, kind in KINDS:
+            ch = letter if white else letter.lower()
+            if ch in squares:
+                parts.append(f"{'White' if white else 'Black'} {kind}: {sorted(squares[ch])}")
+    return ", ".join(parts)
+
+
+def moves_of(fen):
+    return sorted(uci(m) for m in legal(parse(fen)))
+
+
+def test_student_prompts_query(spark):
+    got = {r.event_id: r.prompt for r in catalog.QUERIES["student_prompts"](spark, SF).collect()}
+    events = pd.read_parquet(f"{SF}/events.parquet", columns=["event_id"])
+    assert len(got) == len(events)
+    cache = {}
+    for eid in events.event_id:
+        fen = catalog.POSITIONS[eid % len(catalog.POSITIONS)][0]
+        if fen not in cache:
+            cache[fen] = "\n".join(STUDENT_LINES).format(fen=fen, pieces=inventory(fen), moves=", ".join(moves_of(fen)))
+        assert got[eid] == cache[fen], eid
+
+
+def test_teacher_prompts_query(spark):
+    got = {r.event_id: r.prompt for r in catalog.QUERIES["teacher_prompts"](spark, SF).collect()}
+    events = pd.read_parquet(f"{SF}/events.parquet", columns=["event_id", "value", "event_type"])
+    want = {}
+    for eid, value, etype in events.itertuples(index=False):
+        start, moves, _ = catalog.MOVE_CASES[eid % len(catalog.MOVE_CASES)]
+        seq = moves.split()
+        if len(seq) < 2:
+            continue  # no answer move: not a puzzle row
+        pos = parse(start)
+        (opp,) = [m for m in legal(pos) if uci(m) == seq[0]]
+        after = to_fen(make(pos, opp))
+        themes = f"{etype} {'mateIn1' if eid % 2 == 0 else 'fork'}"
+        board = "\n".join(" ".join(r) for r in rows_of(after))
+        side = "White" if after.split()[1] == "w" else "Black"
+        ctx = (f"FEN: {after}\nBoard:\n{board}\nPieces: {inventory(after)}\nSide to Move: {side}\n"
+               f"Opponent's Last Move: {seq[0]}\nSolution: {seq[1]}\nRating: {int(value)}\n"
+               f"Themes: {themes.replace(' ', ', ')}\nLegal Moves: {', '.join(moves_of(after))}")
+        pv = "" if "mateIn1" in themes else "\nPV: " + " ".join(seq[1:])
+        want[eid] = TEACHER_HEAD + ctx + pv + TEACHER_TASK.format(move=seq[1])
+    assert set(got) == set(want)
+    for eid, text in want.items():
+        assert got[eid] == text, eid
