@@ -167,23 +167,33 @@ def q_dataset_profile(spark, sf):
 
 
 # ---- E3 / D6 --------------------------------------------------------------------------------------------
-def _sql_quota(n: int, k: int) -> str:
-    """Sequential definition unrolled: theme r takes its first n ids not taken by themes < r."""
+def _sql_quota_ctes(n: int, k: int, src: str = "part", pos: str = "p_partkey", x: str = "") -> list[str]:
+    """Sequential definition unrolled: theme r takes its first n ids not taken by themes < r.
+
+    ``src`` is a relation with ``p_partkey``, ``p_name`` and the source-order column ``pos``; the CTE
+    names carry the suffix ``x`` so that several selections can share one query."""
     ctes = [
-        f"freq AS (SELECT tag, count(*) AS freq FROM ({SQL_TAGS}) GROUP BY tag)",
-        f"themes AS (SELECT tag, CAST(row_number() OVER (ORDER BY freq, tag) - 1 AS INTEGER) AS r "
-        f"FROM freq ORDER BY freq, tag LIMIT {k})",
-        f"pairs AS (SELECT DISTINCT p.p_partkey AS id, p.p_partkey AS pos, t.tag, t.r FROM "
-        f"(SELECT p_partkey, unnest({sql_tokens('p_name')}) AS tag FROM part) p JOIN themes t ON p.tag = t.tag)",
+        f"freq{x} AS (SELECT tag, count(*) AS freq FROM (SELECT unnest({sql_tokens('p_name')}) AS tag FROM {src}) "
+        f"GROUP BY tag)",
+        f"themes{x} AS (SELECT tag, CAST(row_number() OVER (ORDER BY freq, tag) - 1 AS INTEGER) AS r "
+        f"FROM freq{x} ORDER BY freq, tag LIMIT {k})",
+        f"pairs{x} AS (SELECT DISTINCT p.p_partkey AS id, p.pos, t.tag, t.r FROM "
+        f"(SELECT p_partkey, {pos} AS pos, unnest({sql_tokens('p_name')}) AS tag FROM {src}) p "
+        f"JOIN themes{x} t ON p.tag = t.tag)",
     ]
     for r in range(k):
-        prev = " UNION ALL ".join(f"SELECT id FROM s{j}" for j in range(r)) or "SELECT NULL::BIGINT AS id WHERE false"
+        prev = (" UNION ALL ".join(f"SELECT id FROM s{x}_{j}" for j in range(r))
+                or "SELECT NULL::BIGINT AS id WHERE false")
         ctes.append(
-            f"s{r} AS (SELECT id, min(pos) AS pos, {r} AS r FROM pairs WHERE r = {r} "
+            f"s{x}_{r} AS (SELECT id, min(pos) AS pos, {r} AS r FROM pairs{x} WHERE r = {r} "
             f"AND id NOT IN ({prev}) GROUP BY id ORDER BY pos LIMIT {n})"
         )
-    union = " UNION ALL ".join(f"SELECT * FROM s{r}" for r in range(k))
-    return "WITH " + ",\n".join(ctes) + f",\nsel AS ({union})\n"
+    union = " UNION ALL ".join(f"SELECT * FROM s{x}_{r}" for r in range(k))
+    return ctes + [f"sel{x} AS ({union})"]
+
+
+def _sql_quota(n: int, k: int) -> str:
+    return "WITH " + ",\n".join(_sql_quota_ctes(n, k)) + "\n"
 
 
 ORACLES_QUOTA_SELECT = (
@@ -210,6 +220,40 @@ def q_quota_shortfall(spark, sf):
     return quota.quota_shortfall(table(spark, sf, "part"), "p_partkey", "p_name", "p_partkey", SHORT_N, QUOTA_K)
 
 
+# ---- section 3.1: the selection flow (E1, E2, D1, F1, E3, E1 again) --------------------------------------------
+_SQL_HALVES = [
+    f"ranked AS (SELECT p_partkey, p_name, row_number() OVER (ORDER BY md5(concat(p_partkey, ':{SEED}')), p_partkey) "
+    f"AS pos FROM part)",
+    "halfA AS (SELECT * FROM ranked WHERE pos <= (SELECT count(*) FROM part) // 2)",
+    "halfB AS (SELECT * FROM ranked WHERE pos > (SELECT count(*) FROM part) // 2)",
+]
+
+
+@register(
+    "select_flow",
+    "WITH " + ",\n".join(
+        _SQL_HALVES + _sql_quota_ctes(QUOTA_N, QUOTA_K, "halfA", "pos", "A")
+        + _sql_quota_ctes(QUOTA_N, QUOTA_K, "halfB", "pos", "B")
+        + ["picked AS (SELECT 'A' AS half, s.id, t.tag AS theme, t.r AS theme_rank FROM selA s JOIN themesA t "
+           "ON s.r = t.r UNION ALL SELECT 'B', s.id, t.tag, t.r FROM selB s JOIN themesB t ON s.r = t.r)"]
+    )
+    + f"""
+SELECT half, id AS p_partkey, theme, theme_rank,
+       CAST(row_number() OVER (PARTITION BY half ORDER BY md5(concat(id, ':{SEED}')), id) AS BIGINT) AS shuffle_rank
+FROM picked""",
+)
+def q_select_flow(spark, sf):
+    """Stage 0 of the reference: shuffle the puzzles, halve them, pick a rare-theme-balanced subset of each
+    half (source order = the shuffle rank), and shuffle each selection."""
+    from quarry.plans import flows
+
+    out = flows.select_flow(table(spark, sf, "part").select("p_partkey", "p_name"), "p_partkey", "p_name", SEED,
+                            QUOTA_N, QUOTA_K, QUOTA_N, QUOTA_K)
+    cols = ["p_partkey", "theme", "theme_rank", "shuffle_rank"]
+    return out["sft"].select(F.lit("A").alias("half"), *cols).unionByName(
+        out["rl"].select(F.lit("B").alias("half"), *cols))
+
+
 # ---- E1 / E2 / E6 / E7 --------------------------------------------------------------------------------------
 SQL_ORDER_RANK = f"row_number() OVER (ORDER BY md5(concat(o_orderkey, ':{SEED}')), o_orderkey)"
 

@@ -43,9 +43,12 @@ def select_flow(puzzles: DataFrame, id_col: str = "PuzzleId", tags_col: str = "T
     D2 profiles. The source order inside a half is its E1 rank, as in the reference.
     """
     from quarry.operators import order, quota, tags
+    from quarry.session import cut_lineage
 
-    ranked = order.split_halves(puzzles, id_col, seed)
-    ranked = ranked.withColumnRenamed("_rank", "src_pos")
+    # Both selections read the ranked halves several times (tag counts, candidates, join back); they are
+    # written once to the shared checkpoint folder instead of re-running the rank's shuffle per read, as
+    # the reference caches its halves on disk.
+    ranked = cut_lineage(order.split_halves(puzzles, id_col, seed).withColumnRenamed("_rank", "src_pos"))
     out = {}
     for name, half, n, k in (("sft", "A", n_sft, k_sft), ("rl", "B", n_rl, k_rl)):
         part = ranked.filter(F.col("half") == half).drop("half")
