@@ -17,10 +17,17 @@ def _r6(c: Column) -> Column:
     return F.round(c, 6)
 
 
-def score_responses(df: DataFrame, text: str, truth: str, out: str = "score") -> DataFrame:
-    """B15 applied to a table: adds ``score`` (and ``binary_score``)."""
-    s = answer_score(text, truth)
-    return df.withColumn(out, s["score"]).withColumn("binary_score", s["binary_score"])
+def score_responses(df: DataFrame, text: str, truth: str, out: str = "score", answer: str | None = None) -> DataFrame:
+    """B15 applied to a table: adds ``score`` (and ``binary_score``, equal to it for this scorer).
+
+    ``answer`` names a column already holding ``extract_answer(text)``; the score is then derived from it,
+    so the answer pattern runs once per row. ``binary_score`` is a copy of the score column, not a second
+    evaluation."""
+    if answer is None:
+        hit = answer_score(text, truth)["score"]
+    else:
+        hit = F.coalesce((F.col(answer) == F.lower(F.col(truth))).cast("double"), F.lit(0.0))
+    return df.withColumn(out, hit).withColumn("binary_score", F.col(out))
 
 
 # ---- E4 / D3: attempts ------------------------------------------------------------------------------

@@ -126,7 +126,7 @@ scored2 AS (
 
 def scored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = responses(spark, sf_dir)
-    return scoring.score_responses(r.withColumn("answer", T.extract_answer("text")), "text", "truth")
+    return scoring.score_responses(r.withColumn("answer", T.extract_answer("text")), "text", "truth", answer="answer")
 
 
 # ---- B1 / D1 / F1 / F3 / D2 ----------------------------------------------------------------------------
@@ -320,7 +320,8 @@ SQL_OVERLAP_IDS = f"""
 )
 def q_exclude_overlap(spark, sf):
     """J2 at key grain: the first four tokens of a document against those of every benchmark text."""
-    docs = table(spark, sf, "documents").select("doc_id", T.prefix_key("text").alias("key"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = docs.select("doc_id", T.prefix_key("text").alias("key"))
     test = table(spark, sf, "benchmark").select(T.prefix_key("text").alias("key"))
     return joins.exclude_overlap(docs, test.filter(F.col("key").isNotNull()), "key")
 
@@ -527,6 +528,8 @@ def q_render_chat(spark, sf):
 
 
 # ---- B26 / B27 / B5 / B3 / B4 ------------------------------------------------------------------------------------------
+# Tokenising whole documents (up to 20,000 words each) is the heaviest per-row work of the catalog; a
+# single-file input is spread over the cores first (a no-op on inputs with more partitions than cores).
 @register(
     "drop_overlong",
     f"""SELECT doc_id, CAST(len({sql_tokens('text')}) AS INTEGER) AS n_tokens FROM documents
@@ -535,7 +538,7 @@ def q_render_chat(spark, sf):
 def q_drop_overlong(spark, sf):
     from quarry.functions.records import drop_overlong
 
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return drop_overlong(d, "text", OVERLONG).select("doc_id", T.token_count("text").alias("n_tokens"))
 
 
@@ -544,7 +547,7 @@ def q_drop_overlong(spark, sf):
     f"SELECT doc_id, array_to_string(list_slice({sql_tokens('text')}, 1, {TRUNCATE}), ' ') AS truncated FROM documents",
 )
 def q_truncate_tokens(spark, sf):
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return d.select("doc_id", T.truncate_tokens("text", TRUNCATE).alias("truncated"))
 
 
@@ -553,7 +556,8 @@ def q_truncate_tokens(spark, sf):
     f"SELECT doc_id, array_to_string(list_slice({sql_tokens('text')}, 1, 4), ' ') AS key FROM documents",
 )
 def q_prefix_key(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.prefix_key("text", 4).alias("key"))
+    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return d.select("doc_id", T.prefix_key("text", 4).alias("key"))
 
 
 @register(
