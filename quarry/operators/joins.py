@@ -36,9 +36,11 @@ def pending(
     on: str = "PuzzleId",
     order_cols: list[str] | None = None,
     max_rows: int | None = None,
+    dense: bool = False,
 ) -> DataFrame:
-    """Rows of the target prefix whose id is not in the done set (resume)."""
-    target = first_n(df, order_cols or [on], max_rows)
+    """Rows of the target prefix whose id is not in the done set (resume). ``dense``: the order
+    column is a gap-free 1-based rank, so the prefix is a filter (see ``first_n``)."""
+    target = first_n(df, order_cols or [on], max_rows, dense)
     return difference_by_key(target, done, on)
 
 

@@ -172,13 +172,20 @@ def sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42, out: str = "sam
     return top.select(*cols, F.row_number().over(w).cast("bigint").alias(out))
 
 
-def first_n(df: DataFrame, order_cols: list[str], n: int | None) -> DataFrame:
+def first_n(df: DataFrame, order_cols: list[str], n: int | None, dense: bool = False) -> DataFrame:
     """the first ``n`` rows by an explicit order column (all rows when ``n`` is None).
 
-    File order is not stable in Spark, so the order must be a column.
+    File order is not stable in Spark, so the order must be a column. ``dense=True`` states that the single
+    order column is a 1-based rank without gaps (as ``shuffle_rank`` is): the prefix is then the filter
+    ``rank <= n``, which needs no sort, runs in every task and reaches the scan. Otherwise a top-n
+    (TakeOrderedAndProject) keeps n rows per map task and merges them in one task, meant for small n.
     """
     if n is None:
         return df
+    if dense:
+        if len(order_cols) != 1:
+            raise ValueError("dense prefix needs exactly one rank column")
+        return df.filter(F.col(order_cols[0]) <= F.lit(n))
     return df.orderBy(*order_cols).limit(n)
 
 

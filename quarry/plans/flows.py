@@ -61,13 +61,20 @@ def select_flow(puzzles: DataFrame, id_col: str = "PuzzleId", tags_col: str = "T
 # ---- 3.2 distillation --------------------------------------------------------------------------------------------
 def teacher_rows(selected: DataFrame, done: DataFrame | None = None, id_col: str = "PuzzleId",
                  max_rows: int | None = None) -> DataFrame:
-    """Pending puzzles with the position after the opponent's move, the answer and the teacher prompt."""
+    """Pending puzzles with the position after the opponent's move, the answer and the teacher prompt.
+
+    The target is the first ``max_rows`` rows of the selection in its saved order, i.e. the final shuffle
+    (``shuffle_rank``, a gap-free rank, so the prefix is a filter); rows of ``done`` are then skipped."""
     from quarry.functions import chess as C
     from quarry.functions.records import teacher_prompt
-    from quarry.operators import board, joins
-
-    rows = joins.pending(selected, done, id_col, ["src_pos"] if "src_pos" in selected.columns else [id_col],
-                         max_rows) if done is not None else selected
+    from quarry.operators import board, joins, order
+
+    ranked = "shuffle_rank" in selected.columns
+    order_cols = ["shuffle_rank"] if ranked else [id_col]
+    if done is not None:
+        rows = joins.pending(selected, done, id_col, order_cols, max_rows, dense=ranked)
+    else:
+        rows = order.first_n(selected, order_cols, max_rows, dense=ranked)
     mv = C.parse_moves("Moves")
     rows = board.apply_moves(rows, "FEN", mv["opponent"]).withColumn("best_move", mv["answer"])
     rows = board.legal_moves(rows, "fen_after", out="legal_moves")

@@ -26,6 +26,13 @@ def test_flows(spark):
     total = sel["sft"].count() + sel["rl"].count()
     assert 0 < total <= 6
     rows = flows.teacher_rows(pz)
+    # the distillation target is the first rows of the selection in its final shuffle order
+    shuffled = sel["sft"].unionByName(sel["rl"].drop("shuffle_rank")
+                                      .withColumn("shuffle_rank", F.col("src_pos") * 0 + 100 + F.col("src_pos")))
+    first2 = {x.PuzzleId for x in sel["sft"].filter("shuffle_rank <= 2").collect()}
+    assert {x.PuzzleId for x in flows.teacher_rows(shuffled, max_rows=2).collect()} == first2
+    none_done = spark.createDataFrame([("zz",)], "PuzzleId string")
+    assert {x.PuzzleId for x in flows.teacher_rows(shuffled, none_done, max_rows=2).collect()} == first2
     r = {x.PuzzleId: x for x in rows.collect()}
     assert r["p0"].fen_after == "rnbqkbnr/pppppppp/8/8/4P3/8/PPPP1PPP/RNBQKBNR b KQkq - 0 1"
     assert r["p0"].best_move == "e7e5" and "e7e5" in r["p0"].legal_moves and len(r["p0"].legal_moves) == 20

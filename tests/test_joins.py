@@ -58,3 +58,17 @@ def test_status_order_invalid_before_excluded(spark):
     assert st == {1: "excluded", 2: "kept", 3: "invalid", 4: "invalid", 5: "excluded"}
     counts = {r.status: r.rows for r in status_counts(classify(docs, "id", "text", done, test)).collect()}
     assert counts == {"excluded": 2, "kept": 1, "invalid": 2}
+
+
+def test_dense_prefix_is_a_filter_equal_to_top_n(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.operators import order
+
+    df = spark.range(1, 201).select(F.col("id").alias("rank"), (F.col("id") * 7 % 13).alias("v")).repartition(5)
+    dense = order.first_n(df, ["rank"], 37, dense=True)
+    assert "TakeOrdered" not in dense._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.rank for r in dense.collect()) == list(range(1, 38))
+    assert sorted(r.rank for r in order.first_n(df, ["rank"], 37).collect()) == list(range(1, 38))
+    done = spark.createDataFrame([(3,), (5,)], "rank long")
+    assert len(joins.pending(df, done, "rank", ["rank"], 10, dense=True).collect()) == 8
