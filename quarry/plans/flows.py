@@ -101,35 +101,49 @@ def accept_flow(rows: DataFrame, attempts: DataFrame, id_col: str = "PuzzleId",
 
 
 # ---- 3.3 formatting ----------------------------------------------------------------------------------------------
-def format_flow(distilled: DataFrame, test_keys: DataFrame, require_correct: bool = False):
-    """Status per row (invalid / excluded / kept), then SFT and RL records from the kept rows.
+def format_flow(distilled: DataFrame, test_keys: DataFrame, require_correct: bool = False,
+                rl_rows: DataFrame | None = None):
+    """Stage 2: SFT records from the distilled rows and RL records from the RL selection.
+
+    SFT: a row without a position or reasoning text is ``invalid`` (checked before overlap, N12), a row
+    whose position key is a test key is ``excluded``, the rest is ``kept``. RL: the position after the
+    opponent's move and the answer move are derived from ``FEN`` and ``Moves`` of ``rl_rows`` (the RL
+    half of the selection; the distilled rows when omitted); a row without them is ``invalid`` (N10),
+    then test positions are ``excluded``.
 
     ``test_keys``: one column ``key`` of position keys (first four fields) of the test set.
-    Returns ``(sft, rl, status_counts)``.
+    Returns ``(sft, rl, status_counts)``; the counts are ``(dataset, status, rows)``.
     """
     from quarry.functions import chess as C
     from quarry.functions.records import student_prompt, to_rl, to_sft
     from quarry.functions.text import prefix_key, tags
-    from quarry.operators import board, joins, scoring
+    from quarry.operators import board, joins
 
-    keyed = distilled.withColumn("key", prefix_key("fen_after"))
-    flagged = joins.flag_overlap(keyed, test_keys, "key", out="_overlap")
-    status = (
-        # A row without a position, reasoning text or answer move is invalid (checked before overlap)
-        F.when(F.col("fen_after").isNull() | is_blank("cot") | F.col("best_move").isNull(), F.lit("invalid"))
-        .when(F.col("_overlap"), F.lit("excluded"))
-        .otherwise(F.lit("kept"))
-    )
-    classified = flagged.withColumn("status", status).drop("_overlap")
-    kept = classified.filter(F.col("status") == "kept")
+    def classify_rows(df: DataFrame, fen: str, invalid) -> DataFrame:
+        flagged = joins.flag_overlap(df.withColumn("key", prefix_key(fen)), test_keys, "key", out="_overlap")
+        status = (F.when(invalid, F.lit("invalid")).when(F.col("_overlap"), F.lit("excluded"))
+                  .otherwise(F.lit("kept")))
+        return flagged.withColumn("status", status).drop("_overlap")
+
+    sft_rows = classify_rows(distilled, "fen_after", F.col("fen_after").isNull() | is_blank("cot"))
+    kept = sft_rows.filter(F.col("status") == "kept")
     if require_correct:
         kept = kept.filter(F.col("correct") == 1)
     kept = board.legal_moves(kept, "fen_after", out="legal_moves")
-    prompt = student_prompt("fen_after", C.piece_inventory("fen_after"), "legal_moves")
-    sft = to_sft(kept, prompt, "cot")
-    rl = to_rl(kept, prompt, "best_move", {"fen": "fen_after", "puzzle_id": "PuzzleId", "rating": "Rating",
-                                            "themes": tags("Themes")})
-    return sft, rl, scoring.status_counts(classified)
+    sft = to_sft(kept, student_prompt("fen_after", C.piece_inventory("fen_after"), "legal_moves"), "cot")
+
+    mv = C.parse_moves("Moves")
+    src = (distilled if rl_rows is None else rl_rows).select("PuzzleId", "FEN", "Moves", "Rating", "Themes")
+    src = board.apply_moves(src, "FEN", mv["opponent"], out="_rl_fen").withColumn("_truth", mv["answer"])
+    rl_status = classify_rows(src, "_rl_fen", F.col("_rl_fen").isNull() | F.col("_truth").isNull())
+    rl_kept = board.legal_moves(rl_status.filter(F.col("status") == "kept"), "_rl_fen", out="legal_moves")
+    rl = to_rl(rl_kept, student_prompt("_rl_fen", C.piece_inventory("_rl_fen"), "legal_moves"), "_truth",
+               {"fen": "_rl_fen", "puzzle_id": "PuzzleId", "rating": "Rating", "themes": tags("Themes")})
+
+    counts = (sft_rows.select(F.lit("sft").alias("dataset"), "status")
+              .unionByName(rl_status.select(F.lit("rl").alias("dataset"), "status"))
+              .groupBy("dataset", "status").agg(F.count("*").alias("rows")))
+    return sft, rl, counts
 
 
 def build_test_set(bench: DataFrame) -> DataFrame:

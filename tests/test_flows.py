@@ -55,13 +55,24 @@ def test_flows(spark):
     t = test.first()
     assert t.extra_info["type"] == "mate" and t.extra_info["k"] == "v"
     sft, rl, counts = flows.format_flow(distilled, flows.test_keys_of(test))
-    assert sft.count() == 0 and {x.status: x.rows for x in counts.collect()} == {"excluded": 1}
-    broken = distilled.withColumn("best_move", F.lit(None).cast("string"))
-    assert {x.status: x.rows for x in flows.format_flow(broken, flows.test_keys_of(test))[2].collect()} == {"invalid": 1}
+    assert sft.count() == 0 and {(x.dataset, x.status, x.rows) for x in counts.collect()} == {
+        ("sft", "excluded", 1), ("rl", "excluded", 1)}
+    broken = distilled.withColumn("cot", F.lit("  "))
+    got = {(x.dataset, x.status) for x in flows.format_flow(broken, flows.test_keys_of(test))[2].collect()}
+    assert got == {("sft", "invalid"), ("rl", "excluded")}
     sft2, rl2, counts2 = flows.format_flow(distilled, flows.test_keys_of(test).filter("false"))
     s = sft2.first()
     assert s.instruction.startswith("You are given a chess position in FEN: ") and s.input == "" and "e7e5" in s.output
     assert rl2.first().extra_info.themes == ["opening", "short"]
+    # RL records come from the RL selection: position after the opponent's move, answer = second move;
+    # a one-move row has no answer and is invalid
+    rl_sel = pz.filter("PuzzleId IN ('p1', 'p3')").withColumn("Moves", F.expr("IF(PuzzleId = 'p3', 'e5d6', Moves)"))
+    _, rl3, counts3 = flows.format_flow(distilled, flows.test_keys_of(test).filter("false"), rl_rows=rl_sel)
+    r3 = rl3.collect()
+    assert [(x.extra_info.puzzle_id, x.reward_model.ground_truth) for x in r3] == [("p1", "h3g2")]
+    assert r3[0].extra_info.fen == "r3k2r/p1ppqpb1/bn2pnp1/3PN3/1p2P3/2N2Q1p/PPPBBPPP/R4RK1 b kq - 1 1"
+    assert {(x.dataset, x.status, x.rows) for x in counts3.collect()} == {
+        ("sft", "kept", 1), ("rl", "kept", 1), ("rl", "invalid", 1)}
 
     resp = spark.createDataFrame(
         [("t0", 0, "FINAL_ANSWER: g1f3 " + "w " * 10), ("t0", 1, "nothing")], "prompt_id string, sample int, text string"
