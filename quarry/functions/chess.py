@@ -182,4 +182,6 @@ def apply_move(fen, move, board: Column | None = None) -> Column:
     new_half = F.when(is_pawn | capture | ep_capture, F.lit(0)).otherwise(half + 1)
     new_full = F.when(white, full).otherwise(full + 1)
     new_side = F.when(white, F.lit("b")).otherwise(F.lit("w"))
-    return F.concat_ws(" ", compress_board(nb), new_side, r, new_ep, new_half.cast("string"), new_full.cast("string"))
+    fields = F.concat_ws(" ", compress_board(nb), new_side, r, new_ep, new_half.cast("string"), new_full.cast("string"))
+    # no position or no move: no result (concat_ws alone would skip the null fields and emit a fragment)
+    return F.when(fen.isNotNull() & move.isNotNull(), fields)

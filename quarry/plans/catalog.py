@@ -760,6 +760,29 @@ def q_legal_moves(spark, sf):
     return legal_moves(positions(spark, sf), "fen").select("event_id", F.size("moves").cast("int").alias("n_moves"))
 
 
+def walked_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """events -> (event_id, fen): from position ``event_id % 8``, the legal move at index
+    ``(3 * event_id + 1) mod (number of legal moves)`` is played, so positions vary with the events
+    (castles, promotions and en-passant captures included). A position without a move stays as it is."""
+    from quarry.operators.board import apply_moves, legal_moves
+
+    p = legal_moves(positions(spark, sf).select("event_id", "fen"), "fen", out="_lm")
+    idx = F.pmod(F.col("event_id") * F.lit(3) + F.lit(1), F.greatest(F.size("_lm"), F.lit(1))).cast("int")
+    p = apply_moves(p.withColumn("_pick", F.get(F.col("_lm"), idx)), "fen", "_pick", out="_next")
+    return p.select("event_id", F.coalesce(F.col("_next"), F.col("fen")).alias("fen"))
+
+
+@register("legal_moves_walk", None)
+def q_legal_moves_walk(spark, sf):
+    """B11 then B12 on positions derived from the events: no SQL oracle (legal moves are not expressible
+    in the oracle's SQL); ``tests/test_prompts_bruteforce.py`` checks it against a brute-force generator."""
+    from quarry.operators.board import legal_moves
+
+    m = legal_moves(walked_positions(spark, sf), "fen")
+    return m.select("event_id", "fen", F.size("moves").cast("int").alias("n_moves"),
+                    F.array_join("moves", " ").alias("moves"))
+
+
 # ---- I1 / I2: scorer registry ---------------------------------------------------------------------------------------
 SQL_SOURCE = "CASE WHEN stage IN ('view', 'click', 'purchase') THEN 'chess_puzzles' WHEN stage = 'signup' THEN 'exact_text' ELSE 'unknown' END"
 

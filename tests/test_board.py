@@ -67,3 +67,8 @@ def test_en_passant_field_only_when_capture_is_legal(spark):
     df = spark.createDataFrame(cases, "fen string, mv string, after string")
     got = board.apply_moves(df, "fen", "mv").collect()
     assert [r.fen_after for r in got] == [r.after for r in got]
+
+
+def test_apply_move_without_move_is_null(spark):
+    df = spark.createDataFrame([(POSITIONS[0][0], None), (None, "e2e4")], "fen string, mv string")
+    assert [r.fen_after for r in board.apply_moves(df, "fen", "mv").collect()] == [None, None]

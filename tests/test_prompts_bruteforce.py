@@ -77,3 +77,22 @@ def test_teacher_prompts_query(spark):
     assert set(got) == set(want)
     for eid, text in want.items():
         assert got[eid] == text, eid
+
+
+def test_legal_moves_walk_query(spark):
+    got = {r.event_id: r for r in catalog.QUERIES["legal_moves_walk"](spark, SF).collect()}
+    events = pd.read_parquet(f"{SF}/events.parquet", columns=["event_id"])
+    assert len(got) == len(events)
+    specials = set()
+    for eid in events.event_id:
+        pos = parse(catalog.POSITIONS[eid % len(catalog.POSITIONS)][0])
+        moves = sorted(legal(pos), key=uci)
+        if moves:
+            m = moves[(3 * eid + 1) % len(moves)]
+            specials.add(len(uci(m)) == 5 or pos["ep"] == m[1])
+            pos = make(pos, m)
+        want = sorted(uci(x) for x in legal(pos))
+        r = got[eid]
+        assert r.fen == to_fen(pos), eid
+        assert (r.n_moves, r.moves) == (len(want), " ".join(want)), eid
+    assert True in specials  # promotions or en-passant captures were played
