@@ -1,0 +1,47 @@
+"""The registered queries of this subpackage: each applies one operator to its whole table and derives the columns
+of its contract from the operator's output."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.llm import line_runs
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql
+        return fn
+
+    return deco
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def digest(text: str) -> F.Column:
+    return F.sha2(F.col(text), 256)
+
+
+@register("op7_line_dedup", r"""
+WITH l AS (
+  SELECT doc_id, i, unnest(s) AS line, unnest(generate_series(1, len(s))) AS pos
+  FROM (SELECT doc_id, row_number() OVER () AS i, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT i) >= 10)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN f USING (key) GROUP BY i""")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_runs.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
+    return out.select("doc_id", "n_lines", "n_dropped", digest("text").alias("kept_sha256"))
