@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import line_runs
+from quarry.llm import line_runs, substring_dedup, wu_manber
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,48 @@ def digest(text: str) -> F.Column:
     return F.sha2(F.col(text), 256)
 
 
+# ASCII-white-space words, and A-Z lower-cased only, in DuckDB
+SPLIT = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@register("op2_substring_dedup", f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {SPLIT} AS w FROM documents),
+x AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+      FROM (SELECT r, doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d)),
+m AS (SELECT s, min(doc_id) AS least FROM x GROUP BY s),
+g AS (SELECT r, list(DISTINCT j) AS gone
+      FROM (SELECT r, unnest(generate_series(i, i + 12)) AS j FROM x JOIN m USING (s) WHERE doc_id > least) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ')
+              ELSE array_to_string([w[j] for j in generate_series(1, len(w)) if NOT list_contains(gone, j)], ' ') END) AS kept_sha256
+FROM d LEFT JOIN g USING (r)""")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"), size=13)
+    return out.select("doc_id", "n_words", "n_removed", digest("kept_text").alias("kept_sha256"))
+
+
+@register("op3_decontaminate", f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS id,
+             regexp_extract_all({LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT id, l, array_to_string(w[i:i + l - 1], ' ') AS s
+      FROM (SELECT id, w, l, unnest(generate_series(1, len(w) - l + 1)) AS i
+            FROM (SELECT *, least(len(w), 10) AS l FROM b WHERE len(w) > 0))),
+x AS (SELECT r, l, i, array_to_string(w[i:i + l - 1], ' ') AS s
+      FROM (SELECT r, w, l, unnest(generate_series(1, len(w) - l + 1)) AS i FROM d, (SELECT DISTINCT l FROM p) WHERE len(w) >= l)),
+h AS (SELECT r, i, x.l, id FROM x JOIN p USING (l, s)),
+n AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + l - 1)) AS j FROM h) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, id FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN t USING (r)""")
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = wu_manber.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10, keep=["doc_id"])
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @register("op7_line_dedup", r"""
 WITH l AS (
   SELECT doc_id, i, unnest(s) AS line, unnest(generate_series(1, len(s))) AS pos
