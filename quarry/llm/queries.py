@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import line_runs, substring_dedup, wu_manber
+from quarry.llm import line_runs, prefix_tree_join, substring_dedup, wu_manber
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,21 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@register("op4_jaccard_join", f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, s FROM (
+        SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0))),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * k >= 75 * (x.n + y.n - k)),
+r AS (SELECT doc_id AS u, doc_id AS v FROM w UNION SELECT r.u, l.v FROM r JOIN l ON l.u = r.v)
+SELECT r.u AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.v) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.u GROUP BY r.u""")
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tree_join.jaccard_components(table(spark, sf_dir, "documents"), gram=5)
+
+
 @register("op7_line_dedup", r"""
 WITH l AS (
   SELECT doc_id, i, unnest(s) AS line, unnest(generate_series(1, len(s))) AS pos
