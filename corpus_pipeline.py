@@ -1,15 +1,66 @@
-"""Corpus cleaning pipeline (being filled stage by stage)."""
+"""Corpus cleaning pipeline: language identification, line dedup, near-duplicate removal, benchmark decontamination
+and packing. Each stage is one operator of ``quarry.llm`` applied to all that the stage before it kept; all but the
+last return the columns of ``documents``. Their decisions:
+
+- language: documents without any letter, or without text, go; a missing language is filled with the predicted one;
+- lines: lines found in at least 10 documents go, and n_chars follows the text;
+- near duplicates: of the documents of one component, the one with the smallest id stays;
+- benchmark: documents with a benchmark window go;
+- packing: one row for each piece of a document, with its bin.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.llm import bin_packing, language_mixture, line_runs, prefix_tree_join, wu_manber
+from quarry.session import scratch_path
+
+ORACLE_SQL = None  # expectation-maximisation and best-fit have no SQL form; tests compare with brute force
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language_mixture.train(docs.where(language_mixture.remainder("doc_id", 4) != 2))
+    found = language_mixture.identify(docs, model).where("lang_pred <> 'und'")
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+
+def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = line_runs.dedup_lines(docs, min_docs=10)
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = prefix_tree_join.jaccard_components(docs)
+    others = found.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return wu_manber.find_benchmark(docs, benchmark).where("n_hit = 0").select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bin_packing.pack(docs)
+
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [
+    ("language_mixture", known_language),
+    ("line_dedup", unrepeated_lines),
+    ("jaccard_join", one_of_each_group),
+    ("decontaminate", uncontaminated),
+    ("best_fit_packing", packed),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            path = scratch_path(spark, f"pipeline-{name}")
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import line_runs, prefix_tree_join, substring_dedup, wu_manber
+from quarry.llm import bin_packing, language_mixture, line_runs, prefix_tree_join, substring_dedup, wu_manber
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,6 +89,13 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tree_join.jaccard_components(table(spark, sf_dir, "documents"), gram=5)
 
 
+@register("op6_language_mixture")
+def op6_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_mixture.remainder("doc_id", 4) == 2)
+    model = language_mixture.train(docs.where(~F.col("held_out")))
+    return language_mixture.identify(docs, model, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @register("op7_line_dedup", r"""
 WITH l AS (
   SELECT doc_id, i, unnest(s) AS line, unnest(generate_series(1, len(s))) AS pos
@@ -102,3 +109,8 @@ FROM k LEFT JOIN f USING (key) GROUP BY i""")
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_runs.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
     return out.select("doc_id", "n_lines", "n_dropped", digest("text").alias("kept_sha256"))
+
+
+@register("op10_best_fit_packing")
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bin_packing.pack(table(spark, sf_dir, "documents"))
