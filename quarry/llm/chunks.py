@@ -59,14 +59,19 @@ def unpack_sorted(body: bytes, n: int) -> np.ndarray:
     return np.cumsum(unpack(body, n, U64), dtype=U64)
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: lineage ends here, and the shuffle files of the job that
-    made it go when it is done."""
-    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    path, before = scratch_path(spark, name), spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+def write(df: DataFrame, path: str) -> None:
+    """Write a frame; the shuffle files of the job that makes it go when it is done."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
+        conf.set(key, before)
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: its lineage ends here."""
+    path = scratch_path(df.sparkSession, name)
+    write(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bin_packing, language_mixture, line_runs, prefix_tree_join, substring_dedup, wu_manber
+from quarry.llm import bin_packing, katz, language_mixture, line_runs, prefix_tree_join, substring_dedup, wu_manber
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,13 @@ SPLIT = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@register("op1_katz_scores")
+def op1_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = language_mixture.remainder("doc_id", 5) != 1
+    out = katz.score_corpus(table(spark, sf_dir, "documents"), train)
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @register("op2_substring_dedup", f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, {SPLIT} AS w FROM documents),
 x AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
