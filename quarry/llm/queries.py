@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bin_packing, katz, language_mixture, line_runs, prefix_tree_join, substring_dedup, wu_manber
+from quarry.llm import bin_packing, katz, language_mixture, line_runs, prefix_tree_join, substring_dedup, toxicity_knn, wu_manber
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,6 +118,14 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", digest("text").alias("kept_sha256"))
 
 
+@register("op8_toxicity_knn")
+def op8_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_mixture.remainder("doc_id", 5) == 0)
+    labels = table(spark, sf_dir, "labels").where(language_mixture.remainder("doc_id", 5) != 0)
+    model = toxicity_knn.train(docs, labels)
+    return toxicity_knn.score(docs, model, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "score", "predicted")
+
+
 @register("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_packing.pack(table(spark, sf_dir, "documents"))
