@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bin_packing, katz, language_mixture, line_runs, prefix_tree_join, substring_dedup, toxicity_knn, wu_manber
+from quarry.llm import bin_packing, katz, language_mixture, line_runs, prefix_tree_join, substring_dedup, toxicity_knn, warc, wu_manber
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,6 +96,19 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tree_join.jaccard_components(table(spark, sf_dir, "documents"), gram=5)
 
 
+@register("op5_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
+FROM t""")
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, index = warc.write_archives(table(spark, sf_dir, "pages"))
+    out = warc.read_records(index, root, payloads=False)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register("op6_language_mixture")
 def op6_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language_mixture.remainder("doc_id", 4) == 2)
