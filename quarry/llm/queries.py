@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bin_packing, katz, language_mixture, line_runs, prefix_tree_join, substring_dedup, toxicity_knn, warc, wu_manber
+from quarry.llm import (
+    bin_packing,
+    grid_order_join,
+    katz,
+    language_mixture,
+    line_runs,
+    prefix_tree_join,
+    substring_dedup,
+    toxicity_knn,
+    warc,
+    wu_manber,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,6 +150,21 @@ def op8_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_knn.score(docs, model, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "score", "predicted")
 
 
+@register("op9_grid_order_join", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b
+      ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9),
+n AS (SELECT u, count(*) AS n FROM l GROUP BY u),
+r AS (SELECT vec_id AS u, vec_id AS v FROM embeddings UNION SELECT r.u, l.v FROM r JOIN l ON l.u = r.v)
+SELECT r.u AS vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.v) AS component_id, r.u = min(r.v) AS kept
+FROM r LEFT JOIN n ON n.u = r.u GROUP BY r.u""")
+def op9_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_order_join.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 @register("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_packing.pack(table(spark, sf_dir, "documents"))
