@@ -14,6 +14,7 @@ at most a few partly filled bins, so the loss vanishes as shards grow.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ def best_fit(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, over
         k = bisect_left(rooms, n)
         if k < len(rooms):
             room = rooms[k]
-            b = open_at[room].pop()
+            b = heappop(open_at[room])
             if not open_at[room]:
                 del open_at[room], rooms[k]
         else:
@@ -52,7 +53,7 @@ def best_fit(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, over
         if room - n not in open_at:
             open_at[room - n] = []
             insort(rooms, room - n)
-        open_at[room - n].append(b)
+        heappush(open_at[room - n], b)
     return bin_of, sizes[np.searchsorted(sizes, np.array(used, np.int64))] if opened else np.zeros(0, np.int64)
 
 

@@ -221,7 +221,11 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, key: str = "
         found = found.unionByName(p)
     found = chunks.store(found, "grid-links")
     links = found.groupBy("rep", "tag").agg(F.sum("links").alias("links"))
-    comps = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
+    # an id with several vectors connects their representatives
+    tagged = valid.select("id", "vec", F.xxhash64("vec").alias("t"))
+    many = tagged.groupBy("id").agg(F.min("t").alias("x"), F.max("t").alias("y")).where("x <> y").select("id")
+    twice = tagged.join(many, "id", "left_semi").join(groups, "vec").select(F.col("id").alias("u"), F.col("rep").alias("v"))
+    comps = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")).unionByName(twice))
     named = (groups.join(links, ["rep", "tag"], "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
              .select("vec", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("component")))
     own = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
