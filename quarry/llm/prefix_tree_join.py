@@ -231,11 +231,10 @@ def _traverse(root: Node, x: np.ndarray, i: int, sizes: list[int], marks: np.nda
         for y in node.ends:
             if total * overlap >= NUMER * (n + sizes[y]):
                 forest.join(i, y)
-        stack.extend((c, overlap, len(x) - left) for c in node.children.values())
-        if left:
-            own = node.children.get(int(x[len(x) - left]))
-            if own is not None:
-                stack.append((own, overlap, len(x) - left))  # first the path the set itself takes
+        own = node.children.get(int(x[len(x) - left])) if left else None
+        stack.extend((c, overlap, len(x) - left) for c in node.children.values() if c is not own)
+        if own is not None:
+            stack.append((own, overlap, len(x) - left))  # first the path the set itself takes
 
 
 def _insert(root: Node, x: np.ndarray, i: int, size: int) -> None:
