@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.text import merge_metadata
 
@@ -32,6 +33,10 @@ TEACHER_HEAD = (
     "CONTEXT (use this to ground your analysis; present everything as your own reasoning, never as something you "
     "were told):\n"
 )
+TEACHER_CONTEXT = (
+    "FEN: {fen}\nBoard:\n{board}\nPieces: {pieces}\nSide to Move: {side}\nOpponent's Last Move: {opp}\n"
+    "Solution: {move}\nRating: {rating}\nThemes: {themes}\nLegal Moves: {legal}"
+)
 TEACHER_TASK = (
     "\n\nTASK: Write natural chain-of-thought analysis arriving at {move}.\n\n"
     "Your analysis should cover (in natural prose, vary the structure):\n"
@@ -94,10 +99,6 @@ def teacher_prompt(fen, board, pieces, side, opponent_move, move, rating, themes
     The continuation line is added unless the raw tag string *contains* ``mateIn1`` (a substring test, as
     in the reference). Legal moves are listed in UCI (algebraic notation is not built).
     """
-    ctx = (
-        "FEN: {fen}\nBoard:\n{board}\nPieces: {pieces}\nSide to Move: {side}\nOpponent's Last Move: {opp}\n"
-        "Solution: {move}\nRating: {rating}\nThemes: {themes}\nLegal Moves: {legal}"
-    )
     all_moves = F.split(_col(moves), " ")
     cont_moves = F.array_join(F.slice(all_moves, 2, F.greatest(F.size(all_moves) - 1, F.lit(0))), " ")
     values = {
@@ -114,7 +115,7 @@ def teacher_prompt(fen, board, pieces, side, opponent_move, move, rating, themes
     pv = F.when(~_col(themes).contains(SKIP_CONTINUATION_TAG), F.concat(F.lit("\nPV: "), cont_moves)).otherwise(
         F.lit("")
     )
-    return F.concat(F.lit(TEACHER_HEAD), _fill(ctx, values), pv, _fill(TEACHER_TASK, {"move": _col(move)}))
+    return F.concat(F.lit(TEACHER_HEAD), _fill(TEACHER_CONTEXT, values), pv, _fill(TEACHER_TASK, {"move": _col(move)}))
 
 
 # ---- B17 / B18 ----------------------------------------------------------------------------------------------------
@@ -161,17 +162,26 @@ def to_test_record(df: DataFrame, prompt, ground_truth, fen, kind, metadata_json
 
 
 # ---- B23 ----------------------------------------------------------------------------------------------------------
-def flatten_info(df: DataFrame, col: str = "extra_info") -> DataFrame:
-    """Spread a struct column's fields over the row; a field wins over a same-named column."""
-    fields = df.schema[col].dataType.fieldNames()
+def flatten_info(df: DataFrame, col: str = "extra_info", keys: list[str] | None = None) -> DataFrame:
+    """Spread an info column over the row; an info key wins over a same-named column.
+
+    A struct spreads all its fields (or ``keys``). The keys of a map are data, so the ones to spread are named in
+    ``keys`` (absent ones are null); without them a map column stays as it is."""
+    kind = df.schema[col].dataType
+    fields = keys if keys is not None else kind.fieldNames() if isinstance(kind, T.StructType) else None
+    if fields is None:
+        return df
     keep = [c for c in df.columns if c != col and c not in fields]
-    return df.select(*keep, *[F.col(f"{col}.{f}").alias(f) for f in fields])
+    return df.select(*keep, *[F.col(col)[f].alias(f) for f in fields])
 
 
 # ---- B26 ----------------------------------------------------------------------------------------------------------
-def drop_overlong(df: DataFrame, col: str, max_tokens: int, counter=None) -> DataFrame:
-    """Drop rows whose text has more than ``max_tokens`` tokens (default counter: whitespace tokens)."""
+def drop_overlong(df: DataFrame, col: str, max_tokens: int, counter=None, out: str | None = None) -> DataFrame:
+    """Drop rows whose text has more than ``max_tokens`` tokens (default counter: whitespace tokens). ``out`` names a
+    column for the count, which is then taken once."""
     from quarry.functions.text import token_count
 
     n = token_count(col) if counter is None else token_count(col, counter)
-    return df.filter(n <= F.lit(max_tokens))
+    if out is None:
+        return df.filter(n <= F.lit(max_tokens))
+    return df.withColumn(out, n).filter(F.col(out) <= F.lit(max_tokens))

@@ -1,7 +1,8 @@
 """Column expressions for tags, keys, answer extraction and scoring, and length policies.
 
-Every function here returns a ``Column`` built from Spark built-ins, so it stays inside whole-stage
-codegen and can be used in ``select``, ``filter`` or ``groupBy`` alike.
+Every function here returns a ``Column`` built from Spark built-ins and can be used in ``select``, ``filter`` or
+``groupBy`` alike. Tokens are split and cleaned without lambdas, so these stay inside whole-stage codegen; the
+metadata merge uses a lambda, which Spark interprets.
 """
 
 from __future__ import annotations
@@ -30,8 +31,7 @@ def _col(c) -> Column:
 # ---- B1 / B19: tags --------------------------------------------------------------------------------
 def tags(c) -> Column:
     """Whitespace-delimited tags as an array; null text gives an empty array."""
-    parts = F.split(_col(c), TOKEN_SPLIT)
-    return F.coalesce(F.filter(parts, lambda x: x != F.lit("")), F.array().cast("array<string>"))
+    return F.coalesce(ws_tokens(c), F.array().cast("array<string>"))
 
 
 def parse_list(c) -> Column:
@@ -47,8 +47,7 @@ def last_segment(c, sep: str = "_") -> Column:
 
 def prefix_key(c, k: int = 4) -> Column:
     """First ``k`` whitespace-separated fields joined by one space (position key without clocks)."""
-    toks = F.filter(F.split(_col(c), TOKEN_SPLIT), lambda x: x != F.lit(""))
-    return F.when(_col(c).isNotNull(), F.array_join(F.slice(toks, 1, k), " "))
+    return F.when(_col(c).isNotNull(), F.array_join(first_tokens(c, k), " "))
 
 
 # ---- B4: metadata merge ----------------------------------------------------------------------------
@@ -87,7 +86,13 @@ def to_plain_json(c) -> Column:
 # ---- B22 / B26 / B27: lengths ----------------------------------------------------------------------
 def ws_tokens(c) -> Column:
     """Whitespace tokens of a text (the default, pluggable token counter)."""
-    return F.filter(F.split(_col(c), TOKEN_SPLIT), lambda x: x != F.lit(""))
+    return F.array_remove(F.split(_col(c), TOKEN_SPLIT), "")
+
+
+def first_tokens(c, n: int) -> Column:
+    """The first ``n`` whitespace tokens. The split stops after them: a leading separator yields one empty part, and
+    the last part is the unsplit rest of the text."""
+    return F.slice(F.array_remove(F.slice(F.split(_col(c), TOKEN_SPLIT, n + 2), 1, n + 1), ""), 1, n)
 
 
 def arrow_tokens(encode):
@@ -115,7 +120,7 @@ def length_flags(c, max_tokens: int, counter=ws_tokens) -> Column:
 
 def truncate_tokens(c, n: int) -> Column:
     """Keep the first ``n`` whitespace tokens, re-joined by single spaces."""
-    return F.array_join(F.slice(ws_tokens(c), 1, n), " ")
+    return F.array_join(first_tokens(c, n), " ")
 
 
 def assert_length(c, n: int) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import chess as C
-from quarry.session import spread
 
 # ---- fixed values: piece geometry ------------------------------------------------------------------------------
 KNIGHT_STEPS = [(1, 2), (2, 1), (2, -1), (1, -2), (-1, -2), (-2, -1), (-2, 1), (-1, 2)]
@@ -42,7 +41,7 @@ def board_rows(df: DataFrame, id_col: str, fen: str) -> DataFrame:
 def piece_inventory(df: DataFrame, id_col: str, fen: str, out: str = "inventory") -> DataFrame:
     """``(id, inventory)``. Row-local: the board and its occupied cells are materialised by one
     projection each, then the twelve piece lists are cut from the short cell list."""
-    cells = spread(df).select(id_col, C.occupied(C.board64(fen)).alias("_cells"))
+    cells = df.select(id_col, C.occupied(C.board64(fen)).alias("_cells"))
     return cells.select(id_col, C.inventory_from_cells(F.col("_cells")).alias(out))
 
 
@@ -281,7 +280,7 @@ def legal_moves(df: DataFrame, fen: str, out: str = "moves") -> DataFrame:
     """Adds ``out`` = sorted UCI strings of every legal move of the position in column ``fen``."""
     w = C.fen_field(fen, 1) == F.lit("w")
     ep = C.fen_field(fen, 3)
-    bound = spread(df).select(
+    bound = df.select(
         "*",
         C.board64(fen).alias("_b"),
         w.alias("_w"),

@@ -24,8 +24,9 @@ class ChatTemplate:
     generation: str = "<|assistant|>\n"
 
     def message(self, role: Column, content: Column) -> Column:
+        """A message without content (or role) is rendered with an empty one; no message is dropped."""
         pre, post = self.begin.split("{role}", 1)
-        return F.concat(F.lit(pre), role, F.lit(post), content, F.lit(self.end))
+        return F.concat(F.lit(pre), F.coalesce(role, F.lit("")), F.lit(post), F.coalesce(content, F.lit("")), F.lit(self.end))
 
 
 DEFAULT_TEMPLATE = ChatTemplate()
@@ -64,7 +65,8 @@ def render_chat(
     Each message is rendered row-locally in the scan stage. The first gather joins the messages of one
     ``(conversation, turn // chunk_turns)`` group, so no group holds more than ``chunk_turns`` turns
     (for distinct turn numbers) however long the conversation is. The second gather joins one string
-    per chunk; what it holds is the rendered conversation itself, i.e. the output row.
+    per chunk; what it holds is the rendered conversation itself, i.e. the output row. Messages without a
+    turn number come first and messages that share one stand together, in the order of their rendered text.
     """
     msgs = df.select(
         conv,

@@ -8,9 +8,10 @@ otherwise it plans a shuffled join and splits skewed partitions (a hot key on th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.text import ws_tokens
 from quarry.operators.order import first_n
 
 
@@ -57,30 +58,66 @@ def flag_overlap(df: DataFrame, test: DataFrame, key: str, test_key: str | None
     return df.join(tk, key, "left").withColumn(out, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
 
 
-def segments(df: DataFrame, text_col: str, min_len: int = 20, sep: str = "\n") -> DataFrame:
-    """Passage segments of a text longer than ``min_len`` characters (column ``_seg``)."""
-    return df.select("*", F.explode(F.split(F.col(text_col), sep)).alias("_seg")).filter(
-        F.length("_seg") > F.lit(min_len)
-    )
+# ---- passage grain -----------------------------------------------------------------------------------------------
+WINDOW = 4  # tokens of the window that candidates must share with a passage
 
 
-def overlapping_ids(df: DataFrame, id_col: str, text_col: str, test: DataFrame, test_text: str,
-                    min_len: int = 20, sep: str = "\n") -> DataFrame:
-    """Ids of rows that share at least one segment with the test texts (whole texts, every line)."""
-    test_segs = segments(test.select(test_text), test_text, min_len, sep).select("_seg").distinct()
-    doc_segs = segments(df.select(id_col, text_col), text_col, min_len, sep).select(id_col, "_seg")
-    return doc_segs.join(test_segs, "_seg", "left_semi").select(id_col).distinct()
+def lines(df: DataFrame, text_col: str, sep: str = "\n") -> DataFrame:
+    """Distinct non-empty lines of every text (column ``_seg``); repeats inside a text collapse before the explode."""
+    return df.select("*", F.explode(F.array_distinct(F.split(F.col(text_col), sep))).alias("_seg")).filter("_seg <> ''")
 
 
-def exclude_passages(df: DataFrame, id_col: str, text_col: str, test: DataFrame, test_text: str,
-                     min_len: int = 20, sep: str = "\n") -> DataFrame:
-    """Drop every row with a segment in the test set (explode -> semi join -> distinct ids -> anti)."""
-    hits = overlapping_ids(df, id_col, text_col, test, test_text, min_len, sep)
-    return df.join(hits, id_col, "left_anti")
+def line_overlap_ids(df: DataFrame, id_col: str, text_col: str, test: DataFrame, test_text: str, sep: str = "\n") -> DataFrame:
+    """Line rule: ids of rows that share any non-empty line with the test texts."""
+    test_lines = lines(test.select(test_text), test_text, sep).select("_seg").distinct()
+    return lines(df.select(id_col, text_col), text_col, sep).join(test_lines, "_seg", "left_semi").select(id_col).distinct()
 
 
-def flag_passages(df: DataFrame, id_col: str, text_col: str, test: DataFrame, test_text: str,
-                  min_len: int = 20, sep: str = "\n", out: str = "overlaps") -> DataFrame:
+def _window_hashes(tokens: Column, size: Column) -> Column:
+    """Hashes of every window of ``size`` consecutive tokens (none if there are fewer)."""
+    starts = F.when(F.size(tokens) >= size, F.sequence(F.lit(1), F.size(tokens) - size + 1))
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, size)))
+
+
+def passage_ids(df: DataFrame, id_col: str, text_col: str, test: DataFrame, test_text: str) -> DataFrame:
+    """Passage rule: ids of rows whose text contains a whole test text as a substring.
+
+    A passage may start and end inside a token of the text, but its inner tokens are tokens of the text. So every
+    passage names the hash of one window of its inner tokens, each text hashes all its windows (distinct per text),
+    and only texts that share a hash are searched for the passage itself. A passage with fewer than ``WINDOW`` inner
+    tokens uses a window of all of them. One without inner tokens (at most two tokens) is matched at token grain: the
+    text must hold its tokens as consecutive tokens. Null and empty passages match nothing.
+    """
+    tokens = F.col("_tokens")
+    inner = F.greatest(F.size(tokens) - 2, F.lit(0))
+    passages = test.select(F.col(test_text).alias("_passage")).filter("_passage <> ''").distinct()
+    passages = passages.withColumn("_tokens", ws_tokens("_passage")).filter(F.size(tokens) > 0)
+    passages = passages.withColumn("_short", inner == 0)
+    passages = passages.withColumn("_size", F.when(F.col("_short"), F.size(tokens)).otherwise(F.least(F.lit(WINDOW), inner)))
+    key = F.slice(tokens, F.when(F.col("_short"), 1).otherwise(2), F.col("_size"))
+    passages = passages.select("_passage", "_short", "_size", F.xxhash64(key).alias("_hash"))
+    sizes = F.array(*map(F.lit, range(1, WINDOW + 1)))  # at most WINDOW sizes occur; texts hash only those that do
+    used = passages.agg(F.collect_set("_size")).scalar()
+    texts = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    hashed = texts.select("_id", ws_tokens("_text").alias("_tokens"))
+    windows = hashed.select("_id", F.explode(F.array_intersect(sizes, used)).alias("_size"), "_tokens")
+    windows = windows.select("_id", "_size", F.explode(F.array_distinct(_window_hashes(tokens, F.col("_size")))).alias("_hash"))
+    found = windows.join(passages, ["_size", "_hash"]).select("_id", "_passage", "_short").distinct()
+    spaced = lambda c: F.concat(F.lit(" "), F.array_join(ws_tokens(c), " "), F.lit(" "))
+    holds = F.when(F.col("_short"), spaced("_text").contains(spaced("_passage"))).otherwise(F.col("_text").contains(F.col("_passage")))
+    return texts.join(found, "_id").filter(holds).select(F.col("_id").alias(id_col)).distinct()
+
+
+RULES = {"line": line_overlap_ids, "passage": passage_ids}
+
+
+def exclude_passages(df: DataFrame, id_col: str, text_col: str, test: DataFrame, test_text: str, rule: str = "passage") -> DataFrame:
+    """Drop every row that overlaps the test set by the named rule. Rows with a null id are kept."""
+    return df.join(RULES[rule](df, id_col, text_col, test, test_text), id_col, "left_anti")
+
+
+def flag_passages(df: DataFrame, id_col: str, text_col: str, test: DataFrame, test_text: str, rule: str = "line",
+                  out: str = "overlaps") -> DataFrame:
     """J3 at passage grain: every row with a boolean overlap flag."""
-    hits = overlapping_ids(df, id_col, text_col, test, test_text, min_len, sep).withColumn("_hit", F.lit(True))
+    hits = RULES[rule](df, id_col, text_col, test, test_text).withColumn("_hit", F.lit(True))
     return df.join(hits, id_col, "left").withColumn(out, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")

@@ -7,8 +7,8 @@ executor count, and it can be recomputed by any engine that has md5 (DuckDB does
 
 A global ``row_number()`` without a partition would pull every row into one task. Instead the hash's
 leading hex digits name a bucket; buckets are contiguous ranges of the order, so a rank is
-``rows in earlier buckets + row_number within the bucket``. The per-bucket counts are a table of at most
-16^d rows (a proven bound, broadcast), and the windows run one bucket per task in parallel.
+``rows in earlier buckets + row_number within the bucket``. The number of digits follows the number of rows, the
+prefix sum over the buckets runs in two levels, and the windows run one bucket per task in parallel.
 """
 
 from __future__ import annotations
@@ -25,35 +25,25 @@ def shuffle_key(id_col, seed: int) -> Column:
     return F.md5(F.concat_ws(":", c.cast("string"), F.lit(str(seed))))
 
 
-def _bucket_digits(df: DataFrame, hex_digits: int | None) -> int:
-    if hex_digits is not None:
-        return hex_digits
-    # About 16 buckets per shuffle partition keeps the window tasks balanced; the partition count is
-    # what a deployment scales with the data, so the bucket count follows it.
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(5, math.ceil(math.log(max(parts * 16, 2), 16))))
+ROWS_PER_BUCKET = 1 << 16
+HOT_ROWS = 1 << 20
 
 
-def _hot_ids(keyed: DataFrame, buckets: list[int], threshold: int) -> list[tuple[str, int, int]]:
-    """Ids of the oversized buckets that alone hold more than ``threshold`` rows.
-
-    Returns ``(hash, bucket, sub_buckets)``: at most ``N / threshold`` entries, so the list has a bound.
-    Only rows of the named buckets are grouped, and only when such buckets exist.
-    """
-    per_id = (
-        keyed.filter(F.col("_b").isin(buckets)).groupBy("_h", "_b").agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > F.lit(threshold))
-    )
-    return [(r["_h"], r["_b"], int(math.ceil(r["_n"] / threshold)) + 1) for r in per_id.collect()]
+def _bucket_digits(rows: int, per_bucket: int) -> int:
+    """Leading hex digits that cut ``rows`` into buckets of about ``per_bucket`` to a sixteenth of it."""
+    return max(1, math.ceil(math.log(max(rows / per_bucket, 1), 16)))
 
 
 def _offsets(counts: DataFrame, seg: list[str]) -> DataFrame:
-    prior = Window.orderBy(*seg).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(
-        *seg,
-        F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"),
-    )
+    """Rows before each segment, as a prefix sum in two levels: over blocks of 4,096 buckets, then inside each block."""
+    block = F.floor(F.col(seg[0]) / F.lit(4096))
+    counts = counts.withColumn("_k", block)
+    inside = Window.partitionBy("_k").orderBy(*seg).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = counts.groupBy("_k").agg(F.sum("_n").alias("_kn"))  # one row for 4,096 buckets
+    prior = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("_k", F.coalesce(F.sum("_kn").over(prior), F.lit(0)).alias("_ks"))
+    return counts.join(starts, "_k").select(
+        *seg, (F.col("_ks") + F.coalesce(F.sum("_n").over(inside), F.lit(0))).alias("_off"))
 
 
 def shuffle_rank(
@@ -61,77 +51,88 @@ def shuffle_rank(
     id_col: str,
     seed: int = 42,
     out: str = "shuffle_rank",
-    hex_digits: int | None = None,
     keep_total: str | None = None,
-    hot_threshold: int = 1 << 20,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add a 1-based exact global rank ``out`` in keyed-hash order.
 
+    The order is that of the id's keyed hash, the id, and a hash of the whole row; equal rows are interchangeable. It
+    depends on nothing else: ``rows_per_bucket`` and ``hot_rows`` size the tasks and never change a rank.
     ``keep_total`` names an optional column carrying the total row count (used by E2 / E6).
 
-    The bucket counts (at most 16^d rows) are computed once and checkpointed. A bucket holding more than
-    ``hot_threshold`` rows can only come from an id with that many copies (md5 spreads distinct ids
-    evenly). Such hot ids get their own segment of their bucket, split into sub-buckets by a per-row hash
-    (copies of one id are in arbitrary relative order, as in a row permutation); non-hot rows of that
-    bucket are numbered by the gap between hot ids they fall in, so ``(bucket, gap, sub-bucket)`` stays
-    monotone in the global order and every window task is bounded.
+    Buckets are ranges of the order, named by as many leading digits of the hash as the number of rows calls for.
+    Their counts are written once. A bucket of more than ``hot_rows`` rows holds a hot id (the hash spreads distinct
+    ids evenly). The rows of such a bucket go to segments: one for each gap between hot ids, and for each hot id
+    several, which are ranges of the row hash. Equal rows of a hot id collapse to one row with a count before that
+    and are expanded, in parts of bounded size, when they are ranked. So no window task holds a hot id or a hot row.
     """
     from quarry.session import cut_lineage
 
-    d = _bucket_digits(df, hex_digits)
+    total = df.count()
+    d = min(_bucket_digits(total, rows_per_bucket), 15)
     cols = df.columns
-    keyed = df.select(
-        "*",
-        shuffle_key(id_col, seed).alias("_h"),
-    ).withColumn("_b", F.conv(F.substring("_h", 1, d), 16, 10).cast("int"))
     # Rows identical in id and hash are told apart by a hash of the whole row; truly identical rows are
     # interchangeable, so their relative order cannot change the result.
-    keyed = keyed.withColumn("_t", F.xxhash64(*[F.col(c) for c in cols]))
-
-    counts = cut_lineage(keyed.groupBy("_b").agg(F.count("*").alias("_n")))  # <= 16^d rows
-    big = [r["_b"] for r in counts.filter(F.col("_n") > F.lit(hot_threshold)).select("_b").collect()]
-    hot = _hot_ids(keyed, big, hot_threshold) if big else []
-    if hot:
-        # Per bucket, the sorted hot hashes and their sub-bucket counts: a literal of at most N/threshold
-        # entries (proven bound), evaluated per row without a join.
-        hs = F.array(*[F.struct(F.lit(h).alias("h"), F.lit(b).alias("b"), F.lit(n).alias("n"))
-                       for h, b, n in sorted(hot)])
-        mine = F.filter(hs, lambda x: x["b"] == F.col("_b"))
-        is_hot = F.exists(mine, lambda x: x["h"] == F.col("_h"))
-        before = F.size(F.filter(mine, lambda x: x["h"] < F.col("_h")))
-        subs = F.aggregate(F.filter(mine, lambda x: x["h"] == F.col("_h")), F.lit(1), lambda acc, x: x["n"])
-        # Rows of the buckets holding hot ids get their gap / sub-bucket and are written once to the
-        # shared checkpoint folder. Exact copies of a row are told apart only by a row id, which is not
-        # reproducible when the input comes out of a shuffle; reading the written rows makes the counts
-        # and the ranks see the same assignment, and survives executor loss. Only the hot buckets are
-        # written (each holds more than ``hot_threshold`` rows of one id); the rest is not touched.
-        hot_buckets = sorted({b for _, b, _ in hot})
-        in_hot = F.col("_b").isin(hot_buckets)
-        marked = keyed.filter(in_hot).withColumn("_hot", is_hot).withColumn(
-            "_g", (F.lit(2) * before + F.col("_hot").cast("int")).cast("int")
-        ).withColumn(
-            "_m", F.when(F.col("_hot"), F.monotonically_increasing_id())
-        ).withColumn(
-            "_s", F.when(F.col("_hot"), F.pmod(F.xxhash64("_t", "_m"), subs)).otherwise(F.lit(0)).cast("int")
-        ).drop("_hot")
-        cold = keyed.filter(~in_hot).select(
-            "*", F.lit(0).alias("_g"), F.lit(None).cast("bigint").alias("_m"), F.lit(0).alias("_s")
-        )
-        keyed = cold.unionByName(cut_lineage(marked))
-        seg = ["_b", "_g", "_s"]
-        within = ["_h", id_col, "_t", "_m"]
-        counts = cut_lineage(keyed.groupBy(*seg).agg(F.count("*").alias("_n")))  # + hot ids x sub-buckets
+    keyed = df.select("*", shuffle_key(id_col, seed).alias("_h"), F.xxhash64(*[F.col(c) for c in cols]).alias("_t"))
+    keyed = keyed.withColumn("_b", F.conv(F.substring("_h", 1, d), 16, 10).cast("bigint"))
+
+    counts = cut_lineage(keyed.groupBy("_b").agg(F.count("*").alias("_n")))
+    big = counts.filter(F.col("_n") > F.lit(hot_rows)).select("_b")
+    within = ["_h", id_col, "_t"]
+    if big.isEmpty():
+        result = _ranked(keyed, cols, _offsets(counts, ["_b"]), ["_b"], within)
     else:
-        seg = ["_b"]
-        within = ["_h", id_col, "_t"]
-
-    offsets = _offsets(counts, seg)
-    w = Window.partitionBy(*seg).orderBy(*within)
-    ranked = keyed.withColumn("_rn", F.row_number().over(w)).join(F.broadcast(offsets), seg)
-    sel = [F.col(c) for c in cols] + [(F.col("_off") + F.col("_rn")).cast("bigint").alias(out)]
+        hot = keyed.join(big, "_b", "left_semi").groupBy("_b", "_h").agg(F.count("*").alias("_c")).filter(
+            F.col("_c") > F.lit(hot_rows))
+        # per bucket its hot hashes with their number of segments: at most N / hot_rows entries in all
+        hot = cut_lineage(hot.groupBy("_b").agg(F.sort_array(F.collect_list(F.struct(
+            "_h", F.ceil(F.col("_c") / F.lit(rows_per_bucket)).cast("int").alias("m")))).alias("_hot")))
+        cold = keyed.join(hot.select("_b"), "_b", "left_anti")
+        marked = keyed.join(hot, "_b")
+        here = F.filter("_hot", lambda x: x["_h"] == F.col("_h"))
+        before = F.size(F.filter("_hot", lambda x: x["_h"] < F.col("_h")))
+        gap = (F.lit(2) * before + F.size(here)).cast("int")
+        parts = F.when(F.size(here) > 0, F.get(here, 0)["m"]).otherwise(F.lit(1))
+        # the signed row hash, moved to [0, 1): ranges of it are ranges of the order
+        place = F.col("_t") / F.lit(2.0**64) + F.lit(0.5)
+        part = F.least(F.floor(place * parts), parts - 1).cast("int")
+        same = [F.col(c) for c in (*cols, "_h", "_t", "_b")]
+        marked = marked.select(*same, gap.alias("_g"), part.alias("_s")).groupBy(*cols, "_h", "_t", "_b", "_g", "_s").agg(
+            F.count("*").alias("_copies"))
+        marked = cut_lineage(marked)  # written once: counts and ranks read it
+        seg = ["_b", "_g", "_s"]
+        inner = marked.groupBy(*seg).agg(F.sum("_copies").alias("_n"))
+        # a hot bucket's segments stand where the bucket stands; other buckets are one segment
+        all_counts = cut_lineage(inner.unionByName(counts.join(hot.select("_b"), "_b", "left_anti").select(
+            "_b", F.lit(0).alias("_g"), F.lit(0).alias("_s"), "_n")))
+        cold = cold.withColumn("_g", F.lit(0)).withColumn("_s", F.lit(0))
+        offsets = _offsets(all_counts, seg)
+        result = _ranked(cold, cols, offsets, seg, within).unionByName(_ranked(marked, cols, offsets, seg, within, "_copies"))
+    sel = [F.col(c) for c in cols] + [F.col("_rank").cast("bigint").alias(out)]
     if keep_total:
-        sel.append(F.col("_total").cast("bigint").alias(keep_total))
-    return ranked.select(*sel)
+        sel.append(F.lit(total).cast("bigint").alias(keep_total))
+    return result.select(*sel)
+
+
+COPIES = 4096  # copies expanded together
+
+
+def _ranked(rows: DataFrame, keep: list[str], offsets: DataFrame, seg: list[str], within: list[str],
+            copies: str | None = None) -> DataFrame:
+    """Columns ``keep`` with ``_rank``: rows before their segment plus their place in it. With ``copies``, a row stands for that
+    many equal ones and is expanded to them, parts of a hot row by different tasks."""
+    order = Window.partitionBy(*seg).orderBy(*within)
+    if copies is None:
+        placed = rows.withColumn("_place", F.row_number().over(order)).join(offsets, seg)
+        return placed.select(*keep, (F.col("_off") + F.col("_place")).alias("_rank"))
+    ahead = order.rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("_place", F.coalesce(F.sum(copies).over(ahead), F.lit(0))).join(offsets, seg)
+    part = F.explode(F.sequence(F.lit(0), F.floor((F.col(copies) - 1) / F.lit(COPIES)))).alias("_part")
+    parts = placed.select("*", part).repartition("_t", "_part")
+    last = F.least(F.col(copies), (F.col("_part") + 1) * F.lit(COPIES)) - 1
+    each = parts.select("*", F.explode(F.sequence(F.col("_part") * F.lit(COPIES), last)).alias("_i"))
+    return each.select(*keep, (F.col("_off") + F.col("_place") + F.col("_i") + 1).alias("_rank"))
 
 
 def split_halves(df: DataFrame, id_col: str, seed: int = 42, out: str = "half") -> DataFrame:

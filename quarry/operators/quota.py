@@ -27,10 +27,6 @@ from quarry.functions.text import tags as tag_array
 from quarry.operators.tags import rarest_tags
 from quarry.session import cut_lineage
 
-# Selected rows are at most n*k; below this many the selection is broadcast when joined back.
-BROADCAST_ROW_BOUND = 2_000_000
-
-
 def _candidates(df: DataFrame, id_col: str, tags_col: str, order_col: str, themes: DataFrame, split: bool):
     arr = tag_array(tags_col) if split else F.col(tags_col)
     pairs = df.select(
@@ -96,17 +92,20 @@ def _assign(pruned: DataFrame, n: int, k: int) -> tuple[DataFrame, int]:
         cur = ranked.filter(F.col("_rn") <= F.lit(n)).select("_id", "tag_rank", "src_pos").unionByName(moved)
 
 
+def _themes(df: DataFrame, tags_col: str, k: int, split: bool) -> DataFrame:
+    """The k rarest tags as a local table (k rows at most, a proven bound): counted once, used by every step."""
+    found = [(r["tag"], int(r["freq"]), int(r["tag_rank"])) for r in rarest_tags(df, tags_col, k, split).collect()]
+    return df.sparkSession.createDataFrame(found, "tag string, freq bigint, tag_rank int")
+
+
 def quota_assignments(
-    df: DataFrame, id_col: str, tags_col: str, order_col: str, n: int, k: int, split: bool = True
+    df: DataFrame, id_col: str, tags_col: str, order_col: str, n: int, k: int, split: bool = True,
+    themes: DataFrame | None = None,
 ) -> DataFrame:
     """E3 core: ``(id, tag, tag_rank, src_pos)`` of the taken rows."""
-    # The k rarest tags (k rows at most, a proven bound) are fetched once: their largest frequency sizes
-    # the pruning tree, and the same rows feed the broadcast joins without recomputing the tag count.
-    found = rarest_tags(df, tags_col, k, split).collect()
-    themes = df.sparkSession.createDataFrame(
-        [(r["tag"], int(r["freq"]), int(r["tag_rank"])) for r in found], "tag string, freq bigint, tag_rank int"
-    )
-    levels = _levels(max([int(r["freq"]) for r in found] or [0]), n * k)
+    themes = _themes(df, tags_col, k, split) if themes is None else themes
+    largest = themes.agg(F.coalesce(F.max("freq"), F.lit(0))).first()[0]  # of at most k local rows
+    levels = _levels(int(largest), n * k)
     pruned = cut_lineage(_prune(_candidates(df, id_col, tags_col, order_col, themes, split), n, levels))
     taken, _ = _assign(pruned, n, k)
     return taken.join(F.broadcast(themes.select("tag", "tag_rank")), "tag_rank").select(
@@ -118,22 +117,31 @@ def quota_select(
     df: DataFrame, id_col: str, tags_col: str, order_col: str, n: int, k: int, split: bool = True
 ) -> DataFrame:
     """The taken rows themselves, with ``theme`` and ``theme_rank`` added (N20: sort by
-    ``theme_rank, <order_col>`` to get the reference's pre-shuffle order)."""
+    ``theme_rank, <order_col>`` to get the reference's pre-shuffle order).
+
+    Rows that repeat both id and order value are one candidate: the one taken is the one with the smallest hash of
+    the whole row, so a quota of n never yields more than n rows. The selection (at most n*k rows) is joined back
+    without a hint: AQE measures its bytes.
+    """
     sel = quota_assignments(df, id_col, tags_col, order_col, n, k, split).select(
         F.col(id_col).alias("_sid"), F.col("src_pos").alias("_spos"), F.col("tag").alias("theme"),
         F.col("tag_rank").alias("theme_rank"),
     )
-    if n * k <= BROADCAST_ROW_BOUND:  # size bound proven by the parameters
-        sel = F.broadcast(sel)
     cond = (F.col(id_col) == F.col("_sid")) & (F.col(order_col) == F.col("_spos"))
-    return df.join(sel, cond).drop("_sid", "_spos")
+    # only a row that carries the tag can have been taken for it
+    arr = tag_array(tags_col) if split else F.col(tags_col)
+    rows = df.join(sel, cond).filter(F.array_contains(arr, F.col("theme")))
+    # min_by is a partial aggregate over the selected rows; a repeated row collapses map-side
+    whole = F.struct(*[F.col(c) for c in df.columns])
+    one = rows.groupBy("_sid", "theme", "theme_rank").agg(F.min_by(whole, F.xxhash64(whole)).alias("_row"))
+    return one.select("_row.*", "theme", "theme_rank")
 
 
 def quota_shortfall(df: DataFrame, id_col: str, tags_col: str, order_col: str, n: int, k: int,
                     split: bool = True, only_short: bool = True) -> DataFrame:
     """``(theme, theme_rank, found, shortfall)`` for tags that got fewer than ``n`` rows."""
-    themes = rarest_tags(df, tags_col, k, split)
-    found = quota_assignments(df, id_col, tags_col, order_col, n, k, split).groupBy("tag").agg(
+    themes = _themes(df, tags_col, k, split)
+    found = quota_assignments(df, id_col, tags_col, order_col, n, k, split, themes).groupBy("tag").agg(
         F.count("*").alias("found")
     )
     rep = themes.join(found, "tag", "left").select(

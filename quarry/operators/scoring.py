@@ -47,16 +47,22 @@ def attempt_ledger(attempts: DataFrame, id_col: str, attempt: str = "attempt", s
                    cost: str = "cost", max_attempts: int = 11) -> DataFrame:
     """D3 (with N4/N5 fixed): per-id outcome folded into one row: ids, accepted, rejected, shares,
     cost of accepted attempts, and cost of every attempt that was made (up to acceptance or the limit)."""
-    first_ok = attempts.filter((F.col(attempt) <= F.lit(max_attempts)) & (F.col(score) == F.lit(1.0))).groupBy(
-        id_col
-    ).agg(F.min(attempt).alias("_acc"))
-    tagged = attempts.filter(F.col(attempt) <= F.lit(max_attempts)).join(first_ok, id_col, "left")
-    made = F.col("_acc").isNull() | (F.col(attempt) <= F.col("_acc"))
-    per_id = tagged.filter(made).groupBy(id_col).agg(
-        F.max(F.col("_acc").isNotNull().cast("int")).alias("_ok"),
-        F.sum(F.when(F.col(attempt) == F.col("_acc"), F.col(cost))).alias("_acc_cost"),
-        F.sum(cost).alias("_all_cost"),
-        F.count("*").alias("_n"),
+    # an id has at most max_attempts attempts here: they are gathered once, and everything follows from them
+    tried = attempts.filter(F.col(attempt) <= F.lit(max_attempts)).groupBy(id_col).agg(
+        F.collect_list(F.struct(F.col(attempt).alias("a"), F.col(score).alias("s"), F.col(cost).alias("c"))).alias("_t"))
+    accepted = F.array_min(F.transform(F.filter("_t", lambda x: x["s"] == F.lit(1.0)), lambda x: x["a"]))
+    tried = tried.select("_t", accepted.alias("_acc"))
+
+    def total(rows: Column) -> Column:  # null if no row has a cost, like sum()
+        some = F.filter(F.transform(rows, lambda x: x["c"]), lambda c: c.isNotNull())
+        return F.when(F.size(some) > 0, F.aggregate(some, F.lit(0.0), lambda acc, c: acc + c))
+
+    made = F.filter("_t", lambda x: F.col("_acc").isNull() | (x["a"] <= F.col("_acc")))
+    per_id = tried.select(
+        F.col("_acc").isNotNull().cast("int").alias("_ok"),
+        total(F.filter("_t", lambda x: x["a"] == F.col("_acc"))).alias("_acc_cost"),
+        total(made).alias("_all_cost"),
+        F.size(made).alias("_n"),
     )
     n = F.count("*")
     ok = F.sum("_ok")

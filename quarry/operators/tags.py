@@ -17,17 +17,21 @@ def _tag_col(df: DataFrame, col: str, split: bool) -> DataFrame:
     return df.select(F.explode(arr).alias("tag"))
 
 
+def _counts(df: DataFrame, col: str, split: bool) -> DataFrame:
+    return _tag_col(df, col, split).groupBy("tag").agg(F.count("*").alias("freq"))
+
+
 def tag_frequency(df: DataFrame, col: str, split: bool = True) -> DataFrame:
     """``(tag, freq)`` counting every occurrence (a tag repeated in one row counts twice).
 
     Ordered ascending by ``(freq, tag)``; the tag tie-break is ours (the reference leaves ties open).
     """
-    return _tag_col(df, col, split).groupBy("tag").agg(F.count("*").alias("freq")).orderBy("freq", "tag")
+    return _counts(df, col, split).orderBy("freq", "tag")
 
 
 def rarest_tags(df: DataFrame, col: str, k: int, split: bool = True) -> DataFrame:
     """the ``k`` rarest tags with their 0-based ``tag_rank`` (TakeOrderedAndProject, at most k rows)."""
-    top = tag_frequency(df, col, split).limit(k)
+    top = _counts(df, col, split).orderBy("freq", "tag").limit(k)
     # At most k rows: a window over them is a bounded single-task step.
     return top.withColumn("tag_rank", (F.row_number().over(Window.orderBy("freq", "tag")) - 1).cast("int"))
 
@@ -35,8 +39,7 @@ def rarest_tags(df: DataFrame, col: str, k: int, split: bool = True) -> DataFram
 def tag_listing_desc(df: DataFrame, col: str, split: bool = True) -> DataFrame:
     """every tag with its count, by descending frequency (ties by tag): a range-partitioned sort, so
     a large vocabulary is ordered in parallel."""
-    freq = _tag_col(df, col, split).groupBy("tag").agg(F.count("*").alias("freq"))
-    return freq.orderBy(F.desc("freq"), "tag")
+    return _counts(df, col, split).orderBy(F.desc("freq"), "tag")
 
 
 def profile(df: DataFrame, tags_col: str, num_col: str, split: bool = True) -> DataFrame:

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators import joins, order, quota, scoring, tags
-from quarry.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,7 +34,6 @@ MAX_TOKENS = 5
 MAX_ATTEMPTS = 11
 OVERLONG = 200
 TRUNCATE = 50
-MIN_SEGMENT = 20
 
 
 def register(name: str, sql: str | None):
@@ -304,26 +302,33 @@ def q_pending_rows(spark, sf):
     return joins.pending(table(spark, sf, "documents").select("doc_id", "lang"), table(spark, sf, "labels"), "doc_id")
 
 
-SQL_OVERLAP_IDS = f"""
+# Line rule: any shared non-empty line. Passage rule: the document contains a whole benchmark text.
+SQL_LINE_IDS = """
   SELECT DISTINCT d.doc_id FROM
     (SELECT doc_id, unnest(string_split(text, chr(10))) AS seg FROM documents) d
   JOIN (SELECT DISTINCT unnest(string_split(text, chr(10))) AS seg FROM benchmark) b ON d.seg = b.seg
-  WHERE length(d.seg) > {MIN_SEGMENT}"""
+  WHERE d.seg <> ''"""
+SQL_PASSAGE_IDS = "SELECT DISTINCT d.doc_id FROM documents d JOIN benchmark b ON contains(d.text, b.text) WHERE b.text <> ''"
+
+
+# Key grain: the first four tokens of a line. Every line of a document is a row.
+def _sql_line_keys(src: str) -> str:
+    return (f"SELECT *, array_to_string(list_slice({sql_tokens('line')}, 1, 4), ' ') AS key "
+            f"FROM (SELECT *, unnest(string_split(text, chr(10))) AS line FROM {src})")
 
 
 @register(
     "exclude_overlap",
-    f"""SELECT doc_id, key FROM (SELECT doc_id, array_to_string(list_slice({sql_tokens('text')}, 1, 4), ' ') AS key
-                                  FROM documents)
-        WHERE key IS NULL OR key NOT IN (
-          SELECT array_to_string(list_slice({sql_tokens('text')}, 1, 4), ' ') FROM benchmark WHERE text IS NOT NULL)""",
+    f"""SELECT doc_id, line, key FROM ({_sql_line_keys('documents')})
+        WHERE key NOT IN (SELECT key FROM ({_sql_line_keys('benchmark')}) WHERE key <> '')""",
 )
 def q_exclude_overlap(spark, sf):
-    """J2 at key grain: the first four tokens of a document against those of every benchmark text."""
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    docs = docs.select("doc_id", T.prefix_key("text").alias("key"))
-    test = table(spark, sf, "benchmark").select(T.prefix_key("text").alias("key"))
-    return joins.exclude_overlap(docs, test.filter(F.col("key").isNotNull()), "key")
+    """J2 at key grain: the first four tokens of every document line against those of every benchmark line."""
+    def keyed(name, *cols):
+        rows = table(spark, sf, name).select(*cols, F.explode(F.split("text", "\n")).alias("line"))
+        return rows.withColumn("key", T.prefix_key("line"))
+
+    return joins.exclude_overlap(keyed("documents", "doc_id"), keyed("benchmark").filter("key <> ''"), "key")
 
 
 @register(
@@ -337,23 +342,16 @@ def q_pending_prefix(spark, sf):
     return joins.pending(docs, table(spark, sf, "labels"), "doc_id", ["doc_id"], 500)
 
 
-@register("exclude_passages", f"SELECT doc_id FROM documents WHERE doc_id NOT IN ({SQL_OVERLAP_IDS})")
+@register("exclude_passages", f"SELECT doc_id FROM documents WHERE doc_id NOT IN ({SQL_PASSAGE_IDS})")
 def q_exclude_passages(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return joins.exclude_passages(docs, "doc_id", "text", table(spark, sf, "benchmark"), "text", MIN_SEGMENT).select(
-        "doc_id"
-    )
+    return joins.exclude_passages(docs, "doc_id", "text", table(spark, sf, "benchmark"), "text").select("doc_id")
 
 
-@register(
-    "flag_overlap",
-    f"SELECT doc_id, doc_id IN ({SQL_OVERLAP_IDS}) AS overlaps FROM documents",
-)
+@register("flag_overlap", f"SELECT doc_id, doc_id IN ({SQL_LINE_IDS}) AS overlaps FROM documents")
 def q_flag_overlap(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return joins.flag_passages(docs, "doc_id", "text", table(spark, sf, "benchmark"), "text", MIN_SEGMENT).select(
-        "doc_id", "overlaps"
-    )
+    return joins.flag_passages(docs, "doc_id", "text", table(spark, sf, "benchmark"), "text").select("doc_id", "overlaps")
 
 
 @register(
@@ -361,7 +359,7 @@ def q_flag_overlap(spark, sf):
     f"""SELECT status, count(*) AS rows FROM (
           SELECT CASE WHEN d.text IS NULL OR NOT regexp_matches(d.text, '[^{SQL_SPACE[1:]}')
                         OR l.doc_id IS NULL THEN 'invalid'
-                      WHEN d.doc_id IN ({SQL_OVERLAP_IDS}) THEN 'excluded'
+                      WHEN d.doc_id IN ({SQL_LINE_IDS}) OR d.doc_id IN ({SQL_PASSAGE_IDS}) THEN 'excluded'
                       ELSE 'kept' END AS status
           FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id)
         GROUP BY status""",
@@ -370,8 +368,7 @@ def q_status_counts(spark, sf):
     from quarry.plans.flows import classify
 
     docs = table(spark, sf, "documents")
-    st = classify(docs, "doc_id", "text", table(spark, sf, "labels"), table(spark, sf, "benchmark"), MIN_SEGMENT)
-    return scoring.status_counts(st)
+    return scoring.status_counts(classify(docs, "doc_id", "text", table(spark, sf, "labels"), table(spark, sf, "benchmark")))
 
 
 # ---- B14 - B16 ------------------------------------------------------------------------------------------------
@@ -528,8 +525,6 @@ def q_render_chat(spark, sf):
 
 
 # ---- B26 / B27 / B5 / B3 / B4 ------------------------------------------------------------------------------------------
-# Tokenising whole documents (up to 20,000 words each) is the heaviest per-row work of the catalog; a
-# single-file input is spread over the cores first (a no-op on inputs with more partitions than cores).
 @register(
     "drop_overlong",
     f"""SELECT doc_id, CAST(len({sql_tokens('text')}) AS INTEGER) AS n_tokens FROM documents
@@ -538,8 +533,8 @@ def q_render_chat(spark, sf):
 def q_drop_overlong(spark, sf):
     from quarry.functions.records import drop_overlong
 
-    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    return drop_overlong(d, "text", OVERLONG).select("doc_id", T.token_count("text").alias("n_tokens"))
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return drop_overlong(d, "text", OVERLONG, out="n_tokens").select("doc_id", "n_tokens")
 
 
 @register(
@@ -547,7 +542,7 @@ def q_drop_overlong(spark, sf):
     f"SELECT doc_id, array_to_string(list_slice({sql_tokens('text')}, 1, {TRUNCATE}), ' ') AS truncated FROM documents",
 )
 def q_truncate_tokens(spark, sf):
-    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    d = table(spark, sf, "documents").select("doc_id", "text")
     return d.select("doc_id", T.truncate_tokens("text", TRUNCATE).alias("truncated"))
 
 
@@ -556,7 +551,7 @@ def q_truncate_tokens(spark, sf):
     f"SELECT doc_id, array_to_string(list_slice({sql_tokens('text')}, 1, 4), ' ') AS key FROM documents",
 )
 def q_prefix_key(spark, sf):
-    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    d = table(spark, sf, "documents").select("doc_id", "text")
     return d.select("doc_id", T.prefix_key("text", 4).alias("key"))
 
 
@@ -617,172 +612,6 @@ def q_to_rl(spark, sf):
     )
 
 
-# ---- B6 - B12: positions assigned to events ----------------------------------------------------------------------------
-# Published depth-1 move counts of eight positions (six standard perft positions, an en-passant case and a mate).
-POSITIONS = [
-    ("rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1", 20),
-    ("r3k2r/p1ppqpb1/bn2pnp1/3PN3/1p2P3/2N2Q1p/PPPBBPPP/R3K2R w KQkq - 0 1", 48),
-    ("8/2p5/3p4/KP5r/1R3p1k/8/4P1P1/8 w - - 0 1", 14),
-    ("r3k2r/Pppp1ppp/1b3nbN/nP6/BBP1P3/q4N2/Pp1P2PP/R2Q1RK1 w kq - 0 1", 6),
-    ("rnbq1k1r/pp1Pbppp/2p5/8/2B5/8/PPP1NnPP/RNBQK2R w KQ - 1 8", 44),
-    ("r4rk1/1pp1qppp/p1np1n2/2b1p1B1/2B1P1b1/P1NP1N2/1PP1QPPP/R4RK1 w - - 0 10", 46),
-    ("4k3/8/8/3pP3/8/8/8/4K3 w - d6 0 2", 7),
-    ("7k/6Q1/6K1/8/8/8/8/8 b - - 0 1", 0),
-]
-# One move applied to a position, with the hand-derived result.
-MOVE_CASES = [
-    ("rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1", "e2e4 e7e5 g1f3",
-     "rnbqkbnr/pppppppp/8/8/4P3/8/PPPP1PPP/RNBQKBNR b KQkq - 0 1"),
-    ("r3k2r/8/8/8/8/8/8/R3K2R w KQkq - 0 1", "e1g1 e8c8", "r3k2r/8/8/8/8/8/8/R4RK1 b kq - 1 1"),
-    ("r3k2r/8/8/8/8/8/8/R3K2R w KQkq - 0 1", "a1a8 e8d7 a8h8 d7e6", "R3k2r/8/8/8/8/8/8/4K2R b Kk - 0 1"),
-    ("4k3/3p4/8/4P3/8/8/8/4K3 b - - 0 1", "d7d5 e5d6", "4k3/8/8/3pP3/8/8/8/4K3 w - d6 0 2"),
-    ("4k3/8/8/3pP3/8/8/8/4K3 w - d6 0 2", "e5d6", "4k3/8/3P4/8/8/8/8/4K3 b - - 0 2"),
-    ("4k3/P7/8/8/8/8/8/4K3 w - - 0 1", "a7a8q e8d7", "Q3k3/8/8/8/8/8/8/4K3 b - - 0 1"),
-]
-
-
-def _sql_values(rows, cols) -> str:
-    def lit(v):
-        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
-
-    body = ", ".join("(" + ", ".join(lit(v) for v in (i, *r)) + ")" for i, r in enumerate(rows))
-    return f"(VALUES {body}) AS v(pos_idx, {', '.join(cols)})"
-
-
-def positions(spark: SparkSession, sf: str) -> DataFrame:
-    """events -> (event_id, fen, expected_moves): position ``event_id % 8`` of the list above."""
-    fens = F.array(*[F.lit(f) for f, _ in POSITIONS])
-    counts = F.array(*[F.lit(n) for _, n in POSITIONS])
-    i = F.pmod(F.col("event_id"), F.lit(len(POSITIONS))).cast("int")
-    ev = spread(table(spark, sf, "events").select("event_id"))  # CPU-heavy consumers; no-op on large inputs
-    return ev.select("event_id", F.get(fens, i).alias("fen"), F.get(counts, i).alias("expected"))
-
-
-def move_cases(spark: SparkSession, sf: str) -> DataFrame:
-    """events -> (event_id, fen, moves): case ``event_id % 6`` of the list above."""
-    i = F.pmod(F.col("event_id"), F.lit(len(MOVE_CASES))).cast("int")
-    fens = F.array(*[F.lit(c[0]) for c in MOVE_CASES])
-    moves = F.array(*[F.lit(c[1]) for c in MOVE_CASES])
-    ev = spread(table(spark, sf, "events").select("event_id"))
-    return ev.select("event_id", F.get(fens, i).alias("fen"), F.get(moves, i).alias("moves"))
-
-
-SQL_POS = f"""pos AS (SELECT e.event_id, v.fen, v.expected FROM events e
-                  JOIN {_sql_values(POSITIONS, ['fen', 'expected'])} ON e.event_id % {len(POSITIONS)} = v.pos_idx)"""
-SQL_MOVES = f"""mv AS (SELECT e.event_id, v.fen, v.moves, v.after FROM events e
-                  JOIN {_sql_values(MOVE_CASES, ['fen', 'moves', 'after'])} ON e.event_id % {len(MOVE_CASES)} = v.pos_idx)"""
-
-
-def _sql_expand(fen: str) -> str:
-    s = f"split_part({fen}, ' ', 1)"
-    for d in range(8, 0, -1):
-        s = f"replace({s}, '{d}', '{'.' * d}')"
-    return s
-
-
-SQL_CELLS = f"""cells AS (
-  SELECT event_id, i, substr(b, i + 1, 1) AS piece, chr(CAST(97 + i % 8 AS INTEGER)) || CAST(8 - i // 8 AS VARCHAR) AS square
-  FROM (SELECT event_id, replace({_sql_expand('fen')}, '/', '') AS b, unnest(range(0, 64)) AS i FROM pos)
-  WHERE substr(b, i + 1, 1) <> '.')"""
-
-
-@register("board_rows", f"WITH {SQL_POS}, {SQL_CELLS} SELECT event_id, square, piece FROM cells")
-def q_board_rows(spark, sf):
-    from quarry.operators.board import board_rows
-
-    return board_rows(positions(spark, sf), "event_id", "fen").select("event_id", "square", "piece")
-
-
-_KIND_ORDER = "CASE upper(piece) WHEN 'K' THEN 0 WHEN 'Q' THEN 1 WHEN 'R' THEN 2 WHEN 'B' THEN 3 WHEN 'N' THEN 4 ELSE 5 END"
-_KIND_NAME = ("CASE upper(piece) WHEN 'K' THEN 'King' WHEN 'Q' THEN 'Queen' WHEN 'R' THEN 'Rook' WHEN 'B' THEN 'Bishop' "
-              "WHEN 'N' THEN 'Knight' ELSE 'Pawn' END")
-
-
-@register(
-    "piece_inventory",
-    f"""WITH {SQL_POS}, {SQL_CELLS},
-        groups AS (
-          SELECT event_id, piece = upper(piece) AS white, {_KIND_ORDER} AS ko,
-                 (CASE WHEN piece = upper(piece) THEN 'White ' ELSE 'Black ' END) || {_KIND_NAME} || ': [' ||
-                 array_to_string(list_transform(list_sort(list(square)), lambda x: '''' || x || ''''), ', ') || ']' AS part
-          FROM cells GROUP BY event_id, piece)
-        SELECT event_id, string_agg(part, ', ' ORDER BY white DESC, ko) AS inventory FROM groups GROUP BY event_id""",
-)
-def q_piece_inventory(spark, sf):
-    from quarry.operators.board import piece_inventory
-
-    return piece_inventory(positions(spark, sf), "event_id", "fen")
-
-
-@register(
-    "board_text",
-    f"""WITH {SQL_POS}
-        SELECT event_id, array_to_string(list_transform(string_split({_sql_expand('fen')}, '/'),
-                                                        lambda x: array_to_string(string_split(x, ''), ' ')), chr(10)) AS board,
-               CASE WHEN split_part(fen, ' ', 2) = 'w' THEN 'White' ELSE 'Black' END AS side
-        FROM pos""",
-)
-def q_board_text(spark, sf):
-    from quarry.functions import chess as C
-
-    p = positions(spark, sf)
-    return p.select("event_id", C.board_text("fen").alias("board"), C.side_to_move("fen").alias("side"))
-
-
-@register(
-    "parse_moves",
-    f"""WITH {SQL_MOVES}
-        SELECT event_id, string_split(moves, ' ')[1] AS opponent, string_split(moves, ' ')[2] AS answer,
-               array_to_string(list_slice(string_split(moves, ' '), 2, len(string_split(moves, ' '))), ' ') AS continuation
-        FROM mv""",
-)
-def q_parse_moves(spark, sf):
-    from quarry.functions import chess as C
-
-    p = move_cases(spark, sf).select("event_id", C.parse_moves("moves").alias("m"))
-    return p.select("event_id", "m.opponent", "m.answer", F.array_join("m.continuation", " ").alias("continuation"))
-
-
-@register("apply_move", f"WITH {SQL_MOVES} SELECT event_id, after AS fen_after FROM mv")
-def q_apply_move(spark, sf):
-    from quarry.functions import chess as C
-
-    from quarry.operators.board import apply_moves
-
-    m = move_cases(spark, sf)
-    return apply_moves(m, "fen", C.parse_moves("moves")["opponent"]).select("event_id", "fen_after")
-
-
-@register("legal_moves", f"WITH {SQL_POS} SELECT event_id, CAST(expected AS INTEGER) AS n_moves FROM pos")
-def q_legal_moves(spark, sf):
-    from quarry.operators.board import legal_moves
-
-    return legal_moves(positions(spark, sf), "fen").select("event_id", F.size("moves").cast("int").alias("n_moves"))
-
-
-def walked_positions(spark: SparkSession, sf: str) -> DataFrame:
-    """events -> (event_id, fen): from position ``event_id % 8``, the legal move at index
-    ``(3 * event_id + 1) mod (number of legal moves)`` is played, so positions vary with the events
-    (castles, promotions and en-passant captures included). A position without a move stays as it is."""
-    from quarry.operators.board import apply_moves, legal_moves
-
-    p = legal_moves(positions(spark, sf).select("event_id", "fen"), "fen", out="_lm")
-    idx = F.pmod(F.col("event_id") * F.lit(3) + F.lit(1), F.greatest(F.size("_lm"), F.lit(1))).cast("int")
-    p = apply_moves(p.withColumn("_pick", F.get(F.col("_lm"), idx)), "fen", "_pick", out="_next")
-    return p.select("event_id", F.coalesce(F.col("_next"), F.col("fen")).alias("fen"))
-
-
-@register("legal_moves_walk", None)
-def q_legal_moves_walk(spark, sf):
-    """B11 then B12 on positions derived from the events: no SQL oracle (legal moves are not expressible
-    in the oracle's SQL); ``tests/test_prompts_bruteforce.py`` checks it against a brute-force generator."""
-    from quarry.operators.board import legal_moves
-
-    m = legal_moves(walked_positions(spark, sf), "fen")
-    return m.select("event_id", "fen", F.size("moves").cast("int").alias("n_moves"),
-                    F.array_join("moves", " ").alias("moves"))
-
-
 # ---- I1 / I2: scorer registry ---------------------------------------------------------------------------------------
 SQL_SOURCE = "CASE WHEN stage IN ('view', 'click', 'purchase') THEN 'chess_puzzles' WHEN stage = 'signup' THEN 'exact_text' ELSE 'unknown' END"
 
@@ -820,49 +649,22 @@ def q_score_sql_function(spark, sf):
         FROM attempts WHERE score = 1.0 GROUP BY user_id""",
 )
 def q_scored_stream(spark, sf):
-    """Attempts (derived from events) land as files; one availableNow run of the stream accepts them."""
+    """Attempts (derived from events) land as files in two portions: the first five attempts of every id, then the
+    rest. The stream runs over what has landed, stops, and is started again for the second portion, so ids accepted
+    by the first run are skipped and the others get their first accepted attempt."""
     from quarry.session import scratch_path
+    from quarry.sources import io
     from quarry.streaming.scored_append import run_available
 
-    land = scratch_path(spark, "landing")
+    land, sink, state = (scratch_path(spark, n) for n in ("landing", "sink", "stream-ckpt"))
     a = attempts(spark, sf).select("user_id", "attempt", "event_id", "text", "truth")
-    a.write.parquet(land)
-    schema = a.schema
-    out = run_available(spark, land, schema, scratch_path(spark, "sink"), scratch_path(spark, "stream-ckpt"),
-                        "user_id", "attempt", "text", "truth", MAX_ATTEMPTS)
+    for portion in (F.col("attempt") <= 5, F.col("attempt") > 5):
+        a.filter(portion).write.mode("append").parquet(land)
+        out = run_available(spark, land, a.schema, sink, state, "user_id", "attempt", "text", "truth", MAX_ATTEMPTS)
+    io.remove(spark, land)
     return out.select("user_id", "attempt", "event_id")
 
 
-# ---- B13a / B13b: prompts over the positions (no oracle: they embed the legal-move lists) ----------------------------
-@register("student_prompts", None)
-def q_student_prompts(spark, sf):
-    from quarry.functions import chess as C
-    from quarry.functions.records import student_prompt
-    from quarry.operators.board import legal_moves
-
-    p = legal_moves(positions(spark, sf), "fen", out="legal")
-    return p.select("event_id", student_prompt("fen", C.piece_inventory("fen"), "legal").alias("prompt"))
-
-
-@register("teacher_prompts", None)
-def q_teacher_prompts(spark, sf):
-    from quarry.functions import chess as C
-    from quarry.functions.records import teacher_prompt
-    from quarry.operators.board import legal_moves
-
-    m = move_cases(spark, sf).join(table(spark, sf, "events").select("event_id", "value", "event_type"), "event_id")
-    mv = C.parse_moves("moves")
-    from quarry.operators.board import apply_moves
-
-    m = apply_moves(m, "fen", mv["opponent"]).withColumn("best", mv["answer"])
-    m = legal_moves(m.filter(F.col("best").isNotNull()), "fen_after", out="legal")
-    themes = F.concat_ws(" ", "event_type", F.when(F.col("event_id") % 2 == 0, F.lit("mateIn1")).otherwise(F.lit("fork")))
-    prompt = teacher_prompt("fen_after", C.board_text("fen_after"), C.piece_inventory("fen_after"),
-                            C.side_to_move("fen_after"), mv["opponent"], "best", F.col("value").cast("int"), themes,
-                            "legal", "moves")
-    return m.select("event_id", prompt.alias("prompt"))
-
-
 # ---- A1 - A10: sources and sinks, round-tripped through the shared scratch folder ------------------------------------
 @register(
     "csv_roundtrip",
@@ -877,7 +679,8 @@ def q_csv_roundtrip(spark, sf):
     src = scratch_path(spark, "csv-src")
     table(spark, sf, "documents").select("doc_id", "text", "lang", T.tags("source").alias("tags")).write.parquet(src)
     schema = "doc_id bigint, text string, lang string, tags string"
-    back = io.convert(spark, src, scratch_path(spark, "csv"), "parquet", "csv", dst_schema=schema)
+    back = io.convert(spark, src, scratch_path(spark, "csv"), "parquet", "csv", dst_schema=schema, multi_line=True)
+    io.remove(spark, src)
     return back.select("doc_id", "text", "lang", F.size(T.parse_list("tags")).cast("int").alias("n_tags"))
 
 
@@ -919,35 +722,23 @@ def q_parquet_nested_roundtrip(spark, sf):
         FROM (SELECT o_orderkey, {SQL_ORDER_RANK} AS rk FROM orders)""",
 )
 def q_materialized_halves(spark, sf):
-    """The two halves are computed and written once (both complete, or neither is reused), then
-    read back; a second call with the same seed reuses them."""
+    """The two halves are computed and written once, as the partitions of one output, then read back; a second
+    call with the same seed reuses them."""
     from quarry.session import scratch_path
     from quarry.sources import io
 
-    base = scratch_path(spark, "halves")
+    path = io.cache_path(scratch_path(spark, "halves"), "reserve", SEED)
     orders = table(spark, sf, "orders").select("o_orderkey")
 
     def build():
-        a, b = order.halves(orders, "o_orderkey", SEED)
-        return {"A": a.select("o_orderkey"), "B": b.select("o_orderkey")}
+        return order.split_halves(orders, "o_orderkey", SEED).select("o_orderkey", "half")
 
-    paths = {k: io.cache_path(base, f"reserve_{k}", SEED) for k in ("A", "B")}
-    io.materialize_all(spark, build, paths)
-    got = io.materialize_all(spark, build, paths)  # reused: complete outputs are read back
+    io.materialize_split(spark, build, path, "half", ["A", "B"])
+    got = io.materialize_split(spark, build, path, "half", ["A", "B"])  # reused: complete outputs are read back
     return got["A"].withColumn("half", F.lit("A")).unionByName(got["B"].withColumn("half", F.lit("B")))
 
 
-# ---- single-operator entries: B9, B19, B20, B24, G1, G3, F6 ------------------------------------------------------------
-@register(
-    "side_to_move",
-    f"WITH {SQL_POS} SELECT event_id, CASE WHEN split_part(fen, ' ', 2) = 'w' THEN 'White' ELSE 'Black' END AS side FROM pos",
-)
-def q_side_to_move(spark, sf):
-    from quarry.functions import chess as C
-
-    return positions(spark, sf).select("event_id", C.side_to_move("fen").alias("side"))
-
-
+# ---- single-operator entries: B19, B20, B24, G1, G3, F6 ------------------------------------------------------------
 @register(
     "parse_list",
     f"""SELECT p_partkey, {sql_tokens('p_name')}[1] AS first_tag, CAST(len({sql_tokens('p_name')}) AS INTEGER) AS n_tags
@@ -1003,3 +794,97 @@ def q_tag_preview(spark, sf):
     from quarry.operators.order import preview
 
     return preview(tags.tag_listing_desc(table(spark, sf, "part"), "p_name"), [F.desc("freq"), "tag"], 10)
+
+
+# ---- rows for A1, A3, A5, B16, B18, B23, B27, D3 ----------------------------------------------------------------------
+@register("csv_by_name", "SELECT doc_id, CAST(n_chars AS INTEGER) AS n_chars, source, lang, 'x' || doc_id AS note FROM documents")
+def q_csv_by_name(spark, sf):
+    """A1: a headered CSV whose columns stand in another order and which holds columns the schema does not name."""
+    from quarry.session import scratch_path
+    from quarry.sources import io
+
+    path = scratch_path(spark, "csv-by-name")
+    d = table(spark, sf, "documents").select("source", F.concat(F.lit("x"), "doc_id").alias("note"), "n_chars", "lang", "doc_id")
+    io.write_records(d, path, "csv")
+    back = io.read_records(spark, path, "doc_id bigint, n_chars int, source string")
+    return back.select("doc_id", "n_chars", "source", "lang", "note")
+
+
+@register(
+    "benchmark_scan",
+    """SELECT 'item_' || item_id AS task, text AS fen, CAST(item_id AS VARCHAR) AS answer,
+              coalesce(json_extract_string('{"n": "' || length(text) || '", "q": "a, b"}', '$.n'), '') AS n, 'a, b' AS q
+       FROM benchmark""",
+)
+def q_benchmark_scan(spark, sf):
+    """A3: a CSV copy of the benchmark with positional columns, multi-line text and a JSON column, then B4 on it."""
+    from quarry.session import scratch_path
+    from quarry.sources import io
+
+    path = scratch_path(spark, "benchmark-csv")
+    meta = F.concat(F.lit('{"n": "'), F.length("text"), F.lit('", "q": "a, b"}'))
+    x = F.lit("-")
+    landed = table(spark, sf, "benchmark").select(
+        x.alias("c0"), F.concat(F.lit("item_"), "item_id").alias("c1"), x.alias("c2"), F.col("text").alias("c3"), x.alias("c4"),
+        x.alias("c5"), F.col("item_id").cast("string").alias("c6"), x.alias("c7"), meta.alias("c8"))
+    io.write_records(landed, path, "csv")
+    back = io.load_benchmark(spark, path, "csv", multi_line=True)
+    merged = T.merge_metadata(F.create_map(F.lit("n"), F.lit("none")), "metadata")
+    return back.select("task", "fen", "answer", merged["n"].alias("n"), merged["q"].alias("q"))
+
+
+@register("append_sink", "SELECT event_id, event_type, value FROM events")
+def q_append_sink(spark, sf):
+    """A5: two result batches appended to one output folder, read back as one table."""
+    from quarry.session import scratch_path
+    from quarry.sources import io
+
+    path = scratch_path(spark, "append")
+    ev = table(spark, sf, "events").select("event_id", "event_type", "value", "ts")
+    for part in (F.dayofmonth("ts") < 15, F.dayofmonth("ts") >= 15):
+        io.write_records(ev.filter(part).drop("ts"), path, "parquet", mode="append")
+    return io.read_records(spark, path, fmt="parquet")
+
+
+@register("is_correct", f"WITH {SQL_RESPONSES} SELECT event_id, score = 1.0 AS correct FROM scored2")
+def q_is_correct(spark, sf):
+    return responses(spark, sf).select("event_id", T.is_correct("text", "truth").alias("correct"))
+
+
+@register("assert_length", "SELECT doc_id, length(text) AS n FROM documents")
+def q_assert_length(spark, sf):
+    """Texts pass unchanged where none is longer than the stated bound (20,000 words, in driver tables)."""
+    d = table(spark, sf, "documents").select("doc_id", T.assert_length("text", 40_000).alias("text"))
+    return d.select("doc_id", F.length("text").cast("bigint").alias("n"))
+
+
+@register(
+    "ledger_tokens",
+    f"""WITH {SQL_RESPONSES}
+        SELECT count(*) AS rows, count(*) FILTER (WHERE score = 1) AS correct, count(*) FILTER (WHERE score = 0) AS wrong,
+               round(count(*) FILTER (WHERE score = 1) / count(*), 6) AS correct_share,
+               round(count(*) FILTER (WHERE score = 0) / count(*), 6) AS wrong_share, round(sum(cost), 6) AS total_cost,
+               CAST(sum({_sql_len('text')}) AS BIGINT) AS total_tokens
+        FROM scored2""",
+)
+def q_ledger_tokens(spark, sf):
+    """D3 over a result file: one row per response with its score, cost and token count."""
+    r = scored_responses(spark, sf).select(F.col("score").cast("int").alias("correct"), "cost", T.token_count("text").alias("total_tokens"))
+    return scoring.ledger(r)
+
+
+@register(
+    "test_record_info",
+    """SELECT coalesce(json_extract_string(props, '$.type'), event_type) AS type, CAST(event_id AS VARCHAR) AS fen,
+              json_extract_string(props, '$.k') AS k, 'chess' AS ability, CAST(user_id AS VARCHAR) AS ground_truth
+       FROM events""",
+)
+def q_test_record_info(spark, sf):
+    """B18 test records with the metadata map, then B23: its named keys spread over the row."""
+    from quarry.functions.records import flatten_info, to_test_record
+
+    ev = table(spark, sf, "events")
+    rec = to_test_record(ev, F.col("event_type"), F.col("user_id").cast("string"), F.col("event_id").cast("string"),
+                         F.col("event_type"), "props")
+    flat = flatten_info(rec, "extra_info", ["type", "fen", "k"])
+    return flat.select("type", "fen", "k", "ability", F.col("reward_model.ground_truth").alias("ground_truth"))

@@ -18,20 +18,23 @@ def classify(
     text_col: str,
     done: DataFrame,
     test: DataFrame,
-    min_len: int = 20,
     test_text: str = "text",
     out: str = "status",
 ) -> DataFrame:
-    """One status per row in a single pass: ``invalid`` (blank text, or no row in ``done``) is decided
-    before ``excluded`` (shares a passage with the test set), the rest is ``kept`` (N12)."""
-    labelled = joins.flag_overlap(df, done.select(id_col), id_col, out="_labelled")
-    flagged = joins.flag_passages(labelled, id_col, text_col, test, test_text, min_len, out="_overlap")
+    """``(id, status)`` per row: ``invalid`` (blank text, or no row in ``done``) is decided before ``excluded`` (shares a
+    line with the test set, or contains a whole test text), the rest is ``kept`` (N12). Texts are judged in the scan;
+    the joins that decide the status carry ids and flags only."""
+    rows = df.select(id_col, is_blank(text_col).alias("_blank"))
+    hits = joins.line_overlap_ids(df, id_col, text_col, test, test_text).unionByName(
+        joins.passage_ids(df, id_col, text_col, test, test_text))
+    flagged = joins.flag_overlap(rows, done.select(id_col), id_col, out="_labelled")
+    flagged = joins.flag_overlap(flagged, hits, id_col, out="_overlap")
     status = (
-        F.when(is_blank(text_col) | ~F.col("_labelled"), F.lit("invalid"))
+        F.when(F.col("_blank") | ~F.col("_labelled"), F.lit("invalid"))
         .when(F.col("_overlap"), F.lit("excluded"))
         .otherwise(F.lit("kept"))
     )
-    return flagged.withColumn(out, status).drop("_labelled", "_overlap")
+    return flagged.select(id_col, status.alias(out))
 
 
 # ---- 3.1 selection -------------------------------------------------------------------------------------------------
@@ -58,6 +61,13 @@ def select_flow(puzzles: DataFrame, id_col: str = "PuzzleId", tags_col: str = "T
     return out
 
 
+def _with_legal_moves(df: DataFrame, fen: str) -> DataFrame:
+    """``legal_moves`` of the position: the column the caller supplies, else computed."""
+    from quarry.operators import board
+
+    return df if "legal_moves" in df.columns else board.legal_moves(df, fen, out="legal_moves")
+
+
 # ---- 3.2 distillation --------------------------------------------------------------------------------------------
 def teacher_rows(selected: DataFrame, done: DataFrame | None = None, id_col: str = "PuzzleId",
                  max_rows: int | None = None) -> DataFrame:
@@ -77,7 +87,7 @@ def teacher_rows(selected: DataFrame, done: DataFrame | None = None, id_col: str
         rows = order.first_n(selected, order_cols, max_rows, dense=ranked)
     mv = C.parse_moves("Moves")
     rows = board.apply_moves(rows, "FEN", mv["opponent"]).withColumn("best_move", mv["answer"])
-    rows = board.legal_moves(rows, "fen_after", out="legal_moves")
+    rows = _with_legal_moves(rows, "fen_after")
     prompt = teacher_prompt("fen_after", C.board_text("fen_after"), C.piece_inventory("fen_after"),
                             C.side_to_move("fen_after"), mv["opponent"], "best_move", "Rating", "Themes",
                             "legal_moves", "Moves")
@@ -120,23 +130,25 @@ def format_flow(distilled: DataFrame, test_keys: DataFrame, require_correct: boo
     from quarry.operators import board, joins
 
     def classify_rows(df: DataFrame, fen: str, invalid) -> DataFrame:
-        flagged = joins.flag_overlap(df.withColumn("key", prefix_key(fen)), test_keys, "key", out="_overlap")
-        status = (F.when(invalid, F.lit("invalid")).when(F.col("_overlap"), F.lit("excluded"))
+        flagged = joins.flag_overlap(df.withColumn("key", prefix_key(fen)).withColumn("_invalid", invalid), test_keys, "key",
+                                     out="_overlap")
+        status = (F.when(F.col("_invalid"), F.lit("invalid")).when(F.col("_overlap"), F.lit("excluded"))
                   .otherwise(F.lit("kept")))
-        return flagged.withColumn("status", status).drop("_overlap")
+        return flagged.withColumn("status", status).drop("_overlap", "_invalid")
 
     sft_rows = classify_rows(distilled, "fen_after", F.col("fen_after").isNull() | is_blank("cot"))
     kept = sft_rows.filter(F.col("status") == "kept")
     if require_correct:
         kept = kept.filter(F.col("correct") == 1)
-    kept = board.legal_moves(kept, "fen_after", out="legal_moves")
+    kept = _with_legal_moves(kept, "fen_after")
     sft = to_sft(kept, student_prompt("fen_after", C.piece_inventory("fen_after"), "legal_moves"), "cot")
 
     mv = C.parse_moves("Moves")
-    src = (distilled if rl_rows is None else rl_rows).select("PuzzleId", "FEN", "Moves", "Rating", "Themes")
+    src = distilled if rl_rows is None else rl_rows
+    src = src.select(*(c for c in ("PuzzleId", "FEN", "Moves", "Rating", "Themes", "legal_moves") if c in src.columns))
     src = board.apply_moves(src, "FEN", mv["opponent"], out="_rl_fen").withColumn("_truth", mv["answer"])
     rl_status = classify_rows(src, "_rl_fen", F.col("_rl_fen").isNull() | F.col("_truth").isNull())
-    rl_kept = board.legal_moves(rl_status.filter(F.col("status") == "kept"), "_rl_fen", out="legal_moves")
+    rl_kept = _with_legal_moves(rl_status.filter(F.col("status") == "kept"), "_rl_fen")
     rl = to_rl(rl_kept, student_prompt("_rl_fen", C.piece_inventory("_rl_fen"), "legal_moves"), "_truth",
                {"fen": "_rl_fen", "puzzle_id": "PuzzleId", "rating": "Rating", "themes": tags("Themes")})
 
@@ -152,9 +164,8 @@ def build_test_set(bench: DataFrame) -> DataFrame:
     from quarry.functions import chess as C
     from quarry.functions.records import student_prompt, to_test_record
     from quarry.functions.text import last_segment
-    from quarry.operators import board
 
-    withmoves = board.legal_moves(bench, "fen", out="legal_moves")
+    withmoves = _with_legal_moves(bench, "fen")
     prompt = student_prompt("fen", C.piece_inventory("fen"), "legal_moves")
     return to_test_record(withmoves, prompt, "answer", "fen", last_segment("task"), "metadata")
 
@@ -168,25 +179,36 @@ def test_keys_of(test_records: DataFrame) -> DataFrame:
 
 # ---- 3.4 evaluation ------------------------------------------------------------------------------------------------
 def evaluate_flow(responses: DataFrame, test_records: DataFrame, max_tokens: int = 1024,
-                  by: list[str] | None = None):
+                  by: list[str] | None = None, info_keys: list[str] | None = None):
     """Score sampled responses against their test records, average per prompt, and summarise.
 
     ``responses``: ``prompt_id, sample, text`` (+ ``stage, step`` for checkpoints); ``test_records`` carry
-    ``prompt_id``. Returns ``(rows, summary)``; rows are the evaluation records ``input, output, gts, score,
-    num_tokens`` + the info keys.
+    ``prompt_id``. Every test record counts: one without a response (for any of the ``by`` groups that occur) scores 0
+    with a null output of length 0. Returns ``(rows, summary)``; rows are the evaluation records ``input, output, gts,
+    score, num_tokens`` + the info keys: the ``info_keys`` of a map (without them the map stays), all fields of a struct. ``by`` may
+    name columns of the responses and info keys.
     """
+    from quarry.functions.records import flatten_info
     from quarry.functions.text import answer_score
     from quarry.operators import scoring
 
     gts = test_records.select("prompt_id", F.col("reward_model.ground_truth").alias("gts"),
                               F.col("prompt")[0]["content"].alias("input"), "extra_info")
-    keys = (by or []) + ["prompt_id"]
-    scored = responses.join(gts, "prompt_id").withColumn("score", answer_score("text", "gts")["score"])
+    own = [c for c in (by or []) if c in responses.columns]
+    keys = own + ["prompt_id"]
+    scored = responses.join(gts.select("prompt_id", "gts"), "prompt_id")
+    scored = scored.withColumn("score", answer_score("text", "gts")["score"])
     per = scoring.pass_at_1(scored, keys, "sample", "score", "text", max_tokens)
-    rows = per.join(gts, "prompt_id").select(
-        *(by or []), "prompt_id", "input", F.col("first_text").alias("output"), "gts",
-        F.col("pass_at_1").alias("score"), "num_tokens", "clipped", "extra_info",
+    asked = gts
+    if own:  # each group of responses is an evaluation of the whole test set; the groups are few (checkpoints)
+        groups = responses.select(*own).distinct().agg(F.collect_list(F.struct(*own))).scalar()
+        asked = gts.select("*", F.explode(groups).alias("_g")).select(*gts.columns, *(f"_g.{c}" for c in own))
+    rows = asked.join(per, keys, "left").select(
+        *own, "prompt_id", "input", F.col("first_text").alias("output"), "gts",
+        F.coalesce("pass_at_1", F.lit(0.0)).alias("score"), F.coalesce("num_tokens", F.lit(0)).alias("num_tokens"),
+        F.coalesce("clipped", F.lit(False)).alias("clipped"), "extra_info",
     )
+    rows = flatten_info(rows, "extra_info", info_keys)
     summary = scoring.eval_summary(rows, by, "score", "num_tokens", "clipped")
     return rows, summary
 

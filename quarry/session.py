@@ -75,15 +75,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a frame over the cluster's cores when it has fewer partitions than cores.
-
-    For CPU-heavy row-local expressions on small inputs (one small file is one task). On large inputs,
-    which already have more partitions than cores, this is a no-op and adds no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

@@ -1,7 +1,7 @@
 """Sources and sinks (A1-A10).
 
-Schemas are always given, never inferred. CSV is read with ``multiLine`` (reasoning text holds quoted
-newlines) and written with nested columns rendered as JSON text, since CSV cannot hold arrays.
+Types are always given, never inferred. CSV is read by its header names and written with nested columns rendered as
+JSON text, since CSV cannot hold arrays.
 Existence checks go through the Hadoop FileSystem of the path, so they work on any shared store.
 """
 
@@ -28,20 +28,42 @@ PUZZLE_SCHEMA = T.StructType(
 )
 
 
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a headered CSV (the first file's first line; a header holds no quoted newline)."""
+    head = spark.read.option("header", True).option("escape", '"').csv(path).schema
+    return head.fieldNames()
+
+
 def read_records(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                 fmt: str = "csv") -> DataFrame:
-    """A1 / A2: headered CSV (multi-line quoted fields), Parquet, or JSON Lines, with an explicit schema."""
+                 fmt: str = "csv", multi_line: bool = False) -> DataFrame:
+    """A1 / A2: headered CSV, Parquet, or JSON Lines, with an explicit schema.
+
+    CSV columns are bound by their header names: the columns of ``schema`` are cast (a value that does not fit fails
+    the job), in whatever order the file has them; every other column of the file passes through as text behind them,
+    and a missing name is an error. Repeated header names are an error too. ``multi_line`` is for files whose quoted
+    fields hold newlines (reasoning text); such a file is one task, others are split.
+    """
     if fmt == "csv":
-        if schema is None:
-            raise ValueError("CSV needs an explicit schema")
-        return (
-            spark.read.schema(schema)
+        names = _header(spark, path)
+        if len(set(names)) < len(names):
+            raise ValueError(f"repeated column names in the header of {path}: {names}")
+        raw = (
+            spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
             .option("header", True)
-            .option("multiLine", True)
+            .option("multiLine", multi_line)
             .option("escape", '"')
             .option("mode", "FAILFAST")
             .csv(path)
         )
+        if schema is None:
+            return raw
+        typed = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        missing = [n for n in typed.fieldNames() if n not in names]
+        if missing:
+            raise ValueError(f"columns {missing} are not in the header of {path}: {names}")
+        rest = [n for n in names if n not in typed.fieldNames()]
+        quoted = lambda n: F.col(f"`{n}`")
+        return raw.select(*[quoted(f.name).cast(f.dataType).alias(f.name) for f in typed], *[quoted(n) for n in rest])
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "parquet":
         return reader.parquet(path)
@@ -51,11 +73,11 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType | str | No
 
 
 def load_benchmark(spark: SparkSession, path: str, fmt: str = "parquet",
-                   columns: dict[int, str] | None = None) -> DataFrame:
+                   columns: dict[int, str] | None = None, multi_line: bool = False) -> DataFrame:
     """A3: a landed copy of the benchmark split; positional columns are bound to names."""
-    df = read_records(spark, path, fmt=fmt) if fmt != "csv" else spark.read.option("header", True).csv(path)
+    df = read_records(spark, path, fmt=fmt, multi_line=multi_line)
     cols = columns or BENCHMARK_COLUMNS
-    return df.select(*[F.col(df.columns[i]).alias(name) for i, name in sorted(cols.items())])
+    return df.select(*[F.col(f"`{df.columns[i]}`").alias(name) for i, name in sorted(cols.items())])
 
 
 def _csv_safe(df: DataFrame) -> DataFrame:
@@ -128,11 +150,27 @@ def materialize_all(spark: SparkSession, build: Callable[[], dict[str, DataFrame
     return {k: read_records(spark, p, fmt=fmt) for k, p in paths.items()}
 
 
+def materialize_split(spark: SparkSession, build: Callable[[], DataFrame], path: str, column: str,
+                      values: Sequence[str]) -> dict[str, DataFrame]:
+    """A9 for the parts of one frame: written once, partitioned by ``column``, and read back part by part (a part is a
+    folder, so nothing else is scanned). Reused only when the whole output is complete."""
+    if not is_complete(spark, path):
+        write_records(build(), path, "parquet", partition_by=[column])
+    whole = spark.read.parquet(path)
+    return {v: whole.filter(F.col(column) == v).drop(column) for v in values}
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch output that is not needed any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def convert(spark: SparkSession, src: str, dst: str, src_fmt: str, dst_fmt: str,
             src_schema: T.StructType | str | None = None,
-            dst_schema: T.StructType | str | None = None) -> DataFrame:
+            dst_schema: T.StructType | str | None = None, multi_line: bool = False) -> DataFrame:
     """A10: format conversion of a released split; returns the written data read back (CSV needs
     ``dst_schema`` to read back; nested columns were written as JSON text)."""
-    df = read_records(spark, src, src_schema, src_fmt)
+    df = read_records(spark, src, src_schema, src_fmt, multi_line)
     write_records(df, dst, dst_fmt)
-    return read_records(spark, dst, dst_schema, dst_fmt)
+    return read_records(spark, dst, dst_schema, dst_fmt, multi_line)

@@ -6,7 +6,8 @@ limit is appended to the sink once, surviving restarts:
 ``readStream`` (schema'd files) -> score -> ``foreachBatch``: first accepted per id within the batch,
 anti join against what *other* batches already accepted, overwrite this batch's own folder.
 
-The sink is the state (as in the reference, where the output file is the done set). Idempotence: a
+The sink is the state (as in the reference, where the output file is the done set). Its batch folders are
+partitioned by a hash bucket of the id, and a batch reads only the buckets its ids fall in. Idempotence: a
 replayed batch rewrites exactly its own ``batch_id=<n>`` folder, and its done set excludes that folder,
 so a replay never anti-joins away its own rows. First-correct is by attempt number within a batch and by
 arrival across batches.
@@ -21,24 +22,46 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarry.functions.text import answer_score
 from quarry.operators.scoring import first_accepted
-from quarry.sources.io import path_exists
+from quarry.sources.io import is_complete, path_exists
+
+
+# Accepted ids are kept by a hash bucket, so that a batch reads only the buckets its own ids fall in.
+BUCKETS = 64
+
+
+def _bucket(id_col: str):
+    return F.pmod(F.xxhash64(id_col), F.lit(BUCKETS)).cast("int")
 
 
 def _accept_batch(spark: SparkSession, sink: str, id_col: str, attempt: str, max_attempts: int):
     def run(batch: DataFrame, batch_id: int) -> None:
-        accepted = first_accepted(batch, id_col, attempt, "score", max_attempts)
-        if path_exists(spark, sink):
-            try:
-                done = spark.read.parquet(sink).filter(F.col("batch_id") != F.lit(batch_id)).select(id_col)
-                accepted = accepted.join(done.distinct(), id_col, "left_anti")
-            except Exception as e:  # noqa: BLE001 - an empty sink folder has no files to infer from
-                if "UNABLE_TO_INFER_SCHEMA" not in str(e) and "Unable to infer schema" not in str(e):
-                    raise
-        accepted.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
+        accepted = first_accepted(batch, id_col, attempt, "score", max_attempts).withColumn("bucket", _bucket(id_col))
+        accepted = accepted.persist()
+        try:
+            done = committed(spark, sink, batch_id)
+            new = accepted
+            if done:
+                buckets = [r["bucket"] for r in accepted.select("bucket").distinct().collect()]  # at most BUCKETS
+                kept = spark.read.option("basePath", sink).schema(accepted.schema).parquet(*done)
+                kept = kept.filter(F.col("bucket").isin(buckets)).select(id_col)
+                new = accepted.join(kept.distinct(), id_col, "left_anti")
+            new.write.mode("overwrite").partitionBy("bucket").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            accepted.unpersist()
 
     return run
 
 
+def committed(spark: SparkSession, sink: str, but: int | None = None) -> list[str]:
+    """Folders of the batches whose write was committed, without batch ``but``."""
+    if not path_exists(spark, sink):
+        return []
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sink)
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+    paths = [f.getPath().toString() for f in found if f.isDirectory()]
+    return sorted(p for p in paths if is_complete(spark, p) and not p.endswith(f"/batch_id={but}"))
+
+
 def scored_append(
     spark: SparkSession,
     source: str,
@@ -71,4 +94,5 @@ def run_available(spark: SparkSession, *args, **kwargs) -> DataFrame:
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     sink = args[2] if len(args) > 2 else kwargs["sink"]
-    return spark.read.parquet(sink)
+    schema = spark.read.option("basePath", sink).parquet(*committed(spark, sink)).schema
+    return spark.read.option("basePath", sink).schema(schema).parquet(*committed(spark, sink)).drop("bucket")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import chess as C
 from quarry.operators import board
-from quarry.plans.catalog import MOVE_CASES, POSITIONS
+from tests.positions import MOVE_CASES, POSITIONS
 
 
 def test_published_move_counts(spark):

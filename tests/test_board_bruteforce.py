@@ -10,7 +10,7 @@ and ``apply_moves`` the same next position string, for every position and move.
 import random
 
 from quarry.operators import board
-from quarry.plans.catalog import POSITIONS
+from tests.positions import POSITIONS
 
 FILES = "abcdefgh"
 KNIGHT = [(1, 2), (2, 1), (2, -1), (1, -2), (-1, -2), (-2, -1), (-2, 1), (-1, 2)]

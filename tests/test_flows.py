@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarry.plans import flows
-from quarry.plans.catalog import POSITIONS
+from tests.positions import POSITIONS
 
 PUZZLES = [
     (f"p{i}", fen, mv, 1000 + 10 * i, tags)
@@ -100,3 +100,53 @@ def test_checkpoint_report(spark):
     assert {(r.step, r.accuracy) for r in summary.collect()} == {(10, 0.5), (20, 1.0), (30, 1.0)}
     assert [r.running_best for r in curve.orderBy("step").collect()] == [0.5, 1.0, 1.0]
     assert [(r.stage, r.best_step) for r in best.collect()] == [("rl", 20)]
+
+
+def _test_records(spark, rows):
+    return spark.createDataFrame(rows, "prompt_id string, gt string, kind string").select(
+        "prompt_id", F.struct(F.col("gt").alias("ground_truth"), F.lit("rule").alias("style")).alias("reward_model"),
+        F.array(F.struct(F.lit("user").alias("role"), F.lit("q").alias("content"))).alias("prompt"),
+        F.create_map(F.lit("type"), F.col("kind")).alias("extra_info"))
+
+
+def test_unanswered_prompts_count_as_wrong(spark):
+    test = _test_records(spark, [("t0", "e2e4", "mate"), ("t1", "d2d4", "fork")])
+    resp = spark.createDataFrame([("t0", 0, "FINAL_ANSWER: e2e4")], "prompt_id string, sample int, text string")
+    rows, summary = flows.evaluate_flow(resp, test, max_tokens=8)
+    assert {(r.prompt_id, r.score, r.num_tokens, r.clipped) for r in rows.collect()} == {("t0", 1.0, 2, False), ("t1", 0.0, 0, False)}
+    s = summary.first()
+    assert (s.prompts, s.accuracy) == (2, 0.5)
+    # info keys become columns, and the summary can be grouped by them
+    rows, summary = flows.evaluate_flow(resp, test, max_tokens=8, by=["type"], info_keys=["type"])
+    assert {(r.type, r.accuracy) for r in summary.collect()} == {("mate", 1.0), ("fork", 0.0)} and "extra_info" not in rows.columns
+    # every checkpoint is an evaluation of the whole test set
+    steps = resp.withColumn("step", F.lit(1)).unionByName(resp.withColumn("prompt_id", F.lit("t1")).withColumn("step", F.lit(2)))
+    _, summary = flows.evaluate_flow(steps, test, by=["step"])
+    assert {(r.step, r.prompts, r.accuracy) for r in summary.collect()} == {(1, 2, 0.5), (2, 2, 0.0)}
+
+
+def test_building_flows_runs_nothing(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "flows are lazy")
+    try:
+        pz = spark.range(4).select(F.col("id").cast("string").alias("PuzzleId"), F.lit(POSITIONS[0][0]).alias("FEN"),
+                                   F.lit("e2e4 e7e5").alias("Moves"), F.lit(1500).alias("Rating"), F.lit("fork").alias("Themes"))
+        pz = pz.groupBy(*pz.columns).agg(F.count("*").alias("n"))  # a frame behind a shuffle
+        rows = flows.teacher_rows(pz, done=pz.filter("PuzzleId = '1'"))
+        att = pz.select("PuzzleId", F.lit(1).alias("attempt"), F.lit("FINAL_ANSWER: e7e5").alias("content"), F.lit(1.0).alias("cost"))
+        distilled, _ = flows.accept_flow(rows, att)
+        bench = pz.select(F.lit("x_mate").alias("task"), F.col("FEN").alias("fen"), F.lit("e2e4").alias("answer"), F.lit("{}").alias("metadata"))
+        test = flows.build_test_set(bench)
+        flows.format_flow(distilled, flows.test_keys_of(test), rl_rows=pz)
+        resp = pz.select(F.col("PuzzleId").alias("prompt_id"), F.lit("rl").alias("stage"), F.lit(1).alias("step"), F.lit(0).alias("sample"), F.lit("x").alias("text"))
+        flows.checkpoint_report(resp, test.withColumn("prompt_id", F.lit("0")))
+        flows.classify(pz, "PuzzleId", "Moves", pz, bench.withColumnRenamed("fen", "text"))
+        assert len(sc.statusTracker().getJobIdsForGroup("building")) == 0
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_supplied_legal_moves_are_used(spark):
+    bench = spark.createDataFrame([("x_mate", POSITIONS[0][0], "e2e4", "{}", ["a1a1"])],
+                                  "task string, fen string, answer string, metadata string, legal_moves array<string>")
+    assert "Legal moves: a1a1" in flows.build_test_set(bench).first().prompt[0].content

@@ -23,18 +23,40 @@ def test_exclude_overlap_keeps_null_keys(spark):
     assert flags == {1: True, 2: False, 3: False}
 
 
-def test_passages_no_leak(spark):
-    docs = spark.createDataFrame(
-        [(1, "short\nthis line is long enough to matter\nend"), (2, "nothing shared here at all, fine\nx"),
-         (3, None)],
-        "id int, text string",
-    )
-    test = spark.createDataFrame([("intro\nthis line is long enough to matter",)], "text string")
-    kept = joins.exclude_passages(docs, "id", "text", test, "text", 20)
-    assert sorted(r.id for r in kept.collect()) == [2, 3]
-    # no leak: a semi join of what is kept with the test segments is empty
-    leak = joins.segments(kept, "text").join(joins.segments(test, "text").select("_seg"), "_seg", "left_semi")
-    assert leak.count() == 0
+def test_line_rule_has_no_cut(spark):
+    docs = spark.createDataFrame([(1, "short\nx\nend"), (2, "nothing shared\n\n"), (3, None), (4, "")], "id int, text string")
+    test = spark.createDataFrame([("intro\nx\n",), (None,), ("",)], "text string")
+    kept = joins.exclude_passages(docs, "id", "text", test, "text", rule="line")
+    assert sorted(r.id for r in kept.collect()) == [2, 3, 4]
+    flags = {r.id: r.overlaps for r in joins.flag_passages(docs, "id", "text", test, "text").collect()}
+    assert flags == {1: True, 2: False, 3: False, 4: False}
+    # no leak: a semi join of what is kept with the test lines is empty
+    assert joins.lines(kept, "text").join(joins.lines(test, "text").select("_seg"), "_seg", "left_semi").count() == 0
+
+
+def test_passage_rule_equals_substring_search(spark):
+    import random
+
+    rng = random.Random(4)
+    vocabulary = ["a", "bb", "ccc", "d e", "f\ng", "h\u00a0i", "\u00e9"]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 60))) for _ in range(80)]
+    passages = []
+    for _ in range(25):
+        t = rng.choice(texts)
+        i = rng.randint(0, max(0, len(t) - 10))
+        passages.append(t[i : i + rng.randint(6, 60)])
+    passages += [None, "", "   "]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(1000, None)], "id int, text string")
+    test = spark.createDataFrame([(p,) for p in passages], "text string")
+    long = [p for p in passages if p and len(p.split()) > 2]
+    short = [p.split() for p in passages if p and 0 < len(p.split()) <= 2]
+
+    def hit(t):
+        w = t.split()
+        return any(p in t for p in long) or any(s == w[k : k + len(s)] for s in short for k in range(len(w)))
+
+    got = {r.id for r in joins.passage_ids(docs, "id", "text", test, "text").collect()}
+    assert got == {i for i, t in enumerate(texts) if hit(t)} and got
 
 
 def test_set_ops(spark):

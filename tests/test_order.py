@@ -15,8 +15,8 @@ def test_shuffle_rank_exact_and_partition_invariant(spark):
     ids = list(range(3000))
     df = spark.createDataFrame([(i,) for i in ids], "id long")
     want = _expected_rank(ids)
-    for digits, parts in [(1, 3), (2, 8), (3, 17)]:
-        got = order.shuffle_rank(df.repartition(parts), "id", 42, hex_digits=digits).collect()
+    for per_bucket, parts in [(1000, 3), (100, 8), (1, 17)]:  # 1 to 4,096 buckets
+        got = order.shuffle_rank(df.repartition(parts), "id", 42, rows_per_bucket=per_bucket).collect()
         assert {r.id: r.shuffle_rank for r in got} == want
 
 
@@ -62,7 +62,7 @@ def test_hot_id_is_split_and_ranks_stay_exact(spark):
     # one id holds 40% of the rows (with identical and differing copies); others unique
     rows = [(7, i % 3) for i in range(400)] + [(i, 0) for i in range(1000, 1600)]
     df = spark.createDataFrame(rows, "id long, v int").repartition(5)
-    got = order.shuffle_rank(df, "id", 42, hex_digits=1, hot_threshold=50).collect()
+    got = order.shuffle_rank(df, "id", 42, rows_per_bucket=100, hot_rows=50).collect()
     ranks = sorted(r.shuffle_rank for r in got)
     assert ranks == list(range(1, 1001))
     # the hot id's copies occupy one contiguous block placed where its hash puts it
@@ -75,7 +75,7 @@ def test_hot_id_is_split_and_ranks_stay_exact(spark):
         if r.id != 7:
             assert r.shuffle_rank == want[r.id] + (399 if want[r.id] > want[7] else 0)
     # the hot id was split over several window partitions
-    plan_rows = order.shuffle_rank(df, "id", 42, hex_digits=1, hot_threshold=50)
+    plan_rows = order.shuffle_rank(df, "id", 42, rows_per_bucket=100, hot_rows=50)
     assert plan_rows.count() == 1000
 
 
@@ -107,7 +107,31 @@ def test_hot_exact_copies_out_of_a_shuffle(spark):
     base = spark.createDataFrame([(7, 300)] + [(i, 1) for i in range(2000, 2500)], "id long, c int")
     df = (base.groupBy("id").agg(F.sum("c").alias("c"))
           .select("id", F.explode(F.sequence(F.lit(1), F.col("c"))).alias("_x")).drop("_x"))
-    got = order.shuffle_rank(df, "id", 42, hex_digits=1, hot_threshold=40).collect()
+    got = order.shuffle_rank(df, "id", 42, rows_per_bucket=100, hot_rows=40).collect()
     assert sorted(r.shuffle_rank for r in got) == list(range(1, 801))
     block = sorted(r.shuffle_rank for r in got if r.id == 7)
     assert block == list(range(block[0], block[0] + 300))
+
+
+def test_half_of_the_rows_under_one_id_rank_alike_under_any_layout(spark):
+    rows = [(7, i) for i in range(1000)] + [(i, 0) for i in range(5000, 6000)] + [(9, 1)] * 300
+    want = None
+    for parts, hot in [(1, 50), (4, 50), (13, 200), (5, 1 << 20)]:
+        df = spark.createDataFrame(rows, "id long, v int").repartition(parts)
+        got = sorted(tuple(r) for r in order.shuffle_rank(df, "id", 42, rows_per_bucket=64, hot_rows=hot).collect())
+        assert sorted(r[2] for r in got) == list(range(1, len(rows) + 1))
+        want = want or got
+        assert got == want
+
+
+def test_bucket_width_follows_the_rows():
+    assert [order._bucket_digits(n, 1 << 16) for n in (0, 1 << 16, 1 << 20, 1 << 40)] == [1, 1, 1, 6]
+
+
+def test_copies_are_expanded_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(order, "COPIES", 16)
+    df = spark.createDataFrame([(3, "x")] * 500 + [(i, "y") for i in range(100, 150)], "id long, v string")
+    got = order.shuffle_rank(df, "id", 1, rows_per_bucket=32, hot_rows=40).collect()
+    assert sorted(r.shuffle_rank for r in got) == list(range(1, 551))
+    block = sorted(r.shuffle_rank for r in got if r.id == 3)
+    assert block == list(range(block[0], block[0] + 500))

@@ -1,0 +1,18 @@
+"""The board queries over literal positions against their DuckDB SQL."""
+
+import duckdb
+import pytest
+
+from tests.positions import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_board_query(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF}/events.parquet')")
+    got = QUERIES[name](spark, SF)
+    want = con.execute(ORACLES[name])
+    cols = [d[0] for d in want.description]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(want.fetchall())

@@ -1,4 +1,4 @@
-"""The registered prompt queries against prompts built in plain Python.
+"""The prompt queries against prompts built in plain Python.
 
 The prompt queries have no SQL oracle (they embed legal-move lists), so they are checked here over the
 whole sf0.001 events table: legal moves come from the brute-force generator of
@@ -8,7 +8,7 @@ whole sf0.001 events table: legal moves come from the brute-force generator of
 import pandas as pd
 
 from quarry.functions.records import STUDENT_LINES, TEACHER_HEAD, TEACHER_TASK
-from quarry.plans import catalog
+from tests import positions as catalog
 from tests.test_board_bruteforce import legal, make, parse, uci
 from tests.test_board_bruteforce import fen as to_fen
 

@@ -98,3 +98,12 @@ def test_array_tags_give_same_selection(spark):
     a = sorted(tuple(r) for r in quota_assignments(df, "id", "tags", "src_pos", 1, 3).collect())
     b = sorted(tuple(r) for r in quota_assignments(arr, "id", "tag_list", "src_pos", 1, 3, split=False).collect())
     assert a == b
+
+
+def test_rows_that_repeat_id_and_position_are_one_candidate(spark):
+    df = spark.createDataFrame([(1, "a", 5, "x"), (1, "a", 5, "y"), (1, "b", 5, "z"), (2, "a", 6, "w"), (2, "a", 6, "w")],
+                               "id int, tags string, pos int, v string")
+    one = quota_select(df, "id", "tags", "pos", 1, 1).collect()
+    assert [(r.id, r.theme) for r in one] == [(1, "b")]
+    two = quota_select(df, "id", "tags", "pos", 2, 2).collect()
+    assert sorted((r.id, r.theme) for r in two) == [(1, "b"), (2, "a")]
