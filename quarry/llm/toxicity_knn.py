@@ -1,7 +1,9 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine (operator 8).
 
 Terms are words and word beginnings of 4 to 7 bytes, so that inflected or compounded forms of one stem meet. The
-vocabulary keeps the terms whose document frequencies differ between the labels (chi-squared above ``MIN_CHI2``).
+vocabulary keeps the terms whose document frequencies differ between the labels: their log likelihood ratio (half the G
+statistic) exceeds the logarithm of the number of terms tested times ``1 / SPURIOUS``, so that about ``SPURIOUS`` terms get
+in by chance.
 Examples are labelled documents, at most about ``max_examples`` of them: the classifier is fitted on a sample of that
 bound, drawn by a hash of the id; every document is scored.
 
@@ -15,6 +17,7 @@ the neighbours' ids with their cosines.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +32,7 @@ from quarry.llm.words import U64
 
 MAX_EXAMPLES = 20_000
 MAX_TERMS = 2048
-MIN_CHI2, MIN_DOCS = 24.0, 3
+SPURIOUS, MIN_DOCS = 0.1, 3
 NEIGHBOURS = 25
 BLOCK = 64
 PREFIXES = (4, 5, 6, 7)
@@ -40,13 +43,15 @@ def terms(w: words.Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     h = w.hashes()
     distinct, where, inverse = np.unique(h, return_index=True, return_inverse=True)
     yield np.arange(len(h)), distinct[inverse]
-    values = words.FIRST.table[w.data]
-    start, end = w.start[where], w.end[where]
+    by = np.argsort(where)  # spans are hashed in the order of the text
+    start, end = w.start[where[by]], w.end[where[by]]
     for k in PREFIXES:
         long = end - start > k
         hashes = np.zeros(len(distinct), U64)
-        hashes[long] = words.mix(words.FIRST.spans(values, start[long], start[long] + k) + U64(k))
-        at = np.flatnonzero(long[inverse])
+        hashes[by[long]] = words.mix(words.FIRST.spans(w.data, start[long], start[long] + k, words.FIRST.table) + U64(k))
+        held = np.zeros(len(distinct), bool)
+        held[by[long]] = True
+        at = np.flatnonzero(held[inverse])
         yield at, hashes[inverse[at]]
 
 
@@ -185,12 +190,12 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     pairs = chunks.store(pairs.join(F.broadcast(drawn), "id").select("id", "text", F.col("toxic").cast("int").alias("toxic")), "toxic-examples")
     total, toxic = pairs.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     counts = pairs.select("text", "toxic").mapInArrow(_frequencies, "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    clean = total - toxic
-    df = F.col("pos") + F.col("neg")
-    cross = F.col("pos").cast("double") * (F.lit(clean) - F.col("neg")) - F.col("neg") * (F.lit(toxic) - F.col("pos")).cast("double")
-    chi2 = total * cross * cross / (F.lit(float(max(toxic, 1)) * max(clean, 1)) * df * (F.lit(total) - df + 0.5))
-    chosen = counts.withColumn("df", df).withColumn("chi2", chi2).where((F.col("df") >= MIN_DOCS) & (F.col("chi2") >= MIN_CHI2))
-    chosen = chosen.orderBy(F.desc("chi2"), "term").limit(max_terms).select("term", "df").collect()
+    df, base = F.col("pos") + F.col("neg"), (toxic + 0.5) / (total + 1)
+    counts = chunks.store(counts.where(df >= MIN_DOCS).withColumn("df", df), "toxic-terms")
+    part = lambda n, share: F.when(n > 0, n * F.log(n / (df * share))).otherwise(0.0)
+    ratio = part(F.col("pos"), base) + part(F.col("neg"), 1 - base)
+    chosen = counts.withColumn("ratio", ratio).where(F.col("ratio") > math.log(max(counts.count(), 1) / SPURIOUS))
+    chosen = chosen.orderBy(F.desc("ratio"), "term").limit(max_terms).select("term", "df").collect()
     names = np.array([r.term for r in chosen], np.int64).view(U64)
     idf = np.log((total + 1) / (np.array([r.df for r in chosen], float) + 1)) + 1e-9
     by = np.argsort(names)
