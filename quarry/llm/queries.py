@@ -48,11 +48,64 @@ SPLIT = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-@register("op1_katz_scores")
+def _sql_discounts(of: str, cutoff: int = 5) -> str:
+    """Good-Turing discounts d1..d5 from the counts of counts n1..n6 of a relation, by the rule of ``katz.discounts``."""
+    def d(r: int, k: int) -> str:
+        return f"((({r} + 1) * n{r + 1} / n{r} / {r} - ({k} + 1) * n{k + 1} / n1) / (1 - ({k} + 1) * n{k + 1} / n1))"
+
+    def valid(k: int) -> str:
+        return " AND ".join([f"n{r} > 0" for r in range(1, k + 1)] + [f"({k} + 1) * n{k + 1} < n1"]
+                            + [f"{d(r, k)} > 0 AND {d(r, k)} < 1" for r in range(1, k + 1)])
+
+    cols = []
+    for r in range(1, cutoff + 1):
+        cases = " ".join(f"WHEN {valid(k)} THEN {d(r, k) if r <= k else '1.0'}" for k in range(cutoff, 0, -1))
+        cols.append(f"CASE {cases} ELSE 1 - 0.5 / {r} END AS d{r}")
+    counts = ", ".join(f"CAST(count(*) FILTER (c = {r}) AS DOUBLE) AS n{r}" for r in range(1, cutoff + 2))
+    off = " + ".join(f"(1 - d{r}) * {r} * n{r}" for r in range(1, cutoff + 1))
+    return (f"SELECT *, {off} AS gone FROM (SELECT *, {', '.join(cols)} FROM "
+            f"(SELECT CAST(coalesce(sum(c), 0) AS DOUBLE) AS n, count(*) AS v, {counts} FROM {of}))")
+
+
+SQL_DISCOUNT = "CASE c " + " ".join(f"WHEN {r} THEN d{r}" for r in range(1, 6)) + " ELSE 1.0 END"
+# crc32 of the id as text, byte by byte over the 256-entry table of the reversed polynomial
+SQL_CRC_TABLE = """SELECT list_transform(generate_series(0, 255), lambda i: list_reduce(
+         list_prepend(CAST(i AS UBIGINT), list_transform(generate_series(1, 8), lambda k: CAST(0 AS UBIGINT))),
+         lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS UBIGINT)) ELSE c // 2 END)) AS t"""
+SQL_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT),
+         list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS UBIGINT))),
+         lambda a, b: xor(a // 256, t[CAST(xor(a, b) % 256 AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT))"""
+
+
+@register("op1_katz_scores", f"""
+WITH t AS ({SQL_CRC_TABLE}),
+d AS (SELECT doc_id, row_number() OVER () AS r, {SQL_CRC} % 5 <> 1 AS train,
+             list_append(regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+'), ' ') AS w FROM documents, t),
+k AS (SELECT r, train, w[i] AS w, CASE WHEN i = 1 THEN '  ' ELSE w[i - 1] END AS ctx
+      FROM (SELECT r, train, w, unnest(generate_series(1, len(w))) AS i FROM d)),
+u AS (SELECT w, count(*) AS c FROM k WHERE train GROUP BY w),
+b AS (SELECT ctx, w, count(*) AS c FROM k WHERE train GROUP BY ctx, w),
+g1 AS ({_sql_discounts('u')}),
+g2 AS ({_sql_discounts('b')}),
+e AS (SELECT greatest(n + CASE WHEN gone <= 0 THEN 1 ELSE 0 END, 1) AS events, CASE WHEN gone > 0 THEN gone ELSE 1 END AS unseen FROM g1),
+p AS (SELECT w, c, {SQL_DISCOUNT} * c / events AS p FROM u, g1, e),
+x AS (SELECT ctx, sum(c) AS total, sum(p) AS mass, sum(off) AS off
+      FROM (SELECT b.ctx, b.c, p.p, CASE WHEN b.c <= 5 THEN (1 - {SQL_DISCOUNT.replace('CASE c', 'CASE b.c')}) * b.c ELSE 0 END AS off
+            FROM b JOIN p USING (w), g2) GROUP BY ctx),
+s AS (SELECT k.r, coalesce(p.c, 0) AS c1,
+             CASE WHEN b.c IS NOT NULL THEN {SQL_DISCOUNT.replace('CASE c', 'CASE b.c')} * b.c / (total + CASE WHEN off <= 0 THEN 1 ELSE 0 END)
+                  ELSE coalesce((CASE WHEN off > 0 THEN off ELSE 1 END) / (total + CASE WHEN off <= 0 THEN 1 ELSE 0 END) / (1 - mass), 1)
+                       * coalesce(p.p, unseen / events) END AS prob
+      FROM k LEFT JOIN b ON k.ctx = b.ctx AND k.w = b.w LEFT JOIN x ON k.ctx = x.ctx LEFT JOIN p ON k.w = p.w, g2, e)
+SELECT any_value(d.doc_id) AS doc_id, NOT any_value(d.train) AS held_out, count(*) AS n_tokens, count(*) FILTER (c1 > 0) AS n_known,
+       CAST(any_value(g1.n) AS BIGINT) AS train_tokens, round(sum(log10((c1 + 0.5) / (g1.n + 0.5 * (g1.v + 1)))), 6) AS base_score,
+       round(sum(log10(prob)), 6) AS score
+FROM s JOIN d USING (r), g1 GROUP BY r""")
 def op1_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = language_mixture.remainder("doc_id", 5) != 1
     out = katz.score_corpus(table(spark, sf_dir, "documents"), train)
-    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"))
 
 
 @register("op2_substring_dedup", f"""
