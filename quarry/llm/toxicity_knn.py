@@ -189,7 +189,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     pairs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null")
     pairs = chunks.store(pairs.join(F.broadcast(drawn), "id").select("id", "text", F.col("toxic").cast("int").alias("toxic")), "toxic-examples")
     total, toxic = pairs.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    counts = pairs.select("text", "toxic").mapInArrow(_frequencies, "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counts = pairs.select("text", "toxic").mapInArrow(_frequencies, "term long, pos long, neg long")
+    counts = counts.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     df, base = F.col("pos") + F.col("neg"), (toxic + 0.5) / (total + 1)
     counts = chunks.store(counts.where(df >= MIN_DOCS).withColumn("df", df), "toxic-terms")
     part = lambda n, share: F.when(n > 0, n * F.log(n / (df * share))).otherwise(0.0)
