@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 SLICE_BYTES = 4 << 20  # bytes of text worked on at once; a longer text is a slice of its own
+STRETCH = 1 << 18  # values hashed at once
 _MASK = (1 << 64) - 1
 
 
@@ -49,12 +50,23 @@ class Family:
                 setattr(self, name, np.cumprod(p))
         return self._pow[:n], self._inv[:n]
 
-    def spans(self, values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of values[start:end] for each pair; equal spans have equal hashes wherever they stand."""
-        power, inverse = self.powers(len(values) + 1)
-        sums = np.zeros(len(values) + 1, U64)
-        np.cumsum(values * power[:-1], out=sums[1:])
-        return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(U64))
+    def spans(self, values: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+        """Hash of values[start:end] for each pair; equal spans have equal hashes wherever they stand. Starts ascend.
+        With a table, values are looked up in it. Works on a stretch of values at a time, to bound memory."""
+        out = np.empty(len(start), U64)
+        at = 0
+        while at < len(start):
+            lo = int(start[at])
+            to = int(np.searchsorted(start, lo + STRETCH))
+            part = values[lo : int(end[at:to].max())]
+            part = part if table is None else table[part]
+            power, inverse = self.powers(len(part) + 1)
+            sums = np.zeros(len(part) + 1, U64)
+            np.cumsum(part * power[:-1], out=sums[1:])
+            s, e = start[at:to] - lo, end[at:to] - lo
+            out[at:to] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(U64))
+            at = to
+        return out
 
 
 FIRST, SECOND = Family(1), Family(2)
@@ -88,7 +100,7 @@ class Words:
     first: np.ndarray
 
     def hashes(self, family: Family = FIRST) -> np.ndarray:
-        return family.spans(family.table[self.data], self.start, self.end)
+        return family.spans(self.data, self.start, self.end, family.table)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -169,5 +181,5 @@ def kept_texts(words: Words, keep: np.ndarray) -> pa.Array:
     edge[s] += 1
     edge[e + joined] -= 1
     inside = np.cumsum(edge[:n], dtype=np.int8) > 0
-    at = np.concatenate(([0], np.cumsum(inside)))[words.text]
+    at = np.concatenate(([0], np.cumsum(np.bincount(owner, weights=e - s + joined, minlength=len(words.first) - 1))))
     return pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data[inside])])
