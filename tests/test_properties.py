@@ -10,7 +10,7 @@ from quarry.operators import order
 @given(st.lists(st.integers(min_value=0, max_value=40), min_size=1, max_size=120), st.integers(0, 1000))
 def test_ranks_are_a_permutation_and_halves_exact(spark, ids, seed):
     df = spark.createDataFrame([(i, j) for j, i in enumerate(ids)], "id long, pos long")
-    ranked = order.shuffle_rank(df, "id", seed, hex_digits=1).collect()
+    ranked = order.shuffle_rank(df, "id", seed, rows_per_bucket=8).collect()
     assert sorted(r.shuffle_rank for r in ranked) == list(range(1, len(ids) + 1))
     # copies of one id are contiguous, and ids are ordered by their hash
     by_id = {}
