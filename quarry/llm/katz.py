@@ -63,6 +63,37 @@ def discounts(counts_of_counts: list[int], cutoff: int) -> np.ndarray:
     return np.array([1.0, *(1 - 0.5 / r for r in range(1, cutoff + 1))])
 
 
+@dataclass
+class Plan:
+    """Numbers every task needs: buckets, training documents, bytes dropped from token hashes inside a context, and the
+    statistics of the orders counted so far."""
+
+    buckets: int
+    starts: int
+    drop: int
+    stats: list[OrderStats]
+
+
+def hash_bytes_dropped(volume: int) -> int:
+    """Inside one context a token needs fewer than 64 bits to be told apart; the larger the corpus, the more."""
+    return 2 if volume < 1 << 36 else 1 if volume < 1 << 44 else 0
+
+
+def unigram(s: OrderStats, total: np.ndarray) -> np.ndarray:
+    """Probability of tokens with these training counts; count 0 is the class of unknown tokens."""
+    cutoff = len(s.small)
+    off = float(sum((1 - s.discount[r]) * r * s.small[r - 1] for r in range(1, cutoff + 1)))
+    events = max(s.tokens + (off <= 0), 1)
+    return np.where(total > 0, _discounted(s, total) / events, (off if off > 0 else 1) / events)
+
+
+def _discounted(s: OrderStats, total: np.ndarray) -> np.ndarray:
+    d = np.ones(len(total))
+    small = total < len(s.discount)
+    d[small] = s.discount[total[small].astype(np.int64)]
+    return d * total
+
+
 class _Tokens:
     """The token stream of one chunk: the words of each text, then one end."""
 
@@ -96,8 +127,9 @@ class _Tokens:
 class _Grams:
     """The distinct n-grams of one order in one chunk, by bucket, context and token."""
 
-    def __init__(self, t: _Tokens, order: int, buckets: int, held: np.ndarray | None, starts: int) -> None:
-        word = t.token & ~U64(0xFF)
+    def __init__(self, t: _Tokens, order: int, plan: Plan, held: np.ndarray | None) -> None:
+        buckets, starts = plan.buckets, plan.starts
+        word = t.token if order == 1 else t.token >> U64(8 * plan.drop) << U64(8 * plan.drop)
         if order == 1:
             ctx = np.zeros(len(word), U64)
             bucket = chunks.bucket_of(word, buckets)
@@ -130,20 +162,21 @@ class _Grams:
                 yield b, part, ctx, np.searchsorted(ctx, self.ctx[part])
 
 
-def _ask(order: int, buckets: int, stats: list[OrderStats], starts: int):
+def _ask(order: int, plan: Plan):
     def rows(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table | None) -> pa.Table:
         t = _Tokens(docs)
         low = held = None
         if answers is not None:
-            low, held, _ = _evaluate(t, answers, order - 1, buckets, stats, starts)
-        g = _Grams(t, order, buckets, held, starts)
+            low, held, known = _evaluate(t, answers, order - 1, plan)
+            low = known if order == 2 else low.view(U64)  # the counts that order 1 derives its probabilities from
+        g = _Grams(t, order, plan, held)
         out = []
         for b, part, ctx, index in g.blocks():
-            values, which = (np.zeros(0), np.zeros(0, np.uint32)) if low is None else np.unique(low[g.where[part]], return_inverse=True)
+            values, which = (np.zeros(0, U64), np.zeros(0, U64)) if low is None else np.unique(low[g.where[part]], return_inverse=True)
             out.append({"bucket": b, "chunk": key[0].as_py(), "n": part.stop - part.start, "k": len(ctx),
                         "ctx": chunks.pack_sorted(ctx), "per": chunks.pack(np.bincount(index, minlength=len(ctx)).astype(np.uint32)),
                         "word": chunks.pack_sorted(g.word[part]) if order == 1 else chunks.pack(g.word[part]),
-                        "cnt": chunks.pack(g.count[part]), "low": chunks.pack(which.astype(np.uint32)), "lows": values.tobytes()})
+                        "cnt": chunks.pack(g.count[part]), "low": chunks.pack(which.astype(np.uint32)), "lows": pack_table(values)})
         types = [pa.int32(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 6
         names = ["bucket", "chunk", "n", "k", "ctx", "per", "word", "cnt", "low", "lows"]
         return pa.Table.from_pylist(out, schema=pa.schema(list(zip(names, types))))
@@ -157,7 +190,15 @@ def _ask(order: int, buckets: int, stats: list[OrderStats], starts: int):
     return alone if order == 1 else informed
 
 
-def _answer(order: int, cutoff: int):
+def pack_table(values: np.ndarray) -> bytes:
+    return len(values).to_bytes(4, "little") + chunks.pack_sorted(values)
+
+
+def unpack_table(body: bytes) -> np.ndarray:
+    return chunks.unpack_sorted(body[4:], int.from_bytes(body[:4], "little"))
+
+
+def _answer(order: int, cutoff: int, plan: Plan):
     """Per bucket: totals of the n-grams and statistics of the contexts, aligned with each chunk's question."""
 
     def run(key: tuple[pa.Scalar, ...], asked: pa.Table) -> pa.Table:
@@ -168,7 +209,8 @@ def _answer(order: int, cutoff: int):
         names, place = np.unique(np.concatenate(ctxs), return_inverse=True)
         kcuts, ncuts = np.cumsum([0, *a["k"]]), np.cumsum([0, *a["n"]])
         ctx = np.concatenate([np.repeat(place[kcuts[i] : kcuts[i + 1]], chunks.unpack(x, k, np.uint32)) for i, (x, k) in enumerate(zip(a["per"], a["k"]))])
-        low = np.concatenate([np.frombuffer(v, np.float64)[chunks.unpack(x, n, np.uint32)] if order > 1 else np.zeros(n) for x, v, n in zip(a["low"], a["lows"], a["n"])])
+        low = np.concatenate([unpack_table(v)[chunks.unpack(x, n, np.uint32)] if order > 1 else np.zeros(n, U64) for x, v, n in zip(a["low"], a["lows"], a["n"])])
+        low = unigram(plan.stats[0], low) if order == 2 else low.view(np.float64)
         by = np.lexsort((word, ctx))
         new = np.ones(len(by), bool)
         new[1:] = (word[by][1:] != word[by][:-1]) | (ctx[by][1:] != ctx[by][:-1])
@@ -199,11 +241,11 @@ def _answer(order: int, cutoff: int):
     return run
 
 
-def _evaluate(t: _Tokens, answers: pa.Table, order: int, buckets: int, stats: list[OrderStats], starts: int):
+def _evaluate(t: _Tokens, answers: pa.Table, order: int, plan: Plan):
     """(probability, total of the n-gram of that order, total of the single token) of every token."""
     prob = held = known = np.zeros(0)
     for m in range(1, order + 1):
-        s, g = stats[m - 1], _Grams(t, m, buckets, held, starts)
+        s, g = plan.stats[m - 1], _Grams(t, m, plan, held)
         cutoff = len(s.discount) - 1
         mine = {x["bucket"]: x for x in answers.filter(pc.equal(answers.column("order"), m)).to_pylist()}
         total, names = np.zeros(len(g.word), U64), np.unique(g.ctx)
@@ -216,14 +258,9 @@ def _evaluate(t: _Tokens, answers: pa.Table, order: int, buckets: int, stats: li
                 sums[0, at] += chunks.unpack(x["total"], x["k"], U64)
                 sums[1, at] += chunks.unpack(x["mass"], x["k"], U64).view(np.float64)
                 sums[2:, at] += chunks.unpack(x["hist"], cutoff * x["k"], np.uint32).reshape(cutoff, -1)
-        d = np.ones(len(total))
-        small = total <= cutoff
-        d[small] = s.discount[total[small].astype(np.int64)]
         if m == 1:
             held = known = total[g.inverse]
-            off = float(sum((1 - s.discount[r]) * r * s.small[r - 1] for r in range(1, cutoff + 1)))
-            events = max(s.tokens + (off <= 0), 1)
-            prob = np.where(total > 0, d * total / events, (off if off > 0 else 1) / events)[g.inverse]
+            prob = unigram(s, total)[g.inverse]
             continue
         c = sums[0]
         off = sum((1 - s.discount[r]) * r * sums[1 + r] for r in range(1, cutoff + 1))
@@ -231,16 +268,16 @@ def _evaluate(t: _Tokens, answers: pa.Table, order: int, buckets: int, stats: li
         alpha = np.where(c > 0, np.where(off > 0, off, 1) / events / np.maximum(1 - sums[1], 1e-300), 1.0)
         at = np.searchsorted(names, g.ctx)
         lower = prob[g.where]
-        p = np.where(total > 0, d * total / events[at], alpha[at] * lower)
+        p = np.where(total > 0, _discounted(s, total) / events[at], alpha[at] * lower)
         prob, held = p[g.inverse], total[g.inverse]
     return prob, held, known
 
 
-def _score(order: int, buckets: int, stats: list[OrderStats], starts: int):
+def _score(order: int, plan: Plan):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         t = _Tokens(docs)
-        prob, _, known = _evaluate(t, answers, order, buckets, stats, starts)
-        n, v = stats[0].tokens, stats[0].types
+        prob, _, known = _evaluate(t, answers, order, plan)
+        n, v = plan.stats[0].tokens, plan.stats[0].types
         base = np.log10((known.astype(np.float64) + 0.5) / (n + 0.5 * (v + 1)))
         add = lambda x: np.add.reduceat(x, t.head) if len(t.head) else x  # noqa: E731  no text is without tokens
         return pa.table({"key": docs.column("key"), "train": docs.column("train"), "n_tokens": pa.array(np.diff(t.first)),
@@ -266,17 +303,18 @@ def score_corpus(docs: DataFrame, train: Column, order: int = ORDER, cutoff: int
     parts = chunks.parts_for(spark, volume or 0, chunk_bytes)
     cut = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(parts)).cast("int"))
     root, stats = scratch_path(spark, "katz"), []
+    plan = Plan(parts, starts, hash_bytes_dropped(volume or 0), stats)
     for m in range(1, order + 1):
-        fn = _ask(m, parts, list(stats), starts)
+        fn = _ask(m, plan)
         asked = (cut.groupBy("chunk").applyInArrow(fn, ASKED) if m == 1 else
                  cut.groupBy("chunk").cogroup(_read(spark, root).groupBy("chunk")).applyInArrow(fn, ASKED))
-        chunks.write(asked.groupBy("bucket").applyInArrow(_answer(m, cutoff), ANSWER), f"{root}/order={m}")
+        chunks.write(asked.groupBy("bucket").applyInArrow(_answer(m, cutoff, plan), ANSWER), f"{root}/order={m}")
         found = _read(spark, root, stats=True).where(F.col("order") == m).select(F.posexplode("stat").alias("pos", "x"))
         sums = {r.pos: r.x for r in found.groupBy("pos").agg(F.sum("x").alias("x")).collect()}  # cutoff + 3 rows
         of = [sums.get(2 + r, 0) for r in range(cutoff + 1)]
         stats.append(OrderStats(sums.get(0, 0), sums.get(1, 0), discounts(of, cutoff), np.array(of[:cutoff], float)))
     schema = cut.select("key", "train").schema.add("n_tokens", "long").add("n_known", "long").add("base_score", "double").add("score", "double")
-    done = cut.groupBy("chunk").cogroup(_read(spark, root).groupBy("chunk")).applyInArrow(_score(order, parts, stats, starts), schema)
+    done = cut.groupBy("chunk").cogroup(_read(spark, root).groupBy("chunk")).applyInArrow(_score(order, plan), schema)
     return done.withColumn("train_tokens", F.lit(stats[0].tokens).cast("long")).withColumnRenamed("key", key)
 
 
