@@ -31,7 +31,7 @@ ANSWER = "chunk int, bucket int, n long, body binary"
 
 def extra_bytes(volume: int) -> int:
     """Bytes beyond 64 bits for a corpus of this many bytes (at most one window for every two)."""
-    expected = max(1.0, (volume / 2) ** 2 / 2**65)
+    expected = (volume / 2) ** 2 / 2**65
     return min(8, math.ceil(math.log2(max(1.0, expected / MAX_COLLISIONS)) / 8))
 
 
