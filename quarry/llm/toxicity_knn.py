@@ -143,12 +143,13 @@ class Index:
                    most.reshape(terms_, blocks), base, (sum(none) + base) / (len(none) + 1))
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the largest positive cosine, ties by position: (examples, cosines)."""
+        """The k examples of the largest positive cosine: (examples, cosines). Of equal cosines at the end, those of the
+        blocks opened first count: a block that can only tie is not opened."""
         blocks = self.most.shape[1]
         bound = weight @ self.most[term]
         best, cosine = np.zeros(0, np.int64), np.zeros(0)
         for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] * (1 + 1e-12) < cosine[-1]):
+            if bound[b] <= 0 or (len(best) == k and bound[b] <= cosine[-1] * (1 + 1e-12)):
                 break
             score = np.zeros(BLOCK)
             for t, x in zip((term * blocks + b).tolist(), weight.tolist()):
