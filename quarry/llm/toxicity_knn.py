@@ -1,23 +1,24 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine (operator 8).
 
-Terms are words and word beginnings of 4 to 7 bytes, so that inflected or compounded forms of one stem meet. The
-vocabulary keeps the terms whose document frequencies differ between the labels: their log likelihood ratio (half the G
-statistic) exceeds the logarithm of the number of terms tested times ``1 / SPURIOUS``, so that about ``SPURIOUS`` terms get
-in by chance.
+Terms are words and word beginnings of 4 to 7 bytes, so that inflected or compounded forms of one stem meet. Every term
+of a text is in its vector. Document frequencies are counted over all documents.
 Examples are labelled documents, at most about ``max_examples`` of them: the classifier is fitted on a sample of that
 bound, drawn by a hash of the id; every document is scored.
 
-The examples' TF-IDF vectors are held in an inverted index cut into blocks of examples, with the largest weight of
-each term in each block. A query's upper bound for a block is the product of its weights with these maxima; blocks are
-opened by falling bound until the bound is below the k-th best cosine found, so the k nearest are exact. Neighbours
-vote with weight 1 / (distance + 0.05), and one vote of the base rate is added; the score is the toxic share of the
-votes. A document without any term of the vocabulary gets the toxic rate of the examples without any. The evidence is
-the neighbours' ids with their cosines.
+Terms outside all examples add nothing to a product with an example. So only the terms of the examples are sent to
+the tasks, and what the others add to the length of a document's vector is joined from the table of frequencies.
+The products with all examples are a matrix product over the ``DENSE`` most frequent terms, in single precision, plus the
+postings of the others. Its error is bounded by ``MARGIN``; examples within it of the k-th best are computed again in
+double precision, so the k nearest are exact.
+
+The k nearest examples of each label vote. A vote is the part of the cosine that comes from toxic-leaning terms, each
+times its log likelihood ratio (half the G statistic) over the examples. A logistic curve over the logarithms of the two
+mean votes, fitted on the examples without their own label, gives the score. A document without any term of the
+examples gets the toxic rate of the examples without any. The evidence is the neighbours' ids with their cosines.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,10 +32,9 @@ from quarry.llm import chunks, words
 from quarry.llm.words import U64
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 2048
-SPURIOUS, MIN_DOCS = 0.1, 3
 NEIGHBOURS = 25
-BLOCK = 64
+DENSE, MARGIN = 1024, 2e-4  # single precision errs by less than (DENSE + 2) * 2**-23 on unit vectors
+BATCH = 64  # documents searched at once
 PREFIXES = (4, 5, 6, 7)
 
 
@@ -79,159 +79,307 @@ class Vocabulary:
     names: np.ndarray  # sorted term hashes
     idf: np.ndarray
 
-    def vectors(self, w: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Unit TF-IDF vectors of the texts: (offsets, term indexes, weights)."""
-        n = len(w.first) - 1
-        if not len(self.names) or not len(w.start):
-            return np.zeros(n + 1, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        owner, cells = w.owner(), []
-        for at, h in terms(w):
-            i = np.minimum(np.searchsorted(self.names, h), len(self.names) - 1)
-            ok = self.names[i] == h
-            cells.append(owner[at[ok]] * len(self.names) + i[ok])
-        cell, tf = np.unique(np.concatenate(cells), return_counts=True)
-        doc, term = cell // len(self.names), cell % len(self.names)
-        weight = (1 + np.log(tf)) * self.idf[term]
-        norm = np.sqrt(np.bincount(doc, weights=weight**2, minlength=n))
-        return np.searchsorted(doc, np.arange(n + 1)), term, weight / norm[doc]
-
-
-def _vectors(vocabulary: Vocabulary):
+    def counts(self, w: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term hash, index of the term or -1, frequency in the text), by text and hash."""
+        owner, parts = w.owner(), [(h, at) for at, h in terms(w)]
+        distinct, inverse = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+        cell, tf = np.unique(np.concatenate([owner[at] for _, at in parts]) * max(len(distinct), 1) + inverse, return_counts=True)
+        doc, h = cell // max(len(distinct), 1), cell % max(len(distinct), 1)
+        index = np.full(len(distinct), -1)
+        if len(self.names) and len(distinct):
+            i = np.minimum(np.searchsorted(self.names, distinct), len(self.names) - 1)
+            index = np.where(self.names[i] == distinct, i, -1)
+        return doc, distinct[h], index[h], tf
+
+
+def _vectors(sent):
+    """Unit TF-IDF vectors of the examples."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary: Vocabulary = sent.value
         for batch in batches:
             for lo, hi, w in words.slices(batch.column("text"), words.ALNUM):
-                at, term, weight = vocabulary.vectors(w)
+                doc, _, term, tf = vocabulary.counts(w)
+                weight = (1 + np.log(tf)) * vocabulary.idf[term]
+                norm = np.sqrt(np.bincount(doc, weights=weight**2, minlength=hi - lo))
+                weight, at = (weight / norm[doc]).astype(np.float32), np.searchsorted(doc, np.arange(hi - lo + 1))
+                cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary())  # noqa: B023, E731
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("toxic"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(term.astype(np.int32))),
-                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(weight, pa.float64()))], names=["id", "toxic", "terms", "weights"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("toxic"), cut(term.astype(np.int32)), cut(weight)],
+                                                 names=["id", "toxic", "terms", "weights"])
 
     return run
 
 
 @dataclass
 class Index:
-    """Block-max inverted index of the examples that have any term."""
+    """The vectors of the examples that have any term, by example and inverted."""
 
     ids: np.ndarray
     toxic: np.ndarray
-    cut: np.ndarray  # [term, block]: first posting of the term in the block; one more column than blocks
-    posting: np.ndarray  # examples, by term and example
+    at: np.ndarray  # first cell of each example
+    term: np.ndarray
     weight: np.ndarray
-    most: np.ndarray  # [term, block]: largest weight
+    terms: int
     base: float  # toxic rate of all examples
     blank: float  # toxic rate of the examples without any term
 
     @classmethod
     def build(cls, rows: list, terms_: int) -> Index:
+        lists = [(np.asarray(r.terms, np.int32), np.asarray(r.weights, np.float32 if isinstance(r.weights, np.ndarray) else float)) for r in rows]
         toxic = np.array([r.toxic for r in rows], float)
+        some = np.array([len(t) > 0 for t, _ in lists], bool)
         base = float(toxic.mean()) if len(rows) else 0.0
-        none = [r.toxic for r in rows if not r.terms]
-        # like vectors next to each other, so that blocks have tight maxima
-        rows = sorted((r for r in rows if r.terms), key=lambda r: (max(zip(r.weights, r.terms)), r.id))
-        n, blocks = len(rows), -(-len(rows) // BLOCK)
-        term = np.array([t for r in rows for t in r.terms], np.int64)
-        weight = np.array([x for r in rows for x in r.weights], float)
-        example = np.repeat(np.arange(n), [len(r.terms) for r in rows]) if n else np.zeros(0, np.int64)
-        by = np.lexsort((example, term))
-        term, weight, example = term[by], weight[by], example[by]
-        cell = term * blocks + example // BLOCK
-        cut = np.searchsorted(cell, np.arange(terms_ * blocks + 1))
-        most = np.zeros(terms_ * blocks)
-        np.maximum.at(most, cell, weight)
-        return cls(np.array([r.id for r in rows], np.int64), np.array([r.toxic for r in rows], float), cut, example, weight,
-                   most.reshape(terms_, blocks), base, (sum(none) + base) / (len(none) + 1))
+        none = toxic[~some]
+        lists = [x for x, ok in zip(lists, some) if ok]
+        term = np.concatenate([t for t, _ in lists]) if lists else np.zeros(0, np.int32)
+        weight = np.concatenate([x for _, x in lists]) if lists else np.zeros(0, np.float32)
+        return cls(np.array([r.id for r in rows], np.int64)[some], toxic[some], np.cumsum([0, *(len(t) for t, _ in lists)]), term, weight,
+                   terms_, base, float((none.sum() + base) / (len(none) + 1)))
+
+    def invert(self) -> None:
+        """Dense columns of the most frequent terms and postings of the others; each task process makes them once."""
+        if hasattr(self, "posting"):
+            return
+        n = len(self.ids)
+        held = np.bincount(self.term, minlength=self.terms)
+        top = np.argsort(-held, kind="stable")[:DENSE]
+        self.column = np.full(self.terms, -1, np.int32)
+        self.column[top] = np.arange(len(top))
+        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.at))
+        col = self.column[self.term]
+        dense = col >= 0
+        self.dense = np.zeros((len(top), n), np.float32)
+        self.dense[col[dense], owner[dense]] = self.weight[dense]
+        by = np.flatnonzero(~dense)
+        by = by[np.argsort(self.term[by], kind="stable")]
+        self.posting, self.value = owner[by], self.weight[by].astype(np.float32)
+        self.cut = np.concatenate(([0], np.cumsum(np.where(self.column >= 0, 0, held))))
+        self.groups = [np.flatnonzero(self.toxic == 1), np.flatnonzero(self.toxic != 1)]
+        self.scratch, self.ratio = np.zeros(self.terms), np.zeros(self.terms)
+
+    def products(self, at: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Single precision products of some vectors with all examples."""
+        self.invert()
+        m, n = len(at) - 1, len(self.ids)
+        owner, col = np.repeat(np.arange(m), np.diff(at)), self.column[term]
+        q = np.zeros((m, len(self.dense)), np.float32)
+        q[owner[col >= 0], col[col >= 0]] = weight[col >= 0]
+        out = q @ self.dense
+        for d in range(m):
+            t, x = term[at[d] : at[d + 1]], weight[at[d] : at[d + 1]]
+            lo, size = self.cut[t], self.cut[t + 1] - self.cut[t]
+            if size.sum():
+                where = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
+                out[d] += np.bincount(self.posting[where], weights=self.value[where] * np.repeat(x, size), minlength=n)
+        return out
+
+    def exact(self, rough: np.ndarray, among: np.ndarray, k: int, length: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k of ``among`` with the largest positive product with the vector in ``scratch``, whose length is given:
+        (examples, products, products with each term times its ``ratio``). Of equal products the earlier examples count."""
+        x, margin = rough[among], MARGIN * length
+        if len(x) > k:
+            among = among[x >= np.partition(x, len(x) - k)[len(x) - k] - 2 * margin]
+        among = among[rough[among] > 0]
+        if not len(among):
+            return among, np.zeros(0), np.zeros(0)
+        cells = [slice(int(i), int(j)) for i, j in zip(self.at[among], self.at[among + 1])]
+        first = np.concatenate(([0], np.cumsum([c.stop - c.start for c in cells])[:-1]))
+        term, weight = np.concatenate([self.term[c] for c in cells]), np.concatenate([self.weight[c] for c in cells])
+        held = np.flatnonzero(self.scratch.take(term))
+        at, term, weight = np.searchsorted(held, first), term[held], weight[held].astype(float)
+        owner = np.repeat(np.arange(len(cells)), np.diff(np.append(at, len(held))))
+        x = self.scratch.take(term) * weight
+        product = np.bincount(owner, weights=x, minlength=len(cells))
+        lean = np.bincount(owner, weights=x * self.ratio.take(term), minlength=len(cells))
+        by = np.lexsort((among, -product))[:k]
+        return among[by], product[by], lean[by]
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the largest positive cosine: (examples, cosines). Of equal cosines at the end, those of the
-        blocks opened first count: a block that can only tie is not opened."""
-        blocks = self.most.shape[1]
-        bound = weight @ self.most[term]
-        best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] <= cosine[-1] * (1 + 1e-12)):
-                break
-            score = np.zeros(BLOCK)
-            for t, x in zip((term * blocks + b).tolist(), weight.tolist()):
-                lo, hi = self.cut[t], self.cut[t + 1]
-                if hi > lo:
-                    score[self.posting[lo:hi] - b * BLOCK] += x * self.weight[lo:hi]
-            hit = np.flatnonzero(score > 0)
-            best, cosine = np.concatenate((best, hit + b * BLOCK)), np.concatenate((cosine, score[hit]))
-            by = np.lexsort((best, -cosine))[:k]
-            best, cosine = best[by], cosine[by]
+        """The k examples of the largest positive cosine: (examples, cosines)."""
+        rough = self.products(np.array([0, len(term)]), term, weight)[0]
+        self.scratch[term] = weight
+        best, cosine, _ = self.exact(rough, np.arange(len(self.ids)), k)
+        self.scratch[term] = 0
         return best, cosine
 
-    def score(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[float, np.ndarray, np.ndarray]:
-        best, cosine = self.nearest(term, weight, k) if len(term) and len(self.ids) else (np.zeros(0, np.int64), np.zeros(0))
-        if not len(best):
-            return self.blank, best, cosine
-        vote = 1 / (np.maximum(1 - cosine, 0) + 0.05)
-        return float((vote @ self.toxic[best] + self.base) / (vote.sum() + 1)), best, cosine
-
 
 EVIDENCE = T.ArrayType(T.StructType([T.StructField("id", T.LongType()), T.StructField("cosine", T.DoubleType())]))
 _EVIDENCE = pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64())]))
 
 
+def likelihood_ratio(pos: np.ndarray, neg: np.ndarray, base: float) -> np.ndarray:
+    """Half the G statistic of the terms that are more frequent in toxic examples; 0 for the others."""
+    n = pos + neg
+    part = lambda x, share: np.where(x > 0, x * np.log(np.maximum(x, 1) / np.maximum(n * share, 1e-300)), 0.0)
+    return np.where(pos > base * n, part(pos, base) + part(neg, 1 - base), 0.0)
+
+
 @dataclass
 class Model:
     vocabulary: Vocabulary
     index: Index
+    pos: np.ndarray  # toxic examples with each term
+    neg: np.ndarray
+    total: int  # documents counted
+    frequencies: DataFrame | None = None  # (term, df) of all documents; stays on the driver
+    curve: np.ndarray | None = None  # of the logistic: two weights and a constant
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"frequencies": None}
+
+    def votes(self, at: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, own: list | None = None) -> Iterator[tuple]:
+        """Per text: examples found, their products, and the sums of the votes of the toxic and of the other ones.
+        ``own`` has (id, label) of texts that are examples, which do not meet themselves."""
+        index = self.index
+        index.invert()
+        for lo in range(0, len(at) - 1, BATCH):
+            hi = min(lo + BATCH, len(at) - 1)
+            part = slice(at[lo], at[hi])
+            rough = index.products(at[lo : hi + 1] - at[lo], term[part], weight[part])
+            for d in range(lo, hi):
+                t, x = term[at[d] : at[d + 1]], weight[at[d] : at[d + 1]]
+                pos, neg, score = self.pos[t], self.neg[t], rough[d - lo]
+                if own:
+                    pos, neg = pos - own[d][1], neg - (1 - own[d][1])
+                    score[index.ids == own[d][0]] = 0
+                index.scratch[t], index.ratio[t] = x, likelihood_ratio(pos, neg, index.base)
+                found = [index.exact(score, g, k, float(np.sqrt((x**2).sum()))) for g in index.groups]
+                index.scratch[t] = 0
+                yield np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), found[0][2].sum(), found[1][2].sum()
+
+
+def _learn(sent, k: int):
+    """The votes on each example by the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = sent.value
+        for batch in batches:
+            b = batch.to_pydict()
+            lists = [(np.frombuffer(t, np.int32), np.frombuffer(x, np.float32).astype(float)) for t, x in zip(b["terms"], b["weights"])]
+            at = np.cumsum([0, *(len(t) for t, _ in lists)])
+            term, weight = np.concatenate([t for t, _ in lists]), np.concatenate([x for _, x in lists])
+            out = [(a, c) for _, _, a, c in model.votes(at, term, weight, k, list(zip(b["id"], b["toxic"])))]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([a for a, _ in out], pa.float64()), pa.array([c for _, c in out], pa.float64())],
+                                             names=["toxic", "a", "c"])
+
+    return run
+
+
+def fit(votes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Logistic curve over log1p of the two votes, with a unit ridge on the weights."""
+    x = np.column_stack([np.log1p(votes), np.ones(len(votes))])
+    ridge, out = np.diag([1.0, 1.0, 1e-6]), np.zeros(3)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ out, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (toxic - p) - ridge @ out)
+        out = out + step / max(1.0, float(np.abs(step).max()))
+    return out
+
+
+def _arrow(df: DataFrame) -> dict:
+    return df.toArrow().to_pydict()
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
-          max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> Model:
+          max_examples: int = MAX_EXAMPLES, neighbours: int = NEIGHBOURS) -> Model:
     """Fit on the documents with a label (any label row of an id that says 1 makes it toxic; null ids, labels and texts
     are left out)."""
+    spark = docs.sparkSession
     marked = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("toxic"))
     share = min(1.0, max_examples / max(marked.count(), 1))
     drawn = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))  # about max_examples rows
-    pairs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null")
-    pairs = chunks.store(pairs.join(F.broadcast(drawn), "id").select("id", "text", F.col("toxic").cast("int").alias("toxic")), "toxic-examples")
-    total, toxic = pairs.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    counts = pairs.select("text", "toxic").mapInArrow(_frequencies, "term long, pos long, neg long")
-    counts = counts.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    df, base = F.col("pos") + F.col("neg"), (toxic + 0.5) / (total + 1)
-    counts = chunks.store(counts.where(df >= MIN_DOCS).withColumn("df", df), "toxic-terms")
-    part = lambda n, share: F.when(n > 0, n * F.log(n / (df * share))).otherwise(0.0)
-    ratio = part(F.col("pos"), base) + part(F.col("neg"), 1 - base)
-    chosen = counts.withColumn("ratio", ratio).where(F.col("ratio") > math.log(max(counts.count(), 1) / SPURIOUS))
-    chosen = chosen.orderBy(F.desc("ratio"), "term").limit(max_terms).select("term", "df").collect()
-    names = np.array([r.term for r in chosen], np.int64).view(U64)
-    idf = np.log((total + 1) / (np.array([r.df for r in chosen], float) + 1)) + 1e-9
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null")
+    pairs = chunks.store(texts.join(F.broadcast(drawn), "id").select("id", "text", F.col("toxic").cast("int").alias("toxic")), "toxic-examples")
+    every = texts.select("text", F.lit(0).alias("toxic")).mapInArrow(_frequencies, "term long, pos long, neg long")
+    frequencies = chunks.store(every.groupBy("term").agg(F.sum("neg").alias("df")), "toxic-terms")
+    total = texts.count()
+    seen = pairs.select("text", "toxic").mapInArrow(_frequencies, "term long, pos long, neg long")
+    seen = seen.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    found = seen.join(frequencies, "term").toArrow()  # the terms of max_examples texts
+    term, df, pos, neg = (found.column(c).to_numpy() for c in ("term", "df", "pos", "neg"))
+    names = term.view(np.uint64)
     by = np.argsort(names)
-    vocabulary = Vocabulary(names[by], idf[by])
-    rows = pairs.mapInArrow(_vectors(vocabulary), "id long, toxic int, terms array<int>, weights array<double>").collect()  # max_examples rows
-    return Model(vocabulary, Index.build(rows, len(names)))
+    vocabulary = Vocabulary(names[by], idf(total, df[by]))
+    sent = spark.sparkContext.broadcast(vocabulary)
+    vectors = chunks.store(pairs.mapInArrow(_vectors(sent), "id long, toxic int, terms binary, weights binary"), "toxic-vectors")
+    rows = [Example(i, y, np.frombuffer(t, np.int32), np.frombuffer(x, np.float32)) for i, y, t, x in zip(*_arrow(vectors).values())]  # max_examples rows
+    index = Index.build(sorted(rows, key=lambda r: (r.id, r.terms.tobytes())), len(names))
+    model = Model(vocabulary, index, pos[by], neg[by], total, frequencies)
+    if 0 < index.base < 1 and len(index.ids):
+        learnt = vectors.where(F.length("terms") > 0).repartition(2 * spark.sparkContext.defaultParallelism, F.xxhash64("id", "terms"))
+        votes = learnt.mapInArrow(_learn(spark.sparkContext.broadcast(model), neighbours), "toxic int, a double, c double").toArrow()
+        a, c, y = (votes.column(x).to_numpy() for x in ("a", "c", "toxic"))
+        model.curve = fit(np.column_stack([a, c]) / neighbours, y)
+    return model
 
 
-def _score(sent, keep: list[str], k: int):
+@dataclass
+class Example:
+    id: int
+    toxic: int
+    terms: np.ndarray
+    weights: np.ndarray
+
+
+def idf(total: int, df: np.ndarray) -> np.ndarray:
+    return np.log((total + 1) / (df.astype(float) + 1)) + 1e-9
+
+
+def _search(sent, keep: list[str], k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
         index = model.index
         for batch in batches:
             for lo, hi, w in words.slices(batch.column("text_"), words.ALNUM):
-                part = batch.slice(lo, hi - lo)
-                at, term, weight = model.vocabulary.vectors(w)
-                scores, evidence = np.empty(hi - lo), []
-                for d in range(hi - lo):
-                    scores[d], best, cosine = index.score(term[at[d] : at[d + 1]], weight[at[d] : at[d + 1]], k)
-                    evidence.append([{"id": i, "cosine": c} for i, c in zip(index.ids[best].tolist(), cosine.tolist())])
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)),
-                                                  pa.array(evidence, _EVIDENCE)], names=[*keep, "score", "predicted", "evidence"])
+                part, n = batch.slice(lo, hi - lo), hi - lo
+                doc, h, term, tf = model.vocabulary.counts(w)
+                x, known = 1 + np.log(tf), term >= 0
+                at = np.searchsorted(doc[known], np.arange(n + 1))
+                weight = x[known] * model.vocabulary.idf[term[known]]
+                norm2 = np.bincount(doc[known], weights=weight**2, minlength=n)
+                out = [(np.zeros(0, np.int64), np.zeros(0), 0.0, 0.0)] * n
+                if len(index.ids):
+                    out = list(model.votes(at, term[known], weight, k))
+                other = np.searchsorted(doc[~known], np.arange(n + 1)).astype(np.int32)
+                if not len(index.ids):
+                    other[:] = 0
+                evidence = [[{"id": i, "cosine": c} for i, c in zip(index.ids[b].tolist(), p.tolist())] for b, p, _, _ in out]
+                rest = pa.StructArray.from_arrays([pa.array(h[~known].view(np.int64)), pa.array(x[~known] ** 2)], names=["term", "x"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(evidence, _EVIDENCE), pa.array([a for _, _, a, _ in out], pa.float64()),
+                                                  pa.array([c for _, _, _, c in out], pa.float64()), pa.array(norm2, pa.float64()), pa.ListArray.from_arrays(pa.array(other), rest)],
+                                                 names=[*keep, "evidence", "a_", "c_", "norm2_", "rest_"])
 
     return run
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """The columns ``keep`` (default: all) with score (0 to 1), predicted (1 from 0.5) and evidence (nearest examples).
+    """The columns ``keep`` (default: all) with score (0 to 1), predicted (1 from 0.5) and evidence (nearest examples of
+    each label).
 
     A null or empty text has no terms. Input columns named like the new ones are replaced; each repeated row is
     scored. Without examples every score is 0.
     """
-    new = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("evidence", EVIDENCE)]
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in {f.name for f in new}]
+    new = ["score", "predicted", "evidence"]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*keep, F.col(text).alias("text_"))
-    return rows.mapInArrow(_score(sent, keep, neighbours), T.StructType([docs.schema[c] for c in keep] + new))
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("evidence", EVIDENCE), *(T.StructField(c, T.DoubleType()) for c in ("a_", "c_", "norm2_"))])
+    schema = schema.add("rest_", T.ArrayType(T.StructType([T.StructField("term", T.LongType()), T.StructField("x", T.DoubleType())])))
+    found = rows.mapInArrow(_search(sent, keep, neighbours), schema).withColumn("row_", F.monotonically_increasing_id())
+    found = chunks.store(found, "toxic-found")
+    rest = found.select("row_", F.inline("rest_")).join(model.frequencies, "term", "left")
+    weight = F.log((model.total + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1e-9
+    rest = rest.groupBy("row_").agg(F.sum(F.col("x") * weight * weight).alias("more_"))
+    out = found.drop("rest_").join(rest, "row_", "left")
+    length = F.sqrt(F.col("norm2_") + F.coalesce("more_", F.lit(0.0)))
+    vote = lambda c: F.log1p(F.col(c) / length / neighbours)
+    index = model.index
+    if model.curve is None:
+        value = F.lit(index.base)
+    else:
+        u, v, w = (F.lit(float(x)) for x in model.curve)
+        value = 1 / (1 + F.exp(-(u * vote("a_") + v * vote("c_") + w)))
+    out = out.withColumn("score", F.when(F.size("evidence") > 0, value).otherwise(F.lit(index.blank)))
+    evidence = F.transform("evidence", lambda e: F.struct(e["id"].alias("id"), F.least(e["cosine"] / length, F.lit(1.0)).alias("cosine")))
+    return out.select(*keep, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), evidence.alias("evidence"))

@@ -1,5 +1,6 @@
 """WARC, language mixture, toxicity, grid order join, packing and components: round trips, brute force, accuracy."""
 
+from collections import Counter
 import hashlib
 import math
 import random
@@ -146,6 +147,39 @@ def test_toxicity_edges(spark):
     assert {r.score for r in toxicity_knn.score(docs, empty).collect()} == {0.0}
 
 
+def test_toxicity_cosine_is_over_whole_vectors_and_all_documents(spark):
+    rng = np.random.default_rng(5)
+    name = lambda i: "".join(chr(97 + int(c)) for c in np.base_repr(i + 26, 9)) * 3
+    texts = [" ".join(name(int(i)) for i in rng.integers(0, 2500, 1200) ** 2 // 2500) for _ in range(30)] + [f"lone{i} {name(0)} {name(i)}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 3 // 2) for i in range(40)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity_knn.score(docs, toxicity_knn.train(docs, labels), neighbours=7).collect()}
+
+    def vector(text):
+        c = Counter()
+        for w in text.split():
+            c[w] += 1
+            for k in toxicity_knn.PREFIXES:
+                if len(w) > k:
+                    c[(k, w[:k])] += 1
+        return c
+
+    tf = [vector(t) for t in texts]
+    df = Counter(k for c in tf for k in c)
+    unit = []
+    for c in tf:
+        x = {k: (1 + np.log(n)) * (np.log((len(texts) + 1) / (df[k] + 1)) + 1e-9) for k, n in c.items()}
+        length = np.sqrt(sum(v * v for v in x.values()))
+        unit.append({k: v / length for k, v in x.items()})
+    assert len({k for c in tf[:40] for k in c}) > 2048 and any(k not in set().union(*tf[:40]) for k in tf[-1])
+    for d in (0, 7, 35, 50, 75, 89):
+        cosine = [sum(v * unit[e].get(k, 0) for k, v in unit[d].items()) for e in range(40)]
+        for label in (0, 1):
+            want = sorted((c for e, c in enumerate(cosine) if c > 0 and e % 3 // 2 == label), reverse=True)[:7]
+            have = sorted((n.cosine for n in got[d].evidence if n.id % 3 // 2 == label), reverse=True)
+            assert have == pytest.approx(want, abs=1e-6)
+
+
 # ---- grid order join -------------------------------------------------------------------------------------
 def vectors(seed):
     rng = np.random.default_rng(seed)
