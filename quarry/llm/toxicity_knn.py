@@ -20,10 +20,11 @@ examples gets the toxic rate of the examples without any. The evidence is the ne
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,24 +94,38 @@ class Vocabulary:
 
 
 def _vectors(sent):
-    """Unit TF-IDF vectors of the examples."""
+    """The terms of the examples and their frequencies, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary: Vocabulary = sent.value
         for batch in batches:
             for lo, hi, w in words.slices(batch.column("text"), words.ALNUM):
                 doc, _, term, tf = vocabulary.counts(w)
-                weight = (1 + np.log(tf)) * vocabulary.idf[term]
-                norm = np.sqrt(np.bincount(doc, weights=weight**2, minlength=hi - lo))
-                weight, at = (weight / norm[doc]).astype(np.float32), np.searchsorted(doc, np.arange(hi - lo + 1))
-                cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary())  # noqa: B023, E731
+                at = np.searchsorted(doc, np.arange(hi - lo + 1))
+                cells = [pack_cells(term[i:j], tf[i:j]) for i, j in zip(at[:-1], at[1:])]
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("toxic"), cut(term.astype(np.int32)), cut(weight)],
-                                                 names=["id", "toxic", "terms", "weights"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("toxic"), pa.array(np.diff(at), pa.int32()),
+                                                  pa.array([x for x, _ in cells], pa.binary()), pa.array([x for _, x in cells], pa.binary())],
+                                                 names=["id", "toxic", "n", "terms", "tf"])
 
     return run
 
 
+def pack_cells(term: np.ndarray, tf: np.ndarray) -> tuple[bytes, bytes]:
+    return chunks.pack(np.diff(term, prepend=0).astype(np.int32)), chunks.pack(tf.astype(np.uint32))
+
+
+def unpack_cells(n: int, term: bytes, tf: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(chunks.unpack(term, n, np.int32), dtype=np.int32), chunks.unpack(tf, n, np.uint32)
+
+
+def unit(idf_: np.ndarray, at: np.ndarray, term: np.ndarray, tf: np.ndarray) -> np.ndarray:
+    """Weights of unit length for the vectors term[at[i]:at[i + 1]]."""
+    weight = (1 + np.log(tf.astype(np.float32))) * idf_.astype(np.float32)[term]
+    owner = np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at))
+    return weight / np.sqrt(np.bincount(owner, weights=weight.astype(float) ** 2, minlength=len(at) - 1)).astype(np.float32)[owner]
+
+
 @dataclass
 class Index:
     """The vectors of the examples that have any term, by example and inverted."""
@@ -225,8 +240,19 @@ class Model:
     frequencies: DataFrame | None = None  # (term, df) of all documents; stays on the driver
     curve: np.ndarray | None = None  # of the logistic: two weights and a constant
 
+    tf: np.ndarray | None = None  # frequency of each cell of the index; its weights follow from it
+    sent: Broadcast | None = None
+
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"frequencies": None}
+        i = self.index
+        cells = (len(i.term), *pack_cells(i.term, self.tf))
+        return self.__dict__ | {"frequencies": None, "sent": None, "tf": cells, "index": replace(i, term=None, weight=None)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        i = self.index
+        i.term, tf = unpack_cells(*self.tf)
+        i.weight, self.tf = unit(self.vocabulary.idf, i.at, i.term, tf), None
 
     def votes(self, at: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, own: list | None = None) -> Iterator[tuple]:
         """Per text: examples found, their products, and the sums of the votes of the toxic and of the other ones.
@@ -256,9 +282,10 @@ def _learn(sent, k: int):
         model: Model = sent.value
         for batch in batches:
             b = batch.to_pydict()
-            lists = [(np.frombuffer(t, np.int32), np.frombuffer(x, np.float32).astype(float)) for t, x in zip(b["terms"], b["weights"])]
+            lists = [unpack_cells(*x) for x in zip(b["n"], b["terms"], b["tf"])]
             at = np.cumsum([0, *(len(t) for t, _ in lists)])
-            term, weight = np.concatenate([t for t, _ in lists]), np.concatenate([x for _, x in lists])
+            term = np.concatenate([t for t, _ in lists])
+            weight = unit(model.vocabulary.idf, at, term, np.concatenate([x for _, x in lists])).astype(float)
             out = [(a, c) for _, _, a, c in model.votes(at, term, weight, k, list(zip(b["id"], b["toxic"])))]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([a for a, _ in out], pa.float64()), pa.array([c for _, c in out], pa.float64())],
                                              names=["toxic", "a", "c"])
@@ -302,13 +329,17 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     by = np.argsort(names)
     vocabulary = Vocabulary(names[by], idf(total, df[by]))
     sent = spark.sparkContext.broadcast(vocabulary)
-    vectors = chunks.store(pairs.mapInArrow(_vectors(sent), "id long, toxic int, terms binary, weights binary"), "toxic-vectors")
-    rows = [Example(i, y, np.frombuffer(t, np.int32), np.frombuffer(x, np.float32)) for i, y, t, x in zip(*_arrow(vectors).values())]  # max_examples rows
-    index = Index.build(sorted(rows, key=lambda r: (r.id, r.terms.tobytes())), len(names))
-    model = Model(vocabulary, index, pos[by], neg[by], total, frequencies)
+    vectors = chunks.store(pairs.mapInArrow(_vectors(sent), "id long, toxic int, n int, terms binary, tf binary"), "toxic-vectors")
+    rows = [Example(i, y, *unpack_cells(n, t, x)) for i, y, n, t, x in zip(*_arrow(vectors).values())]  # max_examples rows
+    rows.sort(key=lambda r: (r.id, r.terms.tobytes()))
+    index = Index.build(rows, len(names))
+    tf = np.concatenate([np.zeros(0, np.uint32), *(r.weights for r in rows)]).astype(np.uint32)
+    index.weight = unit(vocabulary.idf, index.at, index.term, tf)
+    model = Model(vocabulary, index, pos[by], neg[by], total, frequencies, tf=tf)
+    model.sent = spark.sparkContext.broadcast(model)
     if 0 < index.base < 1 and len(index.ids):
-        learnt = vectors.where(F.length("terms") > 0).repartition(2 * spark.sparkContext.defaultParallelism, F.xxhash64("id", "terms"))
-        votes = learnt.mapInArrow(_learn(spark.sparkContext.broadcast(model), neighbours), "toxic int, a double, c double").toArrow()
+        learnt = vectors.where("n > 0").repartition(2 * spark.sparkContext.defaultParallelism, F.xxhash64("id", "terms"))
+        votes = learnt.mapInArrow(_learn(model.sent, neighbours), "toxic int, a double, c double").toArrow()
         a, c, y = (votes.column(x).to_numpy() for x in ("a", "c", "toxic"))
         model.curve = fit(np.column_stack([a, c]) / neighbours, y)
     return model
@@ -319,7 +350,7 @@ class Example:
     id: int
     toxic: int
     terms: np.ndarray
-    weights: np.ndarray
+    weights: np.ndarray  # here the frequencies in the text
 
 
 def idf(total: int, df: np.ndarray) -> np.ndarray:
@@ -362,7 +393,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     """
     new = ["score", "predicted", "evidence"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = model.sent
     rows = docs.select(*keep, F.col(text).alias("text_"))
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("evidence", EVIDENCE), *(T.StructField(c, T.DoubleType()) for c in ("a_", "c_", "norm2_"))])
     schema = schema.add("rest_", T.ArrayType(T.StructType([T.StructField("term", T.LongType()), T.StructField("x", T.DoubleType())])))
