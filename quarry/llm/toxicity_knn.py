@@ -9,7 +9,7 @@ Terms outside all examples add nothing to a product with an example. So only the
 the tasks, and what the others add to the length of a document's vector is joined from the table of frequencies.
 The products with all examples are a matrix product over the ``DENSE`` most frequent terms, in single precision, plus the
 postings of the others. Its error is bounded by ``MARGIN``; examples within it of the k-th best are computed again in
-double precision, so the k nearest are exact.
+double precision. So the k nearest are exact, up to the rounding of the examples' weights to single precision.
 
 The k nearest examples of each label vote. A vote is the part of the cosine that comes from toxic-leaning terms, each
 times its log likelihood ratio (half the G statistic) over the examples. A logistic curve over the logarithms of the two
