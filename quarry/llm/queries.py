@@ -14,8 +14,11 @@ from quarry.llm import (
     katz,
     language_mixture,
     line_runs,
+    mask_search,
+    periodic_runs,
     prefix_tree_join,
     substring_dedup,
+    token_counts,
     toxicity_knn,
     warc,
     wu_manber,
@@ -221,3 +224,71 @@ def op9_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_packing.pack(table(spark, sf_dir, "documents"))
+
+
+ALNUM = r"'[0-9a-z\x{80}-\x{10FFFF}]+'"
+
+
+@register("op11_mask_search", f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({LOWER}, {ALNUM}) AS w FROM documents),
+z AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d),
+f AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+u AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT t, count(*) AS df FROM f GROUP BY t), z),
+b AS (SELECT item_id, row_number() OVER () AS q, regexp_extract_all({LOWER}, {ALNUM}) AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+k AS (SELECT q, t, count(*) AS k FROM (SELECT q, unnest(w) AS t FROM b) GROUP BY q, t),
+s AS (SELECT q, r, CAST(sum(k * u.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * CAST(len(d.w) AS BIGINT) * docs) // total)))) AS BIGINT) AS score
+      FROM k JOIN u USING (t) JOIN f USING (t) JOIN d USING (r), z GROUP BY q, r),
+o AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank
+      FROM s JOIN b USING (q) JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 20""")
+def op11_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
+
+
+@register("op12_token_counts")
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
+    return out.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the repeats that the query of operator 13 prescribes: in documents whose h = crc32(doc_id) is
+    a multiple of 10, the words from a on repeat the p words there. A null id has no h."""
+    words = r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)"
+    cut = docs.selectExpr("doc_id", "text", "crc32(cast(cast(doc_id as string) as binary)) as h")
+    cut = cut.selectExpr("doc_id", "text", "h div 10 as g", f"case when h % 10 = 0 then {words} end as w")
+    cut = cut.selectExpr("*", "case when size(w) > 0 then cast(g % size(w) as int) end as a")
+    cut = cut.selectExpr("*", "1 + (size(w) - a) div (3 + g % 8) as p")
+    repeated = "array_join(transform(sequence(0, size(w) - 1), i -> w[if(i < a, i, cast(a + (i - a) % p as int))]), ' ')"
+    return cut.selectExpr("doc_id", f"case when a is not null then {repeated} else text end as text")
+
+
+@register("op13_periodic_runs", f"""
+WITH t AS ({SQL_CRC_TABLE}),
+d AS (SELECT doc_id, row_number() OVER () AS r, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g
+      FROM (SELECT doc_id, {SPLIT} AS w, {SQL_CRC} AS h FROM documents, t)),
+m AS (SELECT *, CAST(a AS BIGINT) AS a0, CAST(1 + (n - a) // (3 + g % 8) AS BIGINT) AS p FROM d),
+x AS (SELECT r, i, n, CASE WHEN i >= a0 THEN w[1 + a0 + (i - a0) % p] ELSE w[1 + i] END AS s
+      FROM (SELECT *, unnest(generate_series(0, n - 1)) AS i FROM m)),
+e AS (SELECT x.r, x.i, y.i - x.i AS q FROM x JOIN x AS y ON x.r = y.r AND x.s = y.s AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+l AS (SELECT r, q, min(i) AS st, count(*) + q AS ln
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM e) GROUP BY r, q, k),
+u AS (SELECT r, st, ln, min(q) AS q FROM l WHERE ln >= greatest(6, 4 * q) GROUP BY r, st, ln),
+v AS (SELECT r, count(*) AS n_runs, arg_max(struct_pack(st := st, ln := ln, q := q), (ln, -st, -q)) AS top,
+             string_agg(concat(st, ',', ln, ',', q, chr(10)), '' ORDER BY st, q) AS txt FROM u GROUP BY r),
+g AS (SELECT DISTINCT r, unnest(generate_series(st + q, st + ln - 1)) AS i FROM u),
+c AS (SELECT x.r, string_agg(s, ' ' ORDER BY x.i) AS kept FROM x LEFT JOIN g ON g.r = x.r AND g.i = x.i WHERE g.i IS NULL GROUP BY x.r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(top.st AS BIGINT) AS "start", CAST(top.ln AS BIGINT) AS length, CAST(top.q AS BIGINT) AS period,
+       CAST(1000 * top.ln // top.q AS BIGINT) AS exponent_milli, sha256(coalesce(txt, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM m LEFT JOIN v USING (r) LEFT JOIN c USING (r)""")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detect_runs(with_repeats(table(spark, sf_dir, "documents")), keep=["doc_id"])
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length, (-r.start).alias("before"), (-r.period).alias("q"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    out = found.withColumn("top", longest).withColumn("lines", lines)
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.before")).alias("start"), F.col("top.length").alias("length"),
+                      (-F.col("top.q")).alias("period"), F.expr("1000 * top.length div -top.q").alias("exponent_milli"),
+                      digest("lines").alias("runs_sha256"), digest("collapsed_text").alias("collapsed_sha256"))
