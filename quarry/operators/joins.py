@@ -8,7 +8,7 @@ otherwise it plans a shuffled join and splits skewed partitions (a hot key on th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import ws_tokens
@@ -59,9 +59,6 @@ def flag_overlap(df: DataFrame, test: DataFrame, key: str, test_key: str | None
 
 
 # ---- passage grain -----------------------------------------------------------------------------------------------
-WINDOW = 4  # tokens of the window that candidates must share with a passage
-
-
 def lines(df: DataFrame, text_col: str, sep: str = "\n") -> DataFrame:
     """Distinct non-empty lines of every text (column ``_seg``); repeats inside a text collapse before the explode."""
     return df.select("*", F.explode(F.array_distinct(F.split(F.col(text_col), sep))).alias("_seg")).filter("_seg <> ''")
@@ -73,39 +70,58 @@ def line_overlap_ids(df: DataFrame, id_col: str, text_col: str, test: DataFrame,
     return lines(df.select(id_col, text_col), text_col, sep).join(test_lines, "_seg", "left_semi").select(id_col).distinct()
 
 
-def _window_hashes(tokens: Column, size: Column) -> Column:
-    """Hashes of every window of ``size`` consecutive tokens (none if there are fewer)."""
-    starts = F.when(F.size(tokens) >= size, F.sequence(F.lit(1), F.size(tokens) - size + 1))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, size)))
+def _fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate of a frame is within the session's broadcast threshold (no job runs)."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(plan.stats().sizeInBytes())) <= limit
+
+
+def passage_anchors(texts: DataFrame, text_col: str, passages: DataFrame, text: str = "_passage") -> DataFrame:
+    """The rarest token of every passage: ``(_passage, _short, _token)``.
+
+    A passage may start and end inside a token of a text, but its inner tokens are tokens of every text that holds it.
+    So any inner token may stand for the passage, and the one that occurs least often in the texts does (ties: the
+    smallest); one that no text holds takes the passage out of the search. ``_short``: a passage of at most two tokens
+    has no inner token and offers all of its own. The texts' tokens are counted where they are read: only those of the
+    passages reach the shuffle, as partial counts.
+    """
+    tokens = ws_tokens(text)
+    offered = passages.select(F.col(text).alias("_passage"), tokens.alias("_tokens")).filter(F.size("_tokens") > 0)
+    offered = offered.withColumn("_short", F.size("_tokens") <= 2)
+    inner = F.when(F.col("_short"), F.col("_tokens")).otherwise(F.slice("_tokens", 2, F.greatest(F.size("_tokens") - 2, F.lit(0))))
+    offered = offered.select("_passage", "_short", F.explode(F.array_distinct(inner)).alias("_token"))
+    asked = offered.select("_token").distinct()
+    if _fits_broadcast(passages):
+        asked = F.broadcast(asked)
+    held = texts.select(F.explode(ws_tokens(text_col)).alias("_token")).join(asked, "_token", "left_semi")
+    counts = held.groupBy("_token").agg(F.count("*").alias("_n"))
+    rare = F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_token").alias("t"))
+    best = offered.join(counts, "_token", "left").groupBy("_passage", "_short").agg(F.min(rare).alias("_rare"))
+    return best.filter("_rare.n > 0").select("_passage", "_short", F.col("_rare.t").alias("_token"))
 
 
 def passage_ids(df: DataFrame, id_col: str, text_col: str, test: DataFrame, test_text: str) -> DataFrame:
     """Passage rule: ids of rows whose text contains a whole test text as a substring.
 
-    A passage may start and end inside a token of the text, but its inner tokens are tokens of the text. So every
-    passage names the hash of one window of its inner tokens, each text hashes all its windows (distinct per text),
-    and only texts that share a hash are searched for the passage itself. A passage with fewer than ``WINDOW`` inner
-    tokens uses a window of all of them. One without inner tokens (at most two tokens) is matched at token grain: the
-    text must hold its tokens as consecutive tokens. Null and empty passages match nothing.
+    Every text looks up its distinct tokens among the passages' anchors (``passage_anchors``), and only a text that
+    holds the anchor of a passage is searched for that passage. A passage of at most two tokens is matched at token
+    grain: the text must hold its tokens as consecutive tokens. Null and empty passages match nothing.
+
+    If the test texts fit the session's broadcast threshold, a text is searched right where its tokens are looked up,
+    in one pass and without a shuffle of texts. Otherwise the lookup carries ids, and the texts join the found pairs.
     """
-    tokens = F.col("_tokens")
-    inner = F.greatest(F.size(tokens) - 2, F.lit(0))
     passages = test.select(F.col(test_text).alias("_passage")).filter("_passage <> ''").distinct()
-    passages = passages.withColumn("_tokens", ws_tokens("_passage")).filter(F.size(tokens) > 0)
-    passages = passages.withColumn("_short", inner == 0)
-    passages = passages.withColumn("_size", F.when(F.col("_short"), F.size(tokens)).otherwise(F.least(F.lit(WINDOW), inner)))
-    key = F.slice(tokens, F.when(F.col("_short"), 1).otherwise(2), F.col("_size"))
-    passages = passages.select("_passage", "_short", "_size", F.xxhash64(key).alias("_hash"))
-    sizes = F.array(*map(F.lit, range(1, WINDOW + 1)))  # at most WINDOW sizes occur; texts hash only those that do
-    used = passages.agg(F.collect_set("_size")).scalar()
     texts = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    hashed = texts.select("_id", ws_tokens("_text").alias("_tokens"))
-    windows = hashed.select("_id", F.explode(F.array_intersect(sizes, used)).alias("_size"), "_tokens")
-    windows = windows.select("_id", "_size", F.explode(F.array_distinct(_window_hashes(tokens, F.col("_size")))).alias("_hash"))
-    found = windows.join(passages, ["_size", "_hash"]).select("_id", "_passage", "_short").distinct()
+    anchors = passage_anchors(texts, "_text", passages)
+    token = F.explode(F.array_distinct(ws_tokens("_text"))).alias("_token")
+    if _fits_broadcast(passages):
+        found = texts.select("_id", "_text", token).join(F.broadcast(anchors), "_token")
+    else:
+        found = texts.join(texts.select("_id", token).join(anchors, "_token").select("_id", "_passage", "_short").distinct(), "_id")
     spaced = lambda c: F.concat(F.lit(" "), F.array_join(ws_tokens(c), " "), F.lit(" "))
     holds = F.when(F.col("_short"), spaced("_text").contains(spaced("_passage"))).otherwise(F.col("_text").contains(F.col("_passage")))
-    return texts.join(found, "_id").filter(holds).select(F.col("_id").alias(id_col)).distinct()
+    return found.filter(holds).select(F.col("_id").alias(id_col)).distinct()
 
 
 RULES = {"line": line_overlap_ids, "passage": passage_ids}

@@ -695,6 +695,39 @@ def q_json_roundtrip(spark, sf):
     return io.read_records(spark, path, "conv_id bigint, turn bigint, role string, text string", "json")
 
 
+def _split_roundtrip(spark, sf, fmt, schema, **options):
+    """Documents (texts with quotes, braces and newlines, an array column) converted to ``fmt`` and read back in byte
+    ranges of 256 KB, with the scanner's state at each range found first."""
+    from quarry.session import scratch_path
+    from quarry.sources import io
+
+    src = scratch_path(spark, f"{fmt}-src")
+    table(spark, sf, "documents").select("doc_id", "text", "lang", T.tags("source").alias("tags")).write.parquet(src)
+    back = io.convert(spark, src, scratch_path(spark, fmt), "parquet", fmt, dst_schema=schema, split_bytes=1 << 18, **options)
+    io.remove(spark, src)
+    return back
+
+
+@register(
+    "json_array_roundtrip",
+    f"SELECT doc_id, text, lang, CAST(len({sql_tokens('source')}) AS INTEGER) AS n_tags FROM documents",
+)
+def q_json_array_roundtrip(spark, sf):
+    """A10 + A7: documents as files of one JSON array each, read back in many tasks a file."""
+    back = _split_roundtrip(spark, sf, "json_array", "doc_id bigint, text string, lang string, tags array<string>")
+    return back.select("doc_id", "text", "lang", F.size("tags").cast("int").alias("n_tags"))
+
+
+@register(
+    "csv_split_roundtrip",
+    f"SELECT doc_id, text, lang, CAST(len({sql_tokens('source')}) AS INTEGER) AS n_tags FROM documents",
+)
+def q_csv_split_roundtrip(spark, sf):
+    """A10 + A1: documents as headered CSV whose texts hold newlines, read back in many tasks a file."""
+    back = _split_roundtrip(spark, sf, "csv", "doc_id bigint, text string, lang string, tags string", multi_line=True)
+    return back.select("doc_id", "text", "lang", F.size(T.parse_list("tags")).cast("int").alias("n_tags"))
+
+
 @register(
     "parquet_nested_roundtrip",
     """SELECT d.doc_id, 'user' AS role, d.text AS content, d.source AS ground_truth, l.quality

@@ -7,12 +7,16 @@ Existence checks go through the Hadoop FileSystem of the path, so they work on a
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.sources import split_scan
+
 # ---- fixed values --------------------------------------------------------------------------------------------
 # Benchmark source: positional columns bound to names (0-based positions of the landed table).
 BENCHMARK_COLUMNS = {1: "task", 3: "fen", 6: "answer", 8: "metadata"}
@@ -35,26 +39,24 @@ def _header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                 fmt: str = "csv", multi_line: bool = False) -> DataFrame:
-    """A1 / A2: headered CSV, Parquet, or JSON Lines, with an explicit schema.
+                 fmt: str = "csv", multi_line: bool = False, split_bytes: int | None = None) -> DataFrame:
+    """A1 / A2: headered CSV, Parquet, JSON Lines or JSON arrays (``json_array``), with an explicit schema.
 
     CSV columns are bound by their header names: the columns of ``schema`` are cast (a value that does not fit fails
     the job), in whatever order the file has them; every other column of the file passes through as text behind them,
     and a missing name is an error. Repeated header names are an error too. ``multi_line`` is for files whose quoted
-    fields hold newlines (reasoning text); such a file is one task, others are split.
+    fields hold newlines (reasoning text). Such files and JSON arrays are split too, at ``split_bytes`` (default: the
+    session's largest split) with the state at each split found first (``split_scan``); a JSON array needs a schema.
     """
     if fmt == "csv":
         names = _header(spark, path)
         if len(set(names)) < len(names):
             raise ValueError(f"repeated column names in the header of {path}: {names}")
-        raw = (
-            spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-            .option("header", True)
-            .option("multiLine", multi_line)
-            .option("escape", '"')
-            .option("mode", "FAILFAST")
-            .csv(path)
-        )
+        if multi_line:
+            raw = split_scan.read_quoted_csv(spark, path, names, split_bytes)
+        else:
+            text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+            raw = spark.read.schema(text).option("header", True).option("escape", '"').option("mode", "FAILFAST").csv(path)
         if schema is None:
             return raw
         typed = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
@@ -64,6 +66,10 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType | str | No
         rest = [n for n in names if n not in typed.fieldNames()]
         quoted = lambda n: F.col(f"`{n}`")
         return raw.select(*[quoted(f.name).cast(f.dataType).alias(f.name) for f in typed], *[quoted(n) for n in rest])
+    if fmt == "json_array":
+        if schema is None:
+            raise ValueError("a JSON array needs a schema")
+        return split_scan.read_json_array(spark, path, schema, split_bytes)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "parquet":
         return reader.parquet(path)
@@ -91,13 +97,26 @@ def _csv_safe(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def _array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of one array file: its elements behind an opening bracket or a comma, and the closing bracket."""
+    opened = False
+    for batch in batches:
+        if batch.num_rows:
+            lead = pa.array(["," if opened else "["] + [","] * (batch.num_rows - 1))
+            opened = True
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(lead, batch.column(0).cast(pa.string()), "")], names=["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["]" if opened else "[]"])], names=["value"])
+
+
 def write_records(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                  partition_by: Sequence[str] | None = None) -> None:
-    """CSV (header, nested -> JSON), Parquet (nested kept), JSON Lines (UTF-8 verbatim, nulls kept).
+                  partition_by: Sequence[str] | None = None, files: int | None = None) -> None:
+    """CSV (header, nested -> JSON), Parquet (nested kept), JSON Lines and JSON arrays (UTF-8 verbatim, nulls kept).
 
     ``mode='append'`` adds files next to the existing ones (A5): each task writes its own file, so there
-    is no shared header to guard.
+    is no shared header to guard. A JSON array file is one array for each task (an empty task writes ``[]``). ``files``
+    deals the rows to that many tasks first; with 1, one task streams all rows into one file.
     """
+    df = df.repartition(files) if files else df
     if fmt == "csv":
         w = _csv_safe(df).write.mode(mode).option("header", True).option("escape", '"')
         w = w.partitionBy(*partition_by) if partition_by else w
@@ -110,6 +129,11 @@ def write_records(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
         w = df.write.mode(mode).option("ignoreNullFields", False)
         w = w.partitionBy(*partition_by) if partition_by else w
         w.json(path)
+    elif fmt == "json_array":
+        if partition_by:
+            raise ValueError("JSON arrays are not partitioned by a column")
+        lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+        lines.mapInArrow(_array_lines, "value string").write.mode(mode).text(path)
     else:
         raise ValueError(f"unknown format {fmt}")
 
@@ -168,9 +192,10 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def convert(spark: SparkSession, src: str, dst: str, src_fmt: str, dst_fmt: str,
             src_schema: T.StructType | str | None = None,
-            dst_schema: T.StructType | str | None = None, multi_line: bool = False) -> DataFrame:
-    """A10: format conversion of a released split; returns the written data read back (CSV needs
-    ``dst_schema`` to read back; nested columns were written as JSON text)."""
-    df = read_records(spark, src, src_schema, src_fmt, multi_line)
-    write_records(df, dst, dst_fmt)
-    return read_records(spark, dst, dst_schema, dst_fmt, multi_line)
+            dst_schema: T.StructType | str | None = None, multi_line: bool = False,
+            files: int | None = None, split_bytes: int | None = None) -> DataFrame:
+    """A10: format conversion of a released split; returns the written data read back (CSV and JSON arrays need
+    ``dst_schema`` to read back; CSV holds nested columns as JSON text)."""
+    df = read_records(spark, src, src_schema, src_fmt, multi_line, split_bytes)
+    write_records(df, dst, dst_fmt, files=files)
+    return read_records(spark, dst, dst_schema, dst_fmt, multi_line, split_bytes)

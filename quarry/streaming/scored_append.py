@@ -6,15 +6,24 @@ limit is appended to the sink once, surviving restarts:
 ``readStream`` (schema'd files) -> score -> ``foreachBatch``: first accepted per id within the batch,
 anti join against what *other* batches already accepted, overwrite this batch's own folder.
 
-The sink is the state (as in the reference, where the output file is the done set). Its batch folders are
-partitioned by a hash bucket of the id, and a batch reads only the buckets its ids fall in. Idempotence: a
-replayed batch rewrites exactly its own ``batch_id=<n>`` folder, and its done set excludes that folder,
-so a replay never anti-joins away its own rows. First-correct is by attempt number within a batch and by
-arrival across batches.
+The sink is the state (as in the reference, where the output file is the done set), kept as levelled runs: a batch
+writes its own folder ``batch_id=<n>``; ``FAN`` neighbouring folders of one level are merged into a folder
+``batch_id=<lo>-<hi>`` of the next, so there are at most ``FAN - 1`` folders for each level, plus those of the last
+merge, which the next batch removes. A merged folder is ordered by a hash bucket of the id, in files of bounded size, and a
+batch reads only the row groups of the buckets its ids fall in. Merging takes batches before the running one only, and a folder counts once it has its
+``_SUCCESS`` marker, so a merge that broke off is done again.
+
+Idempotence: a replayed batch rewrites exactly its own folder, and its done set excludes that folder, so a replay never
+anti-joins away its own rows; one that a merged folder holds already is skipped. First-correct is by attempt number
+within a batch and by arrival across batches. Read the sink with ``accepted_rows``: plain reads of the folder may see a
+batch and its merged copy.
 """
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,44 +31,114 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarry.functions.text import answer_score
 from quarry.operators.scoring import first_accepted
-from quarry.sources.io import is_complete, path_exists
-
+from quarry.sources.io import is_complete, path_exists, remove
 
-# Accepted ids are kept by a hash bucket, so that a batch reads only the buckets its own ids fall in.
-BUCKETS = 64
+BUCKETS = 1024  # of a merged folder
+FAN = 4  # folders of one level that are merged
+FILE_BYTES = 128 << 20  # a merged folder is dealt over files of about this size
 
 
 def _bucket(id_col: str):
     return F.pmod(F.xxhash64(id_col), F.lit(BUCKETS)).cast("int")
 
 
+@dataclass(frozen=True, order=True)
+class Run:
+    """A complete folder of the sink: the batches lo to hi."""
+
+    lo: int
+    hi: int
+    path: str
+
+    @property
+    def level(self) -> int:
+        n, level = self.hi - self.lo + 1, 0
+        while n >= FAN:
+            n, level = n // FAN, level + 1
+        return level
+
+    def covers(self, other: Run) -> bool:
+        return self.lo <= other.lo and other.hi <= self.hi and self.path != other.path
+
+
+def committed(spark: SparkSession, sink: str) -> list[Run]:
+    """All complete folders, superseded ones too."""
+    if not path_exists(spark, sink):
+        return []
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sink)
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+    paths = [f.getPath().toString() for f in found if f.isDirectory()]
+    names = [(re.fullmatch(r"batch_id=(\d+)(?:-(\d+))?", p.rpartition("/")[2]), p) for p in paths]
+    return sorted(Run(int(m[1]), int(m[2] or m[1]), p) for m, p in names if m and is_complete(spark, p))
+
+
+def live(runs: list[Run]) -> list[Run]:
+    """The folders that no other covers."""
+    return [r for r in runs if not any(o.covers(r) for o in runs)]
+
+
+def read_runs(spark: SparkSession, runs: list[Run], schema: T.StructType | None = None, buckets: list[int] | None = None) -> DataFrame:
+    """The rows of some folders; of the merged ones only the row groups of the given buckets. A schema keeps the files
+    unopened until the rows are read."""
+    schema = schema if schema is not None else spark.read.parquet(runs[0].path).drop("bucket").schema
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])).parquet(*[r.path for r in runs])
+    if buckets is not None:  # a batch's own folder has no buckets
+        rows = rows.filter(F.col("bucket").isNull() | F.col("bucket").isin(buckets))
+    return rows.drop("bucket")
+
+
+def compact(spark: SparkSession, sink: str, id_col: str, before: int) -> list[Run]:
+    """Remove what earlier merges superseded, merge neighbours of one level among the batches below ``before``, and
+    return the live folders."""
+    runs = committed(spark, sink)
+    now = live(runs)
+    for r in runs:
+        if r not in now:
+            remove(spark, r.path)
+    while True:
+        old = [r for r in now if r.hi < before]
+        group = next((g for g in (old[i : i + FAN] for i in range(len(old) - FAN + 1))
+                      if len({r.level for r in g}) == 1 and all(a.hi + 1 == b.lo for a, b in zip(g, g[1:]))), None)
+        if group is None:
+            return now
+        path = f"{sink.rstrip('/')}/batch_id={group[0].lo}-{group[-1].hi}"
+        files = -(-sum(_folder_bytes(spark, r.path) for r in group) // FILE_BYTES)
+        rows = read_runs(spark, group).withColumn("bucket", _bucket(id_col))
+        rows = rows.repartitionByRange(files, "bucket", F.xxhash64(id_col)).sortWithinPartitions("bucket")
+        rows.write.mode("overwrite").parquet(path)
+        now = live([*now, Run(group[0].lo, group[-1].hi, path)])
+
+
+def _folder_bytes(spark: SparkSession, path: str) -> int:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def _accept_batch(spark: SparkSession, sink: str, id_col: str, attempt: str, max_attempts: int):
     def run(batch: DataFrame, batch_id: int) -> None:
-        accepted = first_accepted(batch, id_col, attempt, "score", max_attempts).withColumn("bucket", _bucket(id_col))
-        accepted = accepted.persist()
+        runs = compact(spark, sink, id_col, batch_id)
+        if any(r.lo <= batch_id <= r.hi and r.hi > r.lo for r in runs):
+            return  # a replay of a batch that is merged already
+        done = [r for r in runs if r.hi != batch_id]
+        accepted = first_accepted(batch, id_col, attempt, "score", max_attempts).persist()
         try:
-            done = committed(spark, sink, batch_id)
             new = accepted
             if done:
-                buckets = [r["bucket"] for r in accepted.select("bucket").distinct().collect()]  # at most BUCKETS
-                kept = spark.read.option("basePath", sink).schema(accepted.schema).parquet(*done)
-                kept = kept.filter(F.col("bucket").isin(buckets)).select(id_col)
+                buckets = None
+                if any(r.hi > r.lo for r in done):
+                    buckets = [r[0] for r in accepted.select(_bucket(id_col)).distinct().collect()]  # at most BUCKETS
+                kept = read_runs(spark, done, accepted.schema, buckets).select(id_col)
                 new = accepted.join(kept.distinct(), id_col, "left_anti")
-            new.write.mode("overwrite").partitionBy("bucket").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
+            new.hint("rebalance").write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
         finally:
             accepted.unpersist()
 
     return run
 
 
-def committed(spark: SparkSession, sink: str, but: int | None = None) -> list[str]:
-    """Folders of the batches whose write was committed, without batch ``but``."""
-    if not path_exists(spark, sink):
-        return []
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sink)
-    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
-    paths = [f.getPath().toString() for f in found if f.isDirectory()]
-    return sorted(p for p in paths if is_complete(spark, p) and not p.endswith(f"/batch_id={but}"))
+def accepted_rows(spark: SparkSession, sink: str) -> DataFrame:
+    """Every accepted row once."""
+    return read_runs(spark, live(committed(spark, sink)))
 
 
 def scored_append(
@@ -93,6 +172,4 @@ def run_available(spark: SparkSession, *args, **kwargs) -> DataFrame:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    sink = args[2] if len(args) > 2 else kwargs["sink"]
-    schema = spark.read.option("basePath", sink).parquet(*committed(spark, sink)).schema
-    return spark.read.option("basePath", sink).schema(schema).parquet(*committed(spark, sink)).drop("bucket")
+    return accepted_rows(spark, args[2] if len(args) > 2 else kwargs["sink"])

@@ -1,0 +1,112 @@
+"""Splittable CSV and JSON arrays: equal to Spark's one-task readers whatever the splits."""
+
+import json
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.sources import io, split_scan
+
+BITS = ["a", "é", "日本", " ", "  ", "\n", "\r\n", ",", '"', '""', "\\", "\\\\", "{", "}", "[", "]", ":", "null", "}\n{", '"}', "😀", "'", "\t", "},{"]
+
+
+def texts(seed, n):
+    rng = random.Random(seed)
+    out = ["".join(rng.choices(BITS, k=rng.randint(0, 25))) for _ in range(n)]
+    return out + [None, "", "x" * 900, '"' * 301, "\\" * 77, "}" * 400]
+
+
+def bag(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("split", [131, 512, None])
+def test_quoted_csv_equals_the_one_task_reader(spark, tmp_dir, split):
+    rows = [(i, t, None if i % 7 == 0 else f"s{i}") for i, t in enumerate(texts(1, 60))]
+    df = spark.createDataFrame(rows, "id long, text string, source string")
+    path = os.path.join(tmp_dir, "csv")
+    io.write_records(df, path, "csv", files=2)
+    schema = "id long, text string, source string"
+    want = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    got = io.read_records(spark, path, schema, "csv", multi_line=True, split_bytes=split)
+    assert bag(got) == bag(want)
+    if split == 131:
+        assert split_scan._pieces(split_scan.pinned_session(spark, split), path, "\n").rdd.getNumPartitions() > 10
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_quoted_csv_by_other_writers(spark, tmp_dir, newline):
+    body = ["id,text", '1,"two', 'lines"', "", '2,"say ""hi"", you"', "3,", '4,""', '5,"a"']
+    with open(os.path.join(tmp_dir, "t.csv"), "w", newline="", encoding="utf-8") as f:
+        f.write(newline.join(body))  # no newline at the end
+    for split in (1, 8, None):
+        got = io.read_records(spark, tmp_dir, "id long, text string", "csv", multi_line=True, split_bytes=split)
+        # an empty field is null, quoted or not, as in Spark's own reader
+        assert bag(got) == [(1, f"two{newline}lines"), (2, 'say "hi", you'), (3, None), (4, None), (5, "a")]
+
+
+def test_csv_that_ends_inside_quotes_fails(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "t.csv"), "w", encoding="utf-8") as f:
+        f.write('id,text\n1,"open\n2,b\n')
+    with pytest.raises(ValueError, match="inside quotes"):
+        io.read_records(spark, tmp_dir, "id long, text string", "csv", multi_line=True)
+
+
+SCHEMA = "id long, text string, tags array<string>, inner struct<k:string,n:long>"
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("split", [101, 700, None])
+def test_json_arrays_equal_the_one_task_reader(spark, tmp_dir, split, indent):
+    rng = random.Random(7)
+    rows = [{"id": i, "text": t, "tags": rng.choices(BITS, k=rng.randint(0, 3)), "inner": {"k": rng.choice(BITS), "n": i} if i % 5 else None}
+            for i, t in enumerate(texts(2, 60))]
+    for name, part in (("a", rows[:40]), ("b", rows[40:]), ("c", [])):
+        with open(os.path.join(tmp_dir, f"{name}.json"), "w", encoding="utf-8") as f:
+            json.dump(part, f, ensure_ascii=name == "a", indent=indent)
+            f.write("\n" if name == "b" else "")
+    want = spark.read.schema(SCHEMA).option("multiLine", True).json(tmp_dir)
+    got = io.read_records(spark, tmp_dir, SCHEMA, "json_array", split_bytes=split)
+    assert bag(got) == bag(want) and len(bag(got)) == len(rows)
+
+
+@pytest.mark.parametrize("text", ['[{"id": 1}', '{"id": 1}\n', '{"id": 1}\n{"id": 2}\n', '[{"id": 1}] tail', '[{"id": "}]', '[{"id": 1}{]'])
+def test_files_that_are_no_array_fail(spark, tmp_dir, text):
+    with open(os.path.join(tmp_dir, "x.json"), "w", encoding="utf-8") as f:
+        f.write(text)
+    with pytest.raises(Exception, match="JSON|Malformed|malformed"):
+        io.read_records(spark, tmp_dir, "id long", "json_array").collect()
+
+
+def test_one_array_file_is_many_tasks(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "one")
+    df = spark.range(3000).select("id", F.concat(F.lit("{\"[}\n"), F.col("id").cast("string")).alias("text"), F.lit(None).cast("string").alias("none"))
+    io.write_records(df, path, "json_array", files=1)
+    files = [f for f in os.listdir(path) if f.endswith(".txt")]
+    assert len(files) == 1
+    with open(os.path.join(path, files[0]), encoding="utf-8") as f:
+        assert len(json.load(f)) == 3000
+    found = split_scan.records(spark, path, split_scan.JsonArrayScanner(), 4096)
+    assert found.count() == 3000 and found.rdd.getNumPartitions() > 10
+    back = io.read_records(spark, path, "id long, text string, none string", "json_array", split_bytes=4096)
+    assert bag(back) == bag(df)
+
+
+def test_empty_inputs(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "none")
+    io.write_records(spark.range(0), path, "json_array", files=1)
+    assert io.read_records(spark, path, "id long", "json_array").collect() == []
+    io.write_records(spark.range(3).select("id", F.lit("a\nb").alias("t")).filter("id < 0"), os.path.join(tmp_dir, "csv"), "csv")
+    assert io.read_records(spark, os.path.join(tmp_dir, "csv"), "id long, t string", "csv", multi_line=True).collect() == []
+
+
+def test_changed_ranges_are_an_error():
+    import pyarrow as pa
+
+    ranges = split_scan.Ranges(pa.table({"file": [5, 5, 2], "start": [0, 64, 0], "inside": [0, 1, 0], "depth": [0, 2, 0]}))
+    assert ranges.state(5, 64) == (1, 2) and ranges.state(2, 0) == (0, 0)
+    for missing in ((5, 32), (5, 128), (3, 0), (9, 0)):
+        with pytest.raises(RuntimeError):
+            ranges.state(*missing)
