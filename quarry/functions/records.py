@@ -166,7 +166,7 @@ def flatten_info(df: DataFrame, col: str = "extra_info", keys: list[str] | None
     """Spread an info column over the row; an info key wins over a same-named column.
 
     A struct spreads all its fields (or ``keys``). The keys of a map are data, so the ones to spread are named in
-    ``keys`` (absent ones are null); without them a map column stays as it is."""
+    ``keys`` (``info_keys`` finds them; absent ones are null); without them a map column stays as it is."""
     kind = df.schema[col].dataType
     fields = keys if keys is not None else kind.fieldNames() if isinstance(kind, T.StructType) else None
     if fields is None:
@@ -175,6 +175,50 @@ def flatten_info(df: DataFrame, col: str = "extra_info", keys: list[str] | None
     return df.select(*keep, *[F.col(col)[f].alias(f) for f in fields])
 
 
+MAX_INFO_KEYS = 4096  # columns that the keys of an info column may become
+
+
+def _bounded_keys(keys: DataFrame, what: str) -> list:
+    found = keys.limit(MAX_INFO_KEYS + 1).collect()
+    if len(found) > MAX_INFO_KEYS:
+        raise ValueError(f"{what} has more than {MAX_INFO_KEYS} keys")
+    return sorted(found, key=lambda r: r[0])
+
+
+def info_keys(df: DataFrame, col: str = "extra_info") -> list[str]:
+    """The keys that occur in a map column (one job), for ``flatten_info``."""
+    return [r[0] for r in _bounded_keys(df.select(F.explode(F.map_keys(col)).alias("key")).distinct(), col)]
+
+
+def info_schema(df: DataFrame, col: str) -> dict[str, str]:
+    """The keys of a column of JSON objects and the type that holds all values of each, found from the data (one job).
+
+    Values are parsed as VARIANT; their types are merged by key, as partial aggregates. A key whose values have no type
+    in common, are objects, or are all null is a string (objects and mixed values as JSON text). Text that is no JSON
+    object has no keys."""
+    info = df.select(F.try_parse_json(col).alias("_info")).filter("schema_of_variant(_info) like 'OBJECT<%'")
+    cells = info.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_info").outer()))
+    found = cells.groupBy("key").agg(F.schema_of_variant_agg("value").alias("kind"))
+    loose = lambda kind: any(x in kind for x in ("OBJECT", "VARIANT", "VOID"))
+    return {r.key: "STRING" if loose(r.kind) else r.kind for r in _bounded_keys(found, col)}
+
+
+def spread_info(df: DataFrame, col: str, schema: dict[str, str] | None = None) -> DataFrame:
+    """B23 for a column of JSON objects: its keys, found and typed from the data unless a ``schema`` is given, as
+    columns; a key wins over a same-named column. Absent keys, and rows without a JSON object, are null."""
+    schema = info_schema(df, col) if schema is None else schema
+    if len({k.lower() for k in schema}) < len(schema):
+        raise ValueError(f"keys of {col} differ in case only: {sorted(schema)}")
+    taken = {k.lower() for k in schema}
+    keep = [F.col(f"`{c}`") for c in df.columns if c != col and c.lower() not in taken]
+    if not schema:
+        return df.select(*keep)
+    quoted = {k: "`" + k.replace("`", "``") + "`" for k in schema}
+    ddl = "struct<" + ", ".join(f"{quoted[k]}: {kind}" for k, kind in schema.items()) + ">"
+    rows = df.select(*keep, F.try_variant_get(F.try_parse_json(f"`{col}`"), "$", ddl).alias("_info"))
+    return rows.select(*(F.col(f"`{c}`") for c in rows.columns[:-1]), *(F.col(f"_info.{quoted[k]}").alias(k) for k in schema))
+
+
 # ---- B26 ----------------------------------------------------------------------------------------------------------
 def drop_overlong(df: DataFrame, col: str, max_tokens: int, counter=None, out: str | None = None) -> DataFrame:
     """Drop rows whose text has more than ``max_tokens`` tokens (default counter: whitespace tokens). ``out`` names a

@@ -342,6 +342,25 @@ def q_pending_prefix(spark, sf):
     return joins.pending(docs, table(spark, sf, "labels"), "doc_id", ["doc_id"], 500)
 
 
+@register(
+    "pending_landed",
+    "SELECT doc_id, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
+)
+def q_pending_landed(spark, sf):
+    """J1 against a bucketed done table: the label ids land in two portions, the second of which repeats the first."""
+    import uuid
+
+    from quarry.operators import done
+    from quarry.session import scratch_path
+
+    labels, name = table(spark, sf, "labels"), f"quarry_done_{uuid.uuid4().hex[:12]}"
+    buckets = done.buckets_for(labels.count())
+    done.open_done(spark, name, scratch_path(spark, "done"), "doc_id", "bigint", buckets)
+    for portion in (labels.filter("quality = 1"), labels):
+        done.land_done(portion, name, "doc_id", buckets)
+    return done.pending_landed(table(spark, sf, "documents").select("doc_id", "lang"), name, "doc_id")
+
+
 @register("exclude_passages", f"SELECT doc_id FROM documents WHERE doc_id NOT IN ({SQL_PASSAGE_IDS})")
 def q_exclude_passages(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -921,3 +940,18 @@ def q_test_record_info(spark, sf):
                          F.col("event_type"), "props")
     flat = flatten_info(rec, "extra_info", ["type", "fen", "k"])
     return flat.select("type", "fen", "k", "ability", F.col("reward_model.ground_truth").alias("ground_truth"))
+
+
+@register(
+    "info_found",
+    """SELECT d.doc_id, lang, source, CAST(n_chars AS BIGINT) AS n_chars, CAST(quality AS BIGINT) AS quality, CAST(toxic AS BIGINT) AS toxic
+       FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+)
+def q_info_found(spark, sf):
+    """B23 without naming keys: records whose info is a JSON object (labels only where a document has them) are spread
+    over columns that are found and typed from the data."""
+    from quarry.functions.records import spread_info
+
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    info = F.to_json(F.struct(*(c for c in d.columns if c not in ("doc_id", "text")))).alias("info")
+    return spread_info(d.select("doc_id", info), "info")

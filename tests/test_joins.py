@@ -94,3 +94,27 @@ def test_dense_prefix_is_a_filter_equal_to_top_n(spark):
     assert sorted(r.rank for r in order.first_n(df, ["rank"], 37).collect()) == list(range(1, 38))
     done = spark.createDataFrame([(3,), (5,)], "rank long")
     assert len(joins.pending(df, done, "rank", ["rank"], 10, dense=True).collect()) == 8
+
+
+def test_pending_against_a_landed_done_table(spark, tmp_dir):
+    from quarry.operators import done
+
+    df = spark.createDataFrame([(i % 400, f"r{i}") for i in range(500)] + [(None, "null")], "id long, v string").repartition(5)
+    first = spark.createDataFrame([(i,) for i in range(0, 400, 3)] + [(3,), (None,)], "id long")
+    done.open_done(spark, "done_test", tmp_dir + "/done", "id", "bigint", 8)
+    assert done.pending_landed(df, "done_test", "id").count() == 501  # nothing is done yet
+    done.land_done(first, "done_test", "id", 8)
+    done.land_done(first, "done_test", "id", 8)  # repeated: adds nothing
+    assert spark.table("done_test").count() == 134
+    done.land_done(spark.createDataFrame([(1,), (3,)], "id long"), "done_test", "id", 8)
+    got = done.pending_landed(df, "done_test", "id")
+    ids = {*range(0, 400, 3), 1}
+    assert sorted(r.v for r in got.collect()) == sorted([f"r{i}" for i in range(500) if i % 400 not in ids] + ["null"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.rpartition("Initial Plan")[2].count("Exchange hashpartitioning") == 1 and "SelectedBucketsCount: 8 out of 8" in plan  # the done side is not exchanged
+    # another session, or a restart, finds the same table at its path
+    before = sorted(r.v for r in got.collect())
+    spark.sql("DROP TABLE done_test")
+    done.open_done(spark, "done_again", tmp_dir + "/done", "id", "bigint", 8)
+    assert sorted(r.v for r in done.pending_landed(df, "done_again", "id").collect()) == before
+    spark.sql("DROP TABLE done_again")

@@ -85,3 +85,27 @@ def test_render_chat_long_conversation_in_chunks(spark):
     got = {r.conv_id: (r.turns, r.rendered) for r in render_chat(df, chunk_turns=3).collect()}
     want = "".join(f"<|{'user' if t % 2 == 0 else 'assistant'}|>\nm{t}\n" for t in range(50)) + "<|assistant|>\n"
     assert got[7] == (50, want) and got[8] == (1, "<|user|>\nx\n<|assistant|>\n")
+
+
+def test_spread_info_finds_and_types_the_keys(spark):
+    from quarry.functions import records as R
+
+    rows = [(1, '{"a":1,"b":"x","c d":[1,2]}'), (2, '{"a":2,"z":true,"b":null}'), (3, None), (4, "bad"), (5, "{}"), (6, "[1]"),
+            (7, '{"n":{"q":1},"m":1,"id":70}'), (8, '{"z":false,"m":"s","void":null}')]
+    df = spark.createDataFrame(rows, "id long, info string").withColumn("b", F.lit("column"))
+    assert R.info_schema(df, "info") == {"a": "BIGINT", "b": "STRING", "c d": "ARRAY<BIGINT>", "id": "BIGINT", "m": "STRING", "n": "STRING",
+                                         "void": "STRING", "z": "BOOLEAN"}
+    out = R.spread_info(df.withColumn("row", F.col("id")), "info")
+    got = {r.row: r.asDict() for r in out.collect()}
+    assert got[1] == {"row": 1, "a": 1, "b": "x", "c d": [1, 2], "id": None, "m": None, "n": None, "void": None, "z": None}
+    assert got[7]["n"] == '{"q":1}' and got[7]["m"] == "1" and got[7]["id"] == 70 and got[8]["m"] == "s" and got[8]["z"] is False
+    assert all(v is None for i in (3, 4, 5, 6) for k, v in got[i].items() if k != "row")
+    assert R.spread_info(df.limit(0), "info").columns == ["id", "b"]
+
+
+def test_info_keys_of_a_map(spark):
+    from quarry.functions import records as R
+
+    df = spark.createDataFrame([({"b": "1"},), ({"a": "2", "b": "3"},), (None,), ({},)], "extra_info map<string,string>")
+    assert R.info_keys(df) == ["a", "b"]
+    assert sorted(map(tuple, R.flatten_info(df, keys=R.info_keys(df)).collect()), key=str) == [("2", "3"), (None, "1"), (None, None), (None, None)]
