@@ -438,6 +438,20 @@ def q_eval_summary(spark, sf):
     return scoring.eval_summary(p, ["stage"])
 
 
+@register("eval_incremental", ORACLES["eval_summary"])
+def q_eval_incremental(spark, sf):
+    """D4 + D5 from stored state: the responses land in three portions that share groups and prompts, the second one
+    twice; each landing merges into what is stored."""
+    from quarry.operators import eval_store
+    from quarry.session import scratch_path
+
+    path, scored = scratch_path(spark, "evals"), scored_responses(spark, sf)
+    for landing, portion in enumerate((0, 1, 1, 2)):
+        part = scored.filter(F.pmod("event_id", F.lit(3)) == portion)
+        eval_store.land(part, path, min(landing, portion), ["stage"], "user_id", "event_id", "score", "text", MAX_TOKENS)
+    return eval_store.summaries(spark, path, ["stage"])
+
+
 SQL_CKPT = """
 ckpt AS (SELECT stage, step, count(*) AS rows, round(avg(score), 6) AS accuracy FROM scored2 GROUP BY stage, step)"""
 
@@ -790,6 +804,23 @@ def q_materialized_halves(spark, sf):
     return got["A"].withColumn("half", F.lit("A")).unionByName(got["B"].withColumn("half", F.lit("B")))
 
 
+@register("materialized_by_content", "SELECT lang, count(*) AS docs, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY lang")
+def q_materialized_by_content(spark, sf):
+    """A9 by content: an output named by its plan and its input files; the second call reuses it, another plan does not."""
+    from quarry.session import scratch_path
+    from quarry.sources import io
+
+    path, source = scratch_path(spark, "by-content"), f"{sf.rstrip('/')}/documents.parquet"
+
+    def build(column="lang"):
+        sums = F.count("*").alias("docs"), F.sum("n_chars").cast("bigint").alias("chars")
+        return table(spark, sf, "documents").groupBy(column).agg(*sums)
+
+    io.materialize(spark, build, path, inputs=[source])
+    io.materialize(spark, lambda: build("source"), path, inputs=[source])
+    return io.materialize(spark, build, path, inputs=[source])
+
+
 # ---- single-operator entries: B19, B20, B24, G1, G3, F6 ------------------------------------------------------------
 @register(
     "parse_list",

@@ -7,6 +7,9 @@ Existence checks go through the Hadoop FileSystem of the path, so they work on a
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -149,18 +152,51 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
+def complete_folders(spark: SparkSession, path: str, name: str) -> list[tuple[re.Match, str]]:
+    """Sub-folders whose name matches a pattern, that have their ``_SUCCESS`` marker."""
+    if not path_exists(spark, path):
+        return []
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+    paths = [f.getPath().toString() for f in found if f.isDirectory()]
+    names = [(re.fullmatch(name, p.rpartition("/")[2]), p) for p in paths]
+    return [(m, p) for m, p in names if m and is_complete(spark, p)]
+
+
 def cache_path(base: str, name: str, seed: int | None = None) -> str:
     """Cache folder that includes the seed (N7: a cache made with another seed is never reused)."""
     return f"{base.rstrip('/')}/{name}" + (f"-seed{seed}" if seed is not None else "")
 
 
-def materialize(spark: SparkSession, build: Callable[[], DataFrame], path: str, fmt: str = "parquet") -> DataFrame:
+def inputs_fingerprint(spark: SparkSession, inputs: Sequence[str]) -> str:
+    """The files under some paths by name, size and time, as one number and their count; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(inputs))
+    each = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    n, total = files.select("path", "length", "modificationTime").agg(F.count("*"), F.sum(each)).first()
+    return f"{n}:{total}"
+
+
+def content_key(df: DataFrame, inputs: Sequence[str], **params) -> str:
+    """A name for what a frame computes: its optimized plan (without expression ids), schema, input files and any
+    parameters. It changes when one of them does, and is the same in another session."""
+    plan = re.sub(r"#\d+L?|\bplan_id=\d+", "", df._jdf.queryExecution().optimizedPlan().toString())
+    what = [plan, df.schema.json(), inputs_fingerprint(df.sparkSession, inputs), json.dumps(params, sort_keys=True, default=str)]
+    return hashlib.sha256("\0".join(what).encode()).hexdigest()[:24]
+
+
+def materialize(spark: SparkSession, build: Callable[[], DataFrame], path: str, fmt: str = "parquet",
+                inputs: Sequence[str] | None = None, **params) -> DataFrame:
     """Read ``path`` if a complete output is there; otherwise build, write and read back.
 
-    Reading back (not caching) cuts the lineage and survives executor loss.
+    Reading back (not caching) cuts the lineage and survives executor loss. With ``inputs`` (the paths that the build
+    reads) the output goes to a folder of ``path`` named by ``content_key``, so that a changed input, plan or parameter
+    is built anew and never served from an older output; ``params`` name what the plan does not show.
     """
+    df = build() if inputs is not None else None
+    if df is not None:
+        path = f"{path.rstrip('/')}/{content_key(df, inputs, **params)}"
     if not is_complete(spark, path):
-        write_records(build(), path, fmt)
+        write_records(build() if df is None else df, path, fmt)
     return read_records(spark, path, fmt=fmt)
 
 

@@ -21,7 +21,6 @@ batch and its merged copy.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarry.functions.text import answer_score
 from quarry.operators.scoring import first_accepted
-from quarry.sources.io import is_complete, path_exists, remove
+from quarry.sources.io import complete_folders, remove
 
 BUCKETS = 1024  # of a merged folder
 FAN = 4  # folders of one level that are merged
@@ -63,13 +62,8 @@ class Run:
 
 def committed(spark: SparkSession, sink: str) -> list[Run]:
     """All complete folders, superseded ones too."""
-    if not path_exists(spark, sink):
-        return []
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sink)
-    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
-    paths = [f.getPath().toString() for f in found if f.isDirectory()]
-    names = [(re.fullmatch(r"batch_id=(\d+)(?:-(\d+))?", p.rpartition("/")[2]), p) for p in paths]
-    return sorted(Run(int(m[1]), int(m[2] or m[1]), p) for m, p in names if m and is_complete(spark, p))
+    found = complete_folders(spark, sink, r"batch_id=(\d+)(?:-(\d+))?")
+    return sorted(Run(int(m[1]), int(m[2] or m[1]), p) for m, p in found)
 
 
 def live(runs: list[Run]) -> list[Run]:

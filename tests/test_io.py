@@ -112,3 +112,19 @@ def test_benchmark_csv_keeps_json(spark, tmp_dir):
     b = io.load_benchmark(spark, path, "csv", multi_line=True)
     m = b.select(merge_metadata(F.create_map(F.lit("a"), F.lit("base")), "metadata").alias("m"), "fen").first()
     assert (m.m, m.fen) == ({"a": "1, 2", "b": '"q"'}, "fen\nZ")
+
+
+def test_materialize_by_content_rebuilds_what_changed(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    spark.range(5).write.parquet(src)
+    build = lambda k=1: lambda: spark.read.parquet(src).select((F.col("id") * k).alias("v"))
+    get = lambda b, **p: sorted(r.v for r in io.materialize(spark, b, out, inputs=[src], **p).collect())
+    assert get(build()) == [0, 1, 2, 3, 4] and len(os.listdir(out)) == 1
+    assert get(build()) == [0, 1, 2, 3, 4] and len(os.listdir(out)) == 1  # reused
+    assert get(build(2)) == [0, 2, 4, 6, 8] and len(os.listdir(out)) == 2  # another plan
+    assert get(build(), model="b") == [0, 1, 2, 3, 4] and len(os.listdir(out)) == 3  # another parameter
+    spark.range(5, 7).write.mode("append").parquet(src)
+    assert get(build()) == [0, 1, 2, 3, 4, 5, 6] and len(os.listdir(out)) == 4  # a changed input is never served stale
+    other = spark.newSession()
+    df = other.read.parquet(src).select((F.col("id") * 1).alias("v"))
+    assert io.content_key(df, [src]) == io.content_key(build()(), [src])

@@ -71,3 +71,34 @@ def test_best_checkpoint_and_curve(spark):
     assert best == {"rl": (20, 0.48), "sft": (5, 0.42)}
     curve = scoring.eval_curve(ev).filter(F.col("stage") == "rl").orderBy("step").collect()
     assert [r.running_best for r in curve] == [0.40, 0.48, 0.48]
+
+
+def test_incremental_evaluation_equals_a_full_one(spark, tmp_dir):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from quarry.operators import eval_store, scoring
+
+    rng = random.Random(3)
+    rows = [(rng.choice(["sft", "rl"]), rng.randrange(4), rng.randrange(30), i, rng.choice([0.0, 1.0, 0.3]), "w " * rng.randrange(9)) for i in range(900)]
+    rows += [("rl", None, 1, 2000, 1.0, None), ("rl", 1, None, 2001, None, "x")]
+    df = spark.createDataFrame(rows, "stage string, step int, prompt_id int, sample int, score double, text string").repartition(3)
+    by = ["stage", "step"]
+
+    def full(part):
+        return scoring.eval_summary(scoring.pass_at_1(part, [*by, "prompt_id"], max_tokens=4), by)
+
+    bag = lambda x: sorted(map(tuple, x.select(sorted(x.columns)).collect()), key=repr)
+    seen = "1 = 0"
+    for n, portion in enumerate(["step = 0", "step = 1 and sample < 500", "1 = 0", "step >= 1 and not (step = 1 and sample < 500)", "step is null"]):
+        eval_store.land(df.filter(portion), tmp_dir, n, by, max_tokens=4)
+        seen = f"({seen}) or ({portion})"
+        assert bag(eval_store.summaries(spark, tmp_dir, by)) == bag(full(df.filter(seen)))
+    eval_store.land(df.filter("step = 1 and sample < 500"), tmp_dir, 1, by, max_tokens=4)  # repeated: replaces itself
+    assert bag(eval_store.summaries(spark, tmp_dir, by)) == bag(full(df))
+    merged = eval_store.pass_at_1_of(eval_store.merge_states(eval_store.states(spark, tmp_dir), [*by, "prompt_id"]), 4)
+    want = scoring.pass_at_1(df, [*by, "prompt_id"], max_tokens=4)
+    assert bag(merged) == bag(want)
+    curve = scoring.eval_curve(eval_store.summaries(spark, tmp_dir, by).select(*by, "accuracy").filter(F.col("step").isNotNull()))
+    assert curve.filter("running_best < accuracy").isEmpty()
