@@ -782,6 +782,19 @@ def q_parquet_nested_roundtrip(spark, sf):
                        F.col("extra_info.quality").alias("quality"))
 
 
+@register("order_index", f"SELECT o_orderkey, o_custkey, {SQL_ORDER_RANK} AS shuffle_rank FROM orders")
+def q_order_index(spark, sf):
+    """E1 over a growing table: the orders arrive in three portions of the order index, the last one tiny."""
+    from quarry.operators import order_index
+    from quarry.session import scratch_path
+
+    path, orders = scratch_path(spark, "order-index"), table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    tiny, half = F.pmod("o_orderkey", F.lit(997)) == 0, F.pmod("o_orderkey", F.lit(2)) == 0
+    for gen, portion in enumerate((half & ~tiny, ~half & ~tiny, tiny)):
+        order_index.append(orders.filter(portion), path, "o_orderkey", SEED, gen=gen)
+    return order_index.ranked(spark, path)
+
+
 @register(
     "materialized_halves",
     f"""SELECT o_orderkey, CASE WHEN rk <= (SELECT count(*) FROM orders) // 2 THEN 'A' ELSE 'B' END AS half

@@ -135,3 +135,40 @@ def test_copies_are_expanded_in_parts(spark, monkeypatch):
     assert sorted(r.shuffle_rank for r in got) == list(range(1, 551))
     block = sorted(r.shuffle_rank for r in got if r.id == 3)
     assert block == list(range(block[0], block[0] + 500))
+
+
+def test_order_index_equals_a_full_rank(spark, tmp_dir):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from quarry.operators import order, order_index
+
+    rng = random.Random(2)
+    rows = [(rng.choice([None, 7, rng.randrange(3000), rng.randrange(3000)]), f"v{rng.randrange(9)}") for _ in range(3000)]
+    df = spark.createDataFrame(rows, "id long, v string").repartition(4)
+    cut = F.pmod(F.xxhash64("id", "v"), F.lit(100))
+    portions = [df.filter(cut < 60), df.filter(cut == 60), df.filter(cut > 60), df.limit(0)]
+    seen, bag = df.limit(0), lambda x: sorted(map(tuple, x.collect()), key=lambda r: r[-1])
+    for gen, portion in enumerate(portions):
+        order_index.append(portion, tmp_dir, "id", 5, rows_per_bucket=40, gen=gen)
+        order_index.append(portion, tmp_dir, "id", 5, rows_per_bucket=40, gen=gen)  # a repeat has no effect
+        seen = seen.unionByName(portion)
+        assert bag(order_index.ranked(spark, tmp_dir)) == bag(order.shuffle_rank(seen, "id", 5))
+    last = order_index._manifest(spark, tmp_dir, 1)
+    assert last.filter("gen = 0").count() > last.filter("gen = 1").count() > 0  # the small append left most buckets alone
+
+
+def test_order_index_ignores_an_append_that_broke_off(spark, tmp_dir):
+    import os
+
+    from quarry.operators import order, order_index
+
+    df = spark.range(500)
+    order_index.append(df.filter("id < 400"), tmp_dir, "id", rows_per_bucket=10)
+    before = sorted(map(tuple, order_index.ranked(spark, tmp_dir).collect()))
+    order_index.append(df.filter("id >= 400"), tmp_dir, "id")
+    os.remove(os.path.join(tmp_dir, "manifest", "gen=1", "_SUCCESS"))
+    assert sorted(map(tuple, order_index.ranked(spark, tmp_dir).collect())) == before
+    order_index.append(df.filter("id >= 400"), tmp_dir, "id")
+    assert sorted(map(tuple, order_index.ranked(spark, tmp_dir).collect())) == sorted(map(tuple, order.shuffle_rank(df, "id").collect()))
