@@ -2,9 +2,12 @@
 and packing. Each stage is one operator of ``quarry.llm`` applied to all that the stage before it kept; all but the
 last return the columns of ``documents``. Their decisions:
 
-- language: documents without any letter, or without text, go; a missing language is filled with the predicted one;
+- language: documents without any letter, or without text, go; a missing language is filled with the predicted one
+  (it stays missing if no row has a language to learn from);
 - lines: lines found in at least 10 documents go, and n_chars follows the text;
-- near duplicates: of the documents of one component, the one with the smallest id stays;
+- near duplicates: of the documents of one component, the one with the smallest id stays. Rows that share an id are one
+  document, and so are rows without an id that share a text; one row of it stays, that with the smallest row hash. A
+  document without an id stays only if its component has none with an id;
 - benchmark: documents with a benchmark window go;
 - packing: one row for each piece of a document, with its bin.
 """
@@ -22,7 +25,8 @@ ORACLE_SQL = None  # expectation-maximisation and best-fit have no SQL form; tes
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_mixture.train(docs.where(language_mixture.remainder("doc_id", 4) != 2))
-    found = language_mixture.identify(docs, model).where("lang_pred <> 'und'")
+    found = language_mixture.identify(docs, model)
+    found = found.where("lang_pred <> 'und'") if model.langs else docs.where(F.col("text").rlike(r"\p{L}")).withColumn("lang_pred", F.lit(None))
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
 
 
@@ -32,9 +36,16 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = prefix_tree_join.jaccard_components(docs)
-    others = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    own = "id" + "_" * max(map(len, docs.columns))  # a name that no column has
+    unnamed = F.lit(1 << 62) + F.xxhash64("text").bitwiseAND((1 << 62) - 1)  # beyond real ids, equal for equal texts
+    named = docs.withColumn(own, F.coalesce(F.col("doc_id").cast("long"), unnamed))
+    found = prefix_tree_join.jaccard_components(named, key=own)
+    gone = found.where(F.col("component_id") != F.col(own)).select(own).distinct()
+    many = named.groupBy(own).count().where("count > 1").select(own).join(gone, own, "left_anti")
+    single = named.join(gone.unionByName(many), own, "left_anti").select(docs.columns)
+    row = F.struct(*docs.columns)
+    one = named.join(many, own, "left_semi").groupBy(own).agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("row"))
+    return single.unionByName(one.select("row.*"))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

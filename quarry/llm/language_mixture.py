@@ -31,6 +31,7 @@ UNIT = 8
 ROUNDS = 15
 PENALTY = 3.0
 SMOOTH = 0.5
+SLICE_BYTES = 1 << 19  # bytes of text worked on at once: some ten arrays of 8 bytes for each
 LETTERS = words.byte_class(bytes([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]), lower=True)
 
 
@@ -43,8 +44,11 @@ def trigrams(w: words.Words) -> tuple[np.ndarray, np.ndarray]:
     left, right = np.full(len(w.data), 32, np.uint8), np.full(len(w.data), 32, np.uint8)
     left[1:], right[:-1] = w.data[:-1], w.data[1:]
     left[w.start], right[w.end - 1] = 32, 32
-    code = (left[at].astype(U64) << U64(16)) | (w.data[at].astype(U64) << U64(8)) | right[at].astype(U64)
-    return at, (words.mix(code) >> U64(64 - FEATURE_BITS)).astype(np.int64)
+    code = left[at].astype(U64)
+    for other in (w.data, right):
+        code <<= U64(8)
+        code |= other[at]
+    return at, (words.mix(code) >> U64(64 - FEATURE_BITS)).astype(np.int32)
 
 
 @dataclass
@@ -57,7 +61,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
         langs = np.array(batch.column("lang").to_pylist(), dtype=object)
-        for lo, hi, w in words.slices(batch.column("text"), LETTERS):
+        for lo, hi, w in words.slices(batch.column("text"), LETTERS, SLICE_BYTES):
             at, feature = trigrams(w)
             owner = np.searchsorted(w.text, at, side="right") - 1
             names, index = np.unique(langs[lo:hi].astype(str), return_inverse=True)
@@ -121,13 +125,15 @@ def infer(like: np.ndarray, first: np.ndarray) -> np.ndarray:
     return best
 
 
-def _predict(sent, keep: list[str]):
+def _predict(sent, keep: list[str], text: int):
+    """``text``: the column that holds the text; behind the kept ones (and it) stands whether it has a letter."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: LanguageModel = sent.value
         for batch in batches:
-            for lo, hi, w in words.slices(batch.column("text_"), LETTERS):
+            for lo, hi, w in words.slices(batch.column(text), LETTERS, SLICE_BYTES):
                 part = batch.slice(lo, hi - lo)
-                lettered = part.column("lettered_").to_numpy(zero_copy_only=False).astype(bool)
+                lettered = part.column(part.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
                 at, feature = trigrams(w)
                 n = w.counts()
                 units = -(-n // UNIT)
@@ -150,7 +156,7 @@ def _predict(sent, keep: list[str]):
                         pred[d], score[d] = model.langs[t], min(1.0, float(s[t]))
                         shares[d] = [{"lang": model.langs[j], "share": float(s[j])} for j in np.flatnonzero(s).tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in keep), pa.array(pred), pa.array(score),
+                    [*part.columns[: len(keep)], pa.array(pred), pa.array(score),
                      pa.array(shares, pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))],
                     names=[*keep, "lang_pred", "score", "languages"])
 
@@ -166,10 +172,12 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: li
     new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
            T.StructField("languages", T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("share", T.DoubleType())])))]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in {f.name for f in new}]
-    src = F.col(text)
-    rows = docs.select(*keep, src.alias("text_"), F.coalesce(src.rlike(r"\p{L}"), F.lit(False)).alias("lettered_"))
+    own = "text" + "_" * max(map(len, keep), default=0)  # a name that no column has
+    sent_text = [] if text in keep else [F.col(text).alias(own)]
+    rows = docs.select(*keep, *sent_text, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias(own + "_"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(_predict(sent, keep), T.StructType([docs.schema[c] for c in keep] + new))
+    at = keep.index(text) if text in keep else len(keep)
+    return rows.mapInArrow(_predict(sent, keep, at), T.StructType([docs.schema[c] for c in keep] + new))
 
 
 def remainder(key: str, modulus: int) -> Column:

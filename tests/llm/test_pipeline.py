@@ -68,3 +68,25 @@ def test_run_and_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_one_row_of_each_group_stays(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(5, base, "en", "s", 1)] * 4 + [(5, base + " more", "en", "s", 1), (7, base + " x", "en", "s", 1)]  # one component, smallest id 5
+    rows += [(None, base, "en", "s", 1)] * 3 + [(None, "alone " * 9, None, None, None)] * 4 + [(None, "other words here", "en", "s", 2)]
+    rows += [(9, "nothing shared by this one", "en", "s", 3), (11, "", None, None, 0), (12, None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    out = [tuple(r) for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()]
+    assert sorted((r[0] for r in out), key=lambda x: (x is None, x)) == [5, 9, 11, 12, None, None]
+    assert {r[1] for r in out if r[0] is None} == {"alone " * 9, "other words here"}
+    assert all(r in rows for r in out)
+    assert corpus_pipeline.one_of_each_group(spark, docs.limit(0), SF).collect() == []
+
+
+def test_without_any_language_only_texts_without_a_letter_go(spark):
+    rows = [(i, f"some words of text {i}", None, "s", 9) for i in range(10)] + [(20, "12 34", None, "s", 5), (21, None, None, "s", 0)]
+    out = corpus_pipeline.known_language(spark, spark.createDataFrame(rows, SCHEMA), SF)
+    assert sorted(r.doc_id for r in out.collect()) == list(range(10)) and out.columns == [c.split()[0] for c in SCHEMA.split(", ")]
