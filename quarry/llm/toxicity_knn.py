@@ -1,26 +1,26 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine (operator 8).
-
-Terms are words and word beginnings of 4 to 7 bytes, so that inflected or compounded forms of one stem meet. Every term
-of a text is in its vector. Document frequencies are counted over all documents.
-Examples are labelled documents, at most about ``max_examples`` of them: the classifier is fitted on a sample of that
-bound, drawn by a hash of the id; every document is scored.
-
-Terms outside all examples add nothing to a product with an example. So only the terms of the examples are sent to
-the tasks, and what the others add to the length of a document's vector is joined from the table of frequencies.
-The products with all examples are a matrix product over the ``DENSE`` most frequent terms, in single precision, plus the
-postings of the others. Its error is bounded by ``MARGIN``; examples within it of the k-th best are computed again in
-double precision. So the k nearest are exact, up to the rounding of the examples' weights to single precision.
-
-The k nearest examples of each label vote. A vote is the part of the cosine that comes from toxic-leaning terms, each
-times its log likelihood ratio (half the G statistic) over the examples. A logistic curve over the logarithms of the two
-mean votes, fitted on the examples without their own label, gives the score. A document without any term of the
-examples gets the toxic rate of the examples without any. The evidence is the neighbours' ids with their cosines.
+"""Toxicity by the nearest labelled examples under exact TF-IDF cosine in a block-max index (operator 8).
+
+Terms are words and word beginnings of 4 and 6 bytes, so that inflected or compounded forms of one stem meet. The space has
+every term of the examples; a vector's weights are tf * idf**IDF_POWER, with document frequencies counted over all
+documents. Examples are labelled documents, a sample drawn by id hash whose bounds are parameters (``max_examples`` texts of
+``max_bytes`` together); every document is scored.
+
+The index is an inverted one over blocks of ``BLOCK`` similar examples of one label. A term's list names the blocks that
+hold it, the largest weight in each, and its postings there. For a document, the maxima give every block a bound that no
+example in it exceeds. The blocks of the largest bounds are opened first, then those whose bound reaches the k-th best
+cosine found, for each label on its own; the others cannot change the k nearest and their postings are not read. The
+``DENSE`` most frequent terms, whose lists would name every block, are a matrix: their exact products are part of the bound.
+
+The k nearest examples of each label vote with their cosines, i.e. by distance. The votes of the nearest 1, 2, 3, 5, ... of
+each label, as logarithms of their mean cosine, go through a logistic curve fitted on the examples without themselves; that
+gives a calibrated score. A document without any term of the examples gets the toxic rate of the examples without any. The
+evidence is the neighbours' ids with their cosines.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,385 +32,342 @@ from pyspark.sql import types as T
 from quarry.llm import chunks, words
 from quarry.llm.words import U64
 
-MAX_EXAMPLES = 20_000
-NEIGHBOURS = 25
-DENSE, MARGIN = 1024, 2e-4  # single precision errs by less than (DENSE + 2) * 2**-23 on unit vectors
-BATCH = 64  # documents searched at once
-PREFIXES = (4, 5, 6, 7)
+MAX_EXAMPLES, MAX_BYTES = 2_000, 64 << 20
+NEIGHBOURS = 50
+NEAREST = (1, 2, 3, 5, 10, 25, 50)  # whose mean cosine is a vote
+IDF_POWER = 1.5
+BLOCK, DENSE = 32, 512
+BATCH = 64  # texts whose products over the frequent terms are computed together
+ROUNDING = 1e-9  # sums are in double precision; the weights in the lists have single precision
+PREFIXES = (4, 6)
+SLICE_BYTES = 1 << 20
 
 
-def terms(w: words.Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(word positions, term hashes): whole words first, then their beginnings. Computed on distinct words."""
-    h = w.hashes()
-    distinct, where, inverse = np.unique(h, return_index=True, return_inverse=True)
-    yield np.arange(len(h)), distinct[inverse]
+def word_terms(w: words.Words) -> tuple[np.ndarray, np.ndarray]:
+    """(index of each word's form, hashes of the terms of each form: the word and its beginnings; 0 where it has none)."""
+    distinct, where, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)
     by = np.argsort(where)  # spans are hashed in the order of the text
     start, end = w.start[where[by]], w.end[where[by]]
-    for k in PREFIXES:
+    out = np.zeros((len(distinct), 1 + len(PREFIXES)), U64)
+    out[:, 0] = distinct
+    for j, k in enumerate(PREFIXES):
         long = end - start > k
-        hashes = np.zeros(len(distinct), U64)
-        hashes[by[long]] = words.mix(words.FIRST.spans(w.data, start[long], start[long] + k, words.FIRST.table) + U64(k))
-        held = np.zeros(len(distinct), bool)
-        held[by[long]] = True
-        at = np.flatnonzero(held[inverse])
-        yield at, hashes[inverse[at]]
-
-
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per run of texts: documents with each term, by label."""
+        out[by[long], j + 1] = words.mix(words.FIRST.spans(w.data, start[long], start[long] + k, words.FIRST.table) + U64(k))
+    return inverse, out
+
+
+def cells(w: words.Words, names: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, frequency in the text), by text and term: terms as indices into the sorted ``names``, others left
+    out; without names as hashes."""
+    form, terms = word_terms(w)
+    if names is None:
+        names = np.unique(terms)
+    forms, texts = len(terms), len(w.first) - 1
+    at = np.minimum(np.searchsorted(names, terms), max(len(names) - 1, 0))
+    index = np.where((names[at] == terms) & (terms != 0), at, -1) if len(names) and forms else np.full(terms.shape, -1)
+    held, count = np.unique(w.owner() * max(forms, 1) + form, return_counts=True)  # (text, form)
+    text, of = held // max(forms, 1), index[held % max(forms, 1)] if forms else np.zeros((0, terms.shape[1]), int)
+    some = of >= 0
+    key = (text[:, None] * max(len(names), 1) + of)[some]
+    key, where = np.unique(key, return_inverse=True)
+    tf = np.bincount(where, weights=np.repeat(count, some.sum(axis=1)), minlength=len(key))
+    assert len(tf) == 0 or texts > 0
+    return key // max(len(names), 1), key % max(len(names), 1), tf
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The term hashes of each slice of texts."""
     for batch in batches:
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
-        for lo, hi, w in words.slices(batch.column("text"), words.ALNUM):
-            owner = w.owner()
-            parts = [(h, owner[at]) for at, h in terms(w)]
-            h, d = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
-            by = np.lexsort((d, h))
-            h, d = h[by], d[by]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-            h, t = h[new], toxic[lo:hi][d[new]]
-            names, index = np.unique(h, return_inverse=True)
-            pos = np.bincount(index, weights=t, minlength=len(names)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(pos), pa.array(np.bincount(index, minlength=len(names)) - pos)],
-                                             names=["term", "pos", "neg"])
+        for _, _, w in words.slices(batch.column(0), words.ALNUM, SLICE_BYTES):
+            found = np.unique(word_terms(w)[1])
+            yield pa.RecordBatch.from_arrays([pa.array(found[found != 0].view(np.int64))], names=["term"])
 
 
-@dataclass
-class Vocabulary:
-    names: np.ndarray  # sorted term hashes
-    idf: np.ndarray
+def _frequencies(sent: Broadcast):
+    """Per task: documents that hold each known term, and all documents (term -1)."""
 
-    def counts(self, w: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term hash, index of the term or -1, frequency in the text), by text and hash."""
-        owner, parts = w.owner(), [(h, at) for at, h in terms(w)]
-        distinct, inverse = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
-        cell, tf = np.unique(np.concatenate([owner[at] for _, at in parts]) * max(len(distinct), 1) + inverse, return_counts=True)
-        doc, h = cell // max(len(distinct), 1), cell % max(len(distinct), 1)
-        index = np.full(len(distinct), -1)
-        if len(self.names) and len(distinct):
-            i = np.minimum(np.searchsorted(self.names, distinct), len(self.names) - 1)
-            index = np.where(self.names[i] == distinct, i, -1)
-        return doc, distinct[h], index[h], tf
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, n = sent.value, 0
+        df = np.zeros(len(names), np.int64)
+        for batch in batches:
+            n += batch.num_rows
+            for _, _, w in words.slices(batch.column(0), words.ALNUM, SLICE_BYTES):
+                df += np.bincount(cells(w, names)[1], minlength=len(names))
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(df[at], n), pa.int64())], names=["term", "df"])
 
+    return run
 
-def _vectors(sent):
+
+def _vectors(sent: Broadcast):
     """The terms of the examples and their frequencies, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary: Vocabulary = sent.value
         for batch in batches:
-            for lo, hi, w in words.slices(batch.column("text"), words.ALNUM):
-                doc, _, term, tf = vocabulary.counts(w)
-                at = np.searchsorted(doc, np.arange(hi - lo + 1))
-                cells = [pack_cells(term[i:j], tf[i:j]) for i, j in zip(at[:-1], at[1:])]
+            for lo, hi, w in words.slices(batch.column("text"), words.ALNUM, SLICE_BYTES):
+                text, term, tf = cells(w, sent.value)
+                at = np.searchsorted(text, np.arange(hi - lo + 1))
+                rows = [(chunks.pack(np.diff(term[i:j], prepend=0).astype(np.int32)), chunks.pack(tf[i:j].astype(np.uint32))) for i, j in zip(at[:-1], at[1:])]
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("toxic"), pa.array(np.diff(at), pa.int32()),
-                                                  pa.array([x for x, _ in cells], pa.binary()), pa.array([x for _, x in cells], pa.binary())],
+                                                  pa.array([a for a, _ in rows], pa.binary()), pa.array([b for _, b in rows], pa.binary())],
                                                  names=["id", "toxic", "n", "terms", "tf"])
 
     return run
 
 
-def pack_cells(term: np.ndarray, tf: np.ndarray) -> tuple[bytes, bytes]:
-    return chunks.pack(np.diff(term, prepend=0).astype(np.int32)), chunks.pack(tf.astype(np.uint32))
-
-
-def unpack_cells(n: int, term: bytes, tf: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.cumsum(chunks.unpack(term, n, np.int32), dtype=np.int32), chunks.unpack(tf, n, np.uint32)
-
-
-def unit(idf_: np.ndarray, at: np.ndarray, term: np.ndarray, tf: np.ndarray) -> np.ndarray:
+def unit(idf: np.ndarray, at: np.ndarray, term: np.ndarray, tf: np.ndarray) -> np.ndarray:
     """Weights of unit length for the vectors term[at[i]:at[i + 1]]."""
-    weight = (1 + np.log(tf.astype(np.float32))) * idf_.astype(np.float32)[term]
-    owner = np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at))
-    return weight / np.sqrt(np.bincount(owner, weights=weight.astype(float) ** 2, minlength=len(at) - 1)).astype(np.float32)[owner]
+    weight = tf * idf[term]
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    length = np.sqrt(np.bincount(owner, weights=weight**2, minlength=len(at) - 1))
+    return weight / np.maximum(length, 1e-300)[owner]
+
+
+def similar_order(dense: np.ndarray, rows: np.ndarray, size: int) -> list[np.ndarray]:
+    """``rows`` in blocks of at most ``size``, cut again and again along their leading direction."""
+    if len(rows) <= size:
+        return [rows] if len(rows) else []
+    x = dense[rows] - dense[rows].mean(axis=0)
+    place = np.where(np.arange(len(rows)) % 2, 1.0, -1.0)
+    for _ in range(8):
+        axis = x.T @ place
+        place = x @ (axis / (np.linalg.norm(axis) + 1e-12))
+    rows = rows[np.argsort(place, kind="stable")]
+    half = min(len(rows) - 1, max(size, -(-len(rows) // (2 * size)) * size))
+    return similar_order(dense, rows[:half], size) + similar_order(dense, rows[half:], size)
 
 
-@dataclass
 class Index:
-    """The vectors of the examples that have any term, by example and inverted."""
-
-    ids: np.ndarray
-    toxic: np.ndarray
-    at: np.ndarray  # first cell of each example
-    term: np.ndarray
-    weight: np.ndarray
-    terms: int
-    base: float  # toxic rate of all examples
-    blank: float  # toxic rate of the examples without any term
-
-    @classmethod
-    def build(cls, rows: list, terms_: int) -> Index:
-        lists = [(np.asarray(r.terms, np.int32), np.asarray(r.weights, np.float32 if isinstance(r.weights, np.ndarray) else float)) for r in rows]
-        toxic = np.array([r.toxic for r in rows], float)
-        some = np.array([len(t) > 0 for t, _ in lists], bool)
-        base = float(toxic.mean()) if len(rows) else 0.0
-        none = toxic[~some]
-        lists = [x for x, ok in zip(lists, some) if ok]
-        term = np.concatenate([t for t, _ in lists]) if lists else np.zeros(0, np.int32)
-        weight = np.concatenate([x for _, x in lists]) if lists else np.zeros(0, np.float32)
-        return cls(np.array([r.id for r in rows], np.int64)[some], toxic[some], np.cumsum([0, *(len(t) for t, _ in lists)]), term, weight,
-                   terms_, base, float((none.sum() + base) / (len(none) + 1)))
-
-    def invert(self) -> None:
-        """Dense columns of the most frequent terms and postings of the others; each task process makes them once."""
-        if hasattr(self, "posting"):
-            return
-        n = len(self.ids)
-        held = np.bincount(self.term, minlength=self.terms)
-        top = np.argsort(-held, kind="stable")[:DENSE]
-        self.column = np.full(self.terms, -1, np.int32)
+    """The block-max index. ``vectors``: (terms ascending, weights) of each example."""
+
+    def __init__(self, ids: np.ndarray, toxic: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK, dense: int = DENSE) -> None:
+        n = len(ids)
+        term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)]).astype(np.int64)
+        weight = np.concatenate([np.zeros(0), *(x for _, x in vectors)])
+        owner = np.repeat(np.arange(n), [len(t) for t, _ in vectors])
+        held = np.bincount(term, minlength=terms)
+        top = np.argsort(-held, kind="stable")[: min(dense, terms)]
+        self.column = np.full(terms, -1, np.int32)
         self.column[top] = np.arange(len(top))
-        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.at))
-        col = self.column[self.term]
-        dense = col >= 0
-        self.dense = np.zeros((len(top), n), np.float32)
-        self.dense[col[dense], owner[dense]] = self.weight[dense]
-        by = np.flatnonzero(~dense)
-        by = by[np.argsort(self.term[by], kind="stable")]
-        self.posting, self.value = owner[by], self.weight[by].astype(np.float32)
-        self.cut = np.concatenate(([0], np.cumsum(np.where(self.column >= 0, 0, held))))
-        self.groups = [np.flatnonzero(self.toxic == 1), np.flatnonzero(self.toxic != 1)]
-        self.scratch, self.ratio = np.zeros(self.terms), np.zeros(self.terms)
-
-    def products(self, at: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Single precision products of some vectors with all examples."""
-        self.invert()
-        m, n = len(at) - 1, len(self.ids)
-        owner, col = np.repeat(np.arange(m), np.diff(at)), self.column[term]
-        q = np.zeros((m, len(self.dense)), np.float32)
+        matrix = np.zeros((n, len(top)))
+        col = self.column[term]
+        matrix[owner[col >= 0], col[col >= 0]] = weight[col >= 0]
+        blocks = [b for label in (1, 0) for b in similar_order(matrix, np.flatnonzero(toxic == label), block)]
+        order = np.concatenate([np.zeros(0, np.int64), *blocks]).astype(np.int64)
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        self.ids, self.toxic, self.matrix = ids[order], toxic[order], matrix[order]
+        self.begin = np.cumsum([0, *map(len, blocks)])
+        self.label = np.array([toxic[b[0]] for b in blocks], np.int64)
+        of = np.repeat(np.arange(len(blocks)), np.diff(self.begin))
+        rare = col < 0
+        term, example, weight = term[rare], place[owner[rare]], weight[rare]
+        by = np.lexsort((example, term))
+        term, self.example, self.weight = term[by], example[by].astype(np.int32), weight[by].astype(np.float32).astype(float)
+        self.weight32 = None
+        entry = np.ones(len(term), bool)
+        entry[1:] = (term[1:] != term[:-1]) | (of[example[by]][1:] != of[example[by]][:-1])
+        self.first = np.append(np.flatnonzero(entry), len(term)).astype(np.int32)  # postings of each entry
+        self.block = of[example[by][entry]].astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, self.first[:-1]) if len(term) else np.zeros(0, np.float32)
+        self.cut = np.searchsorted(term[entry], np.arange(terms + 1)).astype(np.int32)
+        self.opened = self.seen = 0  # blocks, over all searches
+
+    def common(self, at: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Products of the texts at[i]:at[i + 1] with all examples over the frequent terms."""
+        col, owner = self.column[term], np.repeat(np.arange(len(at) - 1), np.diff(at))
+        q = np.zeros((len(at) - 1, self.matrix.shape[1]))
         q[owner[col >= 0], col[col >= 0]] = weight[col >= 0]
-        out = q @ self.dense
-        for d in range(m):
-            t, x = term[at[d] : at[d + 1]], weight[at[d] : at[d + 1]]
-            lo, size = self.cut[t], self.cut[t + 1] - self.cut[t]
-            if size.sum():
-                where = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-                out[d] += np.bincount(self.posting[where], weights=self.value[where] * np.repeat(x, size), minlength=n)
+        return q @ self.matrix.T
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, common: np.ndarray | None = None, but: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each label (1, 0): the places and products of its k examples with the largest positive product, of equal
+        ones those with the smallest ids; without the example at place ``but``. ``common``: the text's row of ``common``."""
+        score = self.common(np.array([0, len(term)]), term, weight)[0] if common is None else common.copy()
+        n, blocks = len(self.ids), len(self.label)
+        rare = self.column[term] < 0
+        term, weight = term[rare], weight[rare]
+        lo = self.cut[term]
+        size = self.cut[term + 1] - lo
+        entry = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+        x, block = np.repeat(weight, size), self.block[entry]
+        # a block's bound: the best product over the frequent terms, and the maxima of the others
+        bound = np.maximum.reduceat(score, self.begin[:-1]) + np.bincount(block, weights=self.most[entry] * x, minlength=blocks)
+        done = np.zeros(blocks, bool)
+        few = -(-k // BLOCK) + 1
+        toxic = int((self.label == 1).sum())
+        for last in (False, True):
+            now = np.zeros(blocks, bool)
+            for label, lo_, hi_ in ((1, 0, toxic), (0, toxic, blocks)):
+                if last:
+                    now[lo_:hi_] = ~done[lo_:hi_] & (bound[lo_:hi_] >= max(self._bar(score, done, label, k) - ROUNDING, 0.0))
+                else:
+                    now[lo_ + np.argsort(-bound[lo_:hi_], kind="stable")[:few]] = True
+            now &= bound > 0
+            use = np.flatnonzero(now[block])
+            at, count = self.first[entry[use]], self.first[entry[use] + 1] - self.first[entry[use]]
+            posting = np.repeat(at - np.cumsum(count) + count, count) + np.arange(count.sum())
+            score += np.bincount(self.example[posting], weights=self.weight[posting] * np.repeat(x[use], count), minlength=n)
+            done |= now
+            if but is not None:
+                score[but] = 0.0
+        self.opened, self.seen = self.opened + int(done.sum()), self.seen + blocks
+        score[~np.repeat(done, np.diff(self.begin))] = 0.0
+        out = []
+        for label in (1, 0):
+            bar = self._bar(score, done, label, k)
+            at = np.flatnonzero((score > 0) & (score >= bar - ROUNDING) & (self.toxic == label))
+            product = np.round(score[at], 12)
+            by = np.lexsort((self.ids[at], -product))[:k]
+            out.append((at[by], product[by]))
         return out
 
-    def exact(self, rough: np.ndarray, among: np.ndarray, k: int, length: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The k of ``among`` with the largest positive product with the vector in ``scratch``, whose length is given:
-        (examples, products, products with each term times its ``ratio``). Of equal products the earlier examples count."""
-        x, margin = rough[among], MARGIN * length
-        if len(x) > k:
-            among = among[x >= np.partition(x, len(x) - k)[len(x) - k] - 2 * margin]
-        among = among[rough[among] > 0]
-        if not len(among):
-            return among, np.zeros(0), np.zeros(0)
-        cells = [slice(int(i), int(j)) for i, j in zip(self.at[among], self.at[among + 1])]
-        first = np.concatenate(([0], np.cumsum([c.stop - c.start for c in cells])[:-1]))
-        term, weight = np.concatenate([self.term[c] for c in cells]), np.concatenate([self.weight[c] for c in cells])
-        held = np.flatnonzero(self.scratch.take(term))
-        at, term, weight = np.searchsorted(held, first), term[held], weight[held].astype(float)
-        owner = np.repeat(np.arange(len(cells)), np.diff(np.append(at, len(held))))
-        x = self.scratch.take(term) * weight
-        product = np.bincount(owner, weights=x, minlength=len(cells))
-        lean = np.bincount(owner, weights=x * self.ratio.take(term), minlength=len(cells))
-        by = np.lexsort((among, -product))[:k]
-        return among[by], product[by], lean[by]
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the largest positive cosine: (examples, cosines)."""
-        rough = self.products(np.array([0, len(term)]), term, weight)[0]
-        self.scratch[term] = weight
-        best, cosine, _ = self.exact(rough, np.arange(len(self.ids)), k)
-        self.scratch[term] = 0
-        return best, cosine
-
-
-EVIDENCE = T.ArrayType(T.StructType([T.StructField("id", T.LongType()), T.StructField("cosine", T.DoubleType())]))
-_EVIDENCE = pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64())]))
-
-
-def likelihood_ratio(pos: np.ndarray, neg: np.ndarray, base: float) -> np.ndarray:
-    """Half the G statistic of the terms that are more frequent in toxic examples; 0 for the others."""
-    n = pos + neg
-    part = lambda x, share: np.where(x > 0, x * np.log(np.maximum(x, 1) / np.maximum(n * share, 1e-300)), 0.0)
-    return np.where(pos > base * n, part(pos, base) + part(neg, 1 - base), 0.0)
+    def _bar(self, score: np.ndarray, done: np.ndarray, label: int, k: int) -> float:
+        """The k-th best product of a label in the opened blocks, or 0."""
+        cut = int(self.begin[int((self.label == 1).sum())])
+        open_ = np.repeat(done, np.diff(self.begin))
+        part = np.where(open_, score, 0.0)
+        part = part[:cut] if label else part[cut:]
+        return float(np.partition(part, len(part) - k)[len(part) - k]) if len(part) >= k else 0.0
 
 
 @dataclass
 class Model:
-    vocabulary: Vocabulary
+    names: np.ndarray  # sorted term hashes
+    idf: np.ndarray
     index: Index
-    pos: np.ndarray  # toxic examples with each term
-    neg: np.ndarray
-    total: int  # documents counted
-    frequencies: DataFrame | None = None  # (term, df) of all documents; stays on the driver
-    curve: np.ndarray | None = None  # of the logistic: two weights and a constant
-
-    tf: np.ndarray | None = None  # frequency of each cell of the index; its weights follow from it
+    base: float  # toxic rate of all examples
+    blank: float  # toxic rate of the examples without any term
+    neighbours: int
+    curve: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None  # centre, spread, weights of the votes
     sent: Broadcast | None = None
 
     def __getstate__(self) -> dict:
-        i = self.index
-        cells = (len(i.term), *pack_cells(i.term, self.tf))
-        return self.__dict__ | {"frequencies": None, "sent": None, "tf": cells, "index": replace(i, term=None, weight=None)}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        i = self.index
-        i.term, tf = unpack_cells(*self.tf)
-        i.weight, self.tf = unit(self.vocabulary.idf, i.at, i.term, tf), None
-
-    def votes(self, at: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, own: list | None = None) -> Iterator[tuple]:
-        """Per text: examples found, their products, and the sums of the votes of the toxic and of the other ones.
-        ``own`` has (id, label) of texts that are examples, which do not meet themselves."""
-        index = self.index
-        index.invert()
-        for lo in range(0, len(at) - 1, BATCH):
-            hi = min(lo + BATCH, len(at) - 1)
-            part = slice(at[lo], at[hi])
-            rough = index.products(at[lo : hi + 1] - at[lo], term[part], weight[part])
-            for d in range(lo, hi):
-                t, x = term[at[d] : at[d + 1]], weight[at[d] : at[d + 1]]
-                pos, neg, score = self.pos[t], self.neg[t], rough[d - lo]
-                if own:
-                    pos, neg = pos - own[d][1], neg - (1 - own[d][1])
-                    score[index.ids == own[d][0]] = 0
-                index.scratch[t], index.ratio[t] = x, likelihood_ratio(pos, neg, index.base)
-                found = [index.exact(score, g, k, float(np.sqrt((x**2).sum()))) for g in index.groups]
-                index.scratch[t] = 0
-                yield np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), found[0][2].sum(), found[1][2].sum()
-
-
-def _learn(sent, k: int):
+        return self.__dict__ | {"sent": None}
+
+
+def votes(found: list[tuple[np.ndarray, np.ndarray]], k: int) -> np.ndarray:
+    """Logarithms of the mean cosines of the nearest 1, 2, 3, ... examples of each label (absent ones count as 0)."""
+    sums = [np.concatenate(([0.0], np.cumsum(p))) for _, p in found]
+    return np.array([np.log(s[min(m, len(s) - 1)] / m + 1e-3) for m in NEAREST if m <= k for s in sums])
+
+
+def _learn(sent: Broadcast):
     """The votes on each example by the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
+        k = model.neighbours
+        place = {int(i): p for p, i in enumerate(model.index.ids.tolist())}
         for batch in batches:
-            b = batch.to_pydict()
-            lists = [unpack_cells(*x) for x in zip(b["n"], b["terms"], b["tf"])]
-            at = np.cumsum([0, *(len(t) for t, _ in lists)])
-            term = np.concatenate([t for t, _ in lists])
-            weight = unit(model.vocabulary.idf, at, term, np.concatenate([x for _, x in lists])).astype(float)
-            out = [(a, c) for _, _, a, c in model.votes(at, term, weight, k, list(zip(b["id"], b["toxic"])))]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([a for a, _ in out], pa.float64()), pa.array([c for _, c in out], pa.float64())],
-                                             names=["toxic", "a", "c"])
+            out = []
+            for r in batch.to_pylist():
+                term = np.cumsum(chunks.unpack(r["terms"], r["n"], np.int32), dtype=np.int64)
+                weight = unit(model.idf, np.array([0, r["n"]]), term, chunks.unpack(r["tf"], r["n"], np.uint32).astype(float))
+                out.append(votes(model.index.nearest(term, weight, k, but=place[r["nth"]]), k).tolist())
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(out, pa.list_(pa.float64()))], names=["toxic", "votes"])
 
     return run
 
 
-def fit(votes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Logistic curve over log1p of the two votes, with a unit ridge on the weights."""
-    x = np.column_stack([np.log1p(votes), np.ones(len(votes))])
-    ridge, out = np.diag([1.0, 1.0, 1e-6]), np.zeros(3)
+def fit(x: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logistic curve over standardised votes, with a small ridge on the weights."""
+    centre, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    x = np.column_stack([(x - centre) / spread, np.ones(len(x))])
+    ridge, out = np.diag([1e-2] * (x.shape[1] - 1) + [1e-6]), np.zeros(x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ out, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (toxic - p) - ridge @ out)
         out = out + step / max(1.0, float(np.abs(step).max()))
-    return out
-
+    return centre, spread, out
 
-def _arrow(df: DataFrame) -> dict:
-    return df.toArrow().to_pydict()
 
-
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
-          max_examples: int = MAX_EXAMPLES, neighbours: int = NEIGHBOURS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", max_examples: int = MAX_EXAMPLES,
+          max_bytes: int = MAX_BYTES, neighbours: int = NEIGHBOURS) -> Model:
     """Fit on the documents with a label (any label row of an id that says 1 makes it toxic; null ids, labels and texts
-    are left out)."""
+    are left out; rows that share an id are examples each). About ``max_examples`` texts, of about ``max_bytes`` together,
+    are drawn by id hash; what is sent to tasks and to the driver grows with them alone."""
     spark = docs.sparkSession
     marked = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("toxic"))
-    share = min(1.0, max_examples / max(marked.count(), 1))
-    drawn = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))  # about max_examples rows
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null")
-    pairs = chunks.store(texts.join(F.broadcast(drawn), "id").select("id", "text", F.col("toxic").cast("int").alias("toxic")), "toxic-examples")
-    every = texts.select("text", F.lit(0).alias("toxic")).mapInArrow(_frequencies, "term long, pos long, neg long")
-    frequencies = chunks.store(every.groupBy("term").agg(F.sum("neg").alias("df")), "toxic-terms")
-    total = texts.count()
-    seen = pairs.select("text", "toxic").mapInArrow(_frequencies, "term long, pos long, neg long")
-    seen = seen.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    found = seen.join(frequencies, "term").toArrow()  # the terms of max_examples texts
-    term, df, pos, neg = (found.column(c).to_numpy() for c in ("term", "df", "pos", "neg"))
-    names = term.view(np.uint64)
-    by = np.argsort(names)
-    vocabulary = Vocabulary(names[by], idf(total, df[by]))
-    sent = spark.sparkContext.broadcast(vocabulary)
-    vectors = chunks.store(pairs.mapInArrow(_vectors(sent), "id long, toxic int, n int, terms binary, tf binary"), "toxic-vectors")
-    rows = [Example(i, y, *unpack_cells(n, t, x)) for i, y, n, t, x in zip(*_arrow(vectors).values())]  # max_examples rows
-    rows.sort(key=lambda r: (r.id, r.terms.tobytes()))
-    index = Index.build(rows, len(names))
-    tf = np.concatenate([np.zeros(0, np.uint32), *(r.weights for r in rows)]).astype(np.uint32)
-    index.weight = unit(vocabulary.idf, index.at, index.term, tf)
-    model = Model(vocabulary, index, pos[by], neg[by], total, frequencies, tf=tf)
+    n, size = texts.join(marked, "id").agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    share = min(1.0, max_examples / max(n, 1), max_bytes / max(size or 0, 1))
+    drawn = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    pairs = chunks.store(texts.join(drawn, "id").select("id", "text", F.col("toxic").cast("int").alias("toxic")), "toxic-examples")
+    found = pairs.select("text").mapInArrow(_terms, "term long").distinct().toArrow()  # the terms of the examples
+    names = np.sort(found.column("term").to_numpy().view(U64))
+    known = spark.sparkContext.broadcast(names)
+    counted = texts.select("text").mapInArrow(_frequencies(known), "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    term, df = counted.column("term").to_numpy(), counted.column("df").to_numpy()
+    total, held = int(df[term < 0].sum()), np.zeros(len(names))
+    held[term[term >= 0]] = df[term >= 0]
+    idf = (np.log((total + 1) / (held + 1)) + 1e-9) ** IDF_POWER
+    rows = pairs.mapInArrow(_vectors(known), "id long, toxic int, n int, terms binary, tf binary").toArrow().to_pylist()
+    rows.sort(key=lambda r: (r["id"], r["terms"], r["tf"]))
+    toxic = np.array([r["toxic"] for r in rows], np.int64)
+    some = np.array([r["n"] > 0 for r in rows], bool)
+    base, none = float(toxic.mean()) if len(rows) else 0.0, toxic[~some]
+    rows = [r for r in rows if r["n"]]
+    vectors = []
+    for r in rows:
+        t = np.cumsum(chunks.unpack(r["terms"], r["n"], np.int32), dtype=np.int64)
+        vectors.append((t, unit(idf, np.array([0, len(t)]), t, chunks.unpack(r["tf"], r["n"], np.uint32).astype(float))))
+    # places are named by the order of the rows while the curve is fitted: ids may repeat
+    index = Index(np.arange(len(rows)), toxic[some], vectors, len(names))
+    model = Model(names, idf, index, base, float((none.sum() + base) / (len(none) + 1)), neighbours)
+    if 0 < base < 1 and rows:
+        sent = spark.sparkContext.broadcast(model)
+        parts = 2 * spark.sparkContext.defaultParallelism
+        asked = spark.createDataFrame([(i, r["toxic"], r["n"], r["terms"], r["tf"]) for i, r in enumerate(rows)], "nth int, toxic int, n int, terms binary, tf binary")
+        learnt = asked.repartition(parts, "nth").mapInArrow(_learn(sent), "toxic int, votes array<double>").toArrow()
+        model.curve = fit(np.array(learnt.column("votes").to_pylist()), learnt.column("toxic").to_numpy())
+    index.ids = np.array([r["id"] for r in rows], np.int64)[index.ids] if rows else np.zeros(0, np.int64)
     model.sent = spark.sparkContext.broadcast(model)
-    if 0 < index.base < 1 and len(index.ids):
-        learnt = vectors.where("n > 0").repartition(2 * spark.sparkContext.defaultParallelism, F.xxhash64("id", "terms"))
-        votes = learnt.mapInArrow(_learn(model.sent, neighbours), "toxic int, a double, c double").toArrow()
-        a, c, y = (votes.column(x).to_numpy() for x in ("a", "c", "toxic"))
-        model.curve = fit(np.column_stack([a, c]) / neighbours, y)
     return model
 
 
-@dataclass
-class Example:
-    id: int
-    toxic: int
-    terms: np.ndarray
-    weights: np.ndarray  # here the frequencies in the text
-
-
-def idf(total: int, df: np.ndarray) -> np.ndarray:
-    return np.log((total + 1) / (df.astype(float) + 1)) + 1e-9
+EVIDENCE = T.ArrayType(T.StructType([T.StructField("id", T.LongType()), T.StructField("cosine", T.DoubleType())]))
+_EVIDENCE = pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64())]))
 
 
-def _search(sent, keep: list[str], k: int):
+def _search(sent: Broadcast, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
-        index = model.index
+        k = model.neighbours
         for batch in batches:
-            for lo, hi, w in words.slices(batch.column("text_"), words.ALNUM):
-                part, n = batch.slice(lo, hi - lo), hi - lo
-                doc, h, term, tf = model.vocabulary.counts(w)
-                x, known = 1 + np.log(tf), term >= 0
-                at = np.searchsorted(doc[known], np.arange(n + 1))
-                weight = x[known] * model.vocabulary.idf[term[known]]
-                norm2 = np.bincount(doc[known], weights=weight**2, minlength=n)
-                out = [(np.zeros(0, np.int64), np.zeros(0), 0.0, 0.0)] * n
-                if len(index.ids):
-                    out = list(model.votes(at, term[known], weight, k))
-                other = np.searchsorted(doc[~known], np.arange(n + 1)).astype(np.int32)
-                if not len(index.ids):
-                    other[:] = 0
-                evidence = [[{"id": i, "cosine": c} for i, c in zip(index.ids[b].tolist(), p.tolist())] for b, p, _, _ in out]
-                rest = pa.StructArray.from_arrays([pa.array(h[~known].view(np.int64)), pa.array(x[~known] ** 2)], names=["term", "x"])
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(evidence, _EVIDENCE), pa.array([a for _, _, a, _ in out], pa.float64()),
-                                                  pa.array([c for _, _, _, c in out], pa.float64()), pa.array(norm2, pa.float64()), pa.ListArray.from_arrays(pa.array(other), rest)],
-                                                 names=[*keep, "evidence", "a_", "c_", "norm2_", "rest_"])
+            for lo, hi, w in words.slices(batch.column(len(keep)), words.ALNUM, SLICE_BYTES):
+                text, term, tf = cells(w, model.names)
+                at = np.searchsorted(text, np.arange(hi - lo + 1))
+                weight = unit(model.idf, at, term, tf)
+                evidence, score, common = [], np.full(hi - lo, model.blank), None
+                for d, (i, j) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+                    if d % BATCH == 0 and len(model.index.ids):
+                        group = at[d : d + BATCH + 1]
+                        common = model.index.common(group - group[0], term[group[0] : group[-1]], weight[group[0] : group[-1]])
+                    found = model.index.nearest(term[i:j], weight[i:j], k, common[d % BATCH]) if j > i and len(model.index.ids) else []
+                    evidence.append([{"id": a, "cosine": c} for p, x in found for a, c in zip(model.index.ids[p].tolist(), np.minimum(x, 1.0).tolist())])
+                    if evidence[-1]:
+                        score[d] = model.base
+                        if model.curve is not None:
+                            centre, spread, weights = model.curve
+                            x = float(np.append((votes(found, k) - centre) / spread, 1.0) @ weights)
+                            score[d] = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32), pa.int32()),
+                                                  pa.array(evidence, _EVIDENCE)], names=[*keep, "score", "predicted", "evidence"])
 
     return run
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, neighbours: int = NEIGHBOURS) -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (default: all) with score (0 to 1), predicted (1 from 0.5) and evidence (nearest examples of
-    each label).
+    each label, with their cosines).
 
     A null or empty text has no terms. Input columns named like the new ones are replaced; each repeated row is
     scored. Without examples every score is 0.
     """
-    new = ["score", "predicted", "evidence"]
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    sent = model.sent
-    rows = docs.select(*keep, F.col(text).alias("text_"))
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("evidence", EVIDENCE), *(T.StructField(c, T.DoubleType()) for c in ("a_", "c_", "norm2_"))])
-    schema = schema.add("rest_", T.ArrayType(T.StructType([T.StructField("term", T.LongType()), T.StructField("x", T.DoubleType())])))
-    found = rows.mapInArrow(_search(sent, keep, neighbours), schema).withColumn("row_", F.monotonically_increasing_id())
-    found = chunks.store(found, "toxic-found")
-    rest = found.select("row_", F.inline("rest_")).join(model.frequencies, "term", "left")
-    weight = F.log((model.total + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1e-9
-    rest = rest.groupBy("row_").agg(F.sum(F.col("x") * weight * weight).alias("more_"))
-    out = found.drop("rest_").join(rest, "row_", "left")
-    length = F.sqrt(F.col("norm2_") + F.coalesce("more_", F.lit(0.0)))
-    vote = lambda c: F.log1p(F.col(c) / length / neighbours)
-    index = model.index
-    if model.curve is None:
-        value = F.lit(index.base)
-    else:
-        u, v, w = (F.lit(float(x)) for x in model.curve)
-        value = 1 / (1 + F.exp(-(u * vote("a_") + v * vote("c_") + w)))
-    out = out.withColumn("score", F.when(F.size("evidence") > 0, value).otherwise(F.lit(index.blank)))
-    evidence = F.transform("evidence", lambda e: F.struct(e["id"].alias("id"), F.least(e["cosine"] / length, F.lit(1.0)).alias("cosine")))
-    return out.select(*keep, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), evidence.alias("evidence"))
+    new = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("evidence", EVIDENCE)]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in {f.name for f in new}]
+    rows = docs.select(*keep, F.col(text).alias("text" + "_" * max(map(len, keep), default=0)))
+    return rows.mapInArrow(_search(model.sent, keep), T.StructType([docs.schema[c] for c in keep] + new))
