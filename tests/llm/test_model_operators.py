@@ -249,30 +249,57 @@ def test_components(spark):
 
 
 # ---- packing ---------------------------------------------------------------------------------------------
-def plain_best_fit(lengths, capacities, overhead):
+def plain_best_fit(lengths, capacities, overhead, span):
     """The rule by its definition, over plain lists of bins."""
-    bins, where, left = [], [None] * len(lengths), sum(lengths)
-    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
-        n = lengths[i]
+    bins, left = [], sorted(lengths, reverse=True)
+
+    def per_token(c, n):
+        held = n
+        for x in left:  # the longest first
+            if held + x <= c:
+                held += x
+        end = min(d for d in capacities if d >= held)
+        return (end + overhead + end * end / span) / max(held, 1), c
+
+    for n in sorted(lengths, reverse=True):
+        left.remove(n)
         fits = [b for b in bins if b["room"] >= n]
         if fits:
             b = min(fits, key=lambda b: b["room"])
         else:
-            c = min((c for c in sorted(capacities) if c >= n), key=lambda c: (c + overhead) / max(min(c, left), 1))
-            b = {"room": c, "used": 0}
+            c = min((c for c in capacities if c >= n), key=lambda c: per_token(c, n))
+            b = {"opened": c, "room": c, "used": 0}
             bins.append(b)
-        b["room"], b["used"], left = b["room"] - n, b["used"] + n, left - n
-        where[i] = b
-    return sorted(min(c for c in capacities if c >= b["used"]) for b in bins), sorted(b["used"] for b in bins)
+        b["room"], b["used"] = b["room"] - n, b["used"] + n
+    return sorted((b["opened"], min(c for c in capacities if c >= b["used"]), b["used"]) for b in bins)
 
 
 @pytest.mark.parametrize("seed", range(20))
 def test_best_fit_matches_the_rule(seed):
     rng = np.random.default_rng(seed)
     lengths = np.minimum(rng.lognormal(3, 1, rng.integers(1, 200)).astype(int), 256)
-    bins, sizes = bin_packing.best_fit(lengths, (32, 64, 256), 4)
+    bins, opened, sizes = bin_packing.best_fit(lengths, (32, 64, 256), 4, 900)
     used = np.bincount(bins, weights=lengths, minlength=len(sizes)).astype(int)
-    assert (sorted(sizes.tolist()), sorted(used.tolist())) == plain_best_fit(lengths.tolist(), (32, 64, 256), 4)
+    assert sorted(zip(opened.tolist(), sizes.tolist(), used.tolist())) == plain_best_fit(lengths.tolist(), (32, 64, 256), 4, 900)
+
+
+def test_lengths_chosen_jointly_cost_less_than_the_longest_alone():
+    rng = np.random.default_rng(4)
+    lengths = np.minimum(np.concatenate([rng.lognormal(5.5, 1.2, 6000), rng.integers(1000, 1024, 300), rng.integers(3000, 4096, 80)]).astype(int) + 1, 4096)
+    total = {}
+    for capacities in (bin_packing.CAPACITIES, (4096,)):  # the one length that cuts no document
+        _, opened, sizes = bin_packing.best_fit(lengths, capacities)
+        total[capacities] = sum(bin_packing.cost(int(c), bin_packing.OVERHEAD, bin_packing.SPAN) for c in sizes)
+    _, opened, _ = bin_packing.best_fit(lengths, bin_packing.CAPACITIES)
+    assert set(opened.tolist()) == set(bin_packing.CAPACITIES)  # every length is opened
+    assert total[bin_packing.CAPACITIES] < 0.97 * total[4096,]
+
+
+def test_copies_of_a_row_are_dealt_over_shards(spark):
+    rows = [(1, "a b c")] * 5000 + [(k, "x " * (k % 50)) for k in range(3000)]
+    out = bin_packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), capacities=(64, 128), shard_docs=1000)
+    assert out.count() == 8000 and out.where("doc_id = 1").select("shard").distinct().count() >= 3
+    assert out.agg(F.sum("n_tokens")).first()[0] == sum(len(t.split()) + 1 for _, t in rows)
 
 
 def test_pack_keeps_every_token(spark):
