@@ -56,23 +56,32 @@ def word_terms(w: words.Words) -> tuple[np.ndarray, np.ndarray]:
     return inverse, out
 
 
-def cells(w: words.Words, names: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, term, frequency in the text), by text and term: terms as indices into the sorted ``names``, others left
-    out; without names as hashes."""
+def _keys(w: words.Words, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text * len(names) + term, occurrences) of every word form of every text, for each of its terms that ``names``
+    (sorted) holds; a text may have a key several times."""
     form, terms = word_terms(w)
-    if names is None:
-        names = np.unique(terms)
-    forms, texts = len(terms), len(w.first) - 1
-    at = np.minimum(np.searchsorted(names, terms), max(len(names) - 1, 0))
-    index = np.where((names[at] == terms) & (terms != 0), at, -1) if len(names) and forms else np.full(terms.shape, -1)
-    held, count = np.unique(w.owner() * max(forms, 1) + form, return_counts=True)  # (text, form)
-    text, of = held // max(forms, 1), index[held % max(forms, 1)] if forms else np.zeros((0, terms.shape[1]), int)
+    forms, size = max(len(terms), 1), max(len(names), 1)
+    if not len(names) or not len(terms):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(names, terms), len(names) - 1)
+    index = np.where((names[at] == terms) & (terms != 0), at, -1)
+    token = w.owner() * forms + form
+    token = np.sort(token[(index >= 0).any(axis=1)[form]])
+    first = np.flatnonzero(np.diff(token, prepend=-1))
+    count, token = np.diff(np.append(first, len(token))), token[first]
+    of = index[token % forms]
     some = of >= 0
-    key = (text[:, None] * max(len(names), 1) + of)[some]
-    key, where = np.unique(key, return_inverse=True)
-    tf = np.bincount(where, weights=np.repeat(count, some.sum(axis=1)), minlength=len(key))
-    assert len(tf) == 0 or texts > 0
-    return key // max(len(names), 1), key % max(len(names), 1), tf
+    return ((token // forms * size)[:, None] + of)[some], np.broadcast_to(count[:, None], of.shape)[some]
+
+
+def cells(w: words.Words, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, frequency in the text), by text and term; terms as indices into the sorted ``names``."""
+    key, count = _keys(w, names)
+    by = np.argsort(key)
+    key, count = key[by], count[by]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    key = key[first]
+    return key // max(len(names), 1), key % max(len(names), 1), np.add.reduceat(count, first) if len(first) else count
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +101,8 @@ def _frequencies(sent: Broadcast):
         for batch in batches:
             n += batch.num_rows
             for _, _, w in words.slices(batch.column(0), words.ALNUM, SLICE_BYTES):
-                df += np.bincount(cells(w, names)[1], minlength=len(names))
+                key = np.sort(_keys(w, names)[0])
+                df += np.bincount(key[np.diff(key, prepend=-1) > 0] % max(len(names), 1), minlength=len(names))
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(df[at], n), pa.int64())], names=["term", "df"])
 
@@ -291,10 +301,10 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     spark = docs.sparkSession
     marked = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("toxic"))
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null")
-    n, size = texts.join(marked, "id").agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    n, size = texts.select("id", F.octet_length("text").alias("size")).join(marked, "id").agg(F.count("*"), F.sum("size")).first()
     share = min(1.0, max_examples / max(n, 1), max_bytes / max(size or 0, 1))
-    drawn = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    pairs = chunks.store(texts.join(drawn, "id").select("id", "text", F.col("toxic").cast("int").alias("toxic")), "toxic-examples")
+    drawn = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))  # about max_examples rows
+    pairs = chunks.store(texts.join(F.broadcast(drawn), "id").select("id", "text", F.col("toxic").cast("int").alias("toxic")), "toxic-examples")
     found = pairs.select("text").mapInArrow(_terms, "term long").distinct().toArrow()  # the terms of the examples
     names = np.sort(found.column("term").to_numpy().view(U64))
     known = spark.sparkContext.broadcast(names)
