@@ -1,10 +1,13 @@
 """Line deduplication over levelled sorted runs of line hashes (operator 7, DataFrame functions only).
 
-A run is a folder of (line hash, number of documents) in ascending ranges of the hash, each file sorted. A batch of
-documents is merge-anti-joined with the keys that the runs hold as settled (found in at least ``min_docs`` documents
-already), and what is left becomes a run of level 0. When a level has ``fanout`` runs they are compacted into one run of
-the next level by adding their counts. A batch therefore costs its own lines plus logarithmically many rewrites, and
-memory holds no hash set.
+A run is a table of (line hash, number of documents), bucketed and sorted by the hash; all runs of a corpus have the same
+buckets, so a batch joins them bucket by bucket without an exchange. A batch of documents is merge-joined with the
+runs; a hash that they hold in at least ``min_docs`` documents already is settled and left out (the anti-join), and what is
+left becomes a run of level 0. When a level has ``fanout`` runs they are compacted into one run of the next level by adding
+their counts. A batch therefore costs its own lines plus logarithmically many rewrites, and memory holds no hash set.
+
+``dedup_lines`` deals a corpus to ``batches`` batches, more than the fanout, so that levels are built. Its texts are read once
+for their hashes, which are counted by batch and land as one table with the runs' buckets.
 
 Line key: the line with ASCII white space stripped at both ends and A-Z lower-cased. Keys are hashed to 128 bits.
 """
@@ -20,7 +23,8 @@ from quarry.session import scratch_path
 
 WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BATCHES, FANOUT = 3, 4
+BATCHES, FANOUT = 5, 4
+BUCKET_BYTES, MAX_BUCKETS = 256 << 20, 100_000  # text whose line hashes share a bucket; Spark's limit
 
 
 def lines_of(text: Column) -> Column:
@@ -44,61 +48,69 @@ def _hashes(text: Column) -> Column:
 class LineRuns:
     """The levelled runs of one corpus. ``add`` takes batches in any order; ``frequent`` reads what is settled."""
 
-    def __init__(self, spark: SparkSession, min_docs: int, fanout: int = FANOUT) -> None:
-        self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
-        self.root, self.levels = scratch_path(spark, "line-runs"), [[]]
-
-    def _run(self, counts: DataFrame) -> str:
-        """Write counts as a sorted run and return its folder."""
-        path = f"{self.root}/{uuid.uuid4().hex}"
-        counts.repartitionByRange("a", "b").sortWithinPartitions("a", "b").write.parquet(path)
-        return path
+    def __init__(self, spark: SparkSession, min_docs: int, fanout: int = FANOUT, buckets: int = 8) -> None:
+        self.spark, self.min_docs, self.fanout, self.buckets = spark, min_docs, fanout, buckets
+        self.root, self.levels, self.compactions = scratch_path(spark, "line-runs"), [[]], 0
+
+    def land(self, rows: DataFrame, dealt: bool, order: list[str]) -> str:
+        """Write rows with columns a and b as a bucketed, sorted table and return its name; ``dealt``: they are in the
+        buckets already."""
+        name = f"line_run_{uuid.uuid4().hex}"
+        rows = rows if dealt else rows.repartition(self.buckets, "a", "b")
+        rows.write.format("parquet").bucketBy(self.buckets, "a", "b").sortBy(*order).option("path", f"{self.root}/{name}").saveAsTable(name)
+        return name
+
+    def drop(self, tables: list[str]) -> None:
+        for name in tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def _merged(self, runs: list[str]) -> DataFrame:
-        return self.spark.read.schema("a long, b long, n long").parquet(*runs).groupBy("a", "b").agg(F.sum("n").alias("n"))
-
-    def counts(self) -> DataFrame | None:
-        """Documents per hash over all runs."""
-        runs = [path for level in self.levels for path in level]
-        return self._merged(runs) if runs else None
-
-    def settled(self) -> DataFrame | None:
-        counts = self.counts()
-        return None if counts is None else counts.where(F.col("n") >= self.min_docs).select("a", "b")
-
-    def add(self, docs: DataFrame, text: str = "text") -> None:
-        """Add one batch: its line hashes that are not settled yet, with the number of its rows that hold them."""
-        new = (docs.select(F.explode(F.array_distinct(_hashes(F.col(text)))).alias("h")).where("h is not null")
-               .select("h.a", "h.b").groupBy("a", "b").agg(F.count("*").alias("n")))
-        settled = self.settled()
-        if settled is not None:
-            new = new.join(settled.hint("merge"), ["a", "b"], "left_anti")
-        self.levels[0].append(self._run(new))
+        """The counts of several runs, added. Their files are read and dealt anew: Spark 4.1.2 takes a union of bucketed
+        tables for one that is in their buckets, and adds nothing up."""
+        rows = self.spark.read.schema("a long, b long, n long").parquet(*(f"{self.root}/{r}" for r in runs)).repartition(self.buckets, "a", "b")
+        return rows.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+    def unsettled(self, new: DataFrame) -> DataFrame:
+        """The hashes (a, b, n) of ``new`` that the runs do not hold in ``min_docs`` documents."""
+        total = F.lit(0).cast("long")
+        for i, run in enumerate(r for level in self.levels for r in level):
+            new = new.join(self.spark.table(run).withColumnRenamed("n", f"n{i}").hint("merge"), ["a", "b"], "left")
+            total = total + F.coalesce(f"n{i}", F.lit(0))
+        return new.where(total < self.min_docs).select("a", "b", "n")
+
+    def add(self, new: DataFrame, dealt: bool = False) -> None:
+        """Add one batch of counted hashes (a, b, n); ``dealt``: they are in the runs' buckets already."""
+        new = new if dealt else new.repartition(self.buckets, "a", "b")
+        self.levels[0].append(self.land(self.unsettled(new), True, ["a", "b"]))
         for i, level in enumerate(self.levels):
             if len(level) >= self.fanout:
                 if i + 1 == len(self.levels):
                     self.levels.append([])
-                self.levels[i + 1].append(self._run(self._merged(level)))
-                self._drop(level)
+                self.levels[i + 1].append(self.land(self._merged(level), True, ["a", "b"]))
+                self.drop(level)
                 level.clear()
-
-    def _drop(self, runs: list[str]) -> None:
-        for run in runs:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(run)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                self.compactions += 1
 
     def frequent(self) -> DataFrame:
         """Hashes found in at least min_docs documents, written once; the runs are dropped."""
-        settled, path = self.settled(), f"{self.root}/frequent"
-        if settled is None:
+        runs, path = [r for level in self.levels for r in level], f"{self.root}/frequent"
+        if not runs:
             return self.spark.createDataFrame([], "a long, b long")
-        settled.write.parquet(path)
-        for level in self.levels:
-            self._drop(level)
+        self._merged(runs).where(F.col("n") >= self.min_docs).select("a", "b").write.parquet(path)
+        self.drop(runs)
         self.levels = [[]]
         return self.spark.read.schema("a long, b long").parquet(path)
 
 
+def count_hashes(docs: DataFrame, text: str = "text", *by: Column) -> DataFrame:
+    """Line hashes (a, b) with the number n of the rows that hold them, for each value of ``by``."""
+    rows = docs.select(*by, F.explode(F.array_distinct(_hashes(F.col(text)))).alias("h")).where("h is not null")
+    keys = [c for c in rows.columns if c != "h"]
+    return rows.select(*keys, "h.a", "h.b").groupBy(*keys, "a", "b").agg(F.count("*").alias("n"))
+
+
 def dedup_lines(docs: DataFrame, min_docs: int = 10, text: str = "text", key: str = "doc_id", batches: int = BATCHES,
                 fanout: int = FANOUT) -> DataFrame:
     """Drop every line whose key stands in at least ``min_docs`` rows; the other lines stay, joined by \\n.
@@ -109,9 +121,14 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, text: str = "text", key: st
     kept text is never null. An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    runs = LineRuns(spark, min_docs, fanout)
+    volume = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = min(MAX_BUCKETS, max(-(-volume // BUCKET_BYTES), spark.sparkContext.defaultParallelism))
+    runs = LineRuns(spark, min_docs, fanout, buckets)
+    batch = F.pmod(F.xxhash64(key), F.lit(batches)).cast("int").alias("batch")
+    hashes = runs.land(count_hashes(docs, text, batch), False, ["batch", "a", "b"])
     for b in range(batches):
-        runs.add(docs.where(F.pmod(F.xxhash64(key), F.lit(batches)) == b).select(text), text)
+        runs.add(spark.table(hashes).where(F.col("batch") == b).select("a", "b", "n"), dealt=True)
+    runs.drop([hashes])
     frequent = runs.frequent()
     src, rid = F.col(text), F.xxhash64(text)
     found = (docs.select(F.col(key).alias("id"), rid.alias("t"), F.posexplode(_hashes(src)).alias("pos", "h"))

@@ -201,11 +201,32 @@ def test_line_dedup(spark, batches, fanout):
 def test_line_runs_are_compacted(spark):
     runs = line_runs.LineRuns(spark, min_docs=2, fanout=2)
     for k in range(4):
-        runs.add(spark.createDataFrame([(f"line {k}\ncommon",)], "text string"))
+        runs.add(line_runs.count_hashes(spark.createDataFrame([(f"line {k}\ncommon",)], "text string")))
     assert [len(level) for level in runs.levels] == [0, 0, 1]
     assert {tuple(r) for r in runs.frequent().collect()} == {tuple(spark.sql("select 'common' k").select(line_runs.line_hash(F.col("k")).alias("h")).select("h.*").first())}
 
 
+def test_line_runs_are_joined_without_an_exchange(spark):
+    runs = line_runs.LineRuns(spark, min_docs=2, fanout=4, buckets=3)
+    for k in range(3):
+        runs.add(line_runs.count_hashes(spark.createDataFrame([(f"line {k}\ncommon {k % 2}",)], "text string")))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    tables = [r for level in runs.levels for r in level]
+    assert len(tables) == 3 and runs._merged(tables).groupBy("n").count().count() == 2  # 2 of one line, 1 of the others
+    joined = plan(runs.unsettled(spark.table(tables[0])))
+    assert joined.count("SortMergeJoin") == 3 and "Exchange" not in joined
+    assert runs.frequent().count() == 1
+
+
+def test_registered_line_dedup_builds_levels(spark, monkeypatch):
+    made = []
+    compacted = line_runs.LineRuns.frequent
+    monkeypatch.setattr(line_runs.LineRuns, "frequent", lambda self: made.append((self.compactions, [len(x) for x in self.levels])) or compacted(self))
+    docs = spark.createDataFrame([(k, f"line {k}\ncommon") for k in range(40)], "doc_id long, text string")
+    assert line_runs.dedup_lines(docs).where("n_dropped = 1").count() == 40
+    assert made == [(1, [1, 1])]  # one level above the batches
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, n_words string")
     some = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
