@@ -5,6 +5,8 @@ Each flow returns DataFrames; writing is left to the caller (``quarry.sources.io
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,23 +63,49 @@ def select_flow(puzzles: DataFrame, id_col: str = "PuzzleId", tags_col: str = "T
     return out
 
 
-def _with_legal_moves(df: DataFrame, fen: str) -> DataFrame:
-    """``legal_moves`` of the position: the column the caller supplies, else computed."""
+@dataclass(frozen=True)
+class Positions:
+    """Landed tables of what is known about positions, keyed by position: ``legal_moves`` (fen, legal_moves) and ``after`` (fen,
+    move, fen_after). Repeated keys are one entry. A position that a given table lacks has no legal moves or no position after
+    the move (null)."""
+
+    legal_moves: DataFrame | None = None
+    after: DataFrame | None = None
+
+
+def _with_legal_moves(df: DataFrame, fen: str, landed: Positions | None = None) -> DataFrame:
+    """``legal_moves`` of the position: the column the caller supplies, else the landed table's, else computed row by row."""
+    from quarry.operators import board
+
+    if "legal_moves" in df.columns:
+        return df
+    if landed is None or landed.legal_moves is None:
+        return board.legal_moves(df, fen, out="legal_moves")
+    known = landed.legal_moves.groupBy(F.col("fen").alias("_fen")).agg(F.any_value("legal_moves", True).alias("legal_moves"))
+    return df.join(known, df[fen] == known["_fen"], "left").drop("_fen")
+
+
+def _after_move(df: DataFrame, fen: str, move, out: str, landed: Positions | None = None) -> DataFrame:
+    """The position after a move, from the landed table if there is one, else computed row by row."""
     from quarry.operators import board
 
-    return df if "legal_moves" in df.columns else board.legal_moves(df, fen, out="legal_moves")
+    if landed is None or landed.after is None:
+        return board.apply_moves(df, fen, move, out=out)
+    known = landed.after.groupBy(F.col("fen").alias("_fen"), F.col("move").alias("_move")).agg(F.any_value("fen_after", True).alias(out))
+    moved = df.withColumn("_asked", move)
+    return moved.join(known, (moved[fen] == known["_fen"]) & (moved["_asked"] == known["_move"]), "left").drop("_fen", "_move", "_asked")
 
 
 # ---- 3.2 distillation --------------------------------------------------------------------------------------------
 def teacher_rows(selected: DataFrame, done: DataFrame | None = None, id_col: str = "PuzzleId",
-                 max_rows: int | None = None) -> DataFrame:
+                 max_rows: int | None = None, landed: Positions | None = None) -> DataFrame:
     """Pending puzzles with the position after the opponent's move, the answer and the teacher prompt.
 
     The target is the first ``max_rows`` rows of the selection in its saved order, i.e. the final shuffle
     (``shuffle_rank``, a gap-free rank, so the prefix is a filter); rows of ``done`` are then skipped."""
     from quarry.functions import chess as C
     from quarry.functions.records import teacher_prompt
-    from quarry.operators import board, joins, order
+    from quarry.operators import joins, order
 
     ranked = "shuffle_rank" in selected.columns
     order_cols = ["shuffle_rank"] if ranked else [id_col]
@@ -86,8 +114,8 @@ def teacher_rows(selected: DataFrame, done: DataFrame | None = None, id_col: str
     else:
         rows = order.first_n(selected, order_cols, max_rows, dense=ranked)
     mv = C.parse_moves("Moves")
-    rows = board.apply_moves(rows, "FEN", mv["opponent"]).withColumn("best_move", mv["answer"])
-    rows = _with_legal_moves(rows, "fen_after")
+    rows = _after_move(rows, "FEN", mv["opponent"], "fen_after", landed).withColumn("best_move", mv["answer"])
+    rows = _with_legal_moves(rows, "fen_after", landed)
     prompt = teacher_prompt("fen_after", C.board_text("fen_after"), C.piece_inventory("fen_after"),
                             C.side_to_move("fen_after"), mv["opponent"], "best_move", "Rating", "Themes",
                             "legal_moves", "Moves")
@@ -112,7 +140,7 @@ def accept_flow(rows: DataFrame, attempts: DataFrame, id_col: str = "PuzzleId",
 
 # ---- 3.3 formatting ----------------------------------------------------------------------------------------------
 def format_flow(distilled: DataFrame, test_keys: DataFrame, require_correct: bool = False,
-                rl_rows: DataFrame | None = None):
+                rl_rows: DataFrame | None = None, landed: Positions | None = None):
     """Stage 2: SFT records from the distilled rows and RL records from the RL selection.
 
     SFT: a row without a position or reasoning text is ``invalid`` (checked before overlap, N12), a row
@@ -127,7 +155,7 @@ def format_flow(distilled: DataFrame, test_keys: DataFrame, require_correct: boo
     from quarry.functions import chess as C
     from quarry.functions.records import student_prompt, to_rl, to_sft
     from quarry.functions.text import prefix_key, tags
-    from quarry.operators import board, joins
+    from quarry.operators import joins
 
     def classify_rows(df: DataFrame, fen: str, invalid) -> DataFrame:
         flagged = joins.flag_overlap(df.withColumn("key", prefix_key(fen)).withColumn("_invalid", invalid), test_keys, "key",
@@ -140,15 +168,15 @@ def format_flow(distilled: DataFrame, test_keys: DataFrame, require_correct: boo
     kept = sft_rows.filter(F.col("status") == "kept")
     if require_correct:
         kept = kept.filter(F.col("correct") == 1)
-    kept = _with_legal_moves(kept, "fen_after")
+    kept = _with_legal_moves(kept, "fen_after", landed)
     sft = to_sft(kept, student_prompt("fen_after", C.piece_inventory("fen_after"), "legal_moves"), "cot")
 
     mv = C.parse_moves("Moves")
     src = distilled if rl_rows is None else rl_rows
     src = src.select(*(c for c in ("PuzzleId", "FEN", "Moves", "Rating", "Themes", "legal_moves") if c in src.columns))
-    src = board.apply_moves(src, "FEN", mv["opponent"], out="_rl_fen").withColumn("_truth", mv["answer"])
+    src = _after_move(src, "FEN", mv["opponent"], "_rl_fen", landed).withColumn("_truth", mv["answer"])
     rl_status = classify_rows(src, "_rl_fen", F.col("_rl_fen").isNull() | F.col("_truth").isNull())
-    rl_kept = _with_legal_moves(rl_status.filter(F.col("status") == "kept"), "_rl_fen")
+    rl_kept = _with_legal_moves(rl_status.filter(F.col("status") == "kept"), "_rl_fen", landed)
     rl = to_rl(rl_kept, student_prompt("_rl_fen", C.piece_inventory("_rl_fen"), "legal_moves"), "_truth",
                {"fen": "_rl_fen", "puzzle_id": "PuzzleId", "rating": "Rating", "themes": tags("Themes")})
 
@@ -158,14 +186,14 @@ def format_flow(distilled: DataFrame, test_keys: DataFrame, require_correct: boo
     return sft, rl, counts
 
 
-def build_test_set(bench: DataFrame) -> DataFrame:
+def build_test_set(bench: DataFrame, landed: Positions | None = None) -> DataFrame:
     """Benchmark rows ``task, fen, answer, metadata`` -> test records (type = last ``_`` segment of task;
     metadata keys merged over fen/type, metadata wins)."""
     from quarry.functions import chess as C
     from quarry.functions.records import student_prompt, to_test_record
     from quarry.functions.text import last_segment
 
-    withmoves = _with_legal_moves(bench, "fen")
+    withmoves = _with_legal_moves(bench, "fen", landed)
     prompt = student_prompt("fen", C.piece_inventory("fen"), "legal_moves")
     return to_test_record(withmoves, prompt, "answer", "fen", last_segment("task"), "metadata")
 

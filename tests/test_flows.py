@@ -150,3 +150,19 @@ def test_supplied_legal_moves_are_used(spark):
     bench = spark.createDataFrame([("x_mate", POSITIONS[0][0], "e2e4", "{}", ["a1a1"])],
                                   "task string, fen string, answer string, metadata string, legal_moves array<string>")
     assert "Legal moves: a1a1" in flows.build_test_set(bench).first().prompt[0].content
+
+
+def test_landed_positions_are_joined_instead_of_computed(spark):
+    rows = [("p0", "A w", "m1 n1", 1500, "fork"), ("p1", "A w", "m2 n2", 1500, "fork"), ("p2", "B w", "m1 n3", 1400, "pin"), ("bad", None, "m1 n1", 1, "x")]
+    pz = spark.createDataFrame(rows, "PuzzleId string, FEN string, Moves string, Rating int, Themes string")
+    after = spark.createDataFrame([("A w", "m1", "C b"), ("A w", "m1", "C b"), ("A w", "m2", "D b"), ("Z w", "m1", "E b")], "fen string, move string, fen_after string")
+    legal = spark.createDataFrame([("C b", ["n1"]), ("C b", ["n1"]), ("D b", ["n2", "n4"]), ("A w", ["m1", "m2"])], "fen string, legal_moves array<string>")
+    landed = flows.Positions(legal, after)
+    got = {r.PuzzleId: r for r in flows.teacher_rows(pz, landed=landed).collect()}
+    assert len(got) == 4  # repeated keys do not multiply rows
+    assert [got[k].fen_after for k in ("p0", "p1", "p2", "bad")] == ["C b", "D b", None, None]
+    assert [got[k].legal_moves for k in ("p0", "p1", "p2", "bad")] == [["n1"], ["n2", "n4"], None, None]
+    bench = pz.select(F.lit("x_mate").alias("task"), F.col("FEN").alias("fen"), F.lit("e2e4").alias("answer"), F.lit("{}").alias("metadata"))
+    test = flows.build_test_set(bench, landed)
+    assert sum("Legal moves: m1, m2" in (r.prompt[0].content or "") or "m1 m2" in (r.prompt[0].content or "") for r in test.collect()) == 2
+    assert "Join" in test._jdf.queryExecution().executedPlan().toString()
