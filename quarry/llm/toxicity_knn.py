@@ -169,8 +169,9 @@ class Index:
         place[order] = np.arange(n)
         self.ids, self.toxic, self.matrix = ids[order], toxic[order], matrix[order]
         self.begin = np.cumsum([0, *map(len, blocks)])
-        self.label = np.array([toxic[b[0]] for b in blocks], np.int64)
-        of = np.repeat(np.arange(len(blocks)), np.diff(self.begin))
+        toxic_blocks = sum(1 for b in blocks if toxic[b[0]] == 1)
+        self.cut_block, self.cut_example = toxic_blocks, int(self.begin[toxic_blocks])  # where the other label begins
+        self.of = of = np.repeat(np.arange(len(blocks)), np.diff(self.begin))  # block of each example
         rare = col < 0
         term, example, weight = term[rare], place[owner[rare]], weight[rare]
         by = np.lexsort((example, term))
@@ -195,7 +196,7 @@ class Index:
         """For each label (1, 0): the places and products of its k examples with the largest positive product, of equal
         ones those with the smallest ids; without the example at place ``but``. ``common``: the text's row of ``common``."""
         score = self.common(np.array([0, len(term)]), term, weight)[0] if common is None else common.copy()
-        n, blocks = len(self.ids), len(self.label)
+        n, blocks = len(self.ids), len(self.begin) - 1
         rare = self.column[term] < 0
         term, weight = term[rare], weight[rare]
         lo = self.cut[term]
@@ -204,17 +205,19 @@ class Index:
         x, block = np.repeat(weight, size), self.block[entry]
         # a block's bound: the best product over the frequent terms, and the maxima of the others
         bound = np.maximum.reduceat(score, self.begin[:-1]) + np.bincount(block, weights=self.most[entry] * x, minlength=blocks)
-        done = np.zeros(blocks, bool)
+        done, bars = np.zeros(blocks, bool), None
         few = -(-k // BLOCK) + 1
-        toxic = int((self.label == 1).sum())
+        sides = (slice(0, self.cut_block), slice(self.cut_block, blocks))
         for last in (False, True):
             now = np.zeros(blocks, bool)
-            for label, lo_, hi_ in ((1, 0, toxic), (0, toxic, blocks)):
+            for i, side in enumerate(sides):
                 if last:
-                    now[lo_:hi_] = ~done[lo_:hi_] & (bound[lo_:hi_] >= max(self._bar(score, done, label, k) - ROUNDING, 0.0))
+                    now[side] = ~done[side] & (bound[side] >= bars[i] - ROUNDING)
                 else:
-                    now[lo_ + np.argsort(-bound[lo_:hi_], kind="stable")[:few]] = True
+                    now[side.start + np.argsort(-bound[side], kind="stable")[:few]] = True
             now &= bound > 0
+            if last and not now.any():
+                break
             use = np.flatnonzero(now[block])
             at, count = self.first[entry[use]], self.first[entry[use] + 1] - self.first[entry[use]]
             posting = np.repeat(at - np.cumsum(count) + count, count) + np.arange(count.sum())
@@ -222,24 +225,21 @@ class Index:
             done |= now
             if but is not None:
                 score[but] = 0.0
+            opened = np.where(done[self.of], score, 0.0)
+            bars = [self._bar(part, k) for part in (opened[: self.cut_example], opened[self.cut_example :])]
         self.opened, self.seen = self.opened + int(done.sum()), self.seen + blocks
-        score[~np.repeat(done, np.diff(self.begin))] = 0.0
         out = []
-        for label in (1, 0):
-            bar = self._bar(score, done, label, k)
-            at = np.flatnonzero((score > 0) & (score >= bar - ROUNDING) & (self.toxic == label))
-            product = np.round(score[at], 12)
+        for first, part, bar in ((0, opened[: self.cut_example], bars[0]), (self.cut_example, opened[self.cut_example :], bars[1])):
+            at = first + np.flatnonzero((part > 0) & (part >= bar - ROUNDING))
+            product = np.round(opened[at], 12)
             by = np.lexsort((self.ids[at], -product))[:k]
             out.append((at[by], product[by]))
         return out
 
-    def _bar(self, score: np.ndarray, done: np.ndarray, label: int, k: int) -> float:
-        """The k-th best product of a label in the opened blocks, or 0."""
-        cut = int(self.begin[int((self.label == 1).sum())])
-        open_ = np.repeat(done, np.diff(self.begin))
-        part = np.where(open_, score, 0.0)
-        part = part[:cut] if label else part[cut:]
-        return float(np.partition(part, len(part) - k)[len(part) - k]) if len(part) >= k else 0.0
+    @staticmethod
+    def _bar(score: np.ndarray, k: int) -> float:
+        """The k-th best product, or 0."""
+        return max(0.0, float(np.partition(score, len(score) - k)[len(score) - k])) if len(score) >= k else 0.0
 
 
 @dataclass
