@@ -30,6 +30,7 @@ from quarry.llm.words import U64
 
 GRAM, NUMER, DENOM = 5, 75, 100
 PIECE_TOKENS = 1 << 20  # n-grams in one piece of a block
+SLICE_BYTES = 1 << 20  # bytes of text shingled at once: some twenty arrays of 8 bytes for each word
 
 
 @dataclass
@@ -49,6 +50,13 @@ class Sets:
         new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
         return cls(np.searchsorted(owner[new], np.arange(len(w.first))), h[new])
 
+    @classmethod
+    def of_texts(cls, texts: pa.Array | pa.ChunkedArray, gram: int) -> Sets:
+        """Of many texts, a slice at a time: only the sets themselves are held for all."""
+        parts = [cls.of(w, gram) for _, _, w in words.slices(texts, words.FOLDED, SLICE_BYTES)]
+        sizes = np.concatenate([np.zeros(1, np.int64), *(p.sizes() for p in parts)])
+        return cls(np.cumsum(sizes), np.concatenate([np.zeros(0, U64), *(p.hashes for p in parts)]))
+
     def sizes(self) -> np.ndarray:
         return np.diff(self.at)
 
@@ -70,7 +78,7 @@ def _identify(gram: int, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            for lo, hi, w in words.slices(batch.column("text"), words.FOLDED):
+            for lo, hi, w in words.slices(batch.column("text"), words.FOLDED, SLICE_BYTES):
                 s = Sets.of(w, gram)
                 a, b = s.keys()
                 part, n = batch.slice(lo, hi - lo), s.sizes()
@@ -102,7 +110,7 @@ def _ask(gram: int, buckets: int):
     """Per chunk: its distinct n-grams with the number of its sets that hold them."""
 
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
-        s = Sets.of(words.words_of(_distinct(docs).column("text"), words.FOLDED), gram)
+        s = Sets.of_texts(_distinct(docs).column("text"), gram)
         h, n = np.unique(s.hashes, return_counts=True)
         cuts = np.searchsorted(chunks.bucket_of(h, buckets), np.arange(buckets + 1))
         rows = [(b, key[0].as_py(), hi - lo, chunks.pack_sorted(h[lo:hi]), chunks.pack(n[lo:hi].astype(np.uint32)))
@@ -132,7 +140,7 @@ def _prefixes(gram: int):
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         docs, answers = _distinct(docs), answers.sort_by("bucket")
-        s = Sets.of(words.words_of(docs.column("text"), words.FOLDED), gram)
+        s = Sets.of_texts(docs.column("text"), gram)
         h, inverse = np.unique(s.hashes, return_inverse=True)
         parts = [chunks.unpack(b, k, np.uint32) for b, k in zip(answers.column("body").to_pylist(), answers.column("n").to_pylist())]
         held = (np.concatenate(parts) if parts else np.zeros(0, np.uint32))[inverse]
