@@ -27,6 +27,7 @@ from quarry.llm import chunks, words
 from quarry.llm.words import U64
 
 BLOCK_BYTES = 4 << 20  # test text per search block
+SLICE_BYTES = 1 << 20  # bytes of documents searched at once
 SLOT_BITS = 18
 LANE = 512
 _C = U64(0xD6E8FEB86659FD93)
@@ -157,7 +158,7 @@ def _pass(sent, text: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = sent.value
         for batch in batches:
-            for lo, hi, w in words.slices(batch.column(text), words.ALNUM):
+            for lo, hi, w in words.slices(batch.column(text), words.ALNUM, SLICE_BYTES):
                 part = batch.slice(lo, hi - lo)
                 spans, items = block.search(w)
                 if "hits" in part.schema.names:
@@ -189,7 +190,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = 10, text:
     pool = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("null")).alias("id"), F.col(item_text).alias("text"))
     blocks = max(1, -(-chunks.text_volume(pool) // block_bytes))
     for b in range(blocks):
-        rows = pool.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()  # about block_bytes at most
+        rows = pool.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).distinct().collect()  # about block_bytes
         sent = docs.sparkSession.sparkContext.broadcast(Block.compile([(r.id, r.text) for r in rows], size))
         last = b == blocks - 1
         out = keep if last else [f.name for f in source.schema if f.name not in names]
